@@ -77,7 +77,7 @@ def follow(
 ) -> DataFrame:
     """Resolve a pointer inside its payload and add fields of the entity it names.
 
-    ``entities`` holds ``scope`` columns, ``ref`` and a variant ``value``. A
+    ``entities`` holds ``scope`` columns, ``ref`` and ``value``. A
     pointer without a target leaves the new fields null.
     """
     side = entities.select(

@@ -115,12 +115,14 @@ def without_last(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame
     return df.alias("l").join(ends.alias("r"), same, "left_anti")
 
 
-def best_item(items: Column, score, choose) -> Column:
-    """The chosen part of the highest-scoring array element, the first on ties.
+def best_item(items: Column, score) -> Column:
+    """The highest-scoring element of an array, the first on ties; nulls are no candidates.
 
     Works inside the row: no explode and no shuffle.
     """
-    kept = F.filter(items, lambda item: choose(item).isNotNull())
-    scored = F.transform(kept, lambda item: F.struct(score(item).alias("score"), choose(item).alias("item")))
-    top_score = F.array_max(F.transform(scored, lambda s: s["score"]))
-    return F.try_element_at(F.filter(scored, lambda s: s["score"] == top_score), F.lit(1))["item"]
+    scored = F.transform(
+        F.filter(items, lambda item: item.isNotNull()), lambda item: F.struct(score(item).alias("score"), item.alias("item"))
+    )
+    # A lower position wins among equals, so it is compared negated.
+    placed = F.transform(scored, lambda s, i: F.struct(s["score"].alias("score"), (-i).alias("place"), s["item"].alias("item")))
+    return F.array_max(placed)["item"]

@@ -6,23 +6,27 @@ Request keys that are not in the payload (game, team, person, season) come from
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dugout.functions import clean
-from dugout.operators.names import ref
+from dugout.operators.names import ref, refs
 from dugout.operators.ranks import best_item
 from dugout.plans.flatten import (
+    LIST,
+    OBJECT,
+    ROOT,
     Plan,
     Step,
     accepted,
+    field_at,
     flag,
     flatten,
-    json_path,
+    is_object,
     long_form,
-    objects_at,
+    objects,
+    parsed,
     strict,
-    text_at,
     walk,
     wide_form,
 )
@@ -512,109 +516,117 @@ def standings(payloads: DataFrame, fail: bool = False) -> DataFrame:
 
 def gamefeed_rows(payloads: DataFrame, node: str, body: str = "body") -> DataFrame:
     """Objects below a node that is a list, or an object of lists, with their key."""
-    rows = walk(payloads, (), body)
-    at = json_path(node)
-    as_map = F.try_variant_get("payload", at, "map<string,array<variant>>")
-    as_list = F.try_variant_get("payload", at, "array<variant>")
-    keyed = F.coalesce(
-        F.map_entries(as_map),
-        F.array(F.struct(F.lit(None).cast("string").alias("key"), as_list.alias("value"))),
-    )
-    entries = rows.select("*", F.explode(keyed).alias("_entry"))
-    items = entries.select("*", F.explode("_entry.value").alias("item"))
-    return items.withColumn("item_key", F.col("_entry.key")).drop("_entry", "payload")
+    rows = walk(payloads, (), {ROOT: {node: "string"}}, body).withColumnRenamed(f"{ROOT}:{node}", "_node")
+    listed = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.from_json("_node", LIST).alias("value")))
+    mapped = F.map_entries(F.from_json("_node", "map<string,array<string>>"))
+    entries = rows.select("*", F.inline(F.when(is_object(F.col("_node")), mapped).otherwise(listed)))
+    items = entries.select("*", F.explode("value").alias("item")).where(is_object(F.col("item")))
+    return items.withColumnRenamed("key", "item_key").drop("_node", "value")
 
 
 def gamefeed_problems(payloads: DataFrame, node: str, body: str = "body") -> DataFrame:
     """Payloads whose node is neither a list nor an object of lists of objects."""
-    rows = walk(payloads, (), body)
-    found = F.try_variant_get("payload", json_path(node), "variant")
-    lists = F.coalesce(
-        F.array(F.try_variant_get("payload", json_path(node), "array<variant>")),
-        F.map_values(F.try_variant_get("payload", json_path(node), "map<string,array<variant>>")),
+    rows = walk(payloads, (), {ROOT: {node: "string"}}, body).withColumnRenamed(f"{ROOT}:{node}", "_node")
+    mapped = F.map_values(F.from_json("_node", OBJECT))
+    lists = F.when(is_object(F.col("_node")), mapped).otherwise(F.array("_node"))
+    readable = F.forall(
+        lists, lambda v: F.startswith(v, F.lit("[")) & F.forall(F.from_json(v, LIST), lambda i: F.coalesce(is_object(i), F.lit(False)))
     )
-    items = F.flatten(F.filter(lists, lambda a: a.isNotNull()))
-    objects = F.forall(items, lambda v: F.try_variant_get(v, "$", "struct<_:variant>").isNotNull())
-    readable = (F.size(F.filter(lists, lambda a: a.isNotNull())) > 0) & objects
-    return rows.where(found.isNotNull() & ~F.coalesce(readable, F.lit(False))).drop("payload")
+    return rows.where(F.col("_node").isNotNull() & ~F.coalesce(readable, F.lit(False))).drop("_node")
+
+
+def _request(name: str, rows: DataFrame):
+    source = ref(name) if name in rows.columns else F.try_element_at(ref("params"), F.lit(name))
+    return source.try_cast("bigint")
 
 
 def exit_velocity(payloads: DataFrame) -> DataFrame:
     """Batted balls of any number of games."""
-    rows = gamefeed_rows(payloads, "exit_velocity")
-    item = F.col("item")
+    parks = "contextMetrics.homeRunBallparks"
+    leaves = dict.fromkeys((*EXIT_VELOCITY_TEXT, *EXIT_VELOCITY_NUMBERS, parks), "string")
+    rows = gamefeed_rows(payloads, "exit_velocity").withColumn("item", parsed(F.col("item"), leaves))
     return rows.select(
         _request("gamePk", rows).alias("game_pk"),
-        *[clean.trim_text(text_at(item, c)).alias(c) for c in EXIT_VELOCITY_TEXT],
-        *[clean.lenient_double(text_at(item, c)).alias(c) for c in EXIT_VELOCITY_NUMBERS],
-        clean.lenient_int(text_at(item, "contextMetrics.homeRunBallparks")).alias("home_run_ballparks"),
+        *[clean.trim_text(field_at("item", c)).alias(c) for c in EXIT_VELOCITY_TEXT],
+        *[clean.lenient_double(field_at("item", c)).alias(c) for c in EXIT_VELOCITY_NUMBERS],
+        clean.lenient_int(field_at("item", parks)).alias("home_run_ballparks"),
     )
 
 
-def _request(name: str, rows: DataFrame):
-    source = ref(name) if name in rows.columns else F.try_element_at(ref("params"), F.lit(name))
-    return source.try_cast("bigint")
+# Where the pitcher of a pitch may be named, and the two break keys.
+PITCHER_KEYS = ("pitcher_id", "pitcher", "player_id")
+NESTED_PITCHER_KEYS = ("pitcher", "player")
+BREAK_X_KEY = "breakXInches"
+BREAK_Z_KEYS = ("breakZInducedInches", "inducedBreakZ")
 
 
 def pitch_data(payloads: DataFrame) -> DataFrame:
     """Pitches of both sides; the pitcher is the map key, a flat ID or a nested one."""
     sides = [gamefeed_rows(payloads, node) for node in ("home_pitchers", "away_pitchers")]
-    rows = sides[0].unionByName(sides[1])
-    item = F.col("item")
+    names = (*PITCH_DATA_TEXT, "start_speed", "spin_rate", BREAK_X_KEY, *BREAK_Z_KEYS, *PITCHER_KEYS, "player")
+    rows = sides[0].unionByName(sides[1]).withColumn("item", parsed(F.col("item"), dict.fromkeys(names, "string")))
+    at = lambda name: field_at("item", name)
     pitcher = clean.first_present(
         clean.lenient_int(F.col("item_key")),
-        *[clean.lenient_int(text_at(item, key)) for key in ("pitcher_id", "pitcher", "player_id")],
-        *[clean.lenient_int(text_at(item, f"{key}.id")) for key in ("pitcher", "player")],
+        *[clean.lenient_int(at(key)) for key in PITCHER_KEYS],
+        *[clean.lenient_int(parsed(at(key), {"id": "string"})["id"]) for key in NESTED_PITCHER_KEYS],
     )
-    induced = clean.first_present(text_at(item, "breakZInducedInches"), text_at(item, "inducedBreakZ"))
     return rows.select(
         _request("gamePk", rows).alias("game_pk"),
         pitcher.alias("pitcher_id"),
-        *[clean.trim_text(text_at(item, c)).alias(c) for c in PITCH_DATA_TEXT],
-        clean.lenient_double(text_at(item, "start_speed")).alias("start_speed"),
-        clean.lenient_int(text_at(item, "spin_rate")).alias("spin_rate"),
-        clean.lenient_double(text_at(item, "breakXInches")).alias("break_x_inches"),
-        clean.lenient_double(induced).alias("break_z_induced_inches"),
+        *[clean.trim_text(at(c)).alias(c) for c in PITCH_DATA_TEXT],
+        clean.lenient_double(at("start_speed")).alias("start_speed"),
+        clean.lenient_int(at("spin_rate")).alias("spin_rate"),
+        clean.lenient_double(at(BREAK_X_KEY)).alias("break_x_inches"),
+        clean.lenient_double(clean.first_present(*[at(key) for key in BREAK_Z_KEYS])).alias("break_z_induced_inches"),
     )
 
 
-def keyword(keywords, kind: str):
+def keyword(words: Column, kind: str) -> Column:
     """Value of the first keyword of a type that has one."""
-    hits = F.filter(
-        keywords,
-        lambda k: (text_at(k, "type") == kind) & text_at(k, "value").isNotNull(),
-    )
-    return text_at(F.try_element_at(hits, F.lit(1)), "value")
+    hits = F.filter(words, lambda k: (k["type"] == kind) & k["value"].isNotNull())
+    return F.try_element_at(hits, F.lit(1))["value"]
 
 
 def highlights(payloads: DataFrame) -> DataFrame:
     """Clips of games that have a playable URL, the one with the highest bitrate."""
-    rows = walk(payloads, (Step("item", "payload", "highlights.highlights.items"),))
-    item = F.col("item")
-    playbacks = F.try_variant_get(item, "$.playbacks", "array<variant>")
-    keywords = F.try_variant_get(item, "$.keywordsAll", "array<variant>")
-    url = best_item(
-        playbacks, lambda p: clean.url_bitrate(text_at(p, "url")), lambda p: F.nullif(text_at(p, "url"), F.lit(""))
+    texts = ("id", "mediaPlaybackId", "playId", "headline", "blurb", "duration", "date")
+    leaves = {**dict.fromkeys(texts, "string"), "playbacks": LIST, "keywordsAll": LIST}
+    step = Step("item", ROOT, "highlights.highlights.items")
+    rows = walk(payloads, (step,), {"item": leaves})
+    at = lambda path: ref(f"item:{path}")
+    urls = F.transform(F.filter(at("playbacks"), is_object), lambda p: parsed(p, {"url": "string"})["url"])
+    words = F.transform(
+        F.filter(at("keywordsAll"), is_object), lambda k: parsed(k, {"type": "string", "value": "string"})
     )
-    filled = lambda path: F.nullif(text_at(item, path), F.lit(""))
-    found = rows.select(
+    read = rows.select(
         _request("gamePk", rows).alias("gamePk"),
+        *[at(c).alias(c) for c in texts],
+        urls.alias("urls"),
+        F.coalesce(words, F.array().cast("array<struct<type:string,value:string>>")).alias("words"),
+    )
+    filled = lambda name: F.nullif(F.col(name), F.lit(""))
+    found = read.select(
+        "gamePk",
         clean.first_present(filled("id"), filled("mediaPlaybackId")).alias("highlightId"),
-        clean.first_present(filled("playId"), keyword(keywords, "play_id")).alias("playId"),
-        clean.trim_text(keyword(keywords, "player_id")).try_cast("bigint").alias("playerId"),
-        text_at(item, "headline").alias("title"),
-        *[text_at(item, c).alias(c) for c in ("blurb", "duration", "date")],
-        url.alias("url"),
+        clean.first_present(filled("playId"), keyword(F.col("words"), "play_id")).alias("playId"),
+        clean.trim_text(keyword(F.col("words"), "player_id")).try_cast("bigint").alias("playerId"),
+        F.col("headline").alias("title"),
+        "blurb",
+        "duration",
+        "date",
+        best_item(F.col("urls"), clean.url_bitrate).alias("url"),
     )
-    return found.where(F.col("url").isNotNull()).withColumn("best_mp4_url", F.col("url"))
+    return found.where(F.col("url") != "").withColumn("best_mp4_url", F.col("url"))
 
 
 def list_or_map(payloads: DataFrame, node: str, columns: dict[str, tuple[str, str]], body: str = "body") -> DataFrame:
     """Rows below a node that may be a list of objects or an object of objects."""
-    rows = walk(payloads, (), body)
-    keep = [c for c in payloads.columns if c != body]
-    items = rows.select(*[ref(c) for c in keep], F.explode(objects_at(F.col("payload"), node)).alias("item"))
-    return items.select(
-        *[ref(c) for c in keep],
-        *[text_at(F.col("item"), path).try_cast(kind).alias(name) for name, (kind, path) in columns.items()],
+    rows = walk(payloads, (), {ROOT: {node: "string"}}, body)
+    keep = refs(c for c in payloads.columns if c != body)
+    leaves = {path: "string" for _, path in columns.values()}
+    items = rows.select(*keep, F.explode(objects(ref(f"{ROOT}:{node}"))).alias("_text"))
+    read = items.select(*keep, parsed(F.col("_text"), leaves).alias("_item"))
+    return read.select(
+        *keep, *[field_at("_item", path).try_cast(kind).alias(name) for name, (kind, path) in columns.items()]
     )

@@ -1,8 +1,10 @@
 """One generic flattener: nested JSON payloads to typed rows.
 
 A plan names the arrays to walk and, per column, where the value lies and its
-type. The body is parsed once into a variant; arrays are exploded, objects are
-never assumed to be there, and elements that are not objects are skipped. Any
+type. From the plan follows the schema each level is parsed with: only what a
+column or the next level needs, leaves as text. Elements come out of arrays as
+text and are parsed one by one, so an element that is no object is skipped
+without losing its neighbours, and objects are never assumed to be there. Any
 number of payloads is flattened in one job, row by row, without a shuffle.
 """
 
@@ -15,10 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dugout.errors import InvalidParameter
-from dugout.operators.names import ref
+from dugout.operators.names import ref, refs
 
 PROBLEMS = "_problems"
 ROOT = "payload"
+WHOLE = "$"
+LIST = "array<string>"
+OBJECT = "map<string,string>"
 
 
 @dataclass(frozen=True)
@@ -51,41 +56,86 @@ class Plan:
     defaults: dict[str, str] = field(default_factory=dict)
 
 
-def json_path(path: str) -> str:
-    """``a.b`` as a variant path; ``$`` is the value itself."""
-    if path in ("", "$"):
-        return "$"
-    return "$" + "".join(f"['{part}']" for part in path.split("."))
+def json_schema(leaves: dict[str, str]) -> str:
+    """Schema text for dotted paths: ``{"a.b": "string"}`` to ``a struct<b string>``."""
+    tree: dict = {}
+    for path, kind in leaves.items():
+        node = tree
+        *parents, leaf = path.split(".")
+        for part in parents:
+            node = node.setdefault(part, {})
+            if not isinstance(node, dict):
+                raise InvalidParameter(f"{path!r} lies below a value that is read as a whole.")
+        if leaf in node and node[leaf] != kind:
+            raise InvalidParameter(f"{path!r} is read in two ways.")
+        node[leaf] = kind
 
+    def text(node: dict, between: str) -> str:
+        return ", ".join(
+            f"`{name}`{between}{below if isinstance(below, str) else 'struct<' + text(below, ': ') + '>'}"
+            for name, below in node.items()
+        )
 
-def text_at(level: Column, path: str) -> Column:
-    return F.try_variant_get(level, json_path(path), "string")
+    return text(tree, " ")
 
 
-def objects_at(level: Column, path: str) -> Column:
-    """Elements of a list, or of the values of an object, whichever is there."""
-    found = F.try_variant_get(level, json_path(path), "array<variant>")
-    return F.coalesce(found, F.map_values(F.try_variant_get(level, json_path(path), "map<string,variant>")))
+def parsed(text: Column, leaves: dict[str, str]) -> Column:
+    """JSON text as a struct of the given paths."""
+    return F.from_json(text, json_schema(leaves))
 
 
-def is_object(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "struct<_:variant>").isNotNull()
+def field_at(name: str, path: str) -> Column:
+    """Field of a parsed struct column by its dotted path."""
+    return F.col(".".join(f"`{part}`" for part in [name, *path.split(".")]))
 
 
-def walk(payloads: DataFrame, steps: Sequence[Step], body: str = "body") -> DataFrame:
-    """Payload columns plus one variant column per level."""
-    keep = [c for c in payloads.columns if c != body]
-    rows = payloads.select(*[ref(c) for c in keep], F.try_parse_json(ref(body)).alias(ROOT))
-    for step in steps:
-        if step.keyed:
-            entries = F.try_variant_get(F.col(step.parent), json_path(step.path), "map<string,variant>")
-            rows = rows.select("*", F.explode(entries).alias(f"{step.level}_key", step.level))
-            rows = rows.where(F.col(f"{step.level}_key").isin(*step.keys)) if step.keys else rows
-        else:
-            entries = F.try_variant_get(F.col(step.parent), json_path(step.path), "array<variant>")
-            rows = rows.select("*", F.explode(entries).alias(step.level))
-        rows = rows.where(is_object(F.col(step.level)))
-    return rows
+def is_object(text: Column) -> Column:
+    return F.startswith(text, F.lit("{"))
+
+
+def objects(text: Column) -> Column:
+    """Objects of a JSON list, or of the values of a JSON object, as texts."""
+    values = F.when(is_object(text), F.map_values(F.from_json(text, OBJECT))).otherwise(F.from_json(text, LIST))
+    return F.filter(values, is_object)
+
+
+def walk(
+    payloads: DataFrame,
+    steps: Sequence[Step],
+    wanted: dict[str, dict[str, str]],
+    body: str = "body",
+) -> DataFrame:
+    """Payload columns plus one column ``level:path`` per wanted value.
+
+    Levels form a chain. A level is parsed once, for its wanted values and for
+    the array the next level comes from.
+    """
+    rows = payloads.select(*[ref(c) for c in payloads.columns if c != body], ref(body).alias("_text"))
+    for level, step in zip([ROOT, *[s.level for s in steps]], [*steps, None], strict=True):
+        if step is not None and step.parent != level:
+            raise InvalidParameter(f"Level {step.level!r} must follow {step.parent!r} directly.")
+        leaves = dict(wanted.get(level, {}))
+        if step is not None:
+            leaves[step.path] = OBJECT if step.keyed else LIST
+        carried = [c for c in rows.columns if c != "_text"]
+        whole = leaves.pop(WHOLE, None)
+        if leaves:
+            rows = rows.withColumn("_doc", parsed(F.col("_text"), leaves))
+        values = [field_at("_doc", path).alias(f"{level}:{path}") for path in leaves]
+        if whole:
+            values.append(F.from_json("_text", whole).alias(f"{level}:{WHOLE}"))
+        rows = rows.select(*refs(carried), *values)
+        if step is not None:
+            rows = _descend(rows, step)
+    return rows.drop("_text")
+
+
+def _descend(rows: DataFrame, step: Step) -> DataFrame:
+    source = f"{step.parent}:{step.path}"
+    others = refs(c for c in rows.columns if c != source)
+    names = [f"{step.level}_key", "_text"] if step.keyed else ["_text"]
+    below = rows.select(*others, F.explode(ref(source)).alias(*names)).where(is_object(F.col("_text")))
+    return below.where(ref(f"{step.level}_key").isin(*step.keys)) if step.keys else below
 
 
 def unparsed(payloads: DataFrame, body: str = "body") -> DataFrame:
@@ -93,6 +143,17 @@ def unparsed(payloads: DataFrame, body: str = "body") -> DataFrame:
     return payloads.where(ref(body).isNotNull() & F.try_parse_json(ref(body)).isNull())
 
 
+def places_of(columns: dict[str, tuple[str, ...]]) -> dict[str, dict[str, str]]:
+    """Values to read per level, for the places of some columns."""
+    wanted: dict[str, dict[str, str]] = {}
+    for _, *places in columns.values():
+        for place in places:
+            level, _, path = place.partition(":")
+            if not place.startswith("@") and path != "#key":
+                wanted.setdefault(level, {})[path] = "string"
+    return wanted
+
+
 def read_place(place: str, have: Sequence[str]) -> Column:
     """Text of a place; a request parameter is a column or an entry of ``params``."""
     if place.startswith("@"):
@@ -103,9 +164,7 @@ def read_place(place: str, have: Sequence[str]) -> Column:
             return F.try_element_at(ref("params"), F.lit(name))
         raise InvalidParameter(f"Payloads carry no request parameter {name!r}.")
     level, _, path = place.partition(":")
-    if path == "#key":
-        return F.col(f"{level}_key")
-    return text_at(F.col(level), path)
+    return ref(f"{level}_key") if path == "#key" else ref(place)
 
 
 def to_type(text: Column, kind: str) -> Column:
@@ -117,16 +176,18 @@ def to_type(text: Column, kind: str) -> Column:
     return text.try_cast(kind)
 
 
-def flag(payloads: DataFrame, plan: Plan, body: str = "body") -> DataFrame:
-    """Typed rows plus the names of columns that are missing or unreadable."""
-    rows = walk(payloads, plan.steps, body)
-    have = payloads.columns
-    texts = {
+def _texts(plan: Plan, have: Sequence[str]) -> dict[str, Column]:
+    return {
         name: F.coalesce(*[read_place(p, have) for p in places], F.lit(plan.defaults.get(name)).cast("string"))
         for name, (_, *places) in plan.columns.items()
     }
-    raw = rows.select(*[text.alias(name) for name, text in texts.items()])
-    typed = {name: to_type(ref(name), plan.columns[name][0]) for name in texts}
+
+
+def flag(payloads: DataFrame, plan: Plan, body: str = "body") -> DataFrame:
+    """Typed rows plus the names of columns that are missing or unreadable."""
+    rows = walk(payloads, plan.steps, places_of(plan.columns), body)
+    raw = rows.select(*[text.alias(name) for name, text in _texts(plan, payloads.columns).items()])
+    typed = {name: to_type(ref(name), kind) for name, (kind, *_) in plan.columns.items()}
     problems = []
     for name, value in typed.items():
         if name in plan.required:
@@ -164,35 +225,24 @@ def flatten(payloads: DataFrame, plan: Plan, body: str = "body", fail: bool = Fa
     return strict(flagged) if fail else accepted(flagged)
 
 
-def long_form(
-    payloads: DataFrame, plan: Plan, groups: dict[str, str], body: str = "body"
-) -> DataFrame:
+def long_form(payloads: DataFrame, plan: Plan, groups: dict[str, str], body: str = "body") -> DataFrame:
     """One row per (object, group, key, value) for objects with free keys.
 
     ``groups`` maps a group label to the place of its object. Nested objects are
     left out; lists and scalars are kept as text.
     """
-    rows = walk(payloads, plan.steps, body)
-    have = payloads.columns
+    wanted = places_of(plan.columns)
+    for place in groups.values():
+        level, _, path = place.partition(":")
+        wanted.setdefault(level, {})[path] = OBJECT
+    rows = walk(payloads, plan.steps, wanted, body)
     fixed = [
-        to_type(
-            F.coalesce(*[read_place(p, have) for p in places], F.lit(plan.defaults.get(name)).cast("string")), kind
-        ).alias(name)
-        for name, (kind, *places) in plan.columns.items()
+        to_type(text, plan.columns[name][0]).alias(name) for name, text in _texts(plan, payloads.columns).items()
     ]
-    maps = []
-    for label, place in groups.items():
-        level, _, path = place.partition(":")
-        entries = F.try_variant_get(F.col(level), json_path(path), "map<string,variant>")
-        scalars = F.map_filter(entries, lambda k, v: ~is_object(v))
-        texts = F.transform_values(scalars, lambda k, v: F.try_variant_get(v, "$", "string"))
-        maps.append(F.struct(F.lit(label).alias("stat_group"), texts.alias("stats")))
-    grouped = rows.select(*fixed, F.explode(F.array(*maps)).alias("_g"))
-    return grouped.select(
-        *[ref(name) for name in plan.columns],
-        F.col("_g.stat_group").alias("stat_group"),
-        F.explode("_g.stats").alias("stat_key", "stat_value"),
-    )
+    scalars = lambda place: F.map_filter(ref(place), lambda k, v: F.coalesce(~is_object(v), F.lit(True)))
+    maps = [F.struct(F.lit(g).alias("stat_group"), scalars(place).alias("stats")) for g, place in groups.items()]
+    grouped = rows.select(*fixed, F.inline(F.array(*maps)))
+    return grouped.select(*refs(plan.columns), "stat_group", F.explode("stats").alias("stat_key", "stat_value"))
 
 
 def wide_form(
@@ -206,8 +256,5 @@ def wide_form(
         label, _, key = name.partition("_")
         prefixed = label in groups and bool(key)
         place = groups[label] if prefixed else groups.get("", next(iter(groups.values())))
-        level, _, path = place.partition(":")
-        inner = key if prefixed else name
-        columns[name] = (kind, f"{level}:{path}.{inner}" if path not in ("", "$") else f"{level}:{inner}")
+        columns[name] = (kind, f"{place}.{key if prefixed else name}")
     return flatten(payloads, Plan(plan.steps, columns, plan.required, plan.defaults), body)
-

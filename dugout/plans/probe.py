@@ -17,9 +17,8 @@ from dugout.errors import InvalidParameter
 from dugout.functions import clean
 from dugout.operators.joins import follow
 from dugout.operators.names import ref, refs
-from dugout.plans.flatten import is_object, json_path, text_at
-from dugout.plans.tables import board_tables, csv_fields
-from dugout.sources.html import paired
+from dugout.plans.flatten import LIST, OBJECT, field_at, is_object, parsed
+from dugout.plans.tables import board_tables, csv_rows
 
 # What the formats look like.
 DATA_VARIABLE = "var data ="
@@ -47,29 +46,23 @@ class PageKind:
     extract: Callable[[DataFrame, Sequence[str], str], DataFrame]
 
 
-def csv_lines(pages: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
-    """Rows of CSV bodies with header, as maps."""
-    lines = F.split(clean.trim_text(ref(html)), r"\r?\n")
-    rest = F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))
-    rows = pages.select(*refs(keys), csv_fields(F.try_element_at(lines, F.lit(1))).alias("_h"), F.posexplode(rest).alias("row_index", "_l"))
-    empty = lambda c: F.nullif(clean.trim_text(c), F.lit(""))
-    return rows.where(F.trim("_l") != "").select(
-        *refs(keys), "row_index", paired(F.transform("_h", clean.trim_text), csv_fields(F.col("_l")), empty).alias("cells")
-    )
+def csv_bodies(pages: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
+    """Rows of CSV bodies with a header, as maps."""
+    return csv_rows(pages, keys, html, lambda c: F.nullif(clean.trim_text(c), F.lit("")))
 
 
 def embedded_json(pages: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
     """Objects of ``var data = [...];`` as maps of text."""
-    body = F.nullif(F.regexp_extract(ref(html), DATA_PATTERN, 1), F.lit(""))
-    items = F.try_variant_get(F.try_parse_json(body), "$", "array<map<string,string>>")
-    return pages.select(*refs(keys), F.posexplode(items).alias("row_index", "cells"))
+    items = F.from_json(F.regexp_extract(ref(html), DATA_PATTERN, 1), LIST)
+    rows = pages.select(*refs(keys), F.posexplode(items).alias("row_index", "_item")).where(is_object(F.col("_item")))
+    return rows.select(*refs(keys), "row_index", F.from_json("_item", OBJECT).alias("cells"))
 
 
 CSV = PageKind(
     "csv",
     lambda text: ~F.startswith(text, F.lit("<")) & F.contains(text, F.lit(",")),
     (",",),
-    csv_lines,
+    csv_bodies,
 )
 EMBEDDED = PageKind("embedded-json", lambda text: F.contains(text, F.lit(DATA_VARIABLE)), (DATA_VARIABLE,), embedded_json)
 TABLE = PageKind("html-table", lambda text: F.contains(text, F.lit(TABLE_TAG)), (TABLE_TAG,), board_tables)
@@ -118,20 +111,17 @@ def leader_rows(pages: DataFrame, keys: Sequence[str], html: str = "html") -> Da
 
     They lie in the first query of the page state whose key names the leaders.
     """
-    body = F.nullif(F.regexp_extract(ref(html), NEXT_DATA_PATTERN, 1), F.lit(""))
-    parsed = pages.select(*refs(keys), F.try_parse_json(body).alias("_state"))
-    queries = F.try_variant_get("_state", json_path(NEXT_DATA_QUERIES), "array<variant>")
-    wanted = F.filter(
-        queries,
-        lambda q: F.array_contains(
-            F.transform(F.try_variant_get(q, "$.queryKey", "array<variant>"), lambda k: F.try_variant_get(k, "$", "string")),
-            LEADERS_KEY,
-        ),
+    state = F.regexp_extract(ref(html), NEXT_DATA_PATTERN, 1)
+    queries = pages.select(*refs(keys), parsed(state, {NEXT_DATA_QUERIES: LIST}).alias("_state"))
+    read = F.transform(
+        F.filter(field_at("_state", NEXT_DATA_QUERIES), is_object),
+        lambda q: parsed(q, {"queryKey": LIST, "state.data.data": LIST}),
     )
-    found = parsed.select(*refs(keys), F.try_element_at(wanted, F.lit(1)).alias("_query"))
-    players = F.try_variant_get("_query", "$.state.data.data", "array<map<string,string>>")
-    rows = found.select(*refs(keys), F.posexplode(players).alias("row_index", "cells"))
-    return rows.withColumn("cells", F.transform_values("cells", lambda k, v: clean.strip_tags(v)))
+    wanted = F.filter(read, lambda q: F.array_contains(q["queryKey"], LEADERS_KEY))
+    first = queries.select(*refs(keys), F.try_element_at(wanted, F.lit(1)).alias("_query"))
+    players = first.select(*refs(keys), F.posexplode(F.col("_query.state.data.data")).alias("row_index", "_player"))
+    cells = F.transform_values(F.from_json("_player", OBJECT), lambda k, v: clean.strip_tags(v))
+    return players.where(is_object(F.col("_player"))).select(*refs(keys), "row_index", cells.alias("cells"))
 
 
 def unreadable_leader_pages(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
@@ -172,10 +162,29 @@ def unescaped(text: Column) -> Column:
 
 
 def payload_entities(states: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Entities of a page state: (keys, ref, value)."""
-    parsed = states.select(*refs(keys), F.try_parse_json("body").alias("_s"))
-    entries = F.try_variant_get("_s", "$.payload", "map<string,variant>")
-    return parsed.select(*refs(keys), F.explode(entries).alias("ref", "value"))
+    """Entities of a page state: (keys, ref, value), the value as JSON text."""
+    read = states.select(*refs(keys), parsed(F.col("body"), {"payload": OBJECT}).alias("_s"))
+    return read.select(*refs(keys), F.explode("_s.payload").alias("ref", "value"))
+
+
+# What is read of rankings, players, teams and levels.
+ITEM_LEAVES = {
+    "rank": "string",
+    "playerEntity.player.__ref": "string",
+    "playerEntity.position": "string",
+    "playerEntity.eta": "string",
+    "playerEntity.signed": "string",
+    "playerEntity.prospectBio": "array<struct<contentText:string>>",
+}
+PLAYER_LEAVES = {
+    name: "string"
+    for name in (
+        "id", "useName", "useLastName", "currentAge", "height", "weight", "batSideCode", "pitchHandCode",
+        "birthDate", "birthCity", "birthCountry", "activeRoster.__ref",
+    )
+}
+TEAM_LEAVES = {"name": "string", "parentOrgName": "string", "sport.__ref": "string"}
+LEVEL_LEAVES = {"abbreviation": "string"}
 
 
 def prospect_rankings(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
@@ -186,57 +195,37 @@ def prospect_rankings(pages: DataFrame, keys: Sequence[str], html: str = "html")
     """
     entities = payload_entities(init_state(pages, keys, html), keys)
     roots = entities.where(F.col("ref") == "ROOT_QUERY")
-    queries = F.try_variant_get("value", "$", "map<string,variant>")
-    matching = F.filter(F.map_entries(queries), lambda e: F.contains(e["key"], F.lit(RANKING_QUERY)))
-    ranking = F.try_variant_get(F.try_element_at(matching, F.lit(1))["value"], "$", "array<variant>")
-    items = roots.select(*refs(keys), F.explode(ranking).alias("item")).where(is_object(F.col("item")))
+    queries = F.map_entries(F.from_json("value", OBJECT))
+    matching = F.filter(queries, lambda e: F.contains(e["key"], F.lit(RANKING_QUERY)))
+    ranking = F.from_json(F.try_element_at(matching, F.lit(1))["value"], LIST)
+    texts = roots.select(*refs(keys), F.explode(ranking).alias("_text")).where(is_object(F.col("_text")))
+    items = texts.select(*refs(keys), parsed(F.col("_text"), ITEM_LEAVES).alias("item"))
     value = F.col("value")
-    with_player = follow(
-        items,
-        entities,
-        text_at(F.col("item"), "playerEntity.player.__ref"),
-        {
-            "player_id": text_at(value, "id").try_cast("bigint"),
-            "use_name": text_at(value, "useName"),
-            "use_last_name": text_at(value, "useLastName"),
-            "age": text_at(value, "currentAge").try_cast("bigint"),
-            "height": text_at(value, "height"),
-            "weight": text_at(value, "weight").try_cast("bigint"),
-            "bats": text_at(value, "batSideCode"),
-            "throws": text_at(value, "pitchHandCode"),
-            "birth_date": text_at(value, "birthDate"),
-            "birth_city": text_at(value, "birthCity"),
-            "birth_country": text_at(value, "birthCountry"),
-            "team_ref": text_at(value, "activeRoster.__ref"),
-        },
-        keys,
+    player = follow(
+        items, entities, F.col("item.playerEntity.player.__ref"), {"player": parsed(value, PLAYER_LEAVES)}, keys
     )
-    with_team = follow(
-        with_player,
-        entities,
-        F.col("team_ref"),
-        {
-            "team": text_at(value, "name"),
-            "organization": text_at(value, "parentOrgName"),
-            "sport_ref": text_at(value, "sport.__ref"),
-        },
-        keys,
-    )
-    whole = follow(with_team, entities, F.col("sport_ref"), {"level": text_at(value, "abbreviation")}, keys)
-    item = F.col("item")
-    reports = F.try_variant_get(item, "$.playerEntity.prospectBio", "array<variant>")
-    report = text_at(F.try_element_at(reports, F.lit(-1)), "contentText")
+    team = follow(player, entities, F.col("player.activeRoster.__ref"), {"team": parsed(value, TEAM_LEAVES)}, keys)
+    whole = follow(team, entities, F.col("team.sport.__ref"), {"level": parsed(value, LEVEL_LEAVES)}, keys)
+    report = F.try_element_at("item.playerEntity.prospectBio", F.lit(-1))["contentText"]
     graded = whole.withColumn("_grades", grade_pairs(F.coalesce(report, F.lit(""))))
+    whole_number = lambda name: F.col(name).try_cast("bigint")
     return graded.select(
         *refs(keys),
-        text_at(item, "rank").try_cast("bigint").alias("rank"),
-        "player_id",
-        clean.trim_text(clean.full_name(F.col("use_name"), F.col("use_last_name"))).alias("name"),
-        "age", "height", "weight", "bats", "throws", "birth_date",
-        clean.joined_text(F.col("birth_city"), F.col("birth_country")).alias("birthplace"),
-        text_at(item, "playerEntity.position").alias("position"),
-        "team", "organization", "level",
-        text_at(item, "playerEntity.eta").alias("eta"),
-        text_at(item, "playerEntity.signed").alias("signed"),
+        whole_number("item.rank").alias("rank"),
+        whole_number("player.id").alias("player_id"),
+        clean.trim_text(clean.full_name(F.col("player.useName"), F.col("player.useLastName"))).alias("name"),
+        whole_number("player.currentAge").alias("age"),
+        F.col("player.height").alias("height"),
+        whole_number("player.weight").alias("weight"),
+        F.col("player.batSideCode").alias("bats"),
+        F.col("player.pitchHandCode").alias("throws"),
+        F.col("player.birthDate").alias("birth_date"),
+        clean.joined_text(F.col("player.birthCity"), F.col("player.birthCountry")).alias("birthplace"),
+        F.col("item.playerEntity.position").alias("position"),
+        F.col("team.name").alias("team"),
+        F.col("team.parentOrgName").alias("organization"),
+        F.col("level.abbreviation").alias("level"),
+        F.col("item.playerEntity.eta").alias("eta"),
+        F.col("item.playerEntity.signed").alias("signed"),
         *[grade(F.col("_grades"), key).alias(f"grade_{key}") for key in GRADES],
-    )
+    )

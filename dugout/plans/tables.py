@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from dugout.functions import clean
 from dugout.operators.align import pick_table
 from dugout.operators.names import ref, refs
+from dugout.operators.ranks import latest
 from dugout.operators.typed import coerce_stats, drop_named_like, with_singles
 from dugout.sources import html as H
 
@@ -51,26 +52,25 @@ def cell_names(rows: DataFrame) -> list[str]:
 
 
 def stat_tables(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
-    """First table of each page, rank column dropped, player ID from links."""
+    """First table of each page, rank column dropped, player ID from links.
+
+    The ID is one more cell after a row's own, under one more header.
+    """
     first = H.page_tables(pages, keys, html).where("origin = 'page' and table_index = 0")
-    headings = H.cell_texts(H.of_kind(H.last_header(F.col("rows")), "th"))
-    shaped = first.select(*refs(keys), headings.alias("_head"), F.posexplode(H.body_rows(F.col("rows"))).alias("row_index", "_row"))
-    ranked = F.coalesce(F.try_element_at("_head", F.lit(1)).isin(*RANK_HEADERS), F.lit(False))
-    cells = H.cell_texts(F.col("_row.cells"))
-    kept = shaped.where(F.size("_row.cells") > 0).select(
-        *refs(keys), "row_index", _tail(F.col("_head"), ranked).alias("_head"), _tail(cells, ranked).alias("_cells"), "_row"
+    heads = first.withColumn("_titles", H.last_header(F.col("rows"))["heads"])
+    ranked = F.coalesce(F.try_element_at("_titles", F.lit(1)).isin(*RANK_HEADERS), F.lit(False))
+    marked = heads.withColumn("_skip", ranked.cast("int"))
+    body = F.filter(H.body_rows(F.col("rows")), lambda r: F.size(r["texts"]) > 0)
+    with_ids = F.transform(
+        body, lambda r: F.struct(F.concat(H.tail(r["texts"], F.col("_skip")), F.array(_player(r["links"]))).alias("texts"))
     )
-    links = F.filter("_row.links", lambda a: F.contains(a, F.lit(PLAYER_LINK)))
-    player = clean.id_after(F.try_element_at(links, F.lit(1)), PLAYER_LINK)
-    # The ID is one more cell after the row's own, under one more header.
-    head = F.array_append("_head", F.lit(PLAYER_COLUMN))
-    values = F.array_append("_cells", F.coalesce(player, F.lit("")))
-    return kept.select(*refs(keys), "row_index", H.paired(head, values, clean.cell_text).alias("cells"))
+    head = F.array_append(H.tail(F.col("_titles"), F.col("_skip")), F.lit(PLAYER_COLUMN))
+    return H.paired_rows(marked, keys, head, with_ids, lambda r: r["texts"], clean.cell_text)
 
 
-def _tail(values: Column, drop_first: Column) -> Column:
-    rest = F.slice(values, F.lit(2), F.greatest(F.size(values) - 1, F.lit(0)))
-    return F.when(drop_first & (F.size(values) > 0), rest).otherwise(values)
+def _player(links: Column) -> Column:
+    hits = F.filter(links, lambda a: F.contains(a, F.lit(PLAYER_LINK)))
+    return F.coalesce(clean.id_after(F.try_element_at(hits, F.lit(1)), PLAYER_LINK), F.lit(""))
 
 
 def typed_stats(rows: DataFrame, columns: Iterable[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -78,27 +78,31 @@ def typed_stats(rows: DataFrame, columns: Iterable[str], keep: Sequence[str] = (
     return coerce_stats(wide(rows, columns, keep))
 
 
-def _spread(cells: Column) -> Column:
+def _spread(row: Column) -> Column:
     """Header texts, each repeated over the columns it spans."""
-    repeated = F.transform(cells, lambda c: F.array_repeat(clean.trim_text(c["text"]), F.greatest(c["span"], F.lit(0))))
-    return F.flatten(repeated)
-
-
-def _log_header(rows: Column) -> Column:
-    """One name per column from up to two header rows."""
-    heads = H.in_part(rows, "thead")
-    upper, lower = (_spread(F.try_element_at(heads, F.lit(i))["cells"]) for i in (1, 2))
+    return F.flatten(F.zip_with(row["texts"], row["spans"], lambda c, n: F.array_repeat(c, F.greatest(n, F.lit(0)))))
+
+
+def _log_names(tables: DataFrame) -> DataFrame:
+    """One name per column from up to two header rows, as ``_head``."""
+    heads = H.in_part(F.col("rows"), "thead")
+    spread = tables.withColumns(
+        {
+            "_levels": F.size(heads),
+            "_upper": _spread(F.try_element_at(heads, F.lit(1))),
+            "_lower": _spread(F.try_element_at(heads, F.lit(2))),
+        }
+    )
     names = F.create_map(*[F.lit(x) for pair in GAME_LOG_NAMES.items() for x in pair])
     renamed = lambda c: F.coalesce(F.try_element_at(names, c), c)
-    width = F.greatest(F.size(upper), F.size(lower))
 
-    def joined(i: Column) -> Column:
-        top, sub = F.coalesce(F.get(upper, i), F.lit("")), renamed(F.coalesce(F.get(lower, i), F.lit("")))
+    def joined(top: Column, sub: Column) -> Column:
+        top, sub = F.coalesce(top, F.lit("")), renamed(F.coalesce(sub, F.lit("")))
         alone = (top == "") | F.contains(top, F.lit("Unnamed"))
         return F.when(alone, sub).otherwise(F.concat(top, F.lit("_"), sub))
 
-    single = F.transform(upper, renamed)
-    return F.when(F.size(heads) == 1, single).otherwise(F.transform(F.sequence(F.lit(0), width - 1), joined))
+    flat = F.when(F.col("_levels") == 1, F.transform("_upper", renamed)).otherwise(F.zip_with("_upper", "_lower", joined))
+    return spread.withColumn("_head", flat)
 
 
 def game_logs(pages: DataFrame, keys: Sequence[str], kind: str = "batting", html: str = "html") -> DataFrame:
@@ -107,28 +111,16 @@ def game_logs(pages: DataFrame, keys: Sequence[str], kind: str = "batting", html
     The totals line is the last row of the table, which is one array, so it is
     cut off before the rows are exploded.
     """
-    table = H.page_tables(pages, keys, html).where(F.col("table_id") == GAME_LOG_TABLE + kind)
-    rows = F.filter(
-        _log_body(F.col("rows")), lambda r: (F.coalesce(r["css"], F.lit("")) != "thead") & (F.size(r["cells"]) > 0)
-    )
-    without_total = F.slice(rows, F.lit(1), F.greatest(F.size(rows) - 1, F.lit(0)))
-    shaped = table.select(*refs(keys), _log_header(F.col("rows")).alias("_head"), F.posexplode(without_total).alias("row_index", "_row"))
-    # Short rows are padded with empty cells, which are null.
-    cells = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("_head") - 1, F.lit(0))),
-        lambda i: F.get(H.cell_texts(F.col("_row.cells")), i),
-    )
-    mapped = shaped.select(*refs(keys), "row_index", H.paired(F.col("_head"), cells, clean.null_tokens).alias("cells"))
-    unranked = F.map_filter("cells", lambda k, v: k != "Rk")
-    logs = mapped.withColumn("cells", unranked)
+    tables = H.page_tables(pages, keys, html).where(F.col("table_id") == GAME_LOG_TABLE + kind)
+    body = H.in_part(F.col("rows"), "tbody")
+    chosen = F.when(F.size(body) > 0, body).otherwise(F.col("rows"))
+    real = lambda r: (F.coalesce(r["css"], F.lit("")) != "thead") & (F.size(r["texts"]) > 0)
+    kept = _log_names(tables).withColumn("_kept", F.filter(chosen, real))
+    without_total = F.slice("_kept", F.lit(1), F.greatest(F.size("_kept") - 1, F.lit(0)))
+    rows = H.paired_rows(kept, keys, F.col("_head"), without_total, lambda r: r["texts"], clean.null_tokens)
     game = F.try_element_at("cells", F.lit("Game"))
     repeated = F.map_contains_key("cells", "Game") & (game.isNull() | (game == "Gtm"))
-    return logs.where(~repeated)
-
-
-def _log_body(rows: Column) -> Column:
-    body = H.in_part(rows, "tbody")
-    return F.when(F.size(body) > 0, body).otherwise(rows)
+    return rows.where(~repeated).withColumn("cells", F.map_filter("cells", lambda k, v: k != "Rk"))
 
 
 def typed_game_logs(rows: DataFrame, columns: Iterable[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -145,28 +137,14 @@ def splits(pages: DataFrame, keys: Sequence[str], career: bool = False, html: st
     carry one more leading header, whose column is a ``th`` cell.
     """
     commented = H.page_tables(pages, keys, html).where((F.col("origin") == "comment") & (F.col("container") == SPLIT_CONTAINER))
-    caption = clean.trim_text(F.coalesce("caption", F.lit("")))
-    heads = H.cell_texts(H.of_kind(F.try_element_at("rows", F.lit(1))["cells"], "th"))
-    rows = F.slice("rows", F.lit(2), F.greatest(F.size("rows") - 1, F.lit(0)))
-    shaped = commented.where(caption != INNING_SPLIT).select(
-        *refs(keys),
-        "table_index",
-        caption.alias("split_type"),
-        _tail(heads, F.lit(career)).alias("_head"),
-        F.posexplode(rows).alias("row_index", "_row"),
-    )
-    first_th = F.try_element_at(H.cell_texts(H.of_kind(F.col("_row.cells"), "th")), F.lit(1))
-    cells = H.of_kind(F.col("_row.cells"), "td") if career else F.col("_row.cells")
-    real = shaped.where(F.coalesce(first_th != "Split", F.lit(True))).withColumn("_cells", H.cell_texts(cells))
-    paired = H.paired(F.col("_head"), F.col("_cells"))
-    return real.where(F.size("_cells") > 0).select(
-        *refs(keys),
-        "table_index",
-        "row_index",
-        "split_type",
-        F.endswith("split_type", F.lit(LEVEL_SUFFIX)).alias("is_level"),
-        paired.alias("cells"),
-    )
+    captioned = commented.withColumn("split_type", clean.trim_text(F.coalesce("caption", F.lit(""))))
+    head = H.tail(F.try_element_at("rows", F.lit(1))["heads"], int(career))
+    first = lambda r: F.coalesce(F.try_element_at(r["heads"], F.lit(1)), F.lit(""))
+    real = F.filter(H.tail(F.col("rows")), lambda r: first(r) != "Split")
+    cells = (lambda r: r["datas"]) if career else (lambda r: r["texts"])
+    wanted = captioned.where(F.col("split_type") != INNING_SPLIT)
+    rows = H.paired_rows(wanted, [*keys, "table_index", "split_type"], head, real, cells, lambda c: c)
+    return rows.withColumn("is_level", F.endswith("split_type", F.lit(LEVEL_SUFFIX)))
 
 
 def typed_splits(rows: DataFrame, columns: Iterable[str], keep: Sequence[str] = (), pitching: bool = False) -> DataFrame:
@@ -201,25 +179,16 @@ def player_info(pages: DataFrame, keys: Sequence[str], html: str = "html") -> Da
 def board_tables(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
     """First table of a leaderboard page as text; ``td`` cells only."""
     first = H.page_tables(pages, keys, html).where("origin = 'page' and table_index = 0")
-    heads = H.cell_texts(H.of_kind(H.last_header(F.col("rows")), "th"))
-    rows = first.select(*refs(keys), heads.alias("_head"), F.posexplode(H.body_rows(F.col("rows"))).alias("row_index", "_row"))
-    values = rows.withColumn("_cells", H.cell_texts(H.of_kind(F.col("_row.cells"), "td"))).where(F.size("_cells") > 0)
-    return values.select(*refs(keys), "row_index", H.paired(F.col("_head"), F.col("_cells")).alias("cells"))
+    head = H.last_header(F.col("rows"))["heads"]
+    return H.paired_rows(first, keys, head, H.body_rows(F.col("rows")), lambda r: r["datas"], lambda c: c)
 
 
 def all_tables(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
     """Rows of every table as text: padded or cut to the header, empty as null."""
     tables = H.page_tables(pages, keys, html).where("origin = 'page'")
-    heads = H.cell_texts(H.last_header(F.col("rows")))
-    rows = tables.select(
-        *refs(keys), "table_index", heads.alias("_head"), F.posexplode(H.body_rows(F.col("rows"))).alias("row_index", "_row")
-    )
-    cells = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("_head") - 1, F.lit(0))),
-        lambda i: F.nullif(F.get(H.cell_texts(F.col("_row.cells")), i), F.lit("")),
-    )
-    named = rows.where(F.size("_head") > 0)
-    return named.select(*refs(keys), "table_index", "row_index", H.paired(F.col("_head"), cells).alias("cells"))
+    head = H.last_header(F.col("rows"))["texts"]
+    empty = lambda c: F.nullif(c, F.lit(""))
+    return H.paired_rows(tables, [*keys, "table_index"], head, H.body_rows(F.col("rows")), lambda r: r["texts"], empty)
 
 
 def prospects(
@@ -239,26 +208,30 @@ def prospects(
 
 
 def csv_blocks(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
-    """Rows of an embedded CSV block: a ``csv_`` table, or else a ``csv`` div."""
-    tables = H.page_tables(pages, keys, html).where(F.startswith("table_id", F.lit(CSV_TABLE_PREFIX)))
-    firsts = tables.groupBy(*refs(keys)).agg(F.min_by("rows", "table_index").alias("rows"))
-    filled = F.filter("rows", lambda r: F.size(r["cells"]) > 0)
-    heads = H.cell_texts(F.try_element_at(filled, F.lit(1))["cells"])
-    body = F.slice(filled, F.lit(2), F.greatest(F.size(filled) - 1, F.lit(0)))
-    from_table = firsts.select(*refs(keys), heads.alias("_head"), F.posexplode(body).alias("row_index", "_row"))
-    null_rule = lambda c: F.nullif(F.nullif(c, F.lit("NULL")), F.lit(""))
-    tabled = from_table.select(
-        *refs(keys), "row_index", H.paired(F.col("_head"), H.cell_texts(F.col("_row.cells")), null_rule).alias("cells")
-    )
+    """Rows of an embedded CSV block: the first ``csv_`` table, or else a ``csv`` div."""
+    marker = f'id="{CSV_TABLE_PREFIX}'
+    has_table = F.contains(ref(html), F.lit(marker))
+    tables = H.page_tables(pages.where(has_table), keys, html).where(F.startswith("table_id", F.lit(CSV_TABLE_PREFIX)))
+    firsts = latest(tables, keys, [ref("table_index")])
+    filled = firsts.withColumn("_filled", F.filter("rows", lambda r: F.size(r["texts"]) > 0))
+    head = F.try_element_at("_filled", F.lit(1))["texts"]
+    tabled = H.paired_rows(filled, keys, head, H.tail(F.col("_filled")), lambda r: r["texts"], _csv_null)
     text = clean.strip_tags(F.regexp_extract(ref(html), CSV_DIV_PATTERN, 1))
-    no_table = ~F.contains(ref(html), F.lit(f'id="{CSV_TABLE_PREFIX}'))
-    lines = pages.where(no_table & (text != "")).select(*refs(keys), F.split(text, r"\r?\n").alias("_lines"))
-    rest = F.slice("_lines", F.lit(2), F.greatest(F.size("_lines") - 1, F.lit(0)))
-    split = lines.select(*refs(keys), csv_fields(F.try_element_at("_lines", F.lit(1))).alias("_head"), F.posexplode(rest).alias("row_index", "_line"))
-    from_text = split.select(
-        *refs(keys), "row_index", H.paired(F.col("_head"), csv_fields(F.col("_line")), null_rule).alias("cells")
-    )
-    return tabled.unionByName(from_text)
+    blocks = pages.where(~has_table).select(*refs(keys), text.alias("_text")).where("_text != ''")
+    return tabled.unionByName(csv_rows(blocks, keys, "_text", _csv_null))
+
+
+def _csv_null(cell: Column) -> Column:
+    return F.nullif(F.nullif(cell, F.lit("NULL")), F.lit(""))
+
+
+def csv_rows(bodies: DataFrame, keys: Sequence[str], text: str, null_rule) -> DataFrame:
+    """Rows of CSV texts with a header line, as maps."""
+    lines = bodies.select(*refs(keys), F.split(clean.trim_text(ref(text)), r"\r?\n").alias("_lines"))
+    head = csv_fields(F.try_element_at("_lines", F.lit(1)))
+    blank = F.array().cast("array<string>")
+    fields = lambda line: F.when(F.trim(line) != "", csv_fields(line)).otherwise(blank)
+    return H.paired_rows(lines, keys, head, H.tail(F.col("_lines")), fields, null_rule)
 
 
 def csv_fields(line: Column) -> Column:
@@ -266,4 +239,3 @@ def csv_fields(line: Column) -> Column:
     fields = F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
     bare = F.transform(fields, lambda f: F.regexp_replace(F.trim(f), r'^"|"$', ""))
     return F.transform(bare, lambda f: F.replace(f, F.lit('""'), F.lit('"')))
-

@@ -19,7 +19,8 @@ from dugout.operators.names import ref, refs, types_of
 
 TABLES = (
     "table_index int, table_id string, origin string, container string, caption string, "
-    "rows array<struct<part:string,css:string,cells:array<struct<kind:string,text:string,span:int>>,links:array<string>>>"
+    "rows array<struct<part:string,css:string,texts:array<string>,heads:array<string>,datas:array<string>,"
+    "spans:array<int>,links:array<string>>>"
 )
 LINK_PATTERN = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
 
@@ -107,7 +108,20 @@ def _read(html: str) -> list[dict]:
     reader = _TableReader()
     reader.feed(html)
     reader.close()
-    return reader.done + reader.commented
+    return [table | {"rows": [_row(row) for row in table["rows"]]} for table in reader.done + reader.commented]
+
+
+def _row(row: dict) -> dict:
+    cells = [(cell["kind"], cell["text"].strip(), cell["span"]) for cell in row["cells"]]
+    return {
+        "part": row["part"],
+        "css": row["css"],
+        "texts": [text for _, text, _ in cells],
+        "heads": [text for kind, text, _ in cells if kind == "th"],
+        "datas": [text for kind, text, _ in cells if kind == "td"],
+        "spans": [span for _, _, span in cells],
+        "links": row["links"],
+    }
 
 
 def page_tables(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
@@ -139,43 +153,41 @@ def page_links(pages: DataFrame, keys: Sequence[str], html: str = "html") -> Dat
     return rows.select(*refs(keys), "position", "_hit.href", clean.strip_tags(F.col("_hit.text")).alias("text"))
 
 
-def cell_texts(cells: Column) -> Column:
-    return F.transform(cells, lambda c: clean.trim_text(c["text"]))
-
-
-def of_kind(cells: Column, kind: str) -> Column:
-    return F.filter(cells, lambda c: c["kind"] == kind)
-
-
 def in_part(rows: Column, part: str) -> Column:
     return F.filter(rows, lambda r: r["part"] == part)
 
 
 def last_header(rows: Column) -> Column:
-    """Cells of the last ``thead`` row, or of the first row without a ``thead``."""
-    head = F.try_element_at(in_part(rows, "thead"), F.lit(-1))["cells"]
-    return F.coalesce(head, F.try_element_at(rows, F.lit(1))["cells"])
+    """The last ``thead`` row, or the first row without a ``thead``."""
+    return F.coalesce(F.try_element_at(in_part(rows, "thead"), F.lit(-1)), F.try_element_at(rows, F.lit(1)))
+
+
+def tail(values: Column, skip: int | Column = 1) -> Column:
+    """All but the first elements."""
+    return F.slice(values, F.lit(skip) + 1, F.greatest(F.size(values) - skip, F.lit(0)))
 
 
 def body_rows(rows: Column) -> Column:
     """Rows of ``tbody``, or all but the first row without one."""
     body = in_part(rows, "tbody")
-    return F.when(F.size(body) > 0, body).otherwise(F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0))))
-
-
-def paired(headers: Column, values: Column, null_rule=None) -> Column:
-    """Map of header to cell, cut to the shorter; unnamed headers are skipped, the last of a name wins."""
-    n = F.least(F.size(headers), F.size(values))
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
-        lambda i: F.struct(
-            F.get(headers, i).alias("key"),
-            (null_rule(F.get(values, i)) if null_rule else F.get(values, i)).alias("value"),
-            i.alias("position"),
-        ),
-    )
-    named = F.filter(pairs, lambda p: p["key"].isNotNull() & (p["key"] != "") & (p["position"] < n))
-    later = F.filter(
-        named, lambda p: ~F.exists(named, lambda q: (q["key"] == p["key"]) & (q["position"] > p["position"]))
+    return F.when(F.size(body) > 0, body).otherwise(tail(rows))
+
+
+def paired_rows(tables: DataFrame, keys: Sequence[str], head: Column, rows: Column, values, null_rule) -> DataFrame:
+    """One row per table row with a ``cells`` map of header to value.
+
+    Which cells are wanted is settled once per table: unnamed headers are
+    skipped, and the last of equal names wins. ``values`` takes the cell texts
+    out of a row struct; cells past the end of a short row are null.
+    """
+    shaped = tables.select(*refs(keys), head.alias("_head"), rows.alias("_rows"))
+    positions = F.filter(
+        F.transform("_head", lambda h, i: F.struct(h.alias("name"), i.alias("at"))),
+        lambda p: (p["name"] != "") & (F.array_position(tail(F.col("_head"), p["at"] + 1), p["name"]) == 0),
     )
-    return F.map_from_entries(F.transform(later, lambda p: F.struct(p["key"], p["value"])))
+    placed = shaped.where(F.size("_head") > 0).select(*refs(keys), positions.alias("_wanted"), "_rows")
+    named = placed.select(*refs(keys), F.col("_wanted.name").alias("_names"), F.col("_wanted.at").alias("_at"), "_rows")
+    exploded = named.select(*refs(keys), "_names", "_at", F.posexplode("_rows").alias("row_index", "_row"))
+    texts = exploded.withColumn("_texts", values(F.col("_row"))).where(F.size("_texts") > 0)
+    cells = F.map_from_arrays("_names", F.transform("_at", lambda i: null_rule(F.get("_texts", i))))
+    return texts.select(*refs(keys), "row_index", cells.alias("cells"))

@@ -9,10 +9,7 @@ S, L, D, B = "string", "bigint", "double", "boolean"
 
 def struct(columns: dict[str, str]) -> T.StructType:
     """A StructType of a name-to-type table."""
-    schema = T.StructType()
-    for name, kind in columns.items():
-        schema = schema.add(name, kind)
-    return schema
+    return T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in columns.items()))
 
 
 # The canonical pitch columns.

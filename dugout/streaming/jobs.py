@@ -6,7 +6,7 @@ batch: a batch that runs twice after a lost executor replaces what it wrote.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,29 +14,34 @@ from pyspark.sql.streaming import StreamingQuery
 
 from dugout.operators.names import ref
 from dugout.operators.ranks import latest
-from dugout.plans.feeds import linescore, live_feed
+from dugout.plans.feeds import LINESCORE, LIVE_FEED
+from dugout.plans.flatten import Plan, flatten
 from dugout.session import scratch_path
 from dugout.sources import schemas
 from dugout.sources.payloads import LANDING
 from dugout.sources.pitches import write_seasons
 
 PITCH_KEY = ("gamePk", "atBatIndex", "pitchIndex")
+INNING_KEY = ("gamePk", "inning")
+SEEN_AT = "seen_at"
+PART = "part"
 
 
-def landed_stream(spark: SparkSession, path: str, types: dict[str, str] | None = None, fmt: str = "parquet") -> DataFrame:
-    """Files as they land, with a declared schema."""
-    return spark.readStream.schema(schemas.struct(types or LANDING)).format(fmt).load(path)
+def landed_stream(
+    spark: SparkSession, path: str, types: dict[str, str] | None = None, names: str | None = None
+) -> DataFrame:
+    """Parquet files as they land, with a declared schema; ``names`` is a file glob."""
+    reader = spark.readStream.schema(schemas.struct(types or LANDING))
+    reader = reader if names is None else reader.option("pathGlobFilter", names)
+    return reader.parquet(path)
 
 
-def _start(writer, checkpoint: str) -> StreamingQuery:
+def append(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Append what has landed since the last run, then stop."""
+    writer = stream.writeStream.format("parquet").option("path", target).outputMode("append")
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def ingest(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Append what has landed since the last run."""
-    return _start(stream.writeStream.format("parquet").option("path", target).outputMode("append"), checkpoint)
-
-
 def once_each(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """The first row per key; repeats within the delay are dropped, state expires after it.
 
@@ -46,26 +51,19 @@ def once_each(stream: DataFrame, keys: Sequence[str], event_time: str, delay: st
     return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def live_pitches(payloads: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Each pitch of re-polled games once, with the time it was first seen.
+def _timed(plan: Plan) -> Plan:
+    """The plan with the poll time of the payload beside every row."""
+    return Plan(plan.steps, {**plan.columns, SEEN_AT: ("timestamp", "@fetched_at")}, plan.required, plan.defaults)
 
-    The poll time travels beside the flattened row as a request parameter.
-    """
-    rows = live_feed(payloads.select("body", "params"))
-    return rows if not payloads.isStreaming else _timed_pitches(payloads, delay)
 
-
-def _timed_pitches(payloads: DataFrame, delay: str) -> DataFrame:
-    from dugout.plans.feeds import LIVE_FEED
-    from dugout.plans.flatten import Plan, flatten
-
-    timed = Plan(LIVE_FEED.steps, {**LIVE_FEED.columns, "seen_at": ("timestamp", "@fetched_at")})
-    rows = flatten(payloads, timed).where("isPitch").drop("isPitch")
-    return once_each(rows, PITCH_KEY, "seen_at", delay)
+def live_pitches(payloads: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Each pitch of re-polled games once, with the time it was first seen."""
+    rows = flatten(payloads, _timed(LIVE_FEED)).where("isPitch").drop("isPitch")
+    return once_each(rows, PITCH_KEY, SEEN_AT, delay)
 
 
-def write_once_each(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    return _start(stream.writeStream.format("parquet").option("path", target).outputMode("append"), checkpoint)
+def timed_linescores(payloads: DataFrame) -> DataFrame:
+    return flatten(payloads, _timed(LINESCORE))
 
 
 def upsert_latest(
@@ -74,11 +72,10 @@ def upsert_latest(
     checkpoint: str,
     keys: Sequence[str],
     order: str,
-    part: str,
-    parts: int = 16,
+    parts: int = 64,
     shape: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Keep the newest row per key in a table split into hash parts.
+    """Keep the newest row per key in a table split into ``parts`` by key hash.
 
     A batch reads only the parts its keys fall in, merges, and replaces exactly
     those parts. The merged rows are written to the shared folder first, because
@@ -87,52 +84,50 @@ def upsert_latest(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = (shape(batch) if shape else batch).withColumn(part, F.pmod(F.xxhash64(*[ref(k) for k in keys]), F.lit(parts)))
-        newest = latest(rows, keys, [ref(order).desc()])
-        old = _stored(spark, target, newest)
-        if old is not None:
-            touched = newest.select(part).distinct()
-            newest = latest(
-                newest.unionByName(old.join(touched, part, "left_semi")), keys, [ref(order).desc()]
-            )
+        rows = shape(batch) if shape else batch
+        hashed = rows.withColumn(PART, F.pmod(F.xxhash64(*[ref(k) for k in keys]), F.lit(parts)).cast("int"))
+        newest = latest(hashed, keys, [ref(order).desc()])
+        if _exists(spark, target):
+            stored = spark.read.schema(newest.schema).parquet(target)
+            touched = newest.select(PART).distinct()
+            kept = stored.join(touched, PART, "left_semi").select(*newest.columns)
+            newest = latest(newest.unionByName(kept), keys, [ref(order).desc()])
         staged = scratch_path(spark, "merge")
         newest.write.parquet(staged)
-        (
-            spark.read.schema(newest.schema).parquet(staged)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(part)
-            .parquet(target)
-        )
+        merged = spark.read.schema(newest.schema).parquet(staged)
+        writer = merged.hint("rebalance", PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(PART).parquet(target)
 
-    return _start(stream.writeStream.foreachBatch(merge), checkpoint)
+    writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
 
 
-def _stored(spark: SparkSession, target: str, like: DataFrame) -> DataFrame | None:
+def _exists(spark: SparkSession, target: str) -> bool:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return spark.read.schema(like.schema).parquet(target) if fs.exists(path) else None
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
 def current_linescores(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Newest poll of every inning of every game."""
-
-    def shape(batch: DataFrame) -> DataFrame:
-        from dugout.plans.feeds import LINESCORE
-        from dugout.plans.flatten import Plan, flatten
-
-        timed = Plan(LINESCORE.steps, {**LINESCORE.columns, "seen_at": ("timestamp", "@fetched_at")})
-        return flatten(batch, timed)
-
-    return upsert_latest(stream, target, checkpoint, ["gamePk", "inning"], "seen_at", "part", shape=shape)
+    return upsert_latest(stream, target, checkpoint, INNING_KEY, SEEN_AT, shape=timed_linescores)
 
 
 def refresh_seasons(
-    stream: DataFrame, root: str, checkpoint: str, seasons: Sequence[int], whole: Callable[[DataFrame], DataFrame], **options
+    stream: DataFrame, root: str, checkpoint: str, seasons: Iterable[int], whole: Callable[[], DataFrame], **options
 ) -> StreamingQuery:
-    """Rewrite the seasons a batch touches from ``whole``, the table it belongs to."""
+    """Rewrite the given seasons from the landed table whenever a batch touches one.
 
-    def rewrite(batch: DataFrame, batch_id: int) -> None:
-        write_seasons(whole(batch), root, seasons, force=True, **options)
+    ``whole`` reads the landed table, so a refreshed season is always complete.
+    Which seasons a batch touches is found from their short list alone.
+    """
+    wanted, day = list(seasons), options.get("day", "game_date")
 
-    return _start(stream.writeStream.foreachBatch(rewrite), checkpoint)
+    def rewrite(batch: DataFrame, batch_id: int) -> None:
+        year = F.year(ref(day).try_cast("date"))
+        flags = batch.agg(*[F.max(year == s).alias(str(s)) for s in wanted]).first()
+        touched = [s for s, hit in zip(wanted, flags, strict=True) if hit]
+        if touched:
+            write_seasons(whole(), root, touched, force=True, **options)
+
+    writer = stream.writeStream.foreachBatch(rewrite).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
