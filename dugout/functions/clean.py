@@ -22,7 +22,7 @@ NUMERIC_NULL_WORDS = ("", "nan", "na", "n/a", "null", "none")
 GAMES_BACK_NULLS = ("--", "-", "Tied")
 GENERIC_EVENT_WORDS = ("hit", "out", "play")
 TAG_PATTERN = "<[^>]+>"
-EDGE_SPACE_PATTERN = r"^\s+|\s+$"
+WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 MISSING_ID = -1
 SPRAY_ORIGIN_X = 125.42
 SPRAY_ORIGIN_Y = 198.27
@@ -32,8 +32,8 @@ KILOBITS_PER_MEGABIT = 1000
 
 
 def trim_text(col: Column) -> Column:
-    """Strip spaces, tabs and line breaks from both ends."""
-    return F.regexp_replace(col, EDGE_SPACE_PATTERN, "")
+    """Strip white space of any kind from both ends."""
+    return F.btrim(col, F.lit(WHITESPACE))
 
 
 def null_tokens(col: Column) -> Column:

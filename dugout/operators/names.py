@@ -14,5 +14,16 @@ def refs(names) -> list[Column]:
     return [ref(name) for name in names]
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns in a way that computes them once per row.
+
+    A later filter on a plain derived column is moved below it, where the column
+    would be computed again for every mention. Nothing moves below a generator,
+    so the columns come out of one that yields a single row.
+    """
+    made = F.struct(*[expression.alias(name) for name, expression in columns.items()])
+    return df.select("*", F.inline(F.array(made)))
+
+
 def types_of(df: DataFrame) -> dict[str, str]:
     return {field.name: field.dataType.simpleString() for field in df.schema.fields}

@@ -72,38 +72,38 @@ def feed_schedule(spark, folder):
 
 _BOX_KINDS = {**kinds(feeds.BOXSCORE, "battingOrderText"), **feeds.BOX_STATS, "isInBattingOrder": "boolean", "battingOrder": "bigint"}
 _BOX_AWAY = {
-    "gamePk": "l_orderkey", "teamId": "l_suppkey", "personId": "l_partkey", "fullName": "'A' || l_partkey",
-    "positionCode": "l_linenumber", "batting_hits": "l_quantity", "pitching_inningsPitched": "'5.2'",
-    "isInBattingOrder": "l_linenumber != 3", "battingOrder": "case when l_linenumber != 3 then l_linenumber * 100 end",
+    "gamePk": "o_orderkey", "teamId": "o_custkey % 30", "personId": "o_custkey", "fullName": "'A' || o_custkey",
+    "positionCode": "(o_orderkey % 7)", "batting_hits": "o_orderkey % 50", "pitching_inningsPitched": "'5.2'",
+    "isInBattingOrder": "o_orderkey % 7 != 3", "battingOrder": "case when o_orderkey % 7 != 3 then (o_orderkey % 7) * 100 end",
 }
 _BOX_HOME = {
-    "gamePk": "l_orderkey", "personId": "l_suppkey", "fullName": "'H'", "isInBattingOrder": "false", "fielding_errors": "1",
+    "gamePk": "o_orderkey", "personId": "o_custkey % 30", "fullName": "'H'", "isInBattingOrder": "false", "fielding_errors": "1",
 }
 
 
 def _boxscores(spark, folder):
-    line, part = F.col("l_linenumber"), F.col("l_partkey")
+    line, part = (F.col("o_orderkey") % 7), F.col("o_custkey")
     away = obj(
         person=obj(id=part, fullName=F.concat(F.lit("A"), part.cast("string"))),
         position=obj(code=line.cast("string")),
         battingOrder=F.when(line != 3, (line * 100).cast("string")).otherwise(""),
         stats=obj(
-            batting=obj(hits=F.col("l_quantity").cast("bigint"), nested=obj(x=1)),
+            batting=obj(hits=(F.col("o_orderkey") % 50).cast("bigint"), nested=obj(x=1)),
             pitching=obj(inningsPitched="5.2"),
         ),
     )
-    home = obj(person=obj(id=F.col("l_suppkey"), fullName="H"), stats=obj(fielding=obj(errors=1)))
+    home = obj(person=obj(id=(F.col("o_custkey") % 30), fullName="H"), stats=obj(fielding=obj(errors=1)))
     box = obj(
         teams=obj(
-            away=obj(team=obj(id=F.col("l_suppkey")), players=F.create_map(F.concat(F.lit("ID"), part.cast("string")), away)),
+            away=obj(team=obj(id=(F.col("o_custkey") % 30)), players=F.create_map(F.concat(F.lit("ID"), part.cast("string")), away)),
             home=obj(players=F.create_map(F.lit("ID1"), home)),
             neutral=obj(players=F.create_map(F.lit("ID1"), home)),
         )
     )
-    return payloads(table(spark, folder, "lineitem"), box, {"gamePk": F.col("l_orderkey")})
+    return payloads(table(spark, folder, "orders"), box, {"gamePk": F.col("o_orderkey")})
 
 
-@query(f"select {project(_BOX_KINDS, _BOX_AWAY)} from lineitem union all select {project(_BOX_KINDS, _BOX_HOME)} from lineitem")
+@query(f"select {project(_BOX_KINDS, _BOX_AWAY)} from orders union all select {project(_BOX_KINDS, _BOX_HOME)} from orders")
 def feed_boxscore_stats(spark, folder):
     return feeds.boxscore_stats(_boxscores(spark, folder))
 
@@ -111,15 +111,15 @@ def feed_boxscore_stats(spark, folder):
 _BOX_FEW = {k: v for k, v in _BOX_KINDS.items() if k not in feeds.BOX_STATS}
 
 
-@query(f"select {project(_BOX_FEW, _BOX_AWAY)} from lineitem union all select {project(_BOX_FEW, _BOX_HOME)} from lineitem")
+@query(f"select {project(_BOX_FEW, _BOX_AWAY)} from orders union all select {project(_BOX_FEW, _BOX_HOME)} from orders")
 def feed_boxscore(spark, folder):
     return feeds.boxscore(_boxscores(spark, folder))
 
 
 @query("""
-select l_orderkey::bigint as "gamePk", l_partkey as "personId", 'batting' as stat_group, 'hits' as stat_key, l_quantity::bigint::varchar as stat_value from lineitem
-union all select l_orderkey, l_partkey, 'pitching', 'inningsPitched', '5.2' from lineitem
-union all select l_orderkey, l_suppkey, 'fielding', 'errors', '1' from lineitem""")
+select o_orderkey::bigint as "gamePk", o_custkey as "personId", 'batting' as stat_group, 'hits' as stat_key, (o_orderkey % 50)::bigint::varchar as stat_value from orders
+union all select o_orderkey, o_custkey, 'pitching', 'inningsPitched', '5.2' from orders
+union all select o_orderkey, o_custkey % 30, 'fielding', 'errors', '1' from orders""")
 def feed_boxscore_long(spark, folder):
     return feeds.boxscore_long(_boxscores(spark, folder)).select("gamePk", "personId", "stat_group", "stat_key", "stat_value")
 
@@ -322,7 +322,7 @@ def feed_pitch_arsenal(spark, folder):
 @query("""
 select l_partkey as "personId", 'pitchTypeName is missing' as problem from lineitem where l_linenumber % 5 = 0""")
 def feed_rejects(spark, folder):
-    bad = flatten.rejected(flatten.flag(_arsenals(spark, folder), feeds.PITCH_ARSENAL))
+    bad = flatten.rejected(_arsenals(spark, folder), feeds.PITCH_ARSENAL)
     return bad.select("personId", F.explode(flatten.PROBLEMS).alias("problem"))
 
 

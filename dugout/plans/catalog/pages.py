@@ -27,35 +27,35 @@ def html_rows(spark, folder):
 
 
 def _stat_pages(spark, folder):
-    key = F.col("l_orderkey")
+    key = F.col("p_partkey")
     page = html(
         "<html><body><div class='x'><table class=\"stats_table\"><thead><tr><th colspan=2>Top</th></tr>",
         "<tr><th>#</th><th>Name</th><th>G</th><th></th><th>Tm &amp; Co</th></tr></thead><tbody>",
-        "<tr><th>1</th><td><a href=\"/p/?mlb_ID=", F.col("l_partkey"), "\">P ", F.col("l_partkey"), "</a></td><td>",
-        F.format_number(F.col("l_suppkey") * 1000, 0), "</td><td>skip</td><td>---</td></tr>",
-        "<tr><td>2<td>No link<td>", F.col("l_linenumber"), "<td>skip<td>a<b>b</b>&eacute;",
+        "<tr><th>1</th><td><a href=\"/p/?mlb_ID=", key, "\">P ", key, "</a></td><td>",
+        F.format_number(F.col("p_size") * 1000, 0), "</td><td>skip</td><td>---</td></tr>",
+        "<tr><td>2<td>No link<td>", F.col("p_size"), "<td>skip<td>a<b>b</b>&eacute;",
         "</tbody></table></div><table><tr><th>other</th></tr></table></body></html>",
     )
-    return table(spark, folder, "lineitem").select(key, "l_linenumber", F.col("l_partkey"), page.alias("html"))
+    return table(spark, folder, "part").select(key, page.alias("html"))
 
 
 @query("""
-select l_orderkey, l_linenumber, 'P ' || l_partkey as "Name", l_suppkey * 1000 as "G", null::varchar as tm, l_partkey::varchar as "mlbID" from lineitem
-union all select l_orderkey, l_linenumber, 'No link', l_linenumber, 'abé', null from lineitem""")
+select p_partkey, 'P ' || p_partkey as "Name", (p_size * 1000)::bigint as "G", null::varchar as tm, p_partkey::varchar as "mlbID" from part
+union all select p_partkey, 'No link', p_size, 'abé', null from part""")
 def html_stat_table(spark, folder):
-    rows = tables.stat_tables(_stat_pages(spark, folder), ["l_orderkey", "l_linenumber"])
-    typed = tables.typed_stats(rows, ["Name", "G", "Tm & Co", "mlbID"], ["l_orderkey", "l_linenumber"])
+    rows = tables.stat_tables(_stat_pages(spark, folder), ["p_partkey"])
+    typed = tables.typed_stats(rows, ["Name", "G", "Tm & Co", "mlbID"], ["p_partkey"])
     return typed.withColumnRenamed("Tm & Co", "tm")
 
 
 def _log_page() -> Column:
-    key = F.col("o_orderkey")
+    key = F.col("c_custkey")
     row = lambda *cells: html("<tr>", *[p for c in cells for p in ("<td>", c, "</td>")], "</tr>")
     return html(
         '<table id="players_standard_pitching"><tr><th>no</th></tr></table>',
         '<table id="players_standard_batting"><thead><tr><th colspan="3"></th><th colspan="2">Basic</th></tr>',
         "<tr><th>Rk</th><th>Gtm</th><th>Unnamed: 3_level_1</th><th>AB</th><th>OPS</th></tr></thead><tbody>",
-        row("1", key, F.when(key % 2 == 0, "@").otherwise(""), F.col("o_custkey"), "0.5"),
+        row("1", key, F.when(key % 2 == 0, "@").otherwise(""), F.col("c_nationkey"), "0.5"),
         '<tr class="thead"><th>Rk</th><th>Gtm</th></tr>',
         row("2", "Gtm", "", "AB", "OPS"),
         row("3", key + 1, "", "---"),
@@ -65,12 +65,12 @@ def _log_page() -> Column:
 
 
 @query("""
-select o_orderkey, o_orderkey as "Game", o_orderkey % 2 != 0 as "Home", o_custkey as "Basic_AB", 0.5::double as "Basic_OPS" from orders
-union all select o_orderkey, o_orderkey + 1, true, null, null from orders""")
+select c_custkey, c_custkey as "Game", c_custkey % 2 != 0 as "Home", c_nationkey::bigint as "Basic_AB", 0.5::double as "Basic_OPS" from customer
+union all select c_custkey, c_custkey + 1, true, null, null from customer""")
 def html_game_log(spark, folder):
-    pages = table(spark, folder, "orders").select("o_orderkey", _log_page().alias("html"))
-    rows = tables.game_logs(pages, ["o_orderkey"])
-    return tables.typed_game_logs(rows, ["Game", "Home", "Basic_AB", "Basic_OPS"], ["o_orderkey"])
+    pages = table(spark, folder, "customer").select("c_custkey", _log_page().alias("html"))
+    rows = tables.game_logs(pages, ["c_custkey"])
+    return tables.typed_game_logs(rows, ["Game", "Home", "Basic_AB", "Basic_OPS"], ["c_custkey"])
 
 
 @query("""

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dugout.functions import clean
+from dugout.operators.names import once
 from dugout.operators.ranks import best_item
 from dugout.plans.flatten import LIST, is_object, parsed
 from dugout.sources import schemas
@@ -106,7 +107,7 @@ def _shown(f: Column) -> Column:
 def _items(payloads: DataFrame, body: str) -> DataFrame:
     """Item texts; a search result decides alone, other places follow in order."""
     leaves = {**ITEM_PLACES, "data.search.total": "string"}
-    read = payloads.select(parsed(F.col(body), leaves).alias("doc"))
+    read = once(payloads.select(body), doc=parsed(F.col(body), leaves))
     search = F.col("doc.data.search")
     others = F.coalesce("doc.data.mediaPlayback", "doc.plays", "doc.highlights", "doc.items")
     chosen = F.when(search.isNotNull(), search["plays"]).otherwise(others)
@@ -116,9 +117,9 @@ def _items(payloads: DataFrame, body: str) -> DataFrame:
 def clips(payloads: DataFrame, body: str = "body") -> DataFrame:
     """One row per clip of any number of search payloads."""
     leaves = {**dict.fromkeys(ITEM_TEXTS, "string"), "mediaPlayback": "string", "fields": LIST}
-    items = _items(payloads, body).select(parsed(F.col("item"), leaves).alias("item"))
+    items = once(_items(payloads, body).withColumnRenamed("item", "_text"), item=parsed(F.col("_text"), leaves))
     first_media = F.try_element_at(F.from_json(F.col("item.mediaPlayback"), LIST), F.lit(1))
-    both = items.withColumn("mp", parsed(first_media, dict.fromkeys(MEDIA_TEXTS, "string")))
+    both = once(items, mp=parsed(first_media, dict.fromkeys(MEDIA_TEXTS, "string")))
 
     def first(*places: str) -> Column:
         return F.coalesce(*[F.nullif(F.col(p), F.lit("")) for p in places])
@@ -144,20 +145,19 @@ def clips(payloads: DataFrame, body: str = "body") -> DataFrame:
             playback_texts("item.playbacks"), playback_texts("mp.playbacks"), F.array().cast(LIST)
         ).alias("raw_playbacks"),
     )
-    cleaned = read.withColumn(
-        "fields",
-        F.transform(
-            "raw_fields",
-            lambda f: F.struct(
-                F.lower(F.coalesce(f["name"], F.lit(""))).alias("name"),
-                F.coalesce(f["value"], F.lit("")).alias("value"),
-                F.coalesce(f["displayValue"], F.lit("")).alias("shown"),
-            ),
+    named = F.transform(
+        "raw_fields",
+        lambda f: F.struct(
+            F.lower(F.coalesce(f["name"], F.lit(""))).alias("name"),
+            F.coalesce(f["value"], F.lit("")).alias("value"),
+            F.coalesce(f["displayValue"], F.lit("")).alias("shown"),
         ),
-    ).withColumn("playbacks", playback_list(F.col("raw_playbacks")))
+    )
+    cleaned = once(read, fields=named, playbacks=playback_list(F.col("raw_playbacks")))
     shown_names = _values(PLAYER_ID_FIELDS, lambda f: F.nullif(_first_part(f["shown"]), F.lit("")))
     number = lambda names, kind: _last(_values(names, lambda f: f["value"].try_cast("double").try_cast(kind)))
-    found = cleaned.select(
+    listed = once(cleaned, listed=best_mp4(F.col("playbacks")), hls_url=first_hls(F.col("playbacks")))
+    found = listed.select(
         "content_id",
         "date",
         "title",
@@ -177,8 +177,8 @@ def clips(payloads: DataFrame, body: str = "body") -> DataFrame:
         ).alias("event_type"),
         number(SPEED_FIELDS, "double").alias("exit_velocity"),
         number(DISTANCE_FIELDS, "bigint").alias("hit_distance"),
-        best_mp4(F.col("playbacks")).alias("listed"),
-        first_hls(F.col("playbacks")).alias("hls_url"),
+        "listed",
+        "hls_url",
         "playbacks",
         F.when(F.col("media").isNotNull() & F.col("date").isNotNull(), clip_url(F.col("media"), F.col("date"))).alias("built"),
     )

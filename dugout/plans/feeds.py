@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dugout.functions import clean
-from dugout.operators.names import ref, refs
+from dugout.operators.names import once, ref, refs
 from dugout.operators.ranks import best_item
 from dugout.plans.flatten import (
     LIST,
@@ -18,15 +18,12 @@ from dugout.plans.flatten import (
     ROOT,
     Plan,
     Step,
-    accepted,
     field_at,
-    flag,
     flatten,
     is_object,
     long_form,
     objects,
     parsed,
-    strict,
     walk,
     wide_form,
 )
@@ -475,8 +472,8 @@ def stat_leaders(payloads: DataFrame, fail: bool = False) -> DataFrame:
 
 def pitch_arsenal(payloads: DataFrame, fail: bool = False) -> DataFrame:
     """Pitches of a player's arsenal; splits of another kind are left out first."""
-    rows = flag(payloads, PITCH_ARSENAL).where(F.col("statType") == ARSENAL_STAT_TYPE).drop("statType")
-    return strict(rows) if fail else accepted(rows)
+    wanted = F.col("statType") == ARSENAL_STAT_TYPE
+    return flatten(payloads, PITCH_ARSENAL, fail=fail, only=wanted).drop("statType")
 
 
 def draft(payloads: DataFrame, fail: bool = False) -> DataFrame:
@@ -544,12 +541,12 @@ def exit_velocity(payloads: DataFrame) -> DataFrame:
     """Batted balls of any number of games."""
     parks = "contextMetrics.homeRunBallparks"
     leaves = dict.fromkeys((*EXIT_VELOCITY_TEXT, *EXIT_VELOCITY_NUMBERS, parks), "string")
-    rows = gamefeed_rows(payloads, "exit_velocity").withColumn("item", parsed(F.col("item"), leaves))
+    rows = once(gamefeed_rows(payloads, "exit_velocity"), parsed_item=parsed(F.col("item"), leaves))
     return rows.select(
         _request("gamePk", rows).alias("game_pk"),
-        *[clean.trim_text(field_at("item", c)).alias(c) for c in EXIT_VELOCITY_TEXT],
-        *[clean.lenient_double(field_at("item", c)).alias(c) for c in EXIT_VELOCITY_NUMBERS],
-        clean.lenient_int(field_at("item", parks)).alias("home_run_ballparks"),
+        *[clean.trim_text(field_at("parsed_item", c)).alias(c) for c in EXIT_VELOCITY_TEXT],
+        *[clean.lenient_double(field_at("parsed_item", c)).alias(c) for c in EXIT_VELOCITY_NUMBERS],
+        clean.lenient_int(field_at("parsed_item", parks)).alias("home_run_ballparks"),
     )
 
 
@@ -564,8 +561,8 @@ def pitch_data(payloads: DataFrame) -> DataFrame:
     """Pitches of both sides; the pitcher is the map key, a flat ID or a nested one."""
     sides = [gamefeed_rows(payloads, node) for node in ("home_pitchers", "away_pitchers")]
     names = (*PITCH_DATA_TEXT, "start_speed", "spin_rate", BREAK_X_KEY, *BREAK_Z_KEYS, *PITCHER_KEYS, "player")
-    rows = sides[0].unionByName(sides[1]).withColumn("item", parsed(F.col("item"), dict.fromkeys(names, "string")))
-    at = lambda name: field_at("item", name)
+    rows = once(sides[0].unionByName(sides[1]), parsed_item=parsed(F.col("item"), dict.fromkeys(names, "string")))
+    at = lambda name: field_at("parsed_item", name)
     pitcher = clean.first_present(
         clean.lenient_int(F.col("item_key")),
         *[clean.lenient_int(at(key)) for key in PITCHER_KEYS],
@@ -599,12 +596,11 @@ def highlights(payloads: DataFrame) -> DataFrame:
     words = F.transform(
         F.filter(at("keywordsAll"), is_object), lambda k: parsed(k, {"type": "string", "value": "string"})
     )
-    read = rows.select(
-        _request("gamePk", rows).alias("gamePk"),
-        *[at(c).alias(c) for c in texts],
-        urls.alias("urls"),
-        F.coalesce(words, F.array().cast("array<struct<type:string,value:string>>")).alias("words"),
+    fixed = rows.select(
+        _request("gamePk", rows).alias("gamePk"), *[at(c).alias(c) for c in texts], urls.alias("_urls"), words.alias("_words")
     )
+    none = F.array().cast("array<struct<type:string,value:string>>")
+    read = once(fixed, urls=F.col("_urls"), words=F.coalesce("_words", none))
     filled = lambda name: F.nullif(F.col(name), F.lit(""))
     found = read.select(
         "gamePk",
@@ -615,8 +611,9 @@ def highlights(payloads: DataFrame) -> DataFrame:
         "blurb",
         "duration",
         "date",
-        best_item(F.col("urls"), clean.url_bitrate).alias("url"),
+        "urls",
     )
+    found = once(found, url=best_item(F.col("urls"), clean.url_bitrate)).drop("urls")
     return found.where(F.col("url") != "").withColumn("best_mp4_url", F.col("url"))
 
 
@@ -626,7 +623,7 @@ def list_or_map(payloads: DataFrame, node: str, columns: dict[str, tuple[str, st
     keep = refs(c for c in payloads.columns if c != body)
     leaves = {path: "string" for _, path in columns.values()}
     items = rows.select(*keep, F.explode(objects(ref(f"{ROOT}:{node}"))).alias("_text"))
-    read = items.select(*keep, parsed(F.col("_text"), leaves).alias("_item"))
+    read = once(items, _item=parsed(F.col("_text"), leaves))
     return read.select(
         *keep, *[field_at("_item", path).try_cast(kind).alias(name) for name, (kind, path) in columns.items()]
     )

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dugout.errors import InvalidParameter
-from dugout.operators.names import ref, refs
+from dugout.operators.filters import any_of
+from dugout.operators.names import once, ref, refs
 
 PROBLEMS = "_problems"
 ROOT = "payload"
@@ -120,10 +121,11 @@ def walk(
         carried = [c for c in rows.columns if c != "_text"]
         whole = leaves.pop(WHOLE, None)
         if leaves:
-            rows = rows.withColumn("_doc", parsed(F.col("_text"), leaves))
+            rows = once(rows, _doc=parsed(F.col("_text"), leaves))
         values = [field_at("_doc", path).alias(f"{level}:{path}") for path in leaves]
         if whole:
-            values.append(F.from_json("_text", whole).alias(f"{level}:{WHOLE}"))
+            rows = once(rows, _whole=F.from_json("_text", whole))
+            values.append(F.col("_whole").alias(f"{level}:{WHOLE}"))
         rows = rows.select(*refs(carried), *values)
         if step is not None:
             rows = _descend(rows, step)
@@ -183,46 +185,55 @@ def _texts(plan: Plan, have: Sequence[str]) -> dict[str, Column]:
     }
 
 
-def flag(payloads: DataFrame, plan: Plan, body: str = "body") -> DataFrame:
-    """Typed rows plus the names of columns that are missing or unreadable."""
+def _read(payloads: DataFrame, plan: Plan, body: str, only: Column | None) -> DataFrame:
+    """Texts of all columns beside their typed values, each cast once."""
     rows = walk(payloads, plan.steps, places_of(plan.columns), body)
     raw = rows.select(*[text.alias(name) for name, text in _texts(plan, payloads.columns).items()])
-    typed = {name: to_type(ref(name), kind) for name, (kind, *_) in plan.columns.items()}
-    problems = []
-    for name, value in typed.items():
-        if name in plan.required:
-            problems.append(F.when(ref(name).isNull(), F.lit(f"{name} is missing")))
-        if plan.columns[name][0] != "string":
-            problems.append(F.when(ref(name).isNotNull() & value.isNull(), F.lit(f"{name} is unreadable")))
-    found = F.array_compact(F.array(*problems)) if problems else F.array().cast("array<string>")
-    return raw.select(*[value.alias(name) for name, value in typed.items()], found.alias(PROBLEMS))
+    kept = raw if only is None else raw.where(only)
+    typed = [to_type(ref(name), kind).alias(name) for name, (kind, *_) in plan.columns.items()]
+    return once(kept, _typed=F.struct(*typed))
+
+
+def _faults(plan: Plan) -> list[tuple[Column, str]]:
+    """What can be wrong with a row, as conditions and messages."""
+    missing = [(ref(name).isNull(), f"{name} is missing") for name in plan.required]
+    unreadable = [
+        (ref(name).isNotNull() & field_at("_typed", name).isNull(), f"{name} is unreadable")
+        for name, (kind, *_) in plan.columns.items()
+        if kind != "string"
+    ]
+    return missing + unreadable
 
 
-def accepted(flagged: DataFrame) -> DataFrame:
-    return flagged.where(F.size(PROBLEMS) == 0).drop(PROBLEMS)
+def _typed_columns(plan: Plan) -> list[Column]:
+    return [field_at("_typed", name).alias(name) for name in plan.columns]
 
 
-def rejected(flagged: DataFrame) -> DataFrame:
+def rejected(payloads: DataFrame, plan: Plan, body: str = "body", only: Column | None = None) -> DataFrame:
+    """Rows that lack a required value or hold an unreadable one, and why."""
+    found = F.array_compact(F.array(*[F.when(fault, F.lit(message)) for fault, message in _faults(plan)]))
+    flagged = _read(payloads, plan, body, only).select(*_typed_columns(plan), found.alias(PROBLEMS))
     return flagged.where(F.size(PROBLEMS) > 0)
 
 
-def strict(flagged: DataFrame) -> DataFrame:
-    """Rows as they are; the first row with a problem fails the job."""
-    names = [c for c in flagged.columns if c != PROBLEMS]
-    message = F.concat(F.lit("Payload row rejected: "), F.array_join(PROBLEMS, ", "))
-    checked = F.when(F.size(PROBLEMS) > 0, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    return flagged.where(checked).select(*[ref(c) for c in names])
-
-
-def flatten(payloads: DataFrame, plan: Plan, body: str = "body", fail: bool = False) -> DataFrame:
-    """Typed rows of all payloads.
+def flatten(
+    payloads: DataFrame, plan: Plan, body: str = "body", fail: bool = False, only: Column | None = None
+) -> DataFrame:
+    """Typed rows of all payloads; ``only`` selects rows by their texts.
 
     A bad row must not stop a job over millions of payloads, so by default it is
-    left out here and can be had from ``rejected(flag(...))``; ``fail`` makes it
-    fail the job instead.
+    left out here and can be had from :func:`rejected`; ``fail`` makes it fail
+    the job instead.
     """
-    flagged = flag(payloads, plan, body)
-    return strict(flagged) if fail else accepted(flagged)
+    rows, faults = _read(payloads, plan, body, only), _faults(plan)
+    if faults:
+        fine = ~any_of([fault for fault, _ in faults])
+        if fail:
+            reasons = [F.when(fault, F.lit(message)) for fault, message in faults]
+            text = F.concat(F.lit("Payload row rejected: "), F.coalesce(*reasons))
+            fine = F.when(fine, F.lit(True)).otherwise(F.raise_error(text).cast("boolean"))
+        rows = rows.where(fine)
+    return rows.select(*_typed_columns(plan))
 
 
 def long_form(payloads: DataFrame, plan: Plan, groups: dict[str, str], body: str = "body") -> DataFrame:

@@ -102,7 +102,7 @@ def _log_names(tables: DataFrame) -> DataFrame:
         return F.when(alone, sub).otherwise(F.concat(top, F.lit("_"), sub))
 
     flat = F.when(F.col("_levels") == 1, F.transform("_upper", renamed)).otherwise(F.zip_with("_upper", "_lower", joined))
-    return spread.withColumn("_head", flat)
+    return spread.withColumn("_names", flat)
 
 
 def game_logs(pages: DataFrame, keys: Sequence[str], kind: str = "batting", html: str = "html") -> DataFrame:
@@ -117,7 +117,7 @@ def game_logs(pages: DataFrame, keys: Sequence[str], kind: str = "batting", html
     real = lambda r: (F.coalesce(r["css"], F.lit("")) != "thead") & (F.size(r["texts"]) > 0)
     kept = _log_names(tables).withColumn("_kept", F.filter(chosen, real))
     without_total = F.slice("_kept", F.lit(1), F.greatest(F.size("_kept") - 1, F.lit(0)))
-    rows = H.paired_rows(kept, keys, F.col("_head"), without_total, lambda r: r["texts"], clean.null_tokens)
+    rows = H.paired_rows(kept, keys, F.col("_names"), without_total, lambda r: r["texts"], clean.null_tokens)
     game = F.try_element_at("cells", F.lit("Game"))
     repeated = F.map_contains_key("cells", "Game") & (game.isNull() | (game == "Gtm"))
     return rows.where(~repeated).withColumn("cells", F.map_filter("cells", lambda k, v: k != "Rk"))

@@ -7,112 +7,135 @@ work afterwards, on that row, so a page is never shuffled.
 
 from __future__ import annotations
 
+import html as entities
+import re
 from collections.abc import Iterator, Sequence
-from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from dugout.functions import clean
-from dugout.operators.names import ref, refs, types_of
+from dugout.operators.names import once, ref, refs
 
-TABLES = (
-    "table_index int, table_id string, origin string, container string, caption string, "
-    "rows array<struct<part:string,css:string,texts:array<string>,heads:array<string>,datas:array<string>,"
-    "spans:array<int>,links:array<string>>>"
+TABLE_FIELDS = "table_index int, table_id string, origin string, container string, caption string, rows array<{row}>"
+ROW_FIELDS = (
+    "struct<part:string,css:string,texts:array<string>,heads:array<string>,datas:array<string>,"
+    "spans:array<int>,links:array<string>>"
 )
 LINK_PATTERN = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
 
-
-class _TableReader(HTMLParser):
-    """Collects tables; missing end tags of cells and rows are implied."""
-
-    def __init__(self, origin: str = "page") -> None:
-        super().__init__(convert_charrefs=True)
-        self.origin = origin
-        self.done: list[dict] = []
-        self.open: list[dict] = []
-        self.divs: list[str] = []
-        self.commented: list[dict] = []
-
-    def handle_starttag(self, tag, attrs):
-        given = dict(attrs)
-        if tag == "div":
-            self.divs.append(given.get("class") or "")
+_TOKEN = re.compile(
+    r"<!--(?P<comment>.*?)-->|<(?P<skip>script|style)\b.*?</(?P=skip)\s*>"
+    r"|<(?P<end>/?)(?P<tag>table|thead|tbody|tfoot|tr|td|th|caption|a|div)\b(?P<rest>[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>",
+    re.DOTALL | re.IGNORECASE,
+)
+_ATTRIBUTE = re.compile(r"([\w-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+_TAG = re.compile(r"<[^>]+>")
+
+
+def _attributes(text: str) -> dict[str, str]:
+    if "=" not in text:
+        return {}
+    found = {name.lower(): a or b or c for name, a, b, c in _ATTRIBUTE.findall(text)}
+    return {name: entities.unescape(value) for name, value in found.items()}
+
+
+def _plain(text: str) -> str:
+    bare = _TAG.sub("", text) if "<" in text else text
+    return entities.unescape(bare) if "&" in bare else bare
+
+
+class _Open:
+    """A table that is being read, with the row and cell in hand."""
+
+    def __init__(self, table: dict) -> None:
+        self.table, self.part, self.row, self.cell, self.caption = table, "", None, None, False
+
+    def add(self, text: str) -> None:
+        if self.cell is not None:
+            self.cell[1] += text
+        elif self.caption:
+            self.table["caption"] = (self.table["caption"] or "") + text
+
+
+def _scan(html: str, origin: str = "page") -> list[dict]:
+    """Tables of a page, then those in its comments; missing end tags are implied."""
+    done, commented, stack, divs, last = [], [], [], [], 0
+    for token in _TOKEN.finditer(html):
+        comment, _, end, tag, rest = token.groups()
+        start = token.start()
+        if stack and start > last:
+            text = _plain(html[last:start])
+            for state in stack:
+                state.add(text)
+        last = token.end()
+        if tag is None:
+            if comment and "<table" in comment.lower():
+                commented += _scan(comment, "comment")
+            continue
+        tag = tag.lower()
+        if end:
+            _close(tag, stack, divs)
+        elif tag == "div":
+            divs.append(_attributes(rest).get("class", ""))
         elif tag == "table":
             table = {
-                "table_index": len(self.done),
-                "table_id": given.get("id"),
-                "origin": self.origin,
-                "container": self.divs[-1] if self.divs else None,
+                "table_index": len(done),
+                "table_id": _attributes(rest).get("id"),
+                "origin": origin,
+                "container": divs[-1] if divs else None,
                 "caption": None,
                 "rows": [],
             }
-            self.done.append(table)
-            self.open.append({"table": table, "part": "", "row": None, "cell": None, "caption": False})
-        elif self.open:
-            self._inside(self.open[-1], tag, given)
-
-    def _inside(self, state, tag, given):
-        if tag in ("thead", "tbody", "tfoot"):
-            state.update(part=tag, row=None, cell=None)
-        elif tag == "caption":
-            state["caption"] = True
+            done.append(table)
+            stack.append(_Open(table))
+        elif stack:
+            _open(tag, rest, stack[-1])
+    for position, table in enumerate(commented):
+        table["table_index"] = position
+    return done + commented
+
+
+def _open(tag: str, rest: str, state: _Open) -> None:
+    if tag in ("thead", "tbody", "tfoot"):
+        state.part, state.row, state.cell = tag, None, None
+    elif tag == "caption":
+        state.caption = True
+    elif tag == "tr":
+        state.row, state.cell = {"part": state.part, "css": _attributes(rest).get("class"), "cells": [], "links": []}, None
+        state.table["rows"].append(state.row)
+    elif tag in ("td", "th") and state.row is not None:
+        span = _attributes(rest).get("colspan", "1")
+        state.cell = [tag, "", int(span) if span.isdigit() else 1]
+        state.row["cells"].append(state.cell)
+    elif tag == "a" and state.row is not None:
+        href = _attributes(rest).get("href")
+        if href:
+            state.row["links"].append(href)
+
+
+def _close(tag: str, stack: list[_Open], divs: list[str]) -> None:
+    if tag == "div":
+        divs[-1:] = []
+    elif tag == "table":
+        stack[-1:] = []
+    elif stack:
+        state = stack[-1]
+        if tag in ("td", "th"):
+            state.cell = None
         elif tag == "tr":
-            row = {"part": state["part"], "css": given.get("class"), "cells": [], "links": []}
-            state["table"]["rows"].append(row)
-            state.update(row=row, cell=None)
-        elif tag in ("td", "th") and state["row"] is not None:
-            span = given.get("colspan") or "1"
-            cell = {"kind": tag, "text": "", "span": int(span) if span.isdigit() else 1}
-            state["row"]["cells"].append(cell)
-            state["cell"] = cell
-        elif tag == "a" and state["row"] is not None and given.get("href"):
-            state["row"]["links"].append(given["href"])
-
-    def handle_endtag(self, tag):
-        if tag == "div" and self.divs:
-            self.divs.pop()
-        elif tag == "table" and self.open:
-            self.open.pop()
-        elif self.open:
-            state = self.open[-1]
-            if tag in ("td", "th"):
-                state["cell"] = None
-            elif tag == "tr":
-                state.update(row=None, cell=None)
-            elif tag == "caption":
-                state["caption"] = False
-            elif tag in ("thead", "tbody", "tfoot"):
-                state["part"] = ""
-
-    def handle_data(self, data):
-        for state in self.open:
-            if state["cell"] is not None:
-                state["cell"]["text"] += data
-            elif state["caption"]:
-                state["table"]["caption"] = (state["table"]["caption"] or "") + data
-
-    def handle_comment(self, data):
-        if "<table" in data.lower():
-            inner = _TableReader("comment")
-            inner.feed(data)
-            inner.close()
-            for table in inner.done:
-                table["table_index"] = len(self.commented)
-                self.commented.append(table)
-
-
-def _read(html: str) -> list[dict]:
-    reader = _TableReader()
-    reader.feed(html)
-    reader.close()
-    return [table | {"rows": [_row(row) for row in table["rows"]]} for table in reader.done + reader.commented]
+            state.row = state.cell = None
+        elif tag == "caption":
+            state.caption = False
+        elif tag in ("thead", "tbody", "tfoot"):
+            state.part = ""
 
 
 def _row(row: dict) -> dict:
-    cells = [(cell["kind"], cell["text"].strip(), cell["span"]) for cell in row["cells"]]
+    cells = [(kind, text.strip(), span) for kind, text, span in row["cells"]]
     return {
         "part": row["part"],
         "css": row["css"],
@@ -127,20 +150,27 @@ def _row(row: dict) -> dict:
 def page_tables(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
     """One row per table of a page, also of tables inside comments."""
     with_tables = pages.where(F.contains(F.lower(ref(html)), F.lit("<table"))).select(*refs(keys), ref(html))
-    kinds = types_of(pages)
-    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", " + TABLES
+    fields = T.StructType.fromDDL(TABLE_FIELDS.format(row=ROW_FIELDS))
+    schema = T.StructType([*with_tables.schema.fields[:-1], *fields.fields])
+    arrow = to_arrow_schema(schema)
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [
-                dict(zip(keys, page[:-1], strict=True)) | table
-                for page in batch.itertuples(index=False, name=None)
-                for table in _read(page[-1])
+                key | table | {"rows": [_row(row) for row in table["rows"]]}
+                for key, page in _keyed(batch)
+                for table in _scan(page)
             ]
-            columns = [*keys, "table_index", "table_id", "origin", "container", "caption", "rows"]
-            yield pd.DataFrame(found, columns=columns)
+            yield pa.RecordBatch.from_pylist(found, schema=arrow)
+
+    return with_tables.mapInArrow(extract, schema)
+
 
-    return with_tables.mapInPandas(extract, schema)
+def _keyed(batch: pa.RecordBatch) -> Iterator[tuple[dict, str]]:
+    *names, html = batch.schema.names
+    columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+    for *key, page in zip(*columns, strict=True):
+        yield dict(zip(names, key, strict=True)), page
 
 
 def page_links(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
@@ -180,14 +210,14 @@ def paired_rows(tables: DataFrame, keys: Sequence[str], head: Column, rows: Colu
     skipped, and the last of equal names wins. ``values`` takes the cell texts
     out of a row struct; cells past the end of a short row are null.
     """
-    shaped = tables.select(*refs(keys), head.alias("_head"), rows.alias("_rows"))
+    shaped = once(tables, _head=head, _rows=rows).select(*refs(keys), "_head", "_rows")
     positions = F.filter(
         F.transform("_head", lambda h, i: F.struct(h.alias("name"), i.alias("at"))),
         lambda p: (p["name"] != "") & (F.array_position(tail(F.col("_head"), p["at"] + 1), p["name"]) == 0),
     )
-    placed = shaped.where(F.size("_head") > 0).select(*refs(keys), positions.alias("_wanted"), "_rows")
+    placed = once(shaped.where(F.size("_head") > 0), _wanted=positions)
     named = placed.select(*refs(keys), F.col("_wanted.name").alias("_names"), F.col("_wanted.at").alias("_at"), "_rows")
     exploded = named.select(*refs(keys), "_names", "_at", F.posexplode("_rows").alias("row_index", "_row"))
-    texts = exploded.withColumn("_texts", values(F.col("_row"))).where(F.size("_texts") > 0)
+    texts = once(exploded, _texts=values(F.col("_row"))).where(F.size("_texts") > 0)
     cells = F.map_from_arrays("_names", F.transform("_at", lambda i: null_rule(F.get("_texts", i))))
-    return texts.select(*refs(keys), "row_index", cells.alias("cells"))
+    return once(texts, cells=cells).select(*refs(keys), "row_index", "cells")
