@@ -1,3 +1,11 @@
 """Baseball analytics as PySpark DataFrame jobs."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# The few Python functions that run in tasks travel with the task, so executors
+# need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
