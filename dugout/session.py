@@ -48,6 +48,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+class Folder:
+    """A folder on whatever file system its path belongs to."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        self.system = self.path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return self.system.exists(self.path)
+
+    def subfolders(self) -> list[str]:
+        """Names of the folders directly below, from one listing."""
+        entries = self.system.listStatus(self.path) if self.exists() else []
+        return [entry.getPath().getName() for entry in entries if entry.isDirectory()]
+
+    def delete(self) -> None:
+        self.system.delete(self.path, True)
+
+
+def folder(spark: SparkSession, path: str) -> Folder:
+    return Folder(spark, path)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -13,6 +13,7 @@ from dugout.operators import seasons as cal
 from dugout.operators.align import diagonal_union
 from dugout.operators.names import ref, types_of
 from dugout.operators.typed import canonical_table
+from dugout.session import folder
 from dugout.sources import schemas
 
 YEAR = schemas.SEASON_COLUMN
@@ -28,17 +29,10 @@ def _season_list(seasons: int | Iterable[int] | None, first: int, last: int) ->
     return wanted
 
 
-def _partition_folders(spark: SparkSession, root: str) -> list:
-    """Hadoop status of the ``year=`` folders: one listing, as long as there are seasons."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    return [s for s in fs.listStatus(path) if s.isDirectory() and s.getPath().getName().startswith(f"{YEAR}=")]
-
-
 def stored_seasons(spark: SparkSession, root: str) -> list[int]:
-    names = [s.getPath().getName().split("=", 1)[1] for s in _partition_folders(spark, root)]
+    """Seasons with a partition folder; one listing, as long as there are seasons."""
+    prefix = f"{YEAR}="
+    names = [name.removeprefix(prefix) for name in folder(spark, root).subfolders() if name.startswith(prefix)]
     return sorted(int(name) for name in names if name.isdigit())
 
 

@@ -16,7 +16,7 @@ from dugout.operators.names import ref
 from dugout.operators.ranks import latest
 from dugout.plans.feeds import LINESCORE, LIVE_FEED
 from dugout.plans.flatten import Plan, flatten
-from dugout.session import scratch_path
+from dugout.session import folder, scratch_path
 from dugout.sources import schemas
 from dugout.sources.payloads import LANDING
 from dugout.sources.pitches import write_seasons
@@ -79,7 +79,7 @@ def upsert_latest(
 
     A batch reads only the parts its keys fall in, merges, and replaces exactly
     those parts. The merged rows are written to the shared folder first, because
-    a table cannot be overwritten while it is being read.
+    a table cannot be overwritten while it is being read, and removed afterwards.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -87,7 +87,7 @@ def upsert_latest(
         rows = shape(batch) if shape else batch
         hashed = rows.withColumn(PART, F.pmod(F.xxhash64(*[ref(k) for k in keys]), F.lit(parts)).cast("int"))
         newest = latest(hashed, keys, [ref(order).desc()])
-        if _exists(spark, target):
+        if folder(spark, target).exists():
             stored = spark.read.schema(newest.schema).parquet(target)
             touched = newest.select(PART).distinct()
             kept = stored.join(touched, PART, "left_semi").select(*newest.columns)
@@ -97,16 +97,12 @@ def upsert_latest(
         merged = spark.read.schema(newest.schema).parquet(staged)
         writer = merged.hint("rebalance", PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(PART).parquet(target)
+        folder(spark, staged).delete()
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
-def _exists(spark: SparkSession, target: str) -> bool:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-
-
 def current_linescores(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Newest poll of every inning of every game."""
     return upsert_latest(stream, target, checkpoint, INNING_KEY, SEEN_AT, shape=timed_linescores)
