@@ -30,6 +30,10 @@ from dugout.plans.flatten import (
 from dugout.sources.schemas import B, D, L, S
 
 
+# Fixed values, here and in the plans below: column names, their types, and where
+# a payload holds them.
+
+
 def _fields(level: str, kinds: dict[str, str]) -> dict[str, tuple[str, str]]:
     """Columns that carry their payload name."""
     return {name: (kind, f"{level}:{name}") for name, kind in kinds.items()}
@@ -511,14 +515,20 @@ def standings(payloads: DataFrame, fail: bool = False) -> DataFrame:
     )
 
 
-def gamefeed_rows(payloads: DataFrame, node: str, body: str = "body") -> DataFrame:
-    """Objects below a node that is a list, or an object of lists, with their key."""
-    rows = walk(payloads, (), {ROOT: {node: "string"}}, body).withColumnRenamed(f"{ROOT}:{node}", "_node")
+def gamefeed_rows(payloads: DataFrame, *nodes: str, body: str = "body") -> DataFrame:
+    """Objects below nodes that are lists, or objects of lists, with their key.
+
+    The body is parsed once for all nodes.
+    """
+    found = walk(payloads, (), {ROOT: dict.fromkeys(nodes, "string")}, body)
+    keep = refs(c for c in payloads.columns if c != body)
+    rows = found.select(*keep, F.explode(F.array(*[ref(f"{ROOT}:{node}") for node in nodes])).alias("_node"))
     listed = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.from_json("_node", LIST).alias("value")))
     mapped = F.map_entries(F.from_json("_node", "map<string,array<string>>"))
-    entries = rows.select("*", F.inline(F.when(is_object(F.col("_node")), mapped).otherwise(listed)))
-    items = entries.select("*", F.explode("value").alias("item")).where(is_object(F.col("item")))
-    return items.withColumnRenamed("key", "item_key").drop("_node", "value")
+    entries = once(rows, _entries=F.when(is_object(F.col("_node")), mapped).otherwise(listed))
+    lists = entries.select(*keep, F.inline("_entries"))
+    items = lists.select(*keep, F.col("key").alias("item_key"), F.explode("value").alias("item"))
+    return items.where(is_object(F.col("item")))
 
 
 def gamefeed_problems(payloads: DataFrame, node: str, body: str = "body") -> DataFrame:
@@ -551,6 +561,7 @@ def exit_velocity(payloads: DataFrame) -> DataFrame:
 
 
 # Where the pitcher of a pitch may be named, and the two break keys.
+PITCHER_NODES = ("home_pitchers", "away_pitchers")
 PITCHER_KEYS = ("pitcher_id", "pitcher", "player_id")
 NESTED_PITCHER_KEYS = ("pitcher", "player")
 BREAK_X_KEY = "breakXInches"
@@ -559,14 +570,16 @@ BREAK_Z_KEYS = ("breakZInducedInches", "inducedBreakZ")
 
 def pitch_data(payloads: DataFrame) -> DataFrame:
     """Pitches of both sides; the pitcher is the map key, a flat ID or a nested one."""
-    sides = [gamefeed_rows(payloads, node) for node in ("home_pitchers", "away_pitchers")]
     names = (*PITCH_DATA_TEXT, "start_speed", "spin_rate", BREAK_X_KEY, *BREAK_Z_KEYS, *PITCHER_KEYS, "player")
-    rows = once(sides[0].unionByName(sides[1]), parsed_item=parsed(F.col("item"), dict.fromkeys(names, "string")))
+    items = gamefeed_rows(payloads, *PITCHER_NODES)
+    flat = once(items, parsed_item=parsed(F.col("item"), dict.fromkeys(names, "string")))
+    nested = [parsed(field_at("parsed_item", key), {"id": "string"})["id"] for key in NESTED_PITCHER_KEYS]
+    rows = once(flat, nested_ids=F.array(*nested))
     at = lambda name: field_at("parsed_item", name)
     pitcher = clean.first_present(
         clean.lenient_int(F.col("item_key")),
         *[clean.lenient_int(at(key)) for key in PITCHER_KEYS],
-        *[clean.lenient_int(parsed(at(key), {"id": "string"})["id"]) for key in NESTED_PITCHER_KEYS],
+        *[clean.lenient_int(F.get("nested_ids", F.lit(i))) for i in range(len(NESTED_PITCHER_KEYS))],
     )
     return rows.select(
         _request("gamePk", rows).alias("game_pk"),

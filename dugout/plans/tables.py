@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from dugout.functions import clean
 from dugout.operators.align import pick_table
 from dugout.operators.names import ref, refs
-from dugout.operators.ranks import latest
 from dugout.operators.typed import coerce_stats, drop_named_like, with_singles
 from dugout.sources import html as H
 
@@ -211,8 +210,7 @@ def csv_blocks(pages: DataFrame, keys: Sequence[str], html: str = "html") -> Dat
     """Rows of an embedded CSV block: the first ``csv_`` table, or else a ``csv`` div."""
     marker = f'id="{CSV_TABLE_PREFIX}'
     has_table = F.contains(ref(html), F.lit(marker))
-    tables = H.page_tables(pages.where(has_table), keys, html).where(F.startswith("table_id", F.lit(CSV_TABLE_PREFIX)))
-    firsts = latest(tables, keys, [ref("table_index")])
+    firsts = H.page_tables(pages.where(has_table), keys, html, CSV_TABLE_PREFIX)
     filled = firsts.withColumn("_filled", F.filter("rows", lambda r: F.size(r["texts"]) > 0))
     head = F.try_element_at("_filled", F.lit(1))["texts"]
     tabled = H.paired_rows(filled, keys, head, H.tail(F.col("_filled")), lambda r: r["texts"], _csv_null)

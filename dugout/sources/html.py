@@ -147,8 +147,11 @@ def _row(row: dict) -> dict:
     }
 
 
-def page_tables(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
-    """One row per table of a page, also of tables inside comments."""
+def page_tables(pages: DataFrame, keys: Sequence[str], html: str = "html", id_prefix: str | None = None) -> DataFrame:
+    """One row per table of a page, also of tables inside comments.
+
+    With ``id_prefix`` only the first table whose ID starts with it.
+    """
     with_tables = pages.where(F.contains(F.lower(ref(html)), F.lit("<table"))).select(*refs(keys), ref(html))
     fields = T.StructType.fromDDL(TABLE_FIELDS.format(row=ROW_FIELDS))
     schema = T.StructType([*with_tables.schema.fields[:-1], *fields.fields])
@@ -159,13 +162,19 @@ def page_tables(pages: DataFrame, keys: Sequence[str], html: str = "html") -> Da
             found = [
                 key | table | {"rows": [_row(row) for row in table["rows"]]}
                 for key, page in _keyed(batch)
-                for table in _scan(page)
+                for table in _chosen(_scan(page), id_prefix)
             ]
             yield pa.RecordBatch.from_pylist(found, schema=arrow)
 
     return with_tables.mapInArrow(extract, schema)
 
 
+def _chosen(tables: list[dict], id_prefix: str | None) -> list[dict]:
+    if id_prefix is None:
+        return tables
+    return [t for t in tables if t["origin"] == "page" and (t["table_id"] or "").startswith(id_prefix)][:1]
+
+
 def _keyed(batch: pa.RecordBatch) -> Iterator[tuple[dict, str]]:
     *names, html = batch.schema.names
     columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]

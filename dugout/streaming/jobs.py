@@ -78,31 +78,39 @@ def upsert_latest(
     """Keep the newest row per key in a table split into ``parts`` by key hash.
 
     A batch reads only the parts its keys fall in, merges, and replaces exactly
-    those parts. The merged rows are written to the shared folder first, because
-    a table cannot be overwritten while it is being read, and removed afterwards.
+    those parts; their list is no longer than ``parts``. Rows are staged in the
+    shared folder, because a table cannot be overwritten while it is being read,
+    and removed afterwards.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = shape(batch) if shape else batch
         hashed = rows.withColumn(PART, F.pmod(F.xxhash64(*[ref(k) for k in keys]), F.lit(parts)).cast("int"))
-        newest = latest(hashed, keys, [ref(order).desc()])
+        news = _staged(latest(hashed, keys, [ref(order).desc()]))
+        staged = [news]
         if folder(spark, target).exists():
-            stored = spark.read.schema(newest.schema).parquet(target)
-            touched = newest.select(PART).distinct()
-            kept = stored.join(touched, PART, "left_semi").select(*newest.columns)
-            newest = latest(newest.unionByName(kept), keys, [ref(order).desc()])
-        staged = scratch_path(spark, "merge")
-        newest.write.parquet(staged)
-        merged = spark.read.schema(newest.schema).parquet(staged)
+            rows, _ = news
+            touched = [r[PART] for r in rows.select(PART).distinct().collect()]
+            kept = spark.read.schema(rows.schema).parquet(target).where(ref(PART).isin(touched))
+            staged.append(_staged(latest(rows.unionByName(kept), keys, [ref(order).desc()])))
+        merged, _ = staged[-1]
         writer = merged.hint("rebalance", PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(PART).parquet(target)
-        folder(spark, staged).delete()
+        for _, path in staged:
+            folder(spark, path).delete()
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
+def _staged(rows: DataFrame) -> tuple[DataFrame, str]:
+    """Rows written to the shared folder and read back, with their path."""
+    path = scratch_path(rows.sparkSession, "merge")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path), path
+
+
 def current_linescores(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Newest poll of every inning of every game."""
     return upsert_latest(stream, target, checkpoint, INNING_KEY, SEEN_AT, shape=timed_linescores)
