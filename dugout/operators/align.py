@@ -87,10 +87,6 @@ def first_source(df: DataFrame, keys: list[str], priority: str) -> DataFrame:
     return df.alias("l").join(best.alias("r"), same, "left_semi")
 
 
-def typed_empty(spark, types: dict[str, str]) -> DataFrame:
-    return spark.createDataFrame([], schemas.struct(types))
-
-
 def pick_table(tables: DataFrame, player_type: str | None, index: str = "table_index") -> DataFrame:
     """Rows of one extracted table: batters the first, pitchers the second, none all."""
     if player_type is None:

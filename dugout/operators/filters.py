@@ -201,8 +201,14 @@ def roster(df: DataFrame, team: int, season: int, roster_type: str = "active") -
     return df.where((ref("teamId") == team) & (ref("season") == season) & (ref("rosterType") == kind))
 
 
-# What a clip search without any event asks for.
-DEFAULT_CLIP_EVENTS = ("home_run",)
+# What a clip search that asks for nothing finds.
+DEFAULT_CLIPS = {"event_type": ("Home Run",)}
+
+
+def find_clips(clips: DataFrame, members: dict | None = None, bounds: dict | None = None, **options) -> DataFrame:
+    """Clip search on the clip table; without any condition it finds home runs."""
+    asked = any((members or {}).values()) or any(pair != (None, None) for pair in (bounds or {}).values())
+    return clip_search(clips, members if asked else DEFAULT_CLIPS, bounds, **options)
 
 
 def clip_search(
@@ -221,6 +227,8 @@ def clip_search(
     """
     wanted = [ref(c).isin(list(values)) for c, values in (members or {}).items() if values]
     for column, (low, high) in (bounds or {}).items():
+        if low is not None and high is not None and low > high:
+            raise InvalidParameter(f"The lower bound of {column} exceeds the upper one.")
         if low is not None:
             wanted.append(ref(column) >= F.lit(low))
         if high is not None:

@@ -466,6 +466,14 @@ def feed_clip_search(spark, folder):
     return found.select("content_id", "date", "player_id", "exit_velocity")
 
 
+@query(f"""
+with f as ({_CLIP_SQL}) select content_id, date, event_type from f where event_type = 'Home Run'
+order by date desc, content_id desc limit 25""")
+def feed_clip_default(spark, folder):
+    found = filters.find_clips(clips.clips(_clip_payloads(spark, folder)), newest=("date", "content_id"), limit=25)
+    return found.select("content_id", "date", "event_type")
+
+
 @query("""
 select o_orderkey as "gamePk", 'h' || o_orderkey as "highlightId", case when o_orderkey % 2 = 0 then 'p' || o_custkey end as "playId",
        case when o_orderkey % 5 != 0 then o_custkey end as "playerId", o_orderpriority as title,

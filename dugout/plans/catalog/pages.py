@@ -94,18 +94,19 @@ def html_splits(spark, folder):
 
 
 @query("""
-select c_custkey, c_mktsegment as "Position", case when c_custkey % 2 = 0 then 'Right' else 'Left' end as "Bats",
+select c_custkey, c_mktsegment as "Position",
+       case when c_custkey % 5 = 0 then '' when c_custkey % 2 = 0 then 'Right' else 'Left' end as "Bats",
        case when c_custkey % 5 = 0 then '' else 'Right' end as "Throws" from customer""")
 def html_player_info(spark, folder):
+    """Sides are only read where a paragraph gives both."""
     key = F.col("c_custkey")
-    sides = F.when(key % 5 == 0, "").otherwise("• Throws: Right")
+    throws = F.when(key % 5 == 0, "").otherwise("• Throws: Right")
     bats = F.when(key % 2 == 0, "Right").otherwise("Left")
-    box = html('<div class="players"><p><strong>Position:</strong> ', F.col("c_mktsegment"), "</p><p>Bats: ", bats, " ", sides, "</p></div>")
-    full = F.when(key % 5 == 0, html(box, '<div class="other"></div>')).otherwise(box)
-    pages = table(spark, folder, "customer").select("c_custkey", full.alias("html"))
-    info = tables.player_info(pages, ["c_custkey"]).select("c_custkey", "player_info.*")
-    # Sides are only read where both are given.
-    return info.withColumn("Bats", F.when(key % 5 == 0, bats).otherwise(F.col("Bats")))
+    box = html(
+        '<div class="players"><p><strong>Position:</strong> ', F.col("c_mktsegment"), "</p><p>Bats: ", bats, " ", throws, "</p></div>"
+    )
+    pages = table(spark, folder, "customer").select("c_custkey", box.alias("html"))
+    return tables.player_info(pages, ["c_custkey"]).select("c_custkey", "player_info.*")
 
 
 @query("""

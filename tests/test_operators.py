@@ -102,6 +102,14 @@ def test_filter_text_round_trip(rules):
     assert filters.parse_filters(filters.format_filters(wanted)) == wanted
 
 
+def test_clip_bounds_and_default(spark):
+    df = spark.createDataFrame([("Home Run", 1), ("Single", 2)], "event_type string, date int")
+    assert [r.date for r in filters.find_clips(df).collect()] == [1]
+    assert [r.date for r in filters.find_clips(df, bounds={"date": (1, None)}).collect()] == [2, 1]
+    with pytest.raises(InvalidParameter):
+        filters.find_clips(df, bounds={"date": (3, 1)})
+
+
 def test_argument_rules():
     assert filters.year_list((2021, 2023)) == [2021, 2022, 2023] and filters.year_list(2020) == [2020]
     with pytest.raises(InvalidParameter):
