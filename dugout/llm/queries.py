@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.llm import bpe, huffman
+from dugout.llm import bagminhash, bpe, decontaminate, html_crf, huffman
 from dugout.llm.common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,22 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     path = huffman.store(table(spark, sf_dir, "documents"), tokenizer, end_id=1)
     return huffman.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the smallest id of its class of near copies."""
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of the benchmark, with the item and how much of it."""
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_id")
+
+
+@query
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, by a model fitted on a sample of the pages."""
+    pages = table(spark, sf_dir, "pages")
+    return html_crf.extract(pages, html_crf.fit_on(pages))
