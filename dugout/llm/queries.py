@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.llm import bagminhash, bpe, decontaminate, html_crf, huffman
+from dugout.llm import bagminhash, bpe, decontaminate, html_crf, huffman, quality
 from dugout.llm.common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,12 @@ def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page, by a model fitted on a sample of the pages."""
     pages = table(spark, sf_dir, "pages")
     return html_crf.extract(pages, html_crf.fit_on(pages))
+
+
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by rules learnt from the labels outside the held-out fifth."""
+    documents = table(spark, sf_dir, "documents")
+    rules = quality.fit_on(documents, table(spark, sf_dir, "labels"))
+    found = quality.scored(documents.select("doc_id", "text"), rules)
+    return found.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
