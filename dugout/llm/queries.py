@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.llm import bagminhash, bpe, decontaminate, html_crf, huffman, quality
+from dugout.llm import bagminhash, bpe, decontaminate, html_crf, huffman, imatch, quality
 from dugout.llm.common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = quality.fit_on(documents, table(spark, sf_dir, "labels"))
     found = quality.scored(documents.select("doc_id", "text"), rules)
     return found.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text, of the text with its second half replaced, and of the next text, compared."""
+    documents = table(spark, sf_dir, "documents")
+    found = imatch.compared_in_order(documents, imatch.lexicon(documents))
+    own = F.col("fingerprint")
+    near = {"near_edited": imatch.likeness(own, F.col("edited_fingerprint")), "near_next": imatch.likeness(own, F.col("next_fingerprint"))}
+    return found.withColumns(near).drop("next_fingerprint")
