@@ -101,3 +101,17 @@ def per_row(make: Callable, schema: pa.Schema) -> Callable:
             yield out.batch()
 
     return run
+
+
+def sample_texts(df: DataFrame, column: str, rows: int, chars: int) -> list[str]:
+    """At most ``rows`` different texts of 1 to ``chars`` characters, those with the smallest hashes, for a fit.
+
+    Only hashes are ranked; the texts are fetched by the last hash that is in.
+    """
+    texts = df.select(F.col(column).cast("string").alias("text")).filter(F.length("text").between(1, chars))
+    hashed = texts.withColumn("h", F.xxhash64("text"))
+    last = hashed.select("h").distinct().orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    if last is None:
+        return []
+    found = hashed.filter(F.col("h") <= last).groupBy("h").agg(F.min("text").alias("text"))
+    return [r["text"] for r in found.orderBy("h").collect()]

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from dugout.llm.common import per_row
+from dugout.llm.common import per_row, sample_texts
 
 #: Pages that the fit looks at, and the longest of them in characters.
 SAMPLE_PAGES = 300
@@ -281,14 +281,8 @@ def fit_on(df: DataFrame, column: str = "html", pages: int = SAMPLE_PAGES, label
     The sample is bounded: at most ``pages`` pages of up to ``SAMPLE_CHARS``
     characters, those whose hash is smallest. ``label`` labels their blocks.
     """
-    sample = (
-        df.select(F.col(column).alias("html"))
-        .filter(F.length("html").between(1, SAMPLE_CHARS))
-        .orderBy(F.xxhash64("html"), "html")
-        .limit(pages)
-        .collect()
-    )
-    texts = [v for i, row in enumerate(sample) for v in variants(i, row["html"])]
+    sample = sample_texts(df, column, pages, SAMPLE_CHARS)
+    texts = [v for i, source in enumerate(sample) for v in variants(i, source)]
     return fit((page, label(page)) for page in map(blocks, texts))
 
 

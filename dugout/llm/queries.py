@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.llm import bagminhash, bpe, decontaminate, html_crf, huffman, imatch, quality
+from dugout.llm import bagminhash, bpe, decontaminate, html_crf, huffman, imatch, quality, secrets
 from dugout.llm.common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,10 @@ def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = F.col("fingerprint")
     near = {"near_edited": imatch.likeness(own, F.col("edited_fingerprint")), "near_next": imatch.likeness(own, F.col("next_fingerprint"))}
     return found.withColumns(near).drop("next_fingerprint")
+
+
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, by a forest fitted on findings made from a sample."""
+    documents = table(spark, sf_dir, "documents")
+    return secrets.scan(documents, secrets.fit_on(documents))
