@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.llm import bagminhash, bpe, decontaminate, html_crf, huffman, imatch, quality, secrets
+from dugout.llm import bagminhash, bpe, decontaminate, html_crf, huffman, imatch, pii, quality, secrets
 from dugout.llm.common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, by a forest fitted on findings made from a sample."""
     documents = table(spark, sf_dir, "documents")
     return secrets.scan(documents, secrets.fit_on(documents))
+
+
+@query
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base spans, and all spans."""
+    documents = table(spark, sf_dir, "documents")
+    found = pii.detect(documents, pii.fit_on(documents))
+    return found.select("doc_id", *[f"n_{k}" for k in pii.BASE_KINDS], F.sha2("base", 256).alias("base_sha256"), "spans")
