@@ -5,8 +5,9 @@
 folder with three Parquet tables:
 
 * ``codes``   id and code length; the canonical code follows from the lengths,
-* ``blocks``  shard, block, keys and id counts of the block's documents, the bit
-  string, and a checkpoint (bit offset) for every ``CHECKPOINT`` ids,
+* ``blocks``  shard, block, ids before it in the shard, keys and id counts of the
+  block's documents, the bit string, and a checkpoint (bit offset) for every
+  ``CHECKPOINT`` ids,
 * ``tokens``  the ids before coding, which the coding pass reads.
 
 ``read`` gives the documents back. A block holds whole documents and needs only
@@ -17,6 +18,7 @@ side through one lookup table.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from dugout.llm.common import Output, per_row, shared_path, whole_text
+from dugout.llm.common import Output, per_row, row_chunks, shared_path, whole_text
 
 #: Longest code in bits, ids per block (a longer document is a block of its own), ids per checkpoint.
 MAX_BITS = 20
@@ -41,6 +43,18 @@ CACHE_WORDS = 600_000
 # --- ids -------------------------------------------------------------------------------------
 
 
+def _byte_letters() -> list[str]:
+    """The letter that byte-level models write for each byte: itself if printable, else the next one from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
+
+
+_BYTE_LETTERS = _byte_letters()
+#: Characters at which Python splits words, and the tokenizer doesn't.
+_SEPARATORS = re.compile("[\x1c-\x1f]").search
+
+
 class WordEncoder:
     """Encodes with a tokenizer that drops white space, and remembers what words encode to.
 
@@ -48,9 +62,11 @@ class WordEncoder:
     words' ids in a row. Words of plain letters are looked up in lower case.
     """
 
-    def __init__(self, definition: str) -> None:
+    def __init__(self, definition: str, width: int = 4) -> None:
         from tokenizers import Tokenizer
 
+        self.kind = f"<u{width}"
+
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
         self.words: dict[str, bytes] = {}
@@ -66,23 +82,24 @@ class WordEncoder:
         return kinds == ["NFC", "Replace", "Lowercase"] and spec["model"]["type"] == "BPE"
 
     def _encode(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
     def _letters(self, word: str) -> bytes:
-        """Ids of a run of ASCII letters in lower case: one piece of the model."""
-        return np.array([t.id for t in self.tokenizer.model.tokenize(word)], "<u4").tobytes()
+        """Ids of a run of Latin letters in lower case: one piece of the model, its bytes written as byte letters."""
+        piece = word if word.isascii() else "".join(map(_BYTE_LETTERS.__getitem__, word.encode()))
+        return np.array([t.id for t in self.tokenizer.model.tokenize(piece)], self.kind).tobytes()
 
     def word_ids(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is not None:
             return ids
-        lower = word.lower() if word.isascii() else word
-        if lower != word:
+        latin = word.isascii() or max(word) < "\u0180"
+        if latin and (lower := word.lower()) != word and max(lower) < "\u0180":
             return self.word_ids(lower)
         stem, mark = word[:-1], word[-1:]
-        if mark in ".," and stem.isalpha() and self.by_model:
+        if mark in ".," and stem.isalpha() and "\u0130" not in stem and self.by_model:
             return self.word_ids(stem) + self.word_ids(mark)
-        plain = self.by_model and word.isascii() and word.isalpha()
+        plain = self.by_model and latin and word.isalpha() and word.islower()
         ids = self._letters(word) if plain else self._encode(word)
         if len(self.words) >= CACHE_WORDS:
             self.words.clear()
@@ -91,6 +108,8 @@ class WordEncoder:
         return ids
 
     def encode(self, text: str) -> bytes:
+        if not self.by_model or _SEPARATORS(text):
+            return self._encode(text)
         words = text.split()
         found = list(map(self.words.get, words))
         if None in found:
@@ -103,14 +122,17 @@ class WordEncoder:
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def _encoder(name: str, definition: str) -> WordEncoder:
-    if name not in _ENCODERS:
-        _ENCODERS[name] = WordEncoder(definition)
-    return _ENCODERS[name]
+def _encoder(name: str, definition: str, width: int) -> WordEncoder:
+    """The worker's encoder of a tokenizer, made once."""
+    if (own := f"{name}{width}") not in _ENCODERS:
+        _ENCODERS[own] = WordEncoder(definition, width)
+    return _ENCODERS[own]
 
 
-def token_ids(df: DataFrame, tokenizer_file: str, end_id: int | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and ``ids`` (binary, little-endian unsigned 32-bit) of every whole text.
+def token_ids(
+    df: DataFrame, tokenizer_file: str, end_id: int | None = None, key: str = "doc_id", text: str = "text", width: int = 4
+) -> DataFrame:
+    """``key`` and ``ids`` (binary, little-endian unsigned of ``width`` bytes) of every whole text.
 
     No special tokens are added; ``end_id`` is appended to each document if given.
     Null and empty texts have no ids but that one. Rows with a null or repeated
@@ -119,10 +141,10 @@ def token_ids(df: DataFrame, tokenizer_file: str, end_id: int | None = None, key
     with open(tokenizer_file, encoding="utf-8") as file:
         definition = file.read()
     name = hashlib.sha256(definition.encode()).hexdigest()
-    end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
+    end = b"" if end_id is None else int(end_id).to_bytes(width, "little")
 
     def make(k, body):
-        ids = _encoder(name, definition).encode(body) + end
+        ids = _encoder(name, definition, width).encode(body) + end
         return (k, ids), len(ids)
 
     schema = pa.schema([("key", to_arrow_type(df.schema[key].dataType)), ("ids", pa.binary())])
@@ -241,27 +263,27 @@ class Coder:
 # --- files -----------------------------------------------------------------------------------
 
 
-def _count_ids(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a partition: one row per id that it holds."""
-    counts = np.zeros(0, np.int64)
-    for batch in batches:
-        for packed in batch.column(0):
-            ids = np.frombuffer(packed.as_buffer(), "<u4") if packed.is_valid else np.zeros(0, np.uint32)
-            own = np.bincount(ids)
-            if len(own) > len(counts):
-                own[: len(counts)] += counts
-                counts = own
-            else:
-                counts[: len(own)] += own
-    used = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], ["id", "n"])
+def _count_ids(width: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts of a partition: one row per id that it holds."""
+        counts = np.zeros(0, np.int64)
+        for (column,) in row_chunks(batches):
+            ids = np.frombuffer(b"".join(packed or b"" for packed in column), f"<u{width}")
+            own = np.bincount(ids, minlength=len(counts))
+            own[: len(counts)] += counts
+            counts = own
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], ["id", "n"])
 
+    return run
 
-def _blocks_of(coder: Coder, key_type: pa.DataType):
+
+def _blocks_of(coder: Coder, key_type: pa.DataType, width: int):
     schema = pa.schema(
         [
             ("shard", pa.int32()),
             ("block", pa.int32()),
+            ("inside", pa.int64()),
             ("keys", pa.list_(key_type)),
             ("sizes", pa.list_(pa.int64())),
             ("n_ids", pa.int64()),
@@ -271,20 +293,20 @@ def _blocks_of(coder: Coder, key_type: pa.DataType):
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, number = TaskContext.get().partitionId(), 0
+        shard, number, inside = TaskContext.get().partitionId(), 0, 0
         keys, parts, held = [], [], 0
 
         def block() -> pa.RecordBatch:
-            nonlocal number, keys, parts, held
+            nonlocal number, inside, keys, parts, held
             ids = np.concatenate(parts).astype(np.int64)
             packed, checkpoints = coder.pack(ids)
-            row = [shard, number, keys, [len(p) for p in parts], len(ids), packed, checkpoints.tolist()]
-            number, keys, parts, held = number + 1, [], [], 0
+            row = [shard, number, inside, keys, [len(p) for p in parts], len(ids), packed, checkpoints.tolist()]
+            number, inside, keys, parts, held = number + 1, inside + len(ids), [], [], 0
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
             for key, packed in zip(batch.column(0), batch.column(1), strict=True):
-                ids = np.frombuffer(packed.as_py() or b"", "<u4")
+                ids = np.frombuffer(packed.as_py() or b"", f"<u{width}")
                 if keys and held + len(ids) > BLOCK:
                     yield block()
                 keys.append(key.as_py())
@@ -296,16 +318,16 @@ def _blocks_of(coder: Coder, key_type: pa.DataType):
     return run
 
 
-def write(ids: DataFrame, path: str, key: str = "doc_id", limit: int = MAX_BITS) -> None:
+def write(ids: DataFrame, path: str, key: str = "doc_id", limit: int = MAX_BITS, width: int = 4) -> None:
     """Write documents' ids to ``path`` in ascending order of the key (nulls first, ties by ids).
 
-    ``ids`` has ``key`` and ``ids`` as ``token_ids`` gives them; null ids count as none.
+    ``ids`` has ``key`` and ``ids`` as ``token_ids`` gives them for ``width``; null ids count as none.
     """
     spark = ids.sparkSession
-    ids.select(F.col(key).alias("key"), F.col("ids")).write.parquet(f"{path}/tokens")
+    ids.select(F.col(key).alias("key"), F.col("ids")).write.option("compression", "zstd").parquet(f"{path}/tokens")
     tokens = spark.read.parquet(f"{path}/tokens")
     kind = tokens.schema["key"].dataType
-    counted = tokens.select("ids").mapInArrow(_count_ids, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = tokens.select("ids").mapInArrow(_count_ids(width), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     # One row per id of the vocabulary: its size is the tokenizer's, whatever the data's.
     rows = counted.toPandas()
     counts = np.zeros(int(rows["id"].max()) + 1 if len(rows) else 1, np.int64)
@@ -314,8 +336,8 @@ def write(ids: DataFrame, path: str, key: str = "doc_id", limit: int = MAX_BITS)
     used = np.flatnonzero(lengths)
     spark.createDataFrame([(int(i), int(lengths[i])) for i in used], "id bigint, bits int").coalesce(1).write.parquet(f"{path}/codes")
     ordered = tokens.repartitionByRange("key").sortWithinPartitions("key", "ids")
-    fields = f"shard int, block int, keys array<{kind.simpleString()}>, sizes array<bigint>, n_ids bigint, bits binary, checkpoints array<bigint>"
-    ordered.mapInArrow(_blocks_of(Coder(lengths), to_arrow_type(kind)), fields).write.parquet(f"{path}/blocks")
+    fields = f"shard int, block int, inside bigint, keys array<{kind.simpleString()}>, sizes array<bigint>, n_ids bigint, bits binary, checkpoints array<bigint>"
+    ordered.mapInArrow(_blocks_of(Coder(lengths), to_arrow_type(kind), width), fields).write.parquet(f"{path}/blocks")
 
 
 def read(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
@@ -325,15 +347,12 @@ def read(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
     lengths[codes["id"].to_numpy(np.int64)] = codes["bits"].to_numpy(np.uint8)
     blocks = spark.read.parquet(f"{path}/blocks")
     kind = blocks.schema["keys"].dataType.elementType
-    within = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    # Block heads only: a few numbers for 65,536 ids; shards: one row per written file.
-    heads = blocks.select("shard", "block", "n_ids")
-    shards = heads.groupBy("shard").agg(F.sum("n_ids").alias("n")).select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    starts = heads.select("shard", "block", F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("inside"))
-    starts = starts.join(shards, "shard").select("shard", "block", (F.col("base") + F.col("inside")).alias("start"))
+    # One row per written shard: its ids, and those of all shards before.
+    sizes = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
+    bases = sizes.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     schema = pa.schema([("key", to_arrow_type(kind)), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
-    joined = blocks.join(starts, ["shard", "block"]).select("keys", "sizes", "n_ids", "bits", "checkpoints", "start")
+    joined = blocks.join(bases, "shard").select("keys", "sizes", "n_ids", "bits", "checkpoints", (F.col("base") + F.col("inside")).alias("start"))
     name = hashlib.sha256(lengths.tobytes()).hexdigest()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -362,6 +381,9 @@ def _coder(name: str, lengths: bytes) -> Coder:
 
 def store(df: DataFrame, tokenizer_file: str, end_id: int | None = None, path: str | None = None) -> str:
     """Encode a table of documents and write its files below ``path`` (default: the shared folder)."""
+    from tokenizers import Tokenizer
+
     path = path or shared_path(df.sparkSession, "token-ids")
-    write(token_ids(df, tokenizer_file, end_id), path)
+    width = 2 if Tokenizer.from_file(tokenizer_file).get_vocab_size() <= 1 << 16 else 4
+    write(token_ids(df, tokenizer_file, end_id, width=width), path, width=width)
     return path
