@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from dugout.llm.common import whole_text
 from dugout.llm.trees import boost, sigmoid
@@ -65,7 +66,7 @@ def statistics(text: str) -> tuple[float, ...]:
     )
 
 
-@F.pandas_udf(", ".join(f"{name} double" for name in STATISTICS))
+@F.pandas_udf(StructType([StructField(name, DoubleType()) for name in STATISTICS]))
 def _statistics_of(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in texts:
         rows = np.array([statistics(t) for t in batch], float).reshape(-1, len(STATISTICS))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.llm import bagminhash, bpe, decontaminate, html_crf, huffman, imatch, pii, quality, secrets
+from dugout.llm import bagminhash, bpe, decontaminate, html_crf, huffman, imatch, pii, quality, revisits, secrets
 from dugout.llm.common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,67 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     found = pii.detect(documents, pii.fit_on(documents))
     return found.select("doc_id", *[f"n_{k}" for k in pii.BASE_KINDS], F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query
+def op5_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every not-modified record of a crawl of the pages, with the response it confirms."""
+    records = revisits.page_records(table(spark, sf_dir, "pages"))
+    found = revisits.resolve(records, ("payload_digest", "payload_size"))
+    names = ("etag", "cache-control", "content-type")
+    headers = [F.try_element_at("headers", F.lit(n)).alias(n.replace("-", "_")) for n in names]
+    return found.select("record_id", "uri", F.unix_seconds("date").alias("moment"), "response_id", "status", *headers, "payload_digest", "payload_size")
+
+
+ORACLE["op5_revisits"] = r"""
+with base as (
+    select page_id, url, md5(coalesce(html, '')) as digest, length(coalesce(html, '')) as size,
+           '"' || substr(md5(coalesce(html, '')), 1, 8) || '"' as tag,
+           md5(md5(coalesce(html, '')) || '-2') as later,
+           '"' || substr(md5(md5(coalesce(html, '')) || '-2'), 1, 8) || '"' as later_tag,
+           page_id % 3 = 0 as changes,
+           regexp_extract(url, '^([^:]+://[^/?#]*)', 1) || '/robots.txt' as robots,
+           case when page_id % 2 = 0 then url || '#part'
+                when contains(url, '?') or contains(url, '#') then url else url || '?utm_source=poll' end as spelled
+    from pages
+), records as (
+    select page_id * 10 + k as record_id, k,
+           (k = 0 or (k = 2 and changes) or (k = 5 and page_id % 50 = 0)) as full_response,
+           case k when 1 then spelled when 5 then robots else url end as uri,
+           1600000000 + page_id * 10 + case k when 1 then 100000 when 2 then 200000 when 3 then 300000 when 4 then -50 else 0 end as moment,
+           case when k in (0, 1, 4) then tag when k = 2 and changes then later_tag when k = 2 then 'W/' || tag when k = 5 then '"robots"'
+                when page_id % 5 = 0 then '"other"' when changes then later_tag else tag end as etag,
+           'max-age=' || (k + 1) * 60 as cache_control, 'text/html; v=' || k as content_type,
+           case k when 2 then later when 5 then md5(robots) else digest end as payload_digest, size as payload_size
+    from base, range(6) r(k)
+), parts as (
+    select *, regexp_replace(trim(uri), '#.*$', '') as plain from records
+), hosts as (
+    select *,
+           regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(plain, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)), '^.*@', ''), '^www\.', ''), ':(80|443)?$', '') as host,
+           regexp_extract(plain, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1) as path,
+           array_to_string(list_sort(list_filter(string_split(regexp_extract(plain, '\?(.*)$', 1), '&'),
+               lambda p: p <> '' and not regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)'))), '&') as params
+    from parts
+), sites as (
+    select *, case when host <> '' then host || case when path = '' then '/' else path end || case when params = '' then '' else '?' || params end end as site
+    from hosts
+), responses as (
+    select site, moment, max(record_id) as response_id from sites where full_response and site is not null group by site, moment
+), found as (
+    select v.*, r.response_id from (select * from sites where not full_response) v
+    asof left join responses r on v.site = r.site and v.moment > r.moment
+), both_sides as (
+    select f.*, o.etag as old_etag, o.content_type as old_type, o.payload_digest as old_digest, o.payload_size as old_size,
+           case when f.response_id is null then 'no response'
+                when regexp_replace(o.etag, '^W/', '') = regexp_replace(f.etag, '^W/', '') then 'resolved' else 'changed' end as status
+    from found f left join records o on o.record_id = f.response_id
+)
+select record_id, uri, moment, response_id, status,
+       case when status = 'resolved' then etag end as etag,
+       case when status = 'resolved' then cache_control end as cache_control,
+       case when status = 'resolved' then old_type end as content_type,
+       case when status = 'resolved' then old_digest end as payload_digest,
+       case when status = 'resolved' then old_size end as payload_size
+from both_sides
+"""
