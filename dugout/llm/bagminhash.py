@@ -11,8 +11,10 @@ as its next point comes after the latest slot's first.
 Slots are joined to bands. Texts that share a band are candidates; every link is
 then checked on the whole multisets. Equal texts are one node from the start.
 In a bucket every text is first compared with two of its members drawn by hash, so
-that a large group of copies becomes one class with as many checks as members;
-only members that are in different classes after that are compared pair by pair.
+that a large group of copies becomes one class with as many checks as members.
+Members that are in different classes after that are paired only where their sizes
+and the shingles that no other of them has leave a similarity of 0.8 possible: the
+bound is exact, and shuts out the many copies with edits of their own.
 """
 
 from __future__ import annotations
@@ -88,7 +90,7 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], slots: int = SLOTS) ->
     while (deep := weight > low).any():
         cut += 1
         shingle, doc, weight = shingle[deep], doc[deep], weight[deep]
-        seeds.append(_mix(shingle + _GOLD * np.uint64(cut)))
+        seeds.append(_mix(shingle + np.array(cut, np.uint64) * _GOLD))
         docs.append(doc)
         rates.append(np.full(len(doc), low))
         shares.append(np.minimum(1.0, (weight - low) / low))
@@ -153,6 +155,28 @@ def _checked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
 
+def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, text) to (node, size, shingle, n): a row for each distinct shingle; size is that of the multiset."""
+    for batch in batches:
+        for node, text in zip(batch.column(0), batch.column(1), strict=True):
+            hashes, counts = shingles(text.as_py())
+            n = len(hashes)
+            columns = [pa.array([node.as_py()] * n, pa.binary()), pa.array(np.full(n, counts.sum())), pa.array(hashes.view(np.int64)), pa.array(counts)]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "size", "shingle", "n"])
+
+
+def common_part(texts: DataFrame) -> DataFrame:
+    """``node``, ``size`` of its multiset and ``common``, how much of it occurs in any other of the texts too.
+
+    Nodes that share too little with all others together to reach the threshold are left out.
+    """
+    rows = texts.mapInArrow(_counted, "node binary, size bigint, shingle bigint, n bigint")
+    rows = stored(rows, "shingles")
+    twice = rows.groupBy("shingle").count().filter("count > 1").select("shingle")
+    common = rows.join(twice, "shingle").groupBy("node", "size").agg(F.sum("n").alias("common"))
+    return common.filter(F.col("common") >= THRESHOLD * F.col("size"))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) whose texts reach the threshold. The texts of ``a`` come last and are not moved again."""
     of_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
@@ -208,10 +232,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     tested = stored(
         ends.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "pairs"
     )
-    needed = shared.select("node").distinct()
-    texts = stored(
-        rows.select("node", "text").join(needed, "node", "leftsemi").dropDuplicates(["node"]), "texts"
-    )
+    # One row of each node, by its smallest key: copies don't meet in a task.
+    needed = shared.select("node").distinct().join(keys, "node")
+    texts = stored(rows.join(needed, ["node", "key"], "leftsemi").dropDuplicates(["node"]).select("node", "text"), "texts")
     links = stored(_verified(tested, texts), "links")
     labels = components(links)
 
@@ -219,9 +242,13 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     marked = shared.select("band", "hash", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_buckets = marked.groupBy("band", "hash").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
     apart = stored(marked.join(open_buckets.select("band", "hash"), ["band", "hash"]), "apart")
-    other = apart.select("band", "hash", F.col("node").alias("b"), F.col("label").alias("label_b"))
-    rest = apart.select("band", "hash", F.col("node").alias("a"), F.col("label").alias("label_a")).join(other, ["band", "hash"])
-    rest = rest.filter("a < b and label_a != label_b").select("a", "b").distinct()
+    near = common_part(texts.join(apart.select("node").distinct(), "node", "leftsemi"))
+    left = stored(apart.join(near, "node"), "apart")
+    other = left.select("band", "hash", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "size", "common")])
+    most = F.least("common", "common_b")
+    possible = most >= THRESHOLD * (F.col("size") + F.col("size_b") - most)
+    rest = left.join(other, ["band", "hash"]).filter((F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b")) & possible)
+    rest = rest.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
     seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = stored(_verified(rest.join(seen, ["a", "b"], "leftanti"), texts), "links")
     if not more.isEmpty():
