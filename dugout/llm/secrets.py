@@ -215,7 +215,9 @@ class Scanner:
 
 def fit(findings: list[tuple[str, int, int, int]], language: Language) -> Scanner:
     """A scanner fitted on labelled findings (text, start, end, label)."""
-    x = np.array([features(t, a, b, language) for t, a, b, _ in findings]).reshape(len(findings), -1)
+    if not findings:
+        return Scanner(language, Forest(0.0, []))
+    x = np.array([features(t, a, b, language) for t, a, b, _ in findings])
     return Scanner(language, forest(x, np.array([label for *_, label in findings], float)))
 
 

@@ -1,0 +1,183 @@
+"""The trained operators: held-out accuracy, exact base patterns, odd rows."""
+
+from __future__ import annotations
+
+import os
+import random
+import re
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from dugout.llm import html_crf, pii, quality, secrets, trees
+from dugout.llm.common import sample_texts, ship_package
+from dugout.llm.queries import QUERIES
+
+FOLDER = "/root/testdata/sf0.01"
+tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
+
+
+def column(name, col):
+    return [r[0] for r in duckdb.sql(f"select {col} from read_parquet('{FOLDER}/{name}.parquet') order by 1").fetchall()]
+
+
+def test_trees_find_a_boundary():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(3000, 4))
+    y = ((x[:, 0] > 0.3) & (x[:, 2] < 0.5)).astype(float)
+    for model in (trees.boost(x[:2000], y[:2000]), trees.forest(x[:2000], y[:2000])):
+        assert ((model.predict(x[2000:]) > 0.5) == y[2000:]).mean() > 0.97
+    assert trees.boost(x, np.zeros(3000)).predict(x[:2]).max() < 0.01 and trees.forest(x, np.ones(3000)).predict(x[:2]).min() == 1
+
+
+@tables
+def test_quality_on_held_out_labels(spark):
+    got = {r.doc_id: r for r in QUERIES["op2_quality_rules"](spark, FOLDER).collect()}
+    labels = duckdb.sql(f"select doc_id, quality from read_parquet('{FOLDER}/labels.parquet')").fetchall()
+    apart = [(q, got[i]) for i, q in labels if i in got and got[i].held_out]
+    assert len(got) == len(column("documents", "doc_id")) and len(apart) > 40
+    assert np.mean([q == r.predicted for q, r in apart]) > 0.95
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_compiled_rules_score_like_the_array_form(spark):
+    ship_package(spark)
+    texts = ["Fine prose of some words, and more.", "BAD!! BAD!! BAD!!", "x | y | z | w | q", "", None, "word " * 30000, "ok. " * 3] * 6
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("score", F.lit("clash")).withColumn("lang", F.lit("en"))
+    labels = spark.createDataFrame([(i, int(t is not None and "BAD" not in t and "|" not in t)) for i, t in enumerate(texts)] + [(None, 1), (3, None)], "doc_id bigint, quality int")
+    rules = quality.fit_on(df, labels)
+    got = quality.scored(df, rules).orderBy("doc_id").collect()
+    want = rules.predict(np.array([quality.statistics(t or "") for t in texts]))
+    assert np.allclose([r.score for r in got], want) and got[0].lang == "en"
+    assert rules.rules and got[1].predicted == 0 and got[0].predicted == 1
+
+
+def test_quality_without_labels(spark):
+    df = spark.createDataFrame([(1, "text")], "doc_id bigint, text string")
+    rules = quality.fit_on(df, spark.createDataFrame([], "doc_id bigint, quality int"))
+    assert quality.scored(df, rules).first().score == pytest.approx(0.5)
+    assert quality.scored(df.limit(0), rules).collect() == []
+
+
+@tables
+def test_secrets_of_documents_and_of_held_out_findings(spark):
+    texts = column("documents", "text")
+    learnt, apart = texts[::2], texts[1::2]
+    scanner = secrets.fit(secrets.labelled_findings(learnt), secrets.Language.of(learnt))
+    right = []
+    for text, a, b, label in secrets.labelled_findings(apart, seed=99):
+        right.append(bool([s for s in scanner.spans(text) if s[0] < b and a < s[1]]) == bool(label))
+    assert np.mean(right) > 0.93
+    planted = re.compile(r'(?<=token = ")[0-9a-f]{40}(?=")|(?<=password=)[0-9a-f]{18}|AKIA[A-Z0-9]{16}')
+    for text in apart:
+        assert [s[:2] for s in scanner.spans(text)] == [m.span() for m in planted.finditer(text)]
+
+
+def test_secret_frames(spark):
+    ship_package(spark)
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    words = "some plain words that say nothing about anything at all today"
+    df = spark.createDataFrame([(1, f'{words} token = "{key}" {words}'), (2, None), (3, ""), (None, words), (1, words * 3000)], "doc_id bigint, text string")
+    df = df.withColumn("key", F.lit(0)).withColumn("n_secrets", F.lit("clash"))
+    sample = [f"{words} number {i} " + " ".join(random.Random(i).sample(words.split(), 8)) for i in range(200)]
+    scanner = secrets.fit(secrets.labelled_findings(sample), secrets.Language.of(sample))
+    got = {(r.doc_id, r.n_secrets) for r in secrets.scan(df, scanner).collect()}
+    assert got == {(1, 1), (2, 0), (3, 0), (None, 0), (1, 0)}
+    clean = {r.doc_id: r.text for r in secrets.redact(df.filter("doc_id < 4 and length(coalesce(text, '')) < 900"), scanner).collect()}
+    assert clean[1] == f'{words} token = "[SECRET]" {words}' and clean[2] is None and clean[3] == ""
+    assert secrets.fit_on(df.limit(0)).spans(df.first().text) == []
+
+
+def brute_base(text):
+    """The contract's patterns, one kind at a time."""
+    found = []
+    for kind, pattern in (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+        ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+    ):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            doubled = [int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(digits[::-1])]
+            fine = {
+                "email": True, "ip": all(int(p) <= 255 for p in m[0].split(".") if kind == "ip"),
+                "card": 12 <= len(digits) <= 19 and sum(doubled) % 10 == 0, "phone": 9 <= len(digits) <= 15,
+            }
+            if fine[kind]:
+                found.append((kind, *m.span()))
+    return sorted(found, key=lambda s: (s[1], ["email", "ip", "card", "phone"].index(s[0])))
+
+
+def test_base_spans_are_the_patterns():
+    rng = random.Random(8)
+    parts = ["a.b@c", ".com", "@", "1.2.3.4", "256.1.1.1", "4111 1111 1111 1111", "4111111111111112", "+1 (017) 555-7713", "é", " ", "-", "+", "12", "0", "\n", "x_y%z@m-1.example.org"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(9)))
+        assert pii.base_spans(text) == brute_base(text)
+
+
+@tables
+def test_personal_data_on_held_out_spans(spark):
+    texts = column("documents", "text")
+    detector = pii.fit(pii.labelled_spans(texts[::2]))
+    right = []
+    for kind, text, a, b, label in pii.labelled_spans(texts[1::2], seed=77):
+        found = [s for s in detector.spans(text) if s[1] < b and a < s[2]]
+        right.append(bool(found) == bool(label))
+        assert set(pii.base_spans(text)) <= set(detector.spans(text))
+    assert np.mean(right) > 0.9
+    assert "[PHONE]" in detector.redacted("please call +1 (017) 555-7713 now") and detector.redacted("") == ""
+
+
+def test_personal_data_frames(spark):
+    ship_package(spark)
+    df = spark.createDataFrame([(1, "mail a@b.org now"), (None, None), (2, ""), (1, "9" * 20000)], "doc_id bigint, text string").withColumn("spans", F.lit(1)).withColumn("key", F.lit(1))
+    detector = pii.fit_on(df.limit(0))
+    got = {(r.doc_id, r.n_email, r.spans) for r in pii.detect(df, detector).collect()}
+    assert got == {(1, 1, "email:5:12"), (None, 0, ""), (2, 0, ""), (1, 0, "")}
+
+
+@tables
+def test_pages_give_their_articles(spark):
+    import html
+
+    got = {r.page_id: r for r in QUERIES["op9_html_extract"](spark, FOLDER).collect()}
+    rows = duckdb.sql(f"select page_id, html from read_parquet('{FOLDER}/pages.parquet')").fetchall()
+    assert len(got) == len(rows)
+    for key, source in rows:
+        body = re.search(r"<article>(.*?)(</article>|\Z)", source, re.S)[1]
+        body = re.sub(r"<[a-zA-Z/!][^>]*\Z", "", body)
+        text = " ".join(html.unescape(re.sub(r"</?b>", "", re.sub(r"<(?!/?b>)[^>]*>", " ", body))).split())
+        assert (got[key].text, got[key].n_chars) == (text, len(text))
+
+
+def test_blocks_of_odd_markup():
+    page = "<p>a<b>b</b> &amp; c<br>d<p>e<script>var x = '</p>';</script><!-- no --><div hidden><p>h</p></div><ul><li>f<li>g</ul>tail &am<p"
+    assert [t for _, t, _ in html_crf.blocks(page)] == ["ab & c d", "e", "f", "g", "tail &am"]
+    assert html_crf.blocks("") == [] and html_crf.Model({}, np.zeros((2, 2))).main_text(None) == ""
+
+
+@tables
+def test_held_out_pages_in_other_surroundings(spark):
+    pages = column("pages", "html")
+    label = lambda sources: [(p, html_crf.marked_labels(p)) for p in map(html_crf.blocks, sources)]
+    made = [html_crf.variants(i, source) for i, source in enumerate(pages)]
+    model = html_crf.fit(label([v for vs in made[::2] for v in vs]))
+    right = [a == b for page, labels in label([vs[-1] for vs in made[1::2]]) for a, b in zip(model.labels(page), labels, strict=True)]
+    assert np.mean(right) > 0.98
+
+
+def test_page_frames(spark):
+    ship_package(spark)
+    page = "<article><p>Some words of an article.</p></article>"
+    df = spark.createDataFrame([(1, "u", page), (1, "u", page), (None, None, None), (2, "v", ""), (3, "w", "<p>" * 20000)], "page_id bigint, url string, html string").withColumn("text", F.lit("clash"))
+    model = html_crf.fit([(p := html_crf.blocks(page), [True]), (html_crf.blocks("<nav><a>x</a></nav>"), [False])])
+    got = sorted((r.page_id or 0, r.text, r.n_chars) for r in html_crf.extract(df, model).collect())
+    assert p and got == [(0, "", 0), (1, "Some words of an article.", 25), (1, "Some words of an article.", 25), (2, "", 0), (3, "", 0)]
+    assert html_crf.extract(df.limit(0), html_crf.fit_on(df.limit(0))).collect() == []
+
+
+def test_sample_is_bounded_and_different(spark):
+    df = spark.createDataFrame([(t,) for t in ["a"] * 50 + ["bb", "ccc", None, "", "long" * 10]], "text string")
+    assert sorted(sample_texts(df, "text", 10, 5)) == ["a", "bb", "ccc"] and len(sample_texts(df, "text", 2, 5)) == 2
