@@ -17,7 +17,7 @@ from dugout.functions import clean, codes
 from dugout.operators.align import first_source
 from dugout.operators.filters import all_of, at_venues, named_players
 from dugout.operators.names import ref, refs
-from dugout.operators.ranks import percent_ranks, share_of_total, share_within
+from dugout.operators.ranks import percent_ranks_of, share_of_total, share_within
 from dugout.operators.typed import rename_present, strict_table
 from dugout.sources import schemas
 
@@ -104,16 +104,26 @@ def arsenal_wide(
     speed: str = "release_speed",
     spin: str = "release_spin_rate",
     types: Sequence[str] = codes.PITCH_CODES,
+    rest: str | None = None,
 ) -> DataFrame:
-    """Pitch types as columns: mean speed, share of pitches, or mean spin.
+    """Pitch types as columns: mean speed, number of pitches, or mean spin.
 
-    The code list is fixed, so the pivot needs no pass to find its columns.
+    The code list is fixed, so one aggregate of conditional values does it. With
+    ``rest`` a last column of that name takes the types outside the list.
     """
     kind = codes.choose(kind, codes.ARSENAL_TYPES, "kind")
-    value = {"avg_speed": F.avg(ref(speed)), "n_": F.count(F.lit(1)), "avg_spin": F.avg(ref(spin))}[kind]
-    wide = pitches.groupBy(*refs(by)).pivot(pitch, list(types)).agg(value)
-    enough = pitches.groupBy(*refs(by)).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= minimum)
-    return wide.join(enough.select(*refs(by)), list(by), "left_semi") if minimum > 1 else wide
+    measure = {"avg_speed": ref(speed), "n_": F.lit(1), "avg_spin": ref(spin)}[kind]
+    fold = F.count if kind == "n_" else F.avg
+
+    def column(chosen: Column, name: str) -> Column:
+        value = fold(F.when(chosen, measure))
+        return (F.nullif(value, F.lit(0)) if kind == "n_" else value).alias(name)
+
+    columns = [column(ref(pitch) == code, code) for code in types]
+    if rest is not None:
+        columns.append(column(~ref(pitch).isin(list(types)), rest))
+    wide = pitches.groupBy(*refs(by)).agg(F.count(F.lit(1)).alias("_n"), *columns)
+    return wide.where(F.col("_n") >= minimum).drop("_n")
 
 
 def arsenal_stats(
@@ -159,10 +169,7 @@ def percentile_board(
     player_id: str | None = "player_id",
 ) -> DataFrame:
     """0 to 100 rank of every metric within its season, real players only."""
-    ranked = named_players(board, name, player_id)
-    for metric in metrics:
-        ranked = percent_ranks(ranked, by, metric, f"{metric}_percentile", scale=100.0)
-    return ranked
+    return percent_ranks_of(named_players(board, name, player_id), by, {m: f"{m}_percentile" for m in metrics}, scale=100.0)
 
 
 def bat_tracking(pitches: DataFrame, by: Sequence[str] = ("batter",), minimum: int = 1) -> DataFrame:

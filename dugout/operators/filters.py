@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import operator
+import re
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,83 +15,71 @@ from pyspark.sql import types as T
 from dugout.errors import InvalidParameter
 from dugout.functions import clean, codes
 from dugout.operators.names import ref
+from dugout.operators.seasons import current_season
 from dugout.sources import schemas
 
-_SPELLINGS = {
-    ">": "gt", ">=": "gte", "<": "lt", "<=": "lte", "=": "eq", "==": "eq", "!=": "ne",
-}
-_COMPARE = {
-    "gt": operator.gt,
-    "gte": operator.ge,
-    "lt": operator.lt,
-    "lte": operator.le,
-    "eq": operator.eq,
-    "ne": operator.ne,
-}
+#: Signs a rule may use, by the short names they are written with.
+SIGNS = {"gt": ">", "gte": ">=", "lt": "<", "lte": "<=", "eq": "=", "ne": "!="}
 
 
-@dataclass(frozen=True)
-class StatFilter:
-    """One comparison of a column with a value; rows with a null never match."""
+class Rule(NamedTuple):
+    """A column compared with a value. Rows with a null never match."""
 
     column: str
-    op: str
+    sign: str
     value: int | float | str
 
-    def __post_init__(self) -> None:
-        name = _SPELLINGS.get(str(self.op), str(self.op).lower())
-        if name not in _COMPARE:
-            raise InvalidParameter(f"Unknown operator {self.op!r}; use {' '.join(_SPELLINGS)} or {' '.join(_COMPARE)}.")
-        object.__setattr__(self, "op", name)
 
-    @classmethod
-    def of(cls, item: StatFilter | Sequence) -> StatFilter:
-        if isinstance(item, cls):
-            return item
-        if isinstance(item, tuple) and len(item) == 3:
-            return cls(*item)
-        raise TypeError(f"Expected a StatFilter or (column, operator, value), got {type(item).__name__}.")
+def rule(column: str, sign: str, value: int | float | str) -> Rule:
+    """A rule; the sign as a symbol or a short name, in any case."""
+    known = {**SIGNS, **{symbol: symbol for symbol in SIGNS.values()}, "==": "="}
+    symbol = known.get(sign.strip().lower())
+    if symbol is None:
+        raise InvalidParameter(f"No comparison is called {sign!r}; there are {', '.join(known)}.")
+    return Rule(column, symbol, value)
 
-    def predicate(self, schema: T.StructType) -> Column:
-        if self.column not in schema.names:
-            raise InvalidParameter(f"Filter column {self.column!r} is not in the table.")
-        value = _typed_value(self.value, schema[self.column].dataType)
-        return _COMPARE[self.op](ref(self.column), F.lit(value))
 
-    def text(self) -> str:
-        return f"{self.column},{self.op},{self.value}"
+def _rule_column(df: DataFrame, column: str, sign: str, value) -> Column:
+    """The rule as a predicate; Spark casts the value to the column's type, so no digit is lost.
 
-
-def _typed_value(value, kind: T.DataType):
-    """Number text becomes a number where the column is numeric."""
-    if not isinstance(value, str) or not isinstance(kind, T.NumericType):
-        return value
-    try:
-        number = float(value)
-    except ValueError:
-        return value
-    return int(number) if number.is_integer() and isinstance(kind, T.IntegralType) else number
-
-
-def stat_filter(df: DataFrame, filters: Iterable) -> DataFrame:
-    """Rows matching every filter; one conjunction, so it reaches the scan."""
-    predicates = [StatFilter.of(item).predicate(df.schema) for item in filters]
-    return df.where(all_of(predicates)) if predicates else df
-
-
-def format_filters(filters: Iterable) -> str:
-    return "|".join(StatFilter.of(item).text() for item in filters)
-
-
-def parse_filters(text: str) -> list[StatFilter]:
-    """Filters from ``column,op,value|column,op,value``."""
-    rules = []
-    for part in filter(None, text.split("|")):
-        fields = part.split(",", 2)
-        if len(fields) != 3:
-            raise InvalidParameter(f"{part!r} is no column,operator,value rule.")
-        rules.append(StatFilter(*fields))
-    return rules
+    Number text with a zero fraction fits a whole-number column; text that is no
+    value of the column's type is refused.
+    """
+    if column not in df.columns:
+        raise InvalidParameter(f"Filter column {column!r} is not in the table.")
+    kind = df.schema[column].dataType
+    literal = F.lit(value)
+    if isinstance(value, str) and isinstance(kind, T.NumericType):
+        text = re.sub(r"^([+-]?[0-9]+)\.0*$", r"\1", value.strip())
+        wanted = kind
+        if isinstance(kind, T.IntegralType) and not re.fullmatch(r"[+-]?[0-9]+", text):
+            wanted = T.DecimalType(38, 10)  # a bound between two whole numbers
+        literal = F.lit(text).cast(wanted)
+        if df.sparkSession.range(1).select(F.lit(text).try_cast(wanted).isNull()).first()[0]:
+            raise InvalidParameter(f"{value!r} is no {kind.simpleString()}, the type of {column}.")
+    by_sign = {">": ref(column) > literal, ">=": ref(column) >= literal, "<": ref(column) < literal, "<=": ref(column) <= literal}
+    by_sign |= {"=": ref(column) == literal, "!=": ref(column) != literal}
+    return by_sign[sign]
+
+
+def stat_filter(df: DataFrame, rules: Iterable[tuple]) -> DataFrame:
+    """Rows for which every (column, sign, value) holds; one conjunction, so it reaches the scan."""
+    wanted = [_rule_column(df, *rule(*given)) for given in rules]
+    return df.where(all_of(wanted)) if wanted else df
+
+
+def format_filters(rules: Iterable[tuple]) -> str:
+    """Rules as ``column,name,value|column,name,value``."""
+    names = {symbol: name for name, symbol in SIGNS.items()}
+    return "|".join(f"{r.column},{names[r.sign]},{r.value}" for r in (rule(*given) for given in rules))
+
+
+def parse_filters(text: str) -> list[Rule]:
+    """Rules of a text that ``format_filters`` writes; values stay text."""
+    parts = [part.split(",", 2) for part in text.split("|") if part]
+    if any(len(part) != 3 for part in parts):
+        raise InvalidParameter(f"{text!r} is not made of column,comparison,value.")
+    return [rule(*part) for part in parts]
 
 
 def all_of(predicates: Sequence[Column]) -> Column:
@@ -149,20 +138,24 @@ def located(df: DataFrame, columns: Sequence[str] = ("hc_x", "hc_y")) -> DataFra
 
 
 def positioned(df: DataFrame, position: str | int, column: str = "pos") -> DataFrame:
-    """Rows of one fielding position; groups and the catcher are refused."""
+    """Rows of one fielding position; ``ALL``, groups and the catcher are refused."""
     code = codes.position_code(position)
-    if code in ("IF", "OF", "C"):
-        raise InvalidParameter(f"{position} is not a single fielding position of this board.")
     number = codes.position_number(code)
-    return df if number == "" else df.where(codes.position_number_column(ref(column).cast("string")) == number)
+    if code in ("IF", "OF", "C") or number == "":
+        raise InvalidParameter(f"{position} is not a single fielding position of this board.")
+    return df.where(codes.position_number_column(ref(column).cast("string")) == number)
 
 
-def year_list(years, first: int = 2015) -> list[int]:
-    """Years of an int, a list, or an inclusive (start, end) tuple."""
-    if isinstance(years, int):
+def year_list(years=None, first: int = 2015) -> list[int]:
+    """Years of an int, a list, or an inclusive (start, end) tuple; none is the current season."""
+    if years is None:
+        found = [current_season()]
+    elif isinstance(years, int):
         found = [years]
     elif isinstance(years, tuple) and len(years) == 2:
-        found = list(range(min(years), max(years) + 1))
+        if years[0] > years[1]:
+            raise InvalidParameter(f"The first year of {years} is after the last.")
+        found = list(range(years[0], years[1] + 1))
     else:
         found = list(years)
     if not found or any(isinstance(y, bool) or not isinstance(y, int) or y < first for y in found):

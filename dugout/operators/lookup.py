@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dugout.errors import SchemaMismatch
@@ -18,10 +18,7 @@ from dugout.sources import schemas
 
 # What counts as a close name.
 CLOSE_ENOUGH = 0.5
-MAX_SUGGESTIONS = 5
-LENGTH_TOLERANCE = 3
-ALL_NAMES_UP_TO = 1000
-FEWEST_NEAR_NAMES = 5
+SUGGESTIONS = 5
 
 PLAIN_LAST = "name_last_plain"
 PLAIN_FIRST = "name_first_plain"
@@ -92,40 +89,35 @@ def close_ratio(matcher: SequenceMatcher, name: str) -> float:
     return value
 
 
-def _near_length(table: DataFrame, last_column: str, length: int) -> Column:
-    """Length window on last names, dropped when the table is small or few names fit.
-
-    Both counts come from one aggregate, used as a scalar subquery.
-    """
-    near = clean.length_near(ref(last_column), length, LENGTH_TOLERANCE)
-    use = table.agg((F.count(F.lit(1)) > ALL_NAMES_UP_TO) & (F.count_if(near) >= FEWEST_NEAR_NAMES)).scalar()
-    return ~use | near
-
-
 def suggest_players(
     table: DataFrame,
     last: str,
     first: str | None = None,
     ignore_accents: bool = False,
     columns: tuple[str, str] = ("name_last", "name_first"),
+    limit: int = SUGGESTIONS,
+    tolerance: int | None = None,
 ) -> DataFrame:
-    """Every row bearing one of the five closest entries' names.
+    """Every row bearing one of the ``limit`` closest entries' names.
 
-    Entries are counted one by one, so players sharing a name use up several of
-    the five; ties go to the later name. The five are found by a top-k, and
-    their names select the rows.
+    All names are scored, however many there are; with ``tolerance`` only those
+    whose last name is that much longer or shorter at most. Entries are counted
+    one by one, so players sharing a name use up several of the places; ties go
+    to the later name. The closest are found by a top-k, and their names select
+    the rows.
     """
     last_column, first_column = (PLAIN_LAST, PLAIN_FIRST) if ignore_accents else columns
     wanted = f"{_query(first, ignore_accents) or ''} {_query(last, ignore_accents)}"
-    near = table.where(_near_length(table, last_column, len(_query(last, ignore_accents))))
+    size = len(_query(last, ignore_accents))
+    near = table if tolerance is None else table.where(clean.length_near(ref(last_column), size, tolerance))
     named = near.withColumn("_name", clean.full_name(ref(first_column), ref(last_column)))
     # Each spelling is scored once however many rows bear it.
     spellings = named.groupBy("_name").agg(F.count(F.lit(1)).alias("_entries"))
     scored = spellings.withColumn("_score", similarity(wanted)("_name")).where(F.col("_score") >= CLOSE_ENOUGH)
-    best = scored.orderBy(F.desc("_score"), F.desc("_name")).limit(MAX_SUGGESTIONS)
+    best = scored.orderBy(F.desc("_score"), F.desc("_name")).limit(limit)
     earlier = Window.orderBy(F.desc("_score"), F.desc("_name")).rowsBetween(Window.unboundedPreceding, -1)
     entries = F.coalesce(F.sum("_entries").over(earlier), F.lit(0))
-    chosen = best.withColumn("_used", entries).where(F.col("_used") < MAX_SUGGESTIONS).select("_name")
+    chosen = best.withColumn("_used", entries).where(F.col("_used") < limit).select("_name")
     return named.join(chosen, "_name", "left_semi").drop("_name", PLAIN_LAST, PLAIN_FIRST)
 
 
@@ -133,28 +125,22 @@ def suggest_many(
     table: DataFrame,
     wanted: Sequence[tuple[str, str]],
     columns: tuple[str, str] = ("name_last", "name_first"),
+    limit: int = SUGGESTIONS,
+    tolerance: int | None = None,
 ) -> DataFrame:
     """Suggestions for a list of (last, first) names in one pass over the table.
 
     The list comes from the caller and travels with the task; every distinct
-    spelling is compared to it where it lies, within the length window, and only
-    close pairs leave the task. Result: query, candidate spelling, score, and
-    the number of entries that bear it.
+    spelling is compared to it where it lies, and only close pairs leave the
+    task. Result: query, candidate spelling, score, and the number of entries
+    that bear it.
     """
     last_column, first_column = columns
     queries = [(f"{last}, {first}", f"{first.lower()} {last.lower()}", len(last)) for last, first in wanted]
-    use = {
-        label: table.agg(
-            (F.count(F.lit(1)) > ALL_NAMES_UP_TO)
-            & (F.count_if(clean.length_near(ref(last_column), size, LENGTH_TOLERANCE)) >= FEWEST_NEAR_NAMES)
-        ).scalar()
-        for label, _, size in queries
-    }
     spellings = table.groupBy(
         clean.full_name(ref(first_column), ref(last_column)).alias("candidate"),
         F.char_length(ref(last_column)).alias("last_length"),
     ).agg(F.count(F.lit(1)).alias("entries"))
-    flagged = spellings.withColumn("blocked", F.array(*[use[label] for label, _, _ in queries]))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         matchers = []
@@ -164,18 +150,18 @@ def suggest_many(
             matchers.append((label, matcher, size))
         for batch in batches:
             found = []
-            for name, length, entries, blocked in batch.itertuples(index=False):
-                for (label, matcher, size), use_window in zip(matchers, blocked, strict=True):
-                    if use_window and not max(1, size - LENGTH_TOLERANCE) <= length <= size + LENGTH_TOLERANCE:
+            for name, length, entries in batch.itertuples(index=False):
+                for label, matcher, size in matchers:
+                    if tolerance is not None and abs(length - size) > tolerance:
                         continue
                     value = close_ratio(matcher, name)
                     if value >= CLOSE_ENOUGH:
                         found.append((label, name, value, entries))
             yield pd.DataFrame(found, columns=["query", "candidate", "score", "entries"])
 
-    pairs = flagged.mapInPandas(score, "query string, candidate string, score double, entries bigint")
+    pairs = spellings.mapInPandas(score, "query string, candidate string, score double, entries bigint")
     window = Window.partitionBy("query").orderBy(F.desc("score"), F.desc("candidate"))
-    kept = pairs.withColumn("_row", F.row_number().over(window)).where(F.col("_row") <= MAX_SUGGESTIONS)
+    kept = pairs.withColumn("_row", F.row_number().over(window)).where(F.col("_row") <= limit)
     earlier = Window.partitionBy("query").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
     used = kept.withColumn("_used", F.coalesce(F.sum("entries").over(earlier), F.lit(0)))
-    return used.where(F.col("_used") < MAX_SUGGESTIONS).drop("_row", "_used")
+    return used.where(F.col("_used") < limit).drop("_row", "_used")

@@ -18,22 +18,18 @@ RANK_BUCKETS = 256
 
 
 def share_of_total(counts: DataFrame, value: str, name: str, scale: float = 100.0, digits: int | None = None) -> DataFrame:
-    """Each row's part of the column total, as a scalar subquery.
+    """Each row's part of the column total.
 
-    An unpartitioned window would move all rows to one task.
+    ``counts`` is aggregated: a few rows per category. They meet in one window,
+    so that the table below is read once.
     """
-    total = counts.agg(F.sum(ref(value))).scalar()
-    share = ref(value) * F.lit(scale) / total
-    return counts.withColumn(name, share if digits is None else F.round(share, digits))
+    return share_within(counts, [], value, name, scale, digits)
 
 
 def share_within(counts: DataFrame, by: Sequence[str], value: str, name: str, scale: float = 100.0, digits: int | None = None) -> DataFrame:
     """Each row's part of its group's total; rows are already aggregated."""
-    totals = counts.groupBy(*refs(by)).agg(F.sum(ref(value)).alias("_total"))
-    same = [F.col(f"l.`{c}`").eqNullSafe(F.col(f"r.`{c}`")) for c in by]
-    joined = counts.alias("l").join(totals.alias("r"), same)
-    share = ref(value) * F.lit(scale) / F.col("_total")
-    return joined.select("l.*", (share if digits is None else F.round(share, digits)).alias(name))
+    share = ref(value) * F.lit(scale) / F.sum(ref(value)).over(Window.partitionBy(*refs(by)))
+    return counts.withColumn(name, share if digits is None else F.round(share, digits))
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -54,53 +50,65 @@ def top(df: DataFrame, order: Sequence[Column], limit: int) -> DataFrame:
 
 
 def percent_ranks(
-    df: DataFrame,
-    by: Sequence[str],
-    metric: str,
-    name: str = "percent_rank",
-    scale: float = 1.0,
-    buckets: int = RANK_BUCKETS,
+    df: DataFrame, by: Sequence[str], metric: str, name: str = "percent_rank", scale: float = 1.0, buckets: int = RANK_BUCKETS
 ) -> DataFrame:
-    """``percent_rank`` per group for groups of any size; nulls rank first.
+    """``percent_rank`` per group for groups of any size; nulls rank first."""
+    return percent_ranks_of(df, by, {metric: name}, scale, buckets)
+
 
-    Equal values are first counted together, so a frequent value is one row.
-    Those rows are cut into ordered buckets at approximate quantiles of the
-    metric; a window only ever sees one bucket of one group, and what lies in
-    the buckets before it is added from their totals. Where the cuts fall has no
-    influence on the result.
+def percent_ranks_of(
+    df: DataFrame, by: Sequence[str], names: dict[str, str], scale: float = 1.0, buckets: int = RANK_BUCKETS
+) -> DataFrame:
+    """``percent_rank`` of several metrics; ``names`` maps a metric to its rank column.
+
+    The metrics become (metric, value) rows once and are ranked together, so the
+    plan does not grow with them. Equal values are first counted together, so a
+    frequent value is one row. Those rows are cut into ordered buckets at
+    approximate quantiles of the metric; a window only ever sees one bucket of one
+    group, and what lies in the buckets before it is added from their totals.
+    Where the cuts fall has no influence on the result. The ranks come back as one
+    map per row of the table that has distinct metric values.
     """
     steps = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(ref(metric), steps, 10 * buckets)).scalar()
-    values = df.groupBy(*refs(by), ref(metric)).agg(F.count(F.lit(1)).alias("_n"))
-    bucketed = (
-        values.withColumn("_cuts", cuts)
-        .withColumn("_below", F.size(F.filter("_cuts", lambda cut: cut < ref(metric))))
-        .withColumn("_bucket", F.when(ref(metric).isNull(), F.lit(-1)).otherwise(F.col("_below")))
-        .drop("_cuts", "_below")
-    )
-    cells = bucketed.groupBy(*refs(by), "_bucket").agg(F.sum("_n").alias("_cell"))
-    whole_group = Window.partitionBy(*refs(by))
+    wide = names if len({df.schema[m].dataType for m in names}) == 1 else None
+    cells = F.array(*[F.struct(F.lit(i).alias("_m"), (ref(m) if wide else ref(m).cast("double")).alias("_v")) for i, m in enumerate(names)])
+    long = df.select(*refs(by), F.explode(cells).alias("_c")).select(*refs(by), "_c._m", "_c._v")
+    values = long.groupBy(*refs(by), "_m", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    cuts = long.groupBy("_m").agg(F.percentile_approx("_v", steps, 10 * buckets).alias("_cuts"))  # one row per metric
+    below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))
+    bucketed = values.join(cuts, "_m").withColumn("_bucket", F.when(F.col("_v").isNull(), F.lit(-1)).otherwise(below)).drop("_cuts")
+    keys = [*by, "_m"]
+    cell = bucketed.groupBy(*refs(keys), "_bucket").agg(F.sum("_n").alias("_cell"))
+    whole_group = Window.partitionBy(*refs(keys))
     before = whole_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cells.select(
-        *refs(by),
+    offsets = cell.select(
+        *refs(keys),
         "_bucket",
         F.coalesce(F.sum("_cell").over(before), F.lit(0)).alias("_before"),
         F.sum("_cell").over(whole_group).alias("_rows"),
     )
-    inside = Window.partitionBy(*refs(by), "_bucket").orderBy(ref(metric).asc_nulls_first())
+    inside = Window.partitionBy(*refs(keys), "_bucket").orderBy(F.col("_v").asc_nulls_first())
     local = bucketed.withColumn(
         "_inside", F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
-    keys = [*by, "_bucket"]
-    placed = _null_safe(local, offsets, keys).select(
-        *[F.col(f"l.`{c}`") for c in [*by, metric]],
-        F.when(F.col("_rows") == 1, F.lit(0.0))
-        .otherwise((F.col("_before") + F.col("_inside")).cast("double") / (F.col("_rows") - 1))
-        .alias("_share"),
+    share = F.when(F.col("_rows") == 1, F.lit(0.0)).otherwise((F.col("_before") + F.col("_inside")).cast("double") / (F.col("_rows") - 1))
+    placed = _null_safe(local, offsets, [*keys, "_bucket"]).select(
+        *[F.col(f"l.`{c}`") for c in [*keys, "_v"]], (share if scale == 1.0 else share * scale).alias("_share")
+    )
+    if len(names) == 1:
+        ((metric, name),) = names.items()
+        joined = _null_safe(df, placed.withColumnRenamed("_v", metric), [*by, metric])
+        return joined.select("l.*", F.col("_share").alias(name))
+    # One join for all metrics: rows with their values side by side, each looked up in its own place.
+    row = F.struct(*[ref(c) for c in df.columns]).alias("_row")
+    spread = df.select(*refs(by), row, F.monotonically_increasing_id().alias("_id"), cells.alias("_cs"))
+    each = spread.select(*refs(by), "_id", "_row", F.explode("_cs").alias("_c")).select(*refs(by), "_id", "_row", "_c._m", "_c._v")
+    each = each.withColumn("_row", F.when(F.col("_m") == 0, F.col("_row")))
+    ranked = _null_safe(each, placed, [*keys, "_v"]).select("l._id", "l._row", F.col("l._m").alias("_m"), "_share")
+    found = ranked.groupBy("_id").agg(
+        F.any_value("_row", True).alias("_row"), *[F.max(F.when(F.col("_m") == i, F.col("_share"))).alias(name) for i, name in enumerate(names.values())]
     )
-    joined = _null_safe(df, placed, [*by, metric])
-    share = F.col("_share") if scale == 1.0 else F.col("_share") * scale
-    return joined.select("l.*", share.alias(name))
+    return found.select("_row.*", *[ref(name) for name in names.values()])
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -112,24 +114,24 @@ def with_singles(df: DataFrame) -> DataFrame:
     return df.withColumn("1B", ref("H") - ref("2B") - ref("3B") - ref("HR"))
 
 
+@cache
+def _stat_patterns() -> tuple[tuple[re.Pattern, str], ...]:
+    """Name patterns and their types, in the order they are tried.
+
+    A stat may carry a prefix up to the last underscore. Counts that other tables
+    use under the same short name need a prefix with one of the guard words.
+    """
+    kinds = (("string", schemas.STAT_TEXT), ("bigint", schemas.STAT_INTEGERS), ("double", schemas.STAT_DOUBLES))
+    either = lambda names: "|".join(map(re.escape, sorted(names)))
+    plain = [(f"(?:{either(names)})", kind) for kind, names in kinds]
+    guarded = [(f".*(?i:{either(schemas.STAT_GUARD_WORDS)}).*_(?:{either(found)})", kind) for kind, names in kinds if (found := set(names) & set(schemas.STAT_GUARDED_SUFFIXES))]
+    prefixed = [(f".*_(?:{either(found)})", kind) for kind, names in kinds if (found := set(names) - set(schemas.STAT_GUARDED_SUFFIXES))]
+    return tuple((re.compile(pattern, re.S), kind) for pattern, kind in (*plain, *guarded, *prefixed))
+
+
 def stat_type(name: str) -> str | None:
-    """Type of a stat-table column by its name, or by what follows the last ``_``."""
-    exact = _stat_type_exact(name)
-    if exact is not None or "_" not in name:
-        return exact
-    prefix, suffix = name.rsplit("_", 1)
-    guarded = suffix in schemas.STAT_GUARDED_SUFFIXES
-    if guarded and not any(word in prefix.lower() for word in schemas.STAT_GUARD_WORDS):
-        return None
-    return _stat_type_exact(suffix)
-
-
-def _stat_type_exact(name: str) -> str | None:
-    if name in schemas.STAT_TEXT:
-        return "string"
-    if name in schemas.STAT_INTEGERS:
-        return "bigint"
-    return "double" if name in schemas.STAT_DOUBLES else None
+    """Type of a stat-table column by its name, none for names without a rule."""
+    return next((kind for pattern, kind in _stat_patterns() if pattern.fullmatch(name)), None)
 
 
 def coerced(col: Column, have: str, want: str) -> Column:

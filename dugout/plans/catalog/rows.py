@@ -14,7 +14,7 @@ from dugout.plans.catalog.base import query, table
 def stat_filters(spark, folder):
     part = table(spark, folder, "part")
     return filters.stat_filter(
-        part, [("p_size", ">", 20), ("p_retailprice", ">=", "950"), filters.StatFilter("p_brand", "!=", "Brand#13")]
+        part, [("p_size", ">", 20), ("p_retailprice", ">=", "950"), filters.rule("p_brand", "!=", "Brand#13")]
     )
 
 

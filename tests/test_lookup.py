@@ -41,9 +41,6 @@ def test_suggestions(spark):
 def _by_hand(people, last, first):
     """The same rule with the standard library, one entry at a time."""
     names = [(f"{f.lower()} {n.lower()}", n, i) for n, f, i in people]
-    if len(names) > 1000:
-        near = [x for x in names if max(1, len(last) - 3) <= len(x[1]) <= len(last) + 3]
-        names = near if len(near) >= 5 else names
     close = get_close_matches(f"{first} {last}", [n for n, _, _ in names], n=5, cutoff=0.5)
     return sorted(i for n, _, i in names if n in close)
 
@@ -59,6 +56,16 @@ def test_suggestions_equal_the_standard_library(spark):
             assert _ids(lookup.suggest_players(table, last, first)) == _by_hand(people, last, first)
 
 
+def test_more_names_hide_no_candidate(spark):
+    """The same name has the same candidates below and above a thousand rows."""
+    far = [("q" * 12, "zz", 10_000 + i) for i in range(1500)]
+    few, many = _table(spark), _table(spark, PEOPLE + far)
+    for last, first in (("trut", "mike"), ("judgemental", "aaron")):
+        assert _ids(lookup.suggest_players(few, last, first)) == _ids(lookup.suggest_players(many, last, first)) != []
+    assert _ids(lookup.suggest_players(many, "judgemental", "aaron", tolerance=1)) == []
+    assert len(_ids(lookup.suggest_players(few, "trut", "mike", limit=1))) == 1
+
+
 def test_batch_suggestions_equal_single_ones(spark):
     rng = random.Random(3)
     people = [("".join(rng.choices("aeinrst", k=rng.randint(2, 9))), rng.choice(["Al", "Bo"]), i) for i in range(1200)]

@@ -91,14 +91,14 @@ def test_filter_language(spark):
     with pytest.raises(InvalidParameter):
         filters.stat_filter(df, [("None", ">", 1)])
     with pytest.raises(InvalidParameter):
-        filters.StatFilter("HR", "~", 1)
+        filters.rule("HR", "~", 1)
     with pytest.raises(TypeError):
-        filters.StatFilter.of(("HR", ">"))
+        filters.stat_filter(df, [("HR", ">")])
 
 
 @given(st.lists(st.tuples(st.from_regex(r"[A-Za-z%+-]{1,8}", fullmatch=True), st.sampled_from(["gt", "gte", "lt", "lte", "eq", "ne"]), st.from_regex(r"[A-Za-z0-9.]{1,6}", fullmatch=True)), max_size=4))
 def test_filter_text_round_trip(rules):
-    wanted = [filters.StatFilter(*rule) for rule in rules]
+    wanted = [filters.rule(*rule) for rule in rules]
     assert filters.parse_filters(filters.format_filters(wanted)) == wanted
 
 
@@ -111,6 +111,9 @@ def test_clip_bounds_and_default(spark):
 
 
 def test_argument_rules():
+    with pytest.raises(InvalidParameter):
+        filters.year_list((2020, 2018))
+    assert len(filters.year_list()) == 1
     assert filters.year_list((2021, 2023)) == [2021, 2022, 2023] and filters.year_list(2020) == [2020]
     with pytest.raises(InvalidParameter):
         filters.year_list(2014)
@@ -212,3 +215,18 @@ def test_other_boards(spark):
     assert [(r.pitcher, r.axis_difference) for r in spin] == [("p1", -20.0)]
     with pytest.raises(InvalidParameter):
         boards.bat_tracking(df)
+
+
+def test_filter_values_keep_every_digit(spark):
+    df = spark.createDataFrame([(9007199254740992,), (9007199254740993,), (None,)], "id bigint")
+    assert [r.id for r in filters.stat_filter(df, [("id", "=", "9007199254740993")]).collect()] == [9007199254740993]
+    assert filters.stat_filter(df, [("id", ">", "9007199254740992.5")]).count() == 1
+    with pytest.raises(InvalidParameter):
+        filters.stat_filter(df, [("id", "=", "many")])
+
+
+def test_all_positions_are_refused(spark):
+    df = spark.createDataFrame([("7",)], "pos string")
+    for position in ("ALL", "OF", "C"):
+        with pytest.raises(InvalidParameter):
+            filters.positioned(df, position)

@@ -56,9 +56,17 @@ def test_small_dimension_is_broadcast_by_size_only(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_share_needs_no_single_partition_window(spark):
-    text = plan(boards.pitch_mix(table(spark, FOLDER, "events"), "event_type", "value"))
-    assert "Window" not in text and "Subquery" in text
+def scans(df) -> int:
+    """Reads of a table in the plan that runs."""
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_shares_read_the_table_once(spark):
+    events = table(spark, FOLDER, "events")
+    assert scans(boards.pitch_mix(events, "event_type", "value")) == 1
+    renamed = events.selectExpr("user_id as pitcher", "event_type as pitch_type", "value as release_speed", "value as release_spin_rate", "value as estimated_woba_using_speedangle")
+    assert scans(boards.arsenal_stats(renamed, minimum=2)) == 1
+    assert scans(boards.arsenal_wide(renamed, "n_", minimum=2)) == 1
 
 
 def test_percent_ranks_never_sort_a_whole_group(spark):
@@ -66,8 +74,16 @@ def test_percent_ranks_never_sort_a_whole_group(spark):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_percentile_plan_does_not_grow_with_the_metrics(spark):
+    lines = table(spark, FOLDER, "lineitem")
+    made = lines.select("l_returnflag", "l_orderkey", *[(F.col("l_quantity") + i).alias(f"m{i}") for i in range(10)])
+    sizes = [scans(ranks.percent_ranks_of(made, ["l_returnflag"], {f"m{i}": f"r{i}" for i in range(n)})) for n in (1, 3, 10)]
+    assert len(set(sizes)) == 1
+
+
 def test_library_avoids_what_does_not_scale():
-    sources = {p: p.read_text() for p in Path(inspect.getfile(dugout)).parent.rglob("*.py")}
+    root = Path(inspect.getfile(dugout)).parent
+    sources = {p: p.read_text() for p in root.rglob("*.py") if p.relative_to(root).parts[0] != "llm"}
     for path, text in sources.items():
         for word in ("crossJoin", "localCheckpoint", "toPandas", "F.udf(", "collect_list", "broadcast("):
             assert word not in text, (path, word)
