@@ -240,7 +240,19 @@ def page_rankings(spark, folder):
 select page_id, page_id % 6 = 0 as is_bad, case when page_id % 6 = 0 then 'Too many rows' end as reason from pages""")
 def payload_quarantine(spark, folder):
     key = F.col("page_id")
-    body = F.when(key % 6 == 0, "code,error\n7,Too many rows\n").otherwise(F.concat(F.lit("a" * 200), F.col("html")))
+    body = F.when(key % 6 == 0, "code,error\n7,Too many rows\n").otherwise(F.col("html"))
     good, bad = split_rejected(table(spark, folder, "pages").select("page_id", body.alias("body")))
     kept = good.select("page_id", F.lit(False).alias("is_bad"), F.lit(None).cast("string").alias("reason"))
     return kept.unionByName(bad.select("page_id", F.lit(True).alias("is_bad"), clean.trim_text(F.col("reason")).alias("reason")))
+
+
+@query("""
+select page_id, page_id % 4 = 0 as is_bad, case when page_id % 4 = 0 then 'too "large", sorry' end as reason from pages""")
+def rejected_payloads(spark, folder):
+    """A table with an ``errors`` column is good; one headed ``error`` is not."""
+    key = F.col("page_id")
+    good_body = F.concat(F.lit("player_name,fielding_errors,year\nError,"), key.cast("string"), F.lit(",2024\n"))
+    body = F.when(key % 4 == 0, 'Error,code\r\n"too ""large"", sorry",7\r\n').otherwise(good_body)
+    good, bad = split_rejected(table(spark, folder, "pages").select("page_id", body.alias("body")))
+    kept = good.select("page_id", F.lit(False).alias("is_bad"), F.lit(None).cast("string").alias("reason"))
+    return kept.unionByName(bad.select("page_id", F.lit(True).alias("is_bad"), "reason"))

@@ -21,19 +21,42 @@ LANDING = {
 }
 KEY = "payload_key"
 
-# Where an error answer shows itself, and the key's schema version.
+# The heading of an error answer, and the key's schema version.
 ERROR_WORD = "error"
-ERROR_WITHIN = 200
 KEY_VERSION = 1
+#: Columns of an error answer that are looked at for the reason.
+ERROR_CELLS = 16
+#: First and last bytes of a Parquet file.
+PARQUET_MARK = b"PAR1"
 
 
-def read_landing(spark: SparkSession, path: str, provider: str | None = None) -> DataFrame:
-    """Landed payloads; files that are not readable are skipped, not fatal."""
-    reader = spark.read.schema(schemas.struct(LANDING)).option("ignoreCorruptFiles", "true")
+def read_landing(spark: SparkSession, path: str, provider: str | None = None, skip_unreadable: bool = False) -> DataFrame:
+    """Landed payloads. A file that cannot be read fails the job, unless it is to be skipped.
+
+    ``unreadable_files`` names those that would be.
+    """
+    reader = spark.read.schema(schemas.struct(LANDING)).option("ignoreCorruptFiles", str(skip_unreadable).lower())
     table = reader.parquet(path)
     return table if provider is None else table.where(ref("provider") == provider)
 
 
+def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path`` and ``length`` of landed files that give no rows: those no reader gets through.
+
+    The folder's files are listed, without their contents; what a lenient scan of
+    the row positions reaches is taken away, and so are whole files without rows.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+    whole = spark.read.option("ignoreCorruptFiles", "true").schema("fetched_at timestamp").parquet(path)
+    reached = whole.select(F.col("_metadata.file_path").alias("path")).distinct()
+    suspects = files.select("path", "length").join(reached, "path", "left_anti")
+    # Only files without a row are opened; a good one holds its footer between two marks.
+    content = files.select("path", "content").join(suspects.select("path"), "path", "left_semi")
+    mark = F.lit(PARQUET_MARK)
+    sound = (F.substring("content", 1, 4) == mark) & (F.substring("content", -4, 4) == mark)
+    return suspects.join(content.where(sound).select("path"), "path", "left_anti")
+
+
 def payload_key(url: Column, params: Column, version: int = KEY_VERSION) -> Column:
     """Key of a request: the same URL and parameters in any order give the same key."""
     pairs = F.transform(F.array_sort(F.map_entries(params)), lambda e: F.concat_ws("=", e["key"], e["value"]))
@@ -64,20 +87,26 @@ def latest_payloads(payloads: DataFrame, max_age: str | None = None, now: Column
 
 
 def looks_rejected(body: Column) -> Column:
-    """An answer that reports an error instead of data."""
-    return F.locate(ERROR_WORD, F.substring(body, 1, ERROR_WITHIN)) > 0
+    """An answer that reports an error instead of data: a heading of its first line is ``error``."""
+    return F.array_contains(_headings(body), ERROR_WORD)
+
+
+def _headings(body: Column) -> Column:
+    first = F.regexp_extract(body, r"\A\s*([^\r\n]*)", 1)
+    return F.transform(F.split(first, ","), lambda h: F.lower(F.trim(F.regexp_replace(h, '"', ""))))
 
 
 def split_rejected(payloads: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
     """Good and rejected payloads; the rejected carry the reason.
 
-    In an error answer the column headed ``error`` holds the reason.
+    In an error answer the column headed ``error`` holds the reason; without one
+    the whole body is the reason. Null bodies are rejected.
     """
     bad = F.coalesce(looks_rejected(ref(body)), F.lit(True))
-    lines = F.split(ref(body), r"\r?\n")
-    headings = F.transform(F.split(F.try_element_at(lines, F.lit(1)), ","), lambda h: F.lower(F.trim(h)))
-    cells = F.split(F.try_element_at(lines, F.lit(2)), ",")
-    position = F.array_position(headings, ERROR_WORD).cast("int")
-    reason = F.when(position > 0, F.try_element_at(cells, F.greatest(position, F.lit(1))))
-    rejected = payloads.where(bad).withColumn("reason", F.coalesce(reason, F.substring(ref(body), 1, ERROR_WITHIN)))
+    record = F.regexp_extract(ref(body), r"\A\s*[^\r\n]*\r?\n([\s\S]*)", 1)
+    cells = F.from_csv(record, ", ".join(f"c{i} string" for i in range(ERROR_CELLS)), {"multiLine": "true", "escape": '"'})
+    position = F.array_position(_headings(ref(body)), ERROR_WORD)
+    listed = F.array(*[cells[f"c{i}"] for i in range(ERROR_CELLS)])
+    reason = F.when(position.between(1, ERROR_CELLS), F.nullif(F.regexp_extract(F.get(listed, position.cast("int") - 1), r"\A\s*([^\r\n]*)", 1), F.lit("")))
+    rejected = payloads.where(bad).withColumn("reason", F.coalesce(reason, ref(body)))
     return payloads.where(~bad), rejected

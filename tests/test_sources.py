@@ -118,6 +118,21 @@ def test_rejected_payloads(spark):
     good, bad = payloads.split_rejected(df)
     assert good.count() == 2
     assert {r.reason for r in bad.collect()} == {"Too large", None}
+    tables = spark.createDataFrame([("player_name,fielding_errors,year\nA,1,2024",), ('code,"error"\n7,"Too, many"',)], "body string")
+    good, bad = payloads.split_rejected(tables)
+    assert good.first().body.startswith("player_name") and [r.reason for r in bad.collect()] == ["Too, many"]
+
+
+def test_unreadable_files_are_named(spark, tmp_path):
+    folder = tmp_path / "landed"
+    row = spark.range(1).selectExpr("'p' as provider", "'u' as url", "map('a', 'b') as params", "timestamp'2024-01-01' as fetched_at", "'x' as body")
+    row.coalesce(1).write.parquet(str(folder))
+    row.limit(0).coalesce(1).write.mode("append").parquet(str(folder))
+    (folder / "junk.parquet").write_bytes(b"no table at all, only some bytes")
+    assert [r.path.rsplit("/", 1)[1] for r in payloads.unreadable_files(spark, str(folder)).collect()] == ["junk.parquet"]
+    assert payloads.read_landing(spark, str(folder), skip_unreadable=True).count() == 1
+    with pytest.raises(Exception, match="junk|CANNOT_READ|FAILED_READ"):
+        payloads.read_landing(spark, str(folder)).collect()
 
 
 PITCHES = [
