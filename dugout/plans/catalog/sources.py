@@ -35,7 +35,7 @@ def manifest_checksums(spark, folder):
 
 def _land_csv(df, name, header=True):
     path = scratch_path(df.sparkSession, name)
-    df.write.option("header", header).option("emptyValue", "").option("nullValue", "").csv(path)
+    df.write.option("header", header).option("emptyValue", "").option("nullValue", "").option("escape", '"').csv(path)
     return path
 
 
@@ -110,15 +110,46 @@ def game_log_files(spark, folder):
 @query("""
 select o_orderkey::varchar as date, o_orderstatus as game_num, o_orderpriority as date_of_makeup, 12 as n_columns from orders""")
 def schedule_files(spark, folder):
-    """Long lines: what comes after the twelfth column is cut."""
     fill = [F.lit("x").alias(f"f{i}") for i in range(9)]
-    landed = table(spark, folder, "orders").select(
-        F.col("o_orderkey").cast("string"), "o_orderstatus", *fill, "o_orderpriority", F.lit("beyond"), F.lit("more")
-    )
+    landed = table(spark, folder, "orders").select(F.col("o_orderkey").cast("string"), "o_orderstatus", *fill, "o_orderpriority")
     read = files.read_schedules(spark, _land_csv(landed, "schedules", header=False))
     return read.select("date", "game_num", "date_of_makeup", F.lit(len(read.columns)).alias("n_columns"))
 
 
+@query("""
+select o_orderkey::varchar as date, 'beyond' as first_beyond from orders where o_orderkey % 3 = 0""")
+def long_rows(spark, folder):
+    """Schedule lines with more cells than a schedule has: the reader refuses them, this names them."""
+    fill = [F.lit("x").alias(f"f{i}") for i in range(10)]
+    beyond = F.when(F.col("o_orderkey") % 3 == 0, F.lit("beyond"))
+    landed = table(spark, folder, "orders").select(F.col("o_orderkey").cast("string"), "o_orderstatus", *fill, beyond.alias("beyond"))
+    found = files.long_rows(spark, _land_csv(landed, "schedules", header=False), schemas.SCHEDULE_FILE)
+    return found.select("date", F.col(files.BEYOND).alias("first_beyond"))
+
+
+@query("""
+select l_orderkey as game_pk, l_linenumber::bigint as inning, 'a, "b"' || chr(10) || l_returnflag as des from lineitem""")
+def pitch_csv_quoted(spark, folder):
+    """Cells with commas, quotes and line breaks inside quotes."""
+    lines = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("game_pk"), F.col("l_linenumber").alias("inning"), F.concat(F.lit('a, "b"\n'), "l_returnflag").alias("des")
+    )
+    return files.read_pitch_csv(spark, _land_csv(lines, "pitch-quoted"))
+
+
+@query("""
+select l_orderkey as game_pk, l_linenumber::bigint as inning, case when l_linenumber < 4 then l_returnflag end as pitch_type,
+       case when l_linenumber >= 4 then l_shipmode end as mode from lineitem""")
+def pitch_csv_mixed(spark, folder):
+    """Landed files of two headers in one folder."""
+    lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("game_pk"), F.col("l_linenumber").alias("inning"), "l_returnflag", "l_shipmode")
+    path = scratch_path(spark, "mixed")
+    for some, last, name in (("inning < 4", "l_returnflag", "pitch_type"), ("inning >= 4", "l_shipmode", "mode")):
+        part = lines.where(some).select("game_pk", "inning", F.col(last).alias(name))
+        part.write.mode("append").option("header", True).csv(path)
+    return files.read_mixed_csv(spark, path)
+
+
 @query("""
 select n_nationkey::varchar as park_id, n_name as name, n_regionkey::varchar as nickname from nation""")
 def park_code_file(spark, folder):

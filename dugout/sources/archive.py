@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import io
+import itertools
 import re
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -17,6 +19,10 @@ from dugout.operators.typed import trim_table
 from dugout.sources import schemas
 
 
+#: Records of a member that are handed over at once.
+RECORDS_AT_ONCE = 5_000
+
+
 def table_file(name: str) -> str:
     """Archive member of a table given as ``Batting``, ``batting`` or ``core/Batting.csv``."""
     key = name.replace("_", "").lower()
@@ -69,13 +75,40 @@ def unzip_members(spark: SparkSession, archives: str, pattern: str) -> DataFrame
 
 
 def csv_from_archive(spark: SparkSession, archives: str, pattern: str, target: str) -> DataFrame:
-    """Land the matching members as text lines, then read them as one CSV table."""
-    members = unzip_members(spark, archives, pattern)
-    if members.isEmpty():
+    """The matching members as one table, landed as Parquet below ``target`` and typed from there.
+
+    Every member has its own header line; cells in quotes may hold commas, doubled
+    quotes and line breaks. Members are read record by record where their archive
+    lies, and land as (member, cells by name).
+    """
+    files = spark.read.format("binaryFile").load(archives).select("content")
+
+    def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for content in batch["content"]:
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    for member in [m for m in archive.namelist() if re.search(pattern, m)]:
+                        with archive.open(member) as raw:
+                            lines = csv.reader(io.TextIOWrapper(raw, "utf-8-sig", newline=""))
+                            head = [name.strip() for name in next(lines, [])]
+                            rows = (dict(zip(head, cells, strict=False)) for cells in lines if cells)
+                            yield pd.DataFrame({"member": [member], "head": [head], "cells": [{}]})  # a member without rows counts too
+                            while chunk := list(itertools.islice(rows, RECORDS_AT_ONCE)):
+                                size = len(chunk)
+                                yield pd.DataFrame({"member": [member] * size, "head": [None] * size, "cells": chunk})
+
+    landed = files.mapInPandas(records, "member string, head array<string>, cells map<string,string>")
+    landed.write.mode("overwrite").parquet(f"{target.rstrip('/')}/records")
+    read = spark.read.parquet(f"{target.rstrip('/')}/records")
+    heads = [r["head"] for r in read.where("head is not null").select("head").distinct().orderBy("head").collect()]  # one per kind of member
+    if not heads:
         raise MissingPartition(f"No archive member matches {pattern!r}.")
-    lines = F.explode(F.split(F.regexp_replace(F.col("content").cast("string"), "\r\n", "\n"), "\n"))
-    members.select("member", lines.alias("line")).where("line != ''").select("line").write.mode("overwrite").text(target)
-    return trim_table(spark.read.option("header", True).option("inferSchema", True).option("nullValue", "").csv(target))
+    names = list(dict.fromkeys(name for head in heads for name in head))
+    rows = read.where("head is null").select(*[F.try_element_at("cells", F.lit(n)).alias(n) for n in names])
+    # Types are found by Spark's own CSV reader, on the rows as one uniform file set.
+    rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{target.rstrip('/')}/table")
+    table = spark.read.option("header", True).option("inferSchema", True).option("nullValue", "").option("multiLine", True)
+    return trim_table(table.option("escape", '"').csv(f"{target.rstrip('/')}/table"))
 
 
 def content_hash(df: DataFrame) -> F.Column:

@@ -7,21 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.errors import InvalidParameter, PayloadRejected
+from dugout.errors import InvalidParameter, MissingPartition, PayloadRejected
 from dugout.functions import clean
+from dugout.operators.align import diagonal_union
 from dugout.operators.filters import named_players, team_seasons
 from dugout.operators.names import ref
 from dugout.operators.typed import known_columns, lenient_casts, strict_table, trim_table
 from dugout.sources import schemas
 
+#: Column that takes the first cell beyond the declared ones.
+BEYOND = "_beyond"
+
 
 def read_text_csv(spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None, null: str = "") -> DataFrame:
     """Headered CSV with every column as text.
 
-    Given ``columns`` the header is not sampled, so planning reads no data.
+    Cells in quotes may hold commas, doubled quotes and line breaks, so a file is
+    read from its start; many landed files are still many tasks. Given
+    ``columns`` the header is not sampled, so planning reads no data.
     """
     reader = spark.read.option("header", True).option("nullValue", null).option("enforceSchema", False)
-    reader = reader.option("multiLine", False)
+    reader = reader.option("multiLine", True).option("escape", '"')
     if columns is not None:
         reader = reader.schema(schemas.struct(dict.fromkeys(columns, "string")))
     return reader.csv(path)
@@ -32,6 +38,23 @@ def read_pitch_csv(spark: SparkSession, path: str | list[str], columns: Sequence
     return lenient_casts(trim_table(read_text_csv(spark, path, columns)), schemas.CSV_OVERRIDES)
 
 
+def read_mixed_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Landed pitch CSV files whose headers differ, in one table.
+
+    The first line of every file is read once; files with the same header are one
+    scan, and the scans are aligned by column name.
+    """
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    # The first block of a file is one task, which sees its lines in order.
+    heads = lines.where("file_block_start = 0").groupBy("file_path").agg(F.first("value").alias("head"))
+    groups: dict[str, list[str]] = {}
+    for row in heads.orderBy("file_path").collect():  # a name and a header line per landed file
+        groups.setdefault(row["head"], []).append(row["file_path"])
+    if not groups:
+        raise MissingPartition(f"No CSV file in {path}.")
+    return diagonal_union(*[read_pitch_csv(spark, paths) for _, paths in sorted(groups.items())])
+
+
 def read_leaderboard(
     spark: SparkSession,
     root: str,
@@ -64,15 +87,27 @@ def read_crosswalk(spark: SparkSession, path: str, season: int | None = None, le
     return team_seasons(table, season, league)
 
 
-def read_positional(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
-    """Headerless CSV; short rows are padded with nulls and long rows cut."""
-    schema = schemas.struct(dict.fromkeys(columns, "string"))
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").csv(path)
+def read_positional(spark: SparkSession, path: str | list[str], columns: Sequence[str], cut: bool = False) -> DataFrame:
+    """Headerless CSV; short rows are padded with nulls.
+
+    A row with more cells than columns fails the job, unless long rows are to be ``cut``.
+    """
+    table = spark.read.schema(schemas.struct(dict.fromkeys([*columns, BEYOND], "string"))).option("mode", "PERMISSIVE").csv(path)
+    if not cut:
+        message = F.concat(F.lit(f"a row has more than {len(columns)} cells: "), ref(BEYOND))
+        table = table.where(F.when(ref(BEYOND).isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    return table.drop(BEYOND)
+
+
+def long_rows(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
+    """The rows of headerless CSV that have more cells than columns, with the first cell beyond."""
+    table = spark.read.schema(schemas.struct(dict.fromkeys([*columns, BEYOND], "string"))).option("mode", "PERMISSIVE").csv(path)
+    return table.where(ref(BEYOND).isNotNull())
 
 
 def read_game_logs(spark: SparkSession, path: str | list[str], numbers: Sequence[str] = ()) -> DataFrame:
     """Game logs; the columns named in ``numbers`` are read as whole numbers."""
-    table = read_positional(spark, path, schemas.GAME_LOG_FILE)
+    table = read_positional(spark, path, schemas.GAME_LOG_FILE, cut=True)
     return lenient_casts(table, dict.fromkeys(numbers, "bigint")) if numbers else table
 
 

@@ -25,6 +25,8 @@ ROW_FIELDS = (
     "struct<part:string,css:string,texts:array<string>,heads:array<string>,datas:array<string>,"
     "spans:array<int>,links:array<string>>"
 )
+#: Pages whose tables are held as Python objects at once.
+PAGES_AT_ONCE = 64
 LINK_PATTERN = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
 
 _TOKEN = re.compile(
@@ -64,11 +66,15 @@ class _Open:
 def _scan(html: str, origin: str = "page") -> list[dict]:
     """Tables of a page, then those in its comments; missing end tags are implied."""
     done, commented, stack, divs, last = [], [], [], [], 0
+    held = []  # tables with the container they lie in
+    outside = None  # the container whose caption is being read, outside any table
     for token in _TOKEN.finditer(html):
         comment, _, end, tag, rest = token.groups()
         start = token.start()
-        if stack and start > last:
+        if start > last and (stack or outside is not None):
             text = _plain(html[last:start])
+            if outside is not None:
+                outside["caption"] += text
             for state in stack:
                 state.add(text)
         last = token.end()
@@ -78,22 +84,33 @@ def _scan(html: str, origin: str = "page") -> list[dict]:
             continue
         tag = tag.lower()
         if end:
+            if tag in ("caption", "div"):
+                outside = None
             _close(tag, stack, divs)
         elif tag == "div":
-            divs.append(_attributes(rest).get("class", ""))
+            divs.append({"class": _attributes(rest).get("class", ""), "caption": None})
+        elif tag == "caption" and not stack:
+            if divs and divs[-1]["caption"] is None:
+                outside = divs[-1]
+                outside["caption"] = ""
         elif tag == "table":
             table = {
                 "table_index": len(done),
                 "table_id": _attributes(rest).get("id"),
                 "origin": origin,
-                "container": divs[-1] if divs else None,
+                "container": divs[-1]["class"] if divs else None,
                 "caption": None,
                 "rows": [],
             }
             done.append(table)
             stack.append(_Open(table))
+            outside = None
+            held.append((table, divs[-1] if divs else None))
         elif stack:
             _open(tag, rest, stack[-1])
+    for table, container in held:  # a caption that stands in the container, before or after the table
+        if table["caption"] is None and container is not None:
+            table["caption"] = container["caption"]
     for position, table in enumerate(commented):
         table["table_index"] = position
     return done + commented
@@ -117,7 +134,7 @@ def _open(tag: str, rest: str, state: _Open) -> None:
             state.row["links"].append(href)
 
 
-def _close(tag: str, stack: list[_Open], divs: list[str]) -> None:
+def _close(tag: str, stack: list[_Open], divs: list[dict]) -> None:
     if tag == "div":
         divs[-1:] = []
     elif tag == "table":
@@ -159,12 +176,14 @@ def page_tables(pages: DataFrame, keys: Sequence[str], html: str = "html", id_pr
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                key | table | {"rows": [_row(row) for row in table["rows"]]}
-                for key, page in _keyed(batch)
-                for table in _chosen(_scan(page), id_prefix)
-            ]
-            yield pa.RecordBatch.from_pylist(found, schema=arrow)
+            # A few pages at a time: tables as Python objects are many times the page.
+            for start in range(0, batch.num_rows, PAGES_AT_ONCE):
+                found = [
+                    key | table | {"rows": [_row(row) for row in table["rows"]]}
+                    for key, page in _keyed(batch.slice(start, PAGES_AT_ONCE))
+                    for table in _chosen(_scan(page), id_prefix)
+                ]
+                yield pa.RecordBatch.from_pylist(found, schema=arrow)
 
     return with_tables.mapInArrow(extract, schema)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from dugout.errors import InvalidParameter
 from dugout.plans import probe, tables
@@ -60,6 +61,33 @@ def test_splits_in_comments(spark):
     assert tuple(tables.player_info(pages(spark, info), ["page"]).first().player_info) == ("Centerfielder", "Right", "Right")
 
 
+@pytest.mark.parametrize(
+    "shape",
+    ['<div class="table_container"><caption>{c}</caption><table>{t}</table></div>', '<div class="table_container"><table>{t}</table><caption>{c}</caption></div>',
+     '<div class="table_container"><div><caption>no</caption></div><table><caption>{c}</caption>{t}</table></div>'],
+)
+def test_split_captions_anywhere_in_the_container(spark, shape):
+    rows = "<tr><th>Split</th><th>H</th></tr><tr><th>{}</th><td>9</td></tr>"
+    made = "".join(shape.format(c=c, t=rows.format(i)) for i, c in enumerate(("Home or Away", "By Inning", "Top Level")))
+    found = tables.splits(pages(spark, f"<html><!-- {made} --></html>"), ["page"]).collect()
+    assert sorted((r.split_type, r.is_level, r.cells["Split"]) for r in found) == [("Home or Away", False, "0"), ("Top Level", True, "2")]
+
+
+def test_all_character_references_are_resolved(spark):
+    from dugout.plans.probe import unescaped
+
+    df = spark.createDataFrame([("Jos&eacute; &amp;amp; &#x27;x&#39;&nbsp;",), (None,)], "t string")
+    assert [r[0] for r in df.select(unescaped(F.col("t"))).collect()] == ["José &amp; 'x'\xa0", None]
+
+
+def test_tables_come_in_several_batches(spark, monkeypatch):
+    from dugout.sources import html
+
+    monkeypatch.setattr(html, "PAGES_AT_ONCE", 7)
+    df = spark.range(200).selectExpr("id as page", "concat('<table><tr><td>', id, '</td></tr></table>') as html").coalesce(1)
+    assert html.page_tables(df, ["page"]).select("page").distinct().count() == 200
+
+
 def test_generic_tables(spark):
     body = "<table><tr><th>Rk</th><th>Player</th></tr><tr><td>10</td><td>A</td><td>extra</td></tr><tr><td>2</td></tr></table><table></table>"
     rows = tables.all_tables(pages(spark, body), ["page"])

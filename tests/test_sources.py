@@ -97,6 +97,23 @@ def test_archive(spark, tmp_path):
         archive.table_file("bowling")
 
 
+def test_members_have_their_own_headers_and_quoted_breaks(spark, tmp_path):
+    path = tmp_path / "two.zip"
+    with zipfile.ZipFile(path, "w") as made:
+        made.writestr("x/people-0.csv", 'id,name\n1,"a\nb"\n2,"c, ""d"""\n')
+        made.writestr("x/people-1.csv", "name,id,more\ne,3,4.5\n")
+        made.writestr("x/people-2.csv", "id,name\n")
+    table = archive.csv_from_archive(spark, str(path), r"/people.+csv$", str(tmp_path / "landed"))
+    assert sorted((r.id, r.name, r.more) for r in table.collect()) == [(1, "a\nb", None), (2, 'c, "d"', None), (3, "e", 4.5)]
+
+
+def test_long_rows_are_refused_and_named(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("20240401,0,Mon\n" + ",".join("abcdefghijklm") + "\n")
+    with pytest.raises(Exception, match="more than 12 cells"):
+        files.read_schedules(spark, str(tmp_path / "s.csv")).collect()
+    assert [r.date for r in files.long_rows(spark, str(tmp_path / "s.csv"), schemas.SCHEDULE_FILE).collect()] == ["a"]
+
+
 def test_manifest_hash_ignores_order(spark):
     df = spark.range(50).withColumn("v", F.col("id") * 2)
     entries = archive.manifest([("a", "x", df), ("b", "y", df.orderBy(F.desc("id"))), ("c", "z", df.limit(49))]).collect()
