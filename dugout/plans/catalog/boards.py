@@ -181,6 +181,18 @@ def percentile_ties(spark, folder):
     return ranks.percent_ranks(lines, ["l_returnflag"], "l_quantity")
 
 
+_TEN = ", ".join(f"percent_rank() over (partition by l_returnflag order by (l_partkey + {i} * l_suppkey) % {97 + i}) as r{i}" for i in range(10))
+
+
+@query(f"select l_orderkey, l_linenumber, {_TEN} from lineitem")
+def percentile_many(spark, folder):
+    """Ten metrics ranked in one pass."""
+    metrics = [f"(l_partkey + {i} * l_suppkey) % {97 + i} as m{i}" for i in range(10)]
+    lines = table(spark, folder, "lineitem").selectExpr("l_orderkey", "l_linenumber", "l_returnflag", *metrics)
+    ranked = ranks.percent_ranks_of(lines, ["l_returnflag"], {f"m{i}": f"r{i}" for i in range(10)})
+    return ranked.select("l_orderkey", "l_linenumber", *[f"r{i}" for i in range(10)])
+
+
 @query("""
 with b as (select c_custkey as player_id, c_name as player_name, c_nationkey as year, c_acctbal as ev, c_custkey % 37 as xba from customer where c_custkey != 999999)
 select *, percent_rank() over (partition by year order by ev) * 100.0 as ev_percentile,

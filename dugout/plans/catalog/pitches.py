@@ -82,6 +82,14 @@ def partition_force(spark, folder):
     return pitches.scan_seasons(spark, root, None, ORDER_TYPES, **ANY_YEAR)
 
 
+@query("select o_orderkey, o_orderstatus as game_date from orders where o_orderkey % 7 = 0")
+def season_rejects(spark, folder):
+    """Rows whose date cannot be read are named, not dropped."""
+    day = F.when(F.col("o_orderkey") % 7 == 0, F.col("o_orderstatus")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    landed = table(spark, folder, "orders").select("o_orderkey", day.alias("game_date"))
+    return pitches.season_rejects(landed)
+
+
 @query("select distinct year(o_orderdate)::int as season from orders")
 def stored_seasons(spark, folder):
     orders, root, years, options = _order_seasons(spark, folder, "stored")

@@ -139,12 +139,12 @@ def pitch_csv_quoted(spark, folder):
 
 @query("""
 select l_orderkey as game_pk, l_linenumber::bigint as inning, case when l_linenumber < 4 then l_returnflag end as pitch_type,
-       case when l_linenumber >= 4 then l_shipmode end as mode from lineitem""")
+       case when l_linenumber >= 4 then l_linestatus end as mode from lineitem""")
 def pitch_csv_mixed(spark, folder):
     """Landed files of two headers in one folder."""
-    lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("game_pk"), F.col("l_linenumber").alias("inning"), "l_returnflag", "l_shipmode")
+    lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("game_pk"), F.col("l_linenumber").alias("inning"), "l_returnflag", "l_linestatus")
     path = scratch_path(spark, "mixed")
-    for some, last, name in (("inning < 4", "l_returnflag", "pitch_type"), ("inning >= 4", "l_shipmode", "mode")):
+    for some, last, name in (("inning < 4", "l_returnflag", "pitch_type"), ("inning >= 4", "l_linestatus", "mode")):
         part = lines.where(some).select("game_pk", "inning", F.col(last).alias(name))
         part.write.mode("append").option("header", True).csv(path)
     return files.read_mixed_csv(spark, path)

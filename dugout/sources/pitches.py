@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.errors import InvalidParameter, MissingPartition
+from dugout.errors import InvalidParameter, MissingPartition, SchemaMismatch
 from dugout.operators import seasons as cal
 from dugout.operators.align import diagonal_union
 from dugout.operators.names import ref, types_of
@@ -37,9 +37,28 @@ def stored_seasons(spark: SparkSession, root: str) -> list[int]:
 
 
 def season_rows(pitches: DataFrame, seasons: Iterable[int], day: str = "game_date") -> DataFrame:
-    """Rows of the calendar years, with the year as a column."""
+    """Rows of the calendar years, with the year as a column.
+
+    The years' first and last day bound the column itself as well, so that the
+    filter reaches the scan.
+    """
+    wanted = sorted(seasons)
     year = F.year(ref(day).try_cast("date"))
-    return pitches.withColumn(YEAR, year).where(ref(YEAR).isin(list(seasons)))
+    ranged = pitches.where(_year_range(types_of(pitches)[day], ref(day), wanted[0], wanted[-1])) if wanted else pitches
+    return ranged.withColumn(YEAR, year).where(ref(YEAR).isin(wanted))
+
+
+def _year_range(kind: str, day: Column, first: int, last: int) -> Column:
+    """A plain comparison that no date of the years fails; text is compared by its year, as ISO dates are."""
+    if kind == "string":
+        # A date may stand after blanks, which sort before digits: only the upper end can be told.
+        return day < F.lit(f"{last + 1}")
+    return (day >= F.lit(date(first, 1, 1))) & (day < F.lit(date(last + 1, 1, 1)))
+
+
+def season_rejects(pitches: DataFrame, day: str = "game_date") -> DataFrame:
+    """Rows without a readable date, which belong to no season."""
+    return pitches.where(ref(day).try_cast("date").isNull())
 
 
 def write_seasons(
@@ -52,20 +71,28 @@ def write_seasons(
     cluster: Iterable[str] = ("game_date", "game_pk"),
     first: int = schemas.FIRST_PITCH_SEASON,
     last: int | None = None,
+    undated: str = "fail",
 ) -> DataFrame:
     """Write one partition per season and report season, path and whether it was written.
 
     Stored seasons are kept unless ``force``; the filter is applied before
-    anything is read, and only the written partitions are replaced. Rows are
-    rebalanced by season, where adaptive execution splits a big season over many
-    tasks and files, and sorted within files so that later date filters skip row
-    groups.
+    anything is read, and only the written partitions are replaced. A season
+    without rows is not written, and with ``force`` its old partition goes. Rows
+    without a readable date fail the job, unless ``undated`` is ``"drop"``;
+    ``season_rejects`` lists them. Rows are rebalanced by season, where adaptive
+    execution splits a big season over many tasks and files, and sorted within
+    files so that later date filters skip row groups.
     """
+    if undated not in ("fail", "drop"):
+        raise InvalidParameter("undated is either 'fail' or 'drop'.")
     spark = pitches.sparkSession
     wanted = _season_list(seasons, first, last or cal.current_season())
     kept = set() if force else set(stored_seasons(spark, root))
     todo = [s for s in wanted if s not in kept]
+    written: set[int] = set()
     if todo:
+        if undated == "fail" and (lost := season_rejects(pitches, day).select(ref(day)).first()) is not None:
+            raise SchemaMismatch(f"A row has no readable {day}: {lost[0]!r}.")
         types = schemas.PITCH if types is None else types
         rows = canonical_table(season_rows(pitches, todo, day).withColumnRenamed(YEAR, "_y"), types)
         spread = rows.withColumnRenamed("_y", YEAR).hint("rebalance", YEAR)
@@ -77,7 +104,15 @@ def write_seasons(
             .partitionBy(YEAR)
             .parquet(root)
         )
-    report = [(s, f"{root.rstrip('/')}/{YEAR}={s}", s in todo) for s in wanted]
+        # Which of them have rows, from the footers of what was just written.
+        there = set(todo) & set(stored_seasons(spark, root))
+        if there:
+            table = spark.read.schema(schemas.struct({**types, YEAR: "int"})).parquet(root).where(ref(YEAR).isin(todo))
+            new = season_rows(pitches, todo, day).select(ref(YEAR)).distinct()
+            written = {r[0] for r in table.select(ref(YEAR)).distinct().join(new, YEAR, "left_semi").collect()}
+            for gone in there - written:
+                folder(spark, f"{root.rstrip('/')}/{YEAR}={gone}").delete()
+    report = [(s, f"{root.rstrip('/')}/{YEAR}={s}", s in written) for s in wanted]
     return spark.createDataFrame(report, "season int, path string, written boolean")
 
 

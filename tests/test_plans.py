@@ -56,6 +56,13 @@ def test_small_dimension_is_broadcast_by_size_only(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_the_years_of_a_season_write_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    spark.range(4).selectExpr("date_add(date'2023-12-30', cast(id as int)) as game_date", "id as batter").write.parquet(path)
+    text = plan(pitches.season_rows(spark.read.parquet(path), [2023]))
+    assert "GreaterThanOrEqual(game_date,2023-01-01)" in text and "LessThan(game_date,2024-01-01)" in text
+
+
 def scans(df) -> int:
     """Reads of a table in the plan that runs."""
     return df._jdf.queryExecution().executedPlan().toString().count("FileScan")

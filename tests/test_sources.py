@@ -212,3 +212,17 @@ def test_shared_folder_rule(spark, monkeypatch):
 
     assert session.shared_folder(spark) == spark.conf.get(session.CHECKPOINT_KEY)
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+
+
+def test_rows_without_a_date_are_not_lost_in_silence(spark, tmp_path):
+    root = str(tmp_path / "ds")
+    odd = _season_table(spark).unionByName(spark.createDataFrame([("FF", "soon", "A", 1, 9.0), ("FF", None, "B", 1, 9.0)], _season_table(spark).schema))
+    with pytest.raises(SchemaMismatch, match="game_date"):
+        pitches.write_seasons(odd, root, [2023, 2024])
+    assert pitches.season_rejects(odd).count() == 2
+    report = pitches.write_seasons(odd, root, [2022, 2023, 2024], undated="drop")
+    assert {r.season: r.written for r in report.collect()} == {2022: False, 2023: True, 2024: True}
+    later = _season_table(spark).where("game_date >= '2024'")
+    again = pitches.write_seasons(later, root, [2023, 2024], force=True)
+    assert {r.season: r.written for r in again.collect()} == {2023: False, 2024: True}
+    assert pitches.stored_seasons(spark, root) == [2024]
