@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dugout.errors import InvalidParameter
@@ -251,6 +251,27 @@ def season_stats(
     return board if qualify is None else board.where(ref(qualify[0]) >= qualify[1])
 
 
+def stat_scope(
+    category: str = "bat",
+    league: str = "all",
+    month: str | None = None,
+    position: str = "all",
+) -> dict[str, list]:
+    """Checked codes of a season-stat query, as the ``wanted`` values of ``season_stats``.
+
+    Columns are ``category``, ``league``, ``month`` (its number) and ``position``;
+    ``all`` and no month restrict nothing.
+    """
+    wanted = {"category": [codes.choose(category, codes.STAT_CATEGORIES, "category")]}
+    if (code := codes.choose(league, codes.LEAGUES, "league")) != "all":
+        wanted["league"] = [code]
+    if month is not None:
+        wanted["month"] = [codes.MONTHS[codes.choose(month, tuple(codes.MONTHS), "month")]]
+    if (code := codes.choose(position, codes.FIELD_POSITIONS, "position")) != "all":
+        wanted["position"] = [code]
+    return wanted
+
+
 def standings(
     games: DataFrame,
     division: Sequence[str] = ("division",),
@@ -266,14 +287,11 @@ def standings(
         F.count_if(won).alias("W"), F.count_if(~won).alias("L")
     )
     shared = table.withColumn("W-L%", ref("W") / F.nullif(ref("W") + ref("L"), F.lit(0)))
-    record = F.struct(F.col("W").alias("lead_w"), F.col("L").alias("lead_l"))
-    # min_by on negated keys, so that the name breaks ties in ascending order.
-    order = F.struct(-F.coalesce(ref("W-L%"), F.lit(-1.0)), -ref("W"), ref(team))
-    lead = shared.groupBy(*refs(division)).agg(F.min_by(record, order).alias("_lead"))
-    same = [F.col(f"l.`{c}`").eqNullSafe(F.col(f"r.`{c}`")) for c in division]
-    joined = shared.alias("l").join(lead.alias("r"), same)
-    back = ((F.col("_lead.lead_w") - F.col("W")) + (F.col("L") - F.col("_lead.lead_l"))) / 2
-    return joined.select("l.*", back.alias("GB"))
+    # The teams of a division are few once they are counted; the leader's record comes from a window over them.
+    order = (F.coalesce(ref("W-L%"), F.lit(-1.0)).desc(), ref("W").desc(), ref(team).asc())
+    teams = Window.partitionBy(*refs(division)).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    lead_w, lead_l = F.first("W").over(teams), F.first("L").over(teams)
+    return shared.withColumn("GB", ((lead_w - F.col("W")) + (F.col("L") - lead_l)) / 2)
 
 
 def team_results(

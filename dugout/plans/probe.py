@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 from dugout.errors import InvalidParameter
 from dugout.functions import clean
-from dugout.operators.joins import follow
-from dugout.operators.names import ref, refs
+from dugout.operators.names import once, ref, refs
 from dugout.plans.flatten import LIST, OBJECT, field_at, is_object, parsed
 from dugout.plans.tables import board_tables, csv_rows
 
@@ -195,22 +194,25 @@ LEVEL_LEAVES = {"abbreviation": "string"}
 def prospect_rankings(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
     """Ranked prospects with identity, team, level and scouting grades.
 
-    Rankings point to players, players to teams, teams to levels. Each pointer
-    is one join of the ranking with the entity table on page and name.
+    Rankings point to players, players to teams, teams to levels, all in the
+    state of the same page.
     """
-    entities = payload_entities(init_state(pages, keys, html), keys)
-    roots = entities.where(F.col("ref") == "ROOT_QUERY")
-    queries = F.map_entries(F.from_json("value", OBJECT))
+    state = init_state(pages, keys, html).select(*refs(keys), parsed(F.col("body"), {"payload": OBJECT}).alias("_s"))
+    # The entities stay in the page's row, so that following a pointer is a look-up and no join.
+    entities = once(state, _entities=F.col("_s.payload")).select(*refs(keys), "_entities")
+    queries = F.map_entries(F.from_json(F.try_element_at("_entities", F.lit("ROOT_QUERY")), OBJECT))
     matching = F.filter(queries, lambda e: F.contains(e["key"], F.lit(RANKING_QUERY)))
     ranking = F.from_json(F.try_element_at(matching, F.lit(1))["value"], LIST)
-    texts = roots.select(*refs(keys), F.explode(ranking).alias("_text")).where(is_object(F.col("_text")))
-    items = texts.select(*refs(keys), parsed(F.col("_text"), ITEM_LEAVES).alias("item"))
-    value = F.col("value")
-    player = follow(
-        items, entities, F.col("item.playerEntity.player.__ref"), {"player": parsed(value, PLAYER_LEAVES)}, keys
-    )
-    team = follow(player, entities, F.col("player.activeRoster.__ref"), {"team": parsed(value, TEAM_LEAVES)}, keys)
-    whole = follow(team, entities, F.col("team.sport.__ref"), {"level": parsed(value, LEVEL_LEAVES)}, keys)
+    texts = entities.select(*refs(keys), "_entities", F.explode(ranking).alias("_text")).where(is_object(F.col("_text")))
+
+    def followed(df: DataFrame, pointer: str, leaves: dict, name: str) -> DataFrame:
+        value = F.try_element_at("_entities", F.col(pointer))
+        return once(df, **{name: parsed(value, leaves)})
+
+    items = once(texts, item=parsed(F.col("_text"), ITEM_LEAVES)).drop("_text")
+    player = followed(items, "item.playerEntity.player.__ref", PLAYER_LEAVES, "player")
+    team = followed(player, "player.activeRoster.__ref", TEAM_LEAVES, "team")
+    whole = followed(team, "team.sport.__ref", LEVEL_LEAVES, "level")
     report = F.try_element_at("item.playerEntity.prospectBio", F.lit(-1))["contentText"]
     graded = whole.withColumn("_grades", grade_pairs(F.coalesce(report, F.lit(""))))
     whole_number = lambda name: F.col(name).try_cast("bigint")

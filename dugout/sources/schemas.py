@@ -99,36 +99,37 @@ EVENT_SUFFIXES = {
     "asg": ("AS.EVE",),
 }
 
-# Game-log columns. Line-ups follow one naming rule, with the one
-# irregular name the landed files carry.
-_LOG_HEAD = (
-    "date", "game_num", "day_of_week", "visiting_team", "visiting_team_league",
-    "visiting_team_game_num", "home_team", "home_team_league", "home_team_game_num",
-    "visiting_score", "home_score", "num_outs", "day_night", "completion_info", "forfeit_info",
-    "protest_info", "park_id", "attendance", "time_of_game_minutes", "visiting_line_score",
-    "home_line_score",
-)
-_LOG_TEAM_STATS = (
-    "abs", "hits", "doubles", "triples", "homeruns", "rbi", "sac_hits", "sac_flies", "hbp", "bb",
-    "iw", "k", "sb", "cs", "gdp", "ci", "lob", "pitchers_used", "individual_er", "er", "wp", "balks",
-    "po", "assists", "errors", "pb", "dp", "tp",
-)
-_LOG_PEOPLE = (
-    "ump_home", "ump_first", "ump_second", "ump_third", "ump_lf", "ump_rf", "visiting_manager",
-    "home_manager", "winning_pitcher", "losing_pitcher", "save_pitcher", "game_winning_rbi",
-    "visiting_starting_pitcher", "home_starting_pitcher",
-)
-_LOG_IRREGULAR = {"visiting_3_id": "visiting_2_id.1"}
-_LOG_LINEUP = tuple(
-    f"{side}_{slot}_{part}" for side in ("visiting", "home") for slot in range(1, 10) for part in ("id", "name", "pos")
-)
+# Game-log columns in file order; one name is irregular in the landed files.
 GAME_LOG_FILE = (
-    _LOG_HEAD
-    + tuple(f"{side}_{stat}" for side in ("visiting", "home") for stat in _LOG_TEAM_STATS)
-    + tuple(f"{person}_{part}" for person in _LOG_PEOPLE for part in ("id", "name"))
-    + tuple(_LOG_IRREGULAR.get(name, name) for name in _LOG_LINEUP)
-    + ("misc", "acquisition_info")
-)
+    "date", "game_num", "day_of_week", "visiting_team", "visiting_team_league", "visiting_team_game_num",
+    "home_team", "home_team_league", "home_team_game_num", "visiting_score", "home_score", "num_outs",
+    "day_night", "completion_info", "forfeit_info", "protest_info", "park_id", "attendance",
+    "time_of_game_minutes", "visiting_line_score", "home_line_score", "visiting_abs", "visiting_hits",
+    "visiting_doubles", "visiting_triples", "visiting_homeruns", "visiting_rbi", "visiting_sac_hits",
+    "visiting_sac_flies", "visiting_hbp", "visiting_bb", "visiting_iw", "visiting_k", "visiting_sb",
+    "visiting_cs", "visiting_gdp", "visiting_ci", "visiting_lob", "visiting_pitchers_used",
+    "visiting_individual_er", "visiting_er", "visiting_wp", "visiting_balks", "visiting_po",
+    "visiting_assists", "visiting_errors", "visiting_pb", "visiting_dp", "visiting_tp", "home_abs",
+    "home_hits", "home_doubles", "home_triples", "home_homeruns", "home_rbi", "home_sac_hits",
+    "home_sac_flies", "home_hbp", "home_bb", "home_iw", "home_k", "home_sb", "home_cs", "home_gdp", "home_ci",
+    "home_lob", "home_pitchers_used", "home_individual_er", "home_er", "home_wp", "home_balks", "home_po",
+    "home_assists", "home_errors", "home_pb", "home_dp", "home_tp", "ump_home_id", "ump_home_name",
+    "ump_first_id", "ump_first_name", "ump_second_id", "ump_second_name", "ump_third_id", "ump_third_name",
+    "ump_lf_id", "ump_lf_name", "ump_rf_id", "ump_rf_name", "visiting_manager_id", "visiting_manager_name",
+    "home_manager_id", "home_manager_name", "winning_pitcher_id", "winning_pitcher_name", "losing_pitcher_id",
+    "losing_pitcher_name", "save_pitcher_id", "save_pitcher_name", "game_winning_rbi_id",
+    "game_winning_rbi_name", "visiting_starting_pitcher_id", "visiting_starting_pitcher_name",
+    "home_starting_pitcher_id", "home_starting_pitcher_name", "visiting_1_id", "visiting_1_name",
+    "visiting_1_pos", "visiting_2_id", "visiting_2_name", "visiting_2_pos", "visiting_2_id.1",
+    "visiting_3_name", "visiting_3_pos", "visiting_4_id", "visiting_4_name", "visiting_4_pos", "visiting_5_id",
+    "visiting_5_name", "visiting_5_pos", "visiting_6_id", "visiting_6_name", "visiting_6_pos", "visiting_7_id",
+    "visiting_7_name", "visiting_7_pos", "visiting_8_id", "visiting_8_name", "visiting_8_pos", "visiting_9_id",
+    "visiting_9_name", "visiting_9_pos", "home_1_id", "home_1_name", "home_1_pos", "home_2_id", "home_2_name",
+    "home_2_pos", "home_3_id", "home_3_name", "home_3_pos", "home_4_id", "home_4_name", "home_4_pos",
+    "home_5_id", "home_5_name", "home_5_pos", "home_6_id", "home_6_name", "home_6_pos", "home_7_id",
+    "home_7_name", "home_7_pos", "home_8_id", "home_8_name", "home_8_pos", "home_9_id", "home_9_name",
+    "home_9_pos", "misc", "acquisition_info",
+)
 
 # Types of stat-table columns by name or by the part after the last "_".
 STAT_INTEGERS = (

@@ -230,3 +230,11 @@ def test_all_positions_are_refused(spark):
     for position in ("ALL", "OF", "C"):
         with pytest.raises(InvalidParameter):
             filters.positioned(df, position)
+
+
+def test_stat_scope_checks_its_codes():
+    assert boards.stat_scope() == {"category": ["bat"]}
+    assert boards.stat_scope("pit", "al", "may", "ss") == {"category": ["pit"], "league": ["al"], "month": [5], "position": ["ss"]}
+    for wrong in ({"category": "x"}, {"league": "x"}, {"month": "x"}, {"position": "x"}):
+        with pytest.raises(InvalidParameter):
+            boards.stat_scope(**wrong)
