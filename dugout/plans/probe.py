@@ -203,16 +203,21 @@ def prospect_rankings(pages: DataFrame, keys: Sequence[str], html: str = "html")
     queries = F.map_entries(F.from_json(F.try_element_at("_entities", F.lit("ROOT_QUERY")), OBJECT))
     matching = F.filter(queries, lambda e: F.contains(e["key"], F.lit(RANKING_QUERY)))
     ranking = F.from_json(F.try_element_at(matching, F.lit(1))["value"], LIST)
-    texts = entities.select(*refs(keys), "_entities", F.explode(ranking).alias("_text")).where(is_object(F.col("_text")))
 
-    def followed(df: DataFrame, pointer: str, leaves: dict, name: str) -> DataFrame:
-        value = F.try_element_at("_entities", F.col(pointer))
-        return once(df, **{name: parsed(value, leaves)})
+    def named(text: Column, path: str) -> Column:
+        return F.try_element_at(F.col("_entities"), F.get_json_object(text, path))
 
-    items = once(texts, item=parsed(F.col("_text"), ITEM_LEAVES)).drop("_text")
-    player = followed(items, "item.playerEntity.player.__ref", PLAYER_LEAVES, "player")
-    team = followed(player, "player.activeRoster.__ref", TEAM_LEAVES, "team")
-    whole = followed(team, "team.sport.__ref", LEVEL_LEAVES, "level")
+    def linked(text: Column) -> Column:
+        player = named(text, "$.playerEntity.player.__ref")
+        team = named(player, "$.activeRoster.__ref")
+        level = named(team, "$.sport.__ref")
+        return F.struct(text.alias("item"), player.alias("player"), team.alias("team"), level.alias("level"))
+
+    # The texts a ranking names are looked up before its rows part, which then carry nothing else of the page.
+    listed = F.transform(F.filter(ranking, is_object), linked)
+    texts = entities.select(*refs(keys), F.explode(listed).alias("_t"))
+    leaves = {"item": ITEM_LEAVES, "player": PLAYER_LEAVES, "team": TEAM_LEAVES, "level": LEVEL_LEAVES}
+    whole = once(texts, **{name: parsed(F.col(f"_t.{name}"), wanted) for name, wanted in leaves.items()})
     report = F.try_element_at("item.playerEntity.prospectBio", F.lit(-1))["contentText"]
     graded = whole.withColumn("_grades", grade_pairs(F.coalesce(report, F.lit(""))))
     whole_number = lambda name: F.col(name).try_cast("bigint")
