@@ -37,7 +37,7 @@ SLOTS = 128
 ROWS = 4
 
 #: Text bytes signed at once.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 _WORD = re.compile(r"\w+").findall
 _GOLD = np.uint64(0x9E3779B97F4A7C15)

@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 
 from dugout.llm.common import per_row, whole_text
 
-#: Pre-tokens remembered per worker; the cache is emptied when it is full.
-CACHE_PIECES = 1_000_000
+#: Pre-tokens in each half of a worker's cache. When the younger half is full it becomes the older one,
+#: from which pre-tokens that are met again come back.
+CACHE_PIECES = 250_000
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -148,18 +149,21 @@ class Codec:
         self.pieces_of = regex.compile(space).findall
         self.white_run = regex.compile(r"\p{White_Space}{2}").search
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def piece_ids(self, piece: str) -> bytes:
         """Ids of a pre-token, as little-endian unsigned 32-bit integers."""
         ids = self.pieces.get(piece)
         if ids is None:
-            raw = piece.encode()
-            whole = self.hashed.index(raw)
-            numbers = [whole] if self.tokens[whole] == raw else merged(raw, self.ranks)
-            ids = b"".join(map(self.packed.__getitem__, numbers))
+            ids = self.older.get(piece)
+            if ids is None:
+                raw = piece.encode()
+                whole = self.hashed.index(raw)
+                numbers = [whole] if self.tokens[whole] == raw else merged(raw, self.ranks)
+                ids = b"".join(map(self.packed.__getitem__, numbers))
             if len(self.pieces) >= CACHE_PIECES:
-                self.pieces.clear()
-            if len(raw) <= 64:
+                self.pieces, self.older = {}, self.pieces
+            if len(piece) <= 64:
                 self.pieces[piece] = ids
         return ids
 
@@ -192,7 +196,12 @@ class Codec:
         return self.piece_ids("\n").join(map(self.line_ids, text.split("\n")))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return decoded_bytes(ids, self.tokens)
+
+
+def decoded_bytes(ids: bytes, tokens: list[bytes]) -> bytes:
+    """The bytes of ids given as little-endian unsigned 32-bit integers."""
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 _CODECS: dict[str, Codec] = {}
@@ -235,11 +244,11 @@ def decode(df: DataFrame, rank_file: str, key: str = "doc_id", ids: str = "ids")
 
     An id outside the vocabulary fails the job.
     """
-    name, tokens, hashed = _vocabulary(rank_file)
+    tokens = _vocabulary(rank_file)[1]
 
     def make(k, packed):
         packed = packed or b""
-        decoded = _codec(name, tokens, "", hashed).decode(packed)
+        decoded = decoded_bytes(packed, tokens)
         return (k, packed, decoded), len(packed) + len(decoded)
 
     schema = pa.schema([("key", _arrow_type(df, key)), ("ids", pa.binary()), ("decoded", pa.binary())])
