@@ -404,7 +404,7 @@ PITCH_DATA_TEXT = (
 )
 
 
-def schedule(payloads: DataFrame, fail: bool = False) -> DataFrame:
+def schedule(payloads: DataFrame, fail: bool = True) -> DataFrame:
     return flatten(payloads, SCHEDULE, fail=fail)
 
 
@@ -413,7 +413,7 @@ def _with_batting_order(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"isInBattingOrder": order.isNotNull(), "battingOrder": order}).drop("battingOrderText")
 
 
-def boxscore(payloads: DataFrame, fail: bool = False) -> DataFrame:
+def boxscore(payloads: DataFrame, fail: bool = True) -> DataFrame:
     """One row per player of both sides."""
     return _with_batting_order(flatten(payloads, BOXSCORE, fail=fail))
 
@@ -428,32 +428,32 @@ def boxscore_long(payloads: DataFrame) -> DataFrame:
     return _with_batting_order(long_form(payloads, BOXSCORE, BOX_GROUPS))
 
 
-def play_by_play(payloads: DataFrame, fail: bool = False) -> DataFrame:
+def play_by_play(payloads: DataFrame, fail: bool = True) -> DataFrame:
     return flatten(payloads, PLAY_BY_PLAY, fail=fail)
 
 
-def win_probability(payloads: DataFrame, fail: bool = False) -> DataFrame:
+def win_probability(payloads: DataFrame, fail: bool = True) -> DataFrame:
     return flatten(payloads, WIN_PROBABILITY, fail=fail)
 
 
-def live_feed(payloads: DataFrame, fail: bool = False) -> DataFrame:
+def live_feed(payloads: DataFrame, fail: bool = True) -> DataFrame:
     """One row per pitch; events that are no pitch are left out."""
     return flatten(payloads, LIVE_FEED, fail=fail).where("isPitch").drop("isPitch")
 
 
-def linescore(payloads: DataFrame, fail: bool = False) -> DataFrame:
+def linescore(payloads: DataFrame, fail: bool = True) -> DataFrame:
     return flatten(payloads, LINESCORE, fail=fail)
 
 
-def people(payloads: DataFrame, fail: bool = False) -> DataFrame:
+def people(payloads: DataFrame, fail: bool = True) -> DataFrame:
     return flatten(payloads, PEOPLE, fail=fail)
 
 
-def awards(payloads: DataFrame, fail: bool = False) -> DataFrame:
+def awards(payloads: DataFrame, fail: bool = True) -> DataFrame:
     return flatten(payloads, AWARDS, fail=fail)
 
 
-def roster(payloads: DataFrame, fail: bool = False) -> DataFrame:
+def roster(payloads: DataFrame, fail: bool = True) -> DataFrame:
     return flatten(payloads, ROSTER, fail=fail)
 
 
@@ -470,41 +470,41 @@ def team_stats(payloads: DataFrame, stats: dict[str, str] | None = None) -> Data
     return wide_form(payloads, TEAM_STATS, SPLIT_GROUP, stats)
 
 
-def stat_leaders(payloads: DataFrame, fail: bool = False) -> DataFrame:
+def stat_leaders(payloads: DataFrame, fail: bool = True) -> DataFrame:
     return flatten(payloads, STAT_LEADERS, fail=fail)
 
 
-def pitch_arsenal(payloads: DataFrame, fail: bool = False) -> DataFrame:
+def pitch_arsenal(payloads: DataFrame, fail: bool = True) -> DataFrame:
     """Pitches of a player's arsenal; splits of another kind are left out first."""
     wanted = F.col("statType") == ARSENAL_STAT_TYPE
     return flatten(payloads, PITCH_ARSENAL, fail=fail, only=wanted).drop("statType")
 
 
-def draft(payloads: DataFrame, fail: bool = False) -> DataFrame:
+def draft(payloads: DataFrame, fail: bool = True) -> DataFrame:
     return flatten(payloads, DRAFT, fail=fail)
 
 
-def transactions(payloads: DataFrame, fail: bool = False) -> DataFrame:
+def transactions(payloads: DataFrame, fail: bool = True) -> DataFrame:
     return flatten(payloads, TRANSACTIONS, fail=fail)
 
 
-def venues(payloads: DataFrame, fail: bool = False) -> DataFrame:
+def venues(payloads: DataFrame, fail: bool = True) -> DataFrame:
     return flatten(payloads, VENUES, fail=fail)
 
 
-def teams(payloads: DataFrame, fail: bool = False) -> DataFrame:
+def teams(payloads: DataFrame, fail: bool = True) -> DataFrame:
     return flatten(payloads, TEAMS, fail=fail)
 
 
-def divisions(payloads: DataFrame, fail: bool = False) -> DataFrame:
+def divisions(payloads: DataFrame, fail: bool = True) -> DataFrame:
     return flatten(payloads, DIVISIONS, fail=fail)
 
 
-def leagues(payloads: DataFrame, fail: bool = False) -> DataFrame:
+def leagues(payloads: DataFrame, fail: bool = True) -> DataFrame:
     return flatten(payloads, LEAGUES, fail=fail)
 
 
-def standings(payloads: DataFrame, fail: bool = False) -> DataFrame:
+def standings(payloads: DataFrame, fail: bool = True) -> DataFrame:
     """Division standings as the provider reports them; unreadable numbers fail the job."""
     rows = flatten(payloads, STANDINGS, fail=fail)
     return rows.withColumns(

@@ -170,11 +170,11 @@ def read_place(place: str, have: Sequence[str]) -> Column:
 
 
 def to_type(text: Column, kind: str) -> Column:
-    """Text to a declared type; whole numbers may come with a fraction part."""
+    """Text to a declared type; whole numbers may come with a fraction of zero."""
     if kind == "string":
         return text
     if kind == "bigint":
-        return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+        return F.regexp_replace(text, r"^([+-]?[0-9]+)\.0+$", "$1").try_cast("bigint")
     return text.try_cast(kind)
 
 
@@ -209,21 +209,28 @@ def _typed_columns(plan: Plan) -> list[Column]:
     return [field_at("_typed", name).alias(name) for name in plan.columns]
 
 
+def flagged(payloads: DataFrame, plan: Plan, body: str = "body", only: Column | None = None) -> DataFrame:
+    """Typed rows of all payloads with ``_problems``: what they lack or cannot be read of, mostly nothing.
+
+    One pass; good and bad rows are filters on it. ``only`` selects rows by their texts.
+    """
+    faults = [F.when(fault, F.lit(message)) for fault, message in _faults(plan)]
+    found = F.array_compact(F.array(*faults)) if faults else F.array().cast("array<string>")
+    return _read(payloads, plan, body, only).select(*_typed_columns(plan), found.alias(PROBLEMS))
+
+
 def rejected(payloads: DataFrame, plan: Plan, body: str = "body", only: Column | None = None) -> DataFrame:
     """Rows that lack a required value or hold an unreadable one, and why."""
-    found = F.array_compact(F.array(*[F.when(fault, F.lit(message)) for fault, message in _faults(plan)]))
-    flagged = _read(payloads, plan, body, only).select(*_typed_columns(plan), found.alias(PROBLEMS))
-    return flagged.where(F.size(PROBLEMS) > 0)
+    return flagged(payloads, plan, body, only).where(F.size(PROBLEMS) > 0)
 
 
 def flatten(
-    payloads: DataFrame, plan: Plan, body: str = "body", fail: bool = False, only: Column | None = None
+    payloads: DataFrame, plan: Plan, body: str = "body", fail: bool = True, only: Column | None = None
 ) -> DataFrame:
     """Typed rows of all payloads; ``only`` selects rows by their texts.
 
-    A bad row must not stop a job over millions of payloads, so by default it is
-    left out here and can be had from :func:`rejected`; ``fail`` makes it fail
-    the job instead.
+    A row that lacks a required value or holds an unreadable one fails the job.
+    With ``fail`` off such rows are left out, and :func:`rejected` has them.
     """
     rows, faults = _read(payloads, plan, body, only), _faults(plan)
     if faults:
@@ -257,7 +264,7 @@ def long_form(payloads: DataFrame, plan: Plan, groups: dict[str, str], body: str
 
 
 def wide_form(
-    payloads: DataFrame, plan: Plan, groups: dict[str, str], stats: dict[str, str], body: str = "body"
+    payloads: DataFrame, plan: Plan, groups: dict[str, str], stats: dict[str, str], body: str = "body", fail: bool = True
 ) -> DataFrame:
     """The fixed columns plus declared stats, named ``group_key`` or ``key``."""
     columns = dict(plan.columns)
@@ -268,4 +275,4 @@ def wide_form(
         prefixed = label in groups and bool(key)
         place = groups[label] if prefixed else groups.get("", next(iter(groups.values())))
         columns[name] = (kind, f"{place}.{key if prefixed else name}")
-    return flatten(payloads, Plan(plan.steps, columns, plan.required, plan.defaults), body)
+    return flatten(payloads, Plan(plan.steps, columns, plan.required, plan.defaults), body, fail)

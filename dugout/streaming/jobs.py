@@ -58,12 +58,12 @@ def _timed(plan: Plan) -> Plan:
 
 def live_pitches(payloads: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Each pitch of re-polled games once, with the time it was first seen."""
-    rows = flatten(payloads, _timed(LIVE_FEED)).where("isPitch").drop("isPitch")
+    rows = flatten(payloads, _timed(LIVE_FEED), fail=False).where("isPitch").drop("isPitch")
     return once_each(rows, PITCH_KEY, SEEN_AT, delay)
 
 
 def timed_linescores(payloads: DataFrame) -> DataFrame:
-    return flatten(payloads, _timed(LINESCORE))
+    return flatten(payloads, _timed(LINESCORE), fail=False)
 
 
 def upsert_latest(

@@ -91,11 +91,11 @@ def test_stats_forms(spark):
 def test_core_fields_reject_or_fail(spark):
     moves = {"transactions": [{"id": 1, "date": "d", "description": "x", "typeCode": "T", "typeDesc": "t"}, {"id": 2}]}
     df = landed(spark, moves)
-    assert feeds.transactions(df).count() == 1
+    assert feeds.transactions(df, fail=False).count() == 1
     bad = rows(flatten.rejected(df, feeds.TRANSACTIONS))
     assert len(bad) == 1 and "date is missing" in bad[0]["_problems"]
     with pytest.raises(Exception, match="Payload row rejected: date is missing"):
-        feeds.transactions(df, fail=True).collect()
+        feeds.transactions(df).collect()
     unreadable = landed(spark, {"people": [{"id": "x1"}]})
     assert rows(flatten.rejected(unreadable, feeds.PEOPLE))[0]["_problems"] == ["id is unreadable"]
 
@@ -171,3 +171,13 @@ def test_plans_are_checked(spark):
     with pytest.raises(InvalidParameter, match="gamePk"):
         feeds.linescore(spark.createDataFrame([("{}",)], "body string"))
     assert flatten.unparsed(landed(spark, "nope", {})).count() == 1
+
+
+def test_a_fraction_makes_no_id(spark):
+    body = '{"venues":[{"id":12.7,"name":"A"},{"id":13.0,"name":"B"},{"id":"zz","name":"C"}]}'
+    df = landed(spark, body)
+    whole = flatten.flagged(df, feeds.VENUES).collect()
+    assert len(whole) == 3 and sorted(len(r["_problems"]) for r in whole) == [0, 1, 1]
+    assert [r["id"] for r in feeds.venues(df, fail=False).collect()] == [13]
+    with pytest.raises(Exception, match="rejected"):
+        feeds.venues(df).collect()
