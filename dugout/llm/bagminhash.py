@@ -243,12 +243,17 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     open_buckets = marked.groupBy("band", "hash").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
     apart = stored(marked.join(open_buckets.select("band", "hash"), ["band", "hash"]), "apart")
     near = common_part(texts.join(apart.select("node").distinct(), "node", "leftsemi"))
-    left = stored(apart.join(near, "node"), "apart")
-    other = left.select("band", "hash", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "size", "common")])
+    # Each member knows its open buckets, at most one per band, so that a pair comes out of the first that it shares.
+    held = apart.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("band", "hash"))).alias("held"))
+    places = F.transform(F.sequence(F.lit(0), F.lit(SLOTS // ROWS - 1)), lambda i: F.try_element_at("held", i))
+    left = stored(apart.join(near, "node").join(held.select("node", places.alias("held")), "node"), "apart")
+    other = left.select("band", "hash", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "size", "common", "held")])
     most = F.least("common", "common_b")
     possible = most >= THRESHOLD * (F.col("size") + F.col("size_b") - most)
-    rest = left.join(other, ["band", "hash"]).filter((F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b")) & possible)
-    rest = rest.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
+    first = F.array_position(F.zip_with("held", "held_b", lambda x, y: x == y), True) - 1 == F.col("band")
+    apart_pair = (F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b"))
+    rest = left.join(other, ["band", "hash"]).filter(apart_pair & possible & first)
+    rest = rest.select(F.col("node").alias("a"), F.col("node_b").alias("b"))
     seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = stored(_verified(rest.join(seen, ["a", "b"], "leftanti"), texts), "links")
     if not more.isEmpty():
