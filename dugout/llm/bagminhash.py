@@ -13,8 +13,8 @@ then checked on the whole multisets. Equal texts are one node from the start.
 In a bucket every text is first compared with two of its members drawn by hash, so
 that a large group of copies becomes one class with as many checks as members.
 Members that are in different classes after that are paired only where their sizes
-and the shingles that no other of them has leave a similarity of 0.8 possible: the
-bound is exact, and shuts out the many copies with edits of their own.
+and the shingles that others have too, counted by cells, leave a similarity of 0.8
+possible: the bound is exact, and shuts out the many copies with edits of their own.
 """
 
 from __future__ import annotations
@@ -36,6 +36,9 @@ SLOTS = 128
 #: Slots per band: texts of similarity 0.8 share none of the 32 bands once in 20 million pairs.
 ROWS = 4
 
+#: Cells by which the amount two texts share is bounded.
+CELLS = 128
+
 #: Text bytes signed at once.
 CHUNK = 1 << 20
 
@@ -166,15 +169,20 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def common_part(texts: DataFrame) -> DataFrame:
-    """``node``, ``size`` of its multiset and ``common``, how much of it occurs in any other of the texts too.
+    """``node``, ``size`` of its multiset and ``cells``: how much of it occurs in any other of the texts too, by cell.
 
-    Nodes that share too little with all others together to reach the threshold are left out.
+    Shingles are dealt to cells by hash. Two texts share no more than the smaller
+    amount of each cell. Nodes that share too little with all others together to
+    reach the threshold are left out.
     """
     rows = texts.mapInArrow(_counted, "node binary, size bigint, shingle bigint, n bigint")
     rows = stored(rows, "shingles")
     twice = rows.groupBy("shingle").count().filter("count > 1").select("shingle")
-    common = rows.join(twice, "shingle").groupBy("node", "size").agg(F.sum("n").alias("common"))
-    return common.filter(F.col("common") >= THRESHOLD * F.col("size"))
+    cell = F.pmod("shingle", F.lit(CELLS)).cast("int").alias("cell")
+    common = rows.join(twice, "shingle").groupBy("node", "size", cell).agg(F.sum("n").alias("n"))
+    whole = common.groupBy("node", "size").agg(F.sum("n").alias("common"), F.map_from_entries(F.collect_list(F.struct("cell", "n"))).alias("held"))
+    amounts = F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda i: F.coalesce(F.try_element_at("held", i), F.lit(0)))
+    return whole.filter(F.col("common") >= THRESHOLD * F.col("size")).select("node", "size", "common", amounts.alias("cells"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -247,12 +255,15 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     held = apart.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("band", "hash"))).alias("held"))
     places = F.transform(F.sequence(F.lit(0), F.lit(SLOTS // ROWS - 1)), lambda i: F.try_element_at("held", i))
     left = stored(apart.join(near, "node").join(held.select("node", places.alias("held")), "node"), "apart")
-    other = left.select("band", "hash", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "size", "common", "held")])
+    other = left.select("band", "hash", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "size", "common", "cells", "held")])
     most = F.least("common", "common_b")
     possible = most >= THRESHOLD * (F.col("size") + F.col("size_b") - most)
     first = F.array_position(F.zip_with("held", "held_b", lambda x, y: x == y), True) - 1 == F.col("band")
     apart_pair = (F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b"))
-    rest = left.join(other, ["band", "hash"]).filter(apart_pair & possible & first)
+    # Both bounds are exact; the finer one is asked where the coarser one and the band leave the pair.
+    shared_at_most = F.aggregate(F.zip_with("cells", "cells_b", lambda x, y: F.least(x, y)), F.lit(0).cast("bigint"), lambda x, y: x + y)
+    close = F.when(apart_pair & possible & first, shared_at_most >= THRESHOLD * (F.col("size") + F.col("size_b") - shared_at_most))
+    rest = left.join(other, ["band", "hash"]).filter(close)
     rest = rest.select(F.col("node").alias("a"), F.col("node_b").alias("b"))
     seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = stored(_verified(rest.join(seen, ["a", "b"], "leftanti"), texts), "links")
