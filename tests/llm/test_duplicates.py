@@ -84,6 +84,26 @@ def test_classes_are_those_of_all_pairs(spark):
     assert got == brute_classes(rows)
 
 
+def test_bounds_lose_no_link(spark):
+    """Whatever is similar enough stays below the bounds that pairs are shut out by."""
+    rng = random.Random(12)
+    base = prose(rng, 150)
+    texts = [" ".join(edited(rng, base, i % 9)) for i in range(45)]
+    df = spark.createDataFrame([(bytes([i]), t) for i, t in enumerate(texts)], "node binary, text string")
+    part = {r.node[0]: r for r in bagminhash.common_part(df).collect()}
+    bags = [bagminhash.shingles(t) for t in texts]
+    shut_out = 0
+    for i in range(45):
+        for j in range(i):
+            possible = False
+            if i in part and j in part:
+                shared = sum(map(min, part[i].cells, part[j].cells))
+                possible = shared >= 0.8 * (part[i]["size"] + part[j]["size"] - shared)
+            shut_out += not possible
+            assert possible or bagminhash.similarity(bags[i], bags[j]) < 0.8
+    assert shut_out > 300
+
+
 def test_rows_without_id_and_empty_tables(spark):
     df = spark.createDataFrame([(None, "same text here"), (7, "same text here"), (None, None)], "doc_id bigint, text string")
     got = Counter((r.doc_id, r.class_id) for r in bagminhash.near_duplicates(df).collect())
