@@ -40,7 +40,6 @@ HEADLINE = (
     "board_exit_velo",
     "board_arsenal_pivot",
     "percentile",
-    "percentile_many",
     "archive_table",
     "leaders_topn",
     "latest_payload",
