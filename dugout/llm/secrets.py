@@ -1,7 +1,9 @@
 """Secret scan: generous candidates, and a random forest that removes the false ones.
 
-Candidates are runs of key characters that hold a digit, are long, mix cases or
-stand after an assignment. The forest looks at length and alphabet, how usual the
+Candidates are private key blocks, runs of key characters that hold a digit, are
+long, mix cases or stand after an assignment, and whatever is assigned to a name
+with a secret's word in it: all between the quotes, or up to the next white space.
+They may overlap; what is found is their union. The forest looks at length and alphabet, how usual the
 characters follow each other in the corpus, how much of the candidate known words
 cover, whether it is part of a path, and the words around it. It is fitted on
 labelled findings; ``labelled_findings`` makes some by setting secrets and
@@ -32,10 +34,17 @@ SAMPLE_DOCUMENTS = 1_500
 SAMPLE_CHARS = 20_000
 DICTIONARY_WORDS = 5_000
 THRESHOLD = 0.5
+#: Shortest assigned value in characters.
+LEAST_VALUE = 6
 
 _RUN = re.compile(r"(?<!\w)[A-Za-z0-9+/_-]{12,}={0,2}(?!\w)")
 _BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?(?:-----END [A-Z ]*PRIVATE KEY-----|\Z)", re.S)
-_ASSIGNED = re.compile(r"([A-Za-z][A-Za-z0-9_.-]{0,40})[\"']?[ \t]?(?:=>|:=|[:=])[ \t]?[\"']?\Z")
+_ASSIGNED = re.compile(r"([A-Za-z][A-Za-z0-9_.-]{0,40})[\"']?[ \t]*(?:=>|:=|={1,3}|:)[ \t]*[\"']?\Z")
+#: From the mark of an assignment on: a scheme's name, and the value in quotes or up to white space, six characters at least.
+_SIGN = re.compile("[:=]")
+_VALUE = re.compile(r"(?:=>|:=|={1,3}|:)[ \t]*(?:(?:bearer|basic|token)[ \t]+)?(?:\"([^\"\n]{6,})\"|'([^'\n]{6,})'|[\"']?([^\s\"']\S{5,}))", re.I)
+#: Marks of the sentence or list around a value without quotes.
+_TRAIL = ".,;:)]}>\"'"
 _BEFORE = re.compile(r"([^\W\d_]+)\W*\Z")
 _MIXED = re.compile(r"[a-z][A-Z0-9]|[0-9][a-zA-Z]")
 _HEX = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
@@ -47,17 +56,22 @@ PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "github_pat_", "sk-", "sk_",
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Spans that may be secrets, in order; private key blocks as a whole."""
-    found = [m.span() for m in _BLOCK.finditer(text)] if "-----BEGIN" in text else []
-    taken = list(found)
+    """Spans that may be secrets, in order; they may overlap. Private key blocks come as a whole and by their lines."""
+    found = {m.span() for m in _BLOCK.finditer(text)} if "-----BEGIN" in text else set()
+    for m in _SIGN.finditer(text):
+        name = _ASSIGNED.search(text[max(0, m.start() - 50) : m.end()])
+        if name and any(w in name[1].lower() for w in SECRET_WORDS) and (value := _VALUE.match(text, m.start())):
+            start, end = value.span(value.lastindex)
+            if value.lastindex == 3:
+                end = start + len(value[3].rstrip(_TRAIL))
+            if end - start >= LEAST_VALUE:
+                found.add((start, end))
     for m in _RUN.finditer(text):
         start, end = m.span()
         run = m[0]
-        if any(a <= start < b for a, b in taken):
-            continue
         plain = run.isalpha() and len(run) < 20 and (run.islower() or run[1:].islower() or run.isupper())
         if not plain or _ASSIGNED.search(text[max(0, start - 50) : start]):
-            found.append((start, end))
+            found.add((start, end))
     return sorted(found)
 
 
@@ -138,9 +152,16 @@ def features(text: str, start: int, end: int, language: Language) -> list[float]
         float(run.startswith(PREFIXES)),
         float(run.startswith("-----BEGIN")),
         max(counts.values()) / size,
+        sum(not c.isalnum() for c in run) / size,
+        sum(c.isspace() for c in run) / size,
+        float(run.isalpha()),
+        float(run[0] in "$<{%[*" or run.endswith(("(", "()", "...")) or "${" in run or "://" in run),
     ]
 
 
+_SPELLED = str.maketrans({"a": "@", "e": "3", "i": "1", "o": "0", "s": "$"})
+
+
 def labelled_findings(texts: list[str], seed: int = 11) -> list[tuple[str, int, int, int]]:
     """(text, start, end, label): secrets and look-alikes set between words of the texts, and words as they are."""
     rng = random.Random(seed)
@@ -165,6 +186,25 @@ def labelled_findings(texts: list[str], seed: int = 11) -> list[tuple[str, int,
                 lambda: draw(lower + "0123456789", rng.randrange(14, 32)),
             ]
         )()
+        password = rng.choice(
+            [
+                lambda: pick()[:9] + rng.choice(["", rng.choice("!#$.&_-")]) + draw("0123456789", rng.randrange(1, 5)) + draw(mixed + "!#$&", rng.randrange(1, 3)),
+                lambda: pick().capitalize().translate(_SPELLED)[:10] + rng.choice("!#$&*.@") + draw("0123456789", rng.randrange(1, 5)),
+                lambda: draw(mixed, rng.randrange(7, 12)) + rng.choice("0123456789"),
+                lambda: draw(mixed + "!#$%&*+-=?@^_~", rng.randrange(8, 20)) + rng.choice("0123456789") + draw(mixed, 1),
+                lambda: pick().translate(_SPELLED)[:8] + rng.choice("!@#$%&") + draw("0123456789", 4) + rng.choice("!#$%&") + draw(lower, 1),
+            ]
+        )()
+        spared = rng.choice(
+            [
+                pick,
+                lambda: pick().capitalize(),
+                lambda: " ".join(pick() for _ in range(rng.randrange(2, 7))),
+                lambda: rng.choice(["${{{}}}", "<{}>", "{{{{ {} }}}}", "%{}%", "os.environ[{}]", "process.env.{}", "get_{}()", "config.{}", "self.{}", "{}.{}"]).replace("{}", pick()),
+                lambda: rng.choice("*xX.") * rng.randrange(6, 14),
+                lambda: rng.choice(["changeme", "undefined", "required", "optional", "example", "string", "boolean", "https://" + pick() + ".org/" + pick()]),
+            ]
+        )()
         fake = rng.choice(
             [
                 lambda: "-".join(pick() for _ in range(rng.randrange(3, 6))),
@@ -184,6 +224,19 @@ def labelled_findings(texts: list[str], seed: int = 11) -> list[tuple[str, int,
             frame = shell.format(n=name, v=value) if rng.random() < (0.6 if label else 0.35) else rng.choice(["{v}", '"{v}"', "{v},"]).format(v=value)
             made = f"{left} {frame} {right}"
             out.append((made, s := made.index(value), s + len(value), label))
+        # What only its assignment proposes: values of any characters, words and stand-ins.
+        shell = rng.choice(['{n} = "{v}"', "{n}={v}", "{n}: {v}", "{n} => '{v}'", "my_{n}={v}", '"{n}": "{v}"'])
+        for value, label in ((password, 1), (spared, 0), (rng.choice(words[at + 1 :]), 0)):
+            made = f"{left} {shell.format(n=name, v=value)} {right}"
+            start = made.index(shell.format(n=name, v=value), len(left)) + shell.format(n=name, v="\0").index("\0")
+            if (span := (start, start + len(value))) in candidates(made):
+                out.append((made, *span, label))
+        body = "\n".join(draw(mixed + "+/", 64) for _ in range(rng.randrange(3, 26)))
+        prose = " ".join(rng.sample(words, min(len(words), 40)))
+        begin, end = (f"-----{w} {rng.choice(['', 'RSA ', 'EC ', 'OPENSSH ', 'ENCRYPTED '])}PRIVATE KEY-----" for w in ("BEGIN", "END"))
+        for inner, label in ((body, 1), (prose, 0)) if rng.random() < 0.2 else ():
+            value = f"{begin}\n{inner}" + rng.choice([f"\n{end}", ""])
+            out.append((f"{left} {value}", len(left) + 1, len(left) + 1 + len(value), label))
         other = rng.choice(OTHER_WORDS)
         value = draw(hexa, rng.choice([32, 40, 64])) if rng.random() < 0.5 else fake
         made = f"{left} {other}{rng.choice([' ', ': ', '='])}{value} {right}"
@@ -200,12 +253,20 @@ class Scanner:
     threshold: float = THRESHOLD
 
     def spans(self, text: str) -> list[tuple[int, int, float]]:
-        """(start, end, probability) of the candidates that the forest takes for secrets."""
+        """(start, end, probability) of what the forest takes for secrets: overlapping candidates are one, with the highest."""
         found = candidates(text)
         if not found:
             return []
         x = np.array([features(text, a, b, self.language) for a, b in found])
-        return [(a, b, float(p)) for (a, b), p in zip(found, self.model.predict(x), strict=True) if p >= self.threshold]
+        out: list[tuple[int, int, float]] = []
+        for (a, b), p in zip(found, self.model.predict(x), strict=True):
+            if p < self.threshold:
+                continue
+            if out and a < out[-1][1]:
+                out[-1] = (out[-1][0], max(b, out[-1][1]), max(float(p), out[-1][2]))
+            else:
+                out.append((a, b, float(p)))
+        return out
 
     def redacted(self, text: str, mark: str = "[SECRET]") -> str:
         for start, end, _ in reversed(self.spans(text)):
