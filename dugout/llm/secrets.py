@@ -5,8 +5,8 @@ long, mix cases or stand after an assignment, and whatever is assigned to a name
 with a secret's word in it: all between the quotes, or up to the next white space.
 They may overlap; what is found is their union. The forest looks at length and alphabet, how usual the
 characters follow each other in the corpus, how much of the candidate known words
-cover, whether it is part of a path, and the words around it. It is fitted on
-labelled findings; ``labelled_findings`` makes some by setting secrets and
+cover, whether it is part of a path, and the words around it. Letter steps and
+words are counted over all whole texts. The forest is fitted on labelled findings; ``labelled_findings`` makes some by setting secrets and
 look-alikes into sentences of a bounded sample of documents.
 """
 
@@ -16,7 +16,7 @@ import math
 import random
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,13 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from dugout.llm.common import per_row, sample_texts, whole_text
+from dugout.llm.common import Output, per_row, row_chunks, sample_texts, stored, whole_text
 from dugout.llm.trees import Forest, forest
 
-#: The fit's sample: documents, and the longest of them in characters; words of the dictionary.
+#: The sample for labelled findings: documents, and the longest of them in characters; words of the dictionary.
 SAMPLE_DOCUMENTS = 1_500
 SAMPLE_CHARS = 20_000
 DICTIONARY_WORDS = 5_000
+#: Distinct words, and their characters, counted in a task before the counts are passed on.
+PART_WORDS = 200_000
+PART_CHARS = 16_000_000
 THRESHOLD = 0.5
 #: Shortest assigned value in characters.
 LEAST_VALUE = 6
@@ -75,6 +78,48 @@ def candidates(text: str) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def _pairs(counts: Counter[str]) -> Counter[str]:
+    """How often letters follow each other in counted words."""
+    pairs: Counter[str] = Counter()
+    for word, n in counts.items():
+        for pair in map("".join, zip(word, word[1:], strict=False)):
+            pairs[pair] += n
+    return pairs
+
+
+def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text) to (item, whether it is a pair of letters, how often): words of three letters or more, and pairs."""
+    counts: Counter[str] = Counter()
+    pairs: Counter[str] = Counter()
+    out = Output(pa.schema([("item", pa.string()), ("pair", pa.bool_()), ("n", pa.int64())]))
+
+    def passed_on(items: Counter[str], pair: bool) -> Iterator[pa.RecordBatch]:
+        for item, n in items.items():
+            if (pair or len(item) > 2) and out.add((item, pair, n), len(item) + 16):
+                yield out.batch()
+        items.clear()
+
+    def words() -> Iterator[pa.RecordBatch]:
+        pairs.update(_pairs(counts))
+        yield from passed_on(counts, False)
+
+    chars = 0
+    for (texts,) in row_chunks(batches):
+        for text in texts:
+            before = len(counts)
+            found = _WORD.findall(text.lower())
+            counts.update(found)
+            if len(counts) > before:
+                chars += sum(map(len, set(found)))
+            if len(counts) >= PART_WORDS or chars >= PART_CHARS:
+                yield from words()
+                chars = 0
+    yield from words()
+    yield from passed_on(pairs, True)
+    if out.columns[0]:
+        yield out.batch()
+
+
 @dataclass
 class Language:
     """How characters follow each other in the corpus, and its frequent words."""
@@ -84,18 +129,27 @@ class Language:
 
     @classmethod
     def of(cls, texts: list[str], words: int = DICTIONARY_WORDS) -> Language:
-        pairs: Counter[str] = Counter()
-        first: Counter[str] = Counter()
         counts: Counter[str] = Counter()
         for text in texts:
-            lower = text.lower()
-            for word in _WORD.findall(lower):
-                counts[word] += 1
-                pairs.update(map("".join, zip(word, word[1:], strict=False)))
-                first.update(word[:-1])
-        steps = {p: math.log((n + 0.5) / (first[p[0]] + 20)) for p, n in pairs.items()}
+            counts.update(_WORD.findall(text.lower()))
         ranked = sorted((w for w in counts if len(w) > 2), key=lambda w: (-counts[w], w))
-        return cls(steps, frozenset(ranked[:words]))
+        return cls.from_counts(_pairs(counts), ranked[:words])
+
+    @classmethod
+    def over(cls, df: DataFrame, text: str = "text", words: int = DICTIONARY_WORDS) -> Language:
+        """The language of all whole texts; the driver gets the pairs of letters and the frequent words alone."""
+        counted = df.select(whole_text(text).alias("text")).mapInArrow(_count, "item string, pair boolean, n bigint")
+        counted = stored(counted.groupBy("item", "pair").agg(F.sum("n").alias("n")), "language")
+        pairs = {r["item"]: r["n"] for r in counted.filter("pair").collect()}  # 26 * 26 at most
+        ranked = counted.filter("not pair").orderBy(F.desc("n"), "item").limit(words).collect()
+        return cls.from_counts(pairs, [r["item"] for r in ranked])
+
+    @classmethod
+    def from_counts(cls, pairs: dict[str, int], words: list[str]) -> Language:
+        first: Counter[str] = Counter()
+        for pair, n in pairs.items():
+            first[pair[0]] += n
+        return cls({p: math.log((n + 0.5) / (first[p[0]] + 20)) for p, n in pairs.items()}, frozenset(words))
 
     def surprise(self, run: str) -> float:
         """Mean negative log-likelihood of the steps from character to character."""
@@ -283,9 +337,9 @@ def fit(findings: list[tuple[str, int, int, int]], language: Language) -> Scanne
 
 
 def fit_on(df: DataFrame, text: str = "text") -> Scanner:
-    """A scanner fitted on findings made from a bounded sample of the texts; without texts it finds nothing."""
+    """A scanner fitted on findings made from a bounded sample of the texts, with the language of all; without texts it finds nothing."""
     texts = sample_texts(df, text, SAMPLE_DOCUMENTS, SAMPLE_CHARS)
-    return fit(labelled_findings(texts), Language.of(texts))
+    return fit(labelled_findings(texts), Language.over(df, text))
 
 
 def scan(df: DataFrame, scanner: Scanner, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 import os
 import random
 import re
+from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,6 +101,26 @@ def test_assigned_values_and_key_blocks():
     assert any(t[a:b].startswith("-----BEGIN") and label for t, a, b, label in findings) and any(b - a < 12 and label for _, a, b, label in findings)
 
 
+def test_language_is_counted_over_all_texts(spark, monkeypatch):
+    ship_package(spark)
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 5))) for _ in range(40)) for _ in range(30)]
+    texts += ["Zyzzyva quokka " * 3000, "", None]  # longer than any text of the sample
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    want = secrets.Language.of([t or "" for t in texts], 50)
+    assert secrets.Language.over(df, words=50) == want and "quokka" in want.words
+    monkeypatch.setattr(secrets, "PART_WORDS", 5)
+    batch = pa.RecordBatch.from_pydict({"text": [t or "" for t in texts]})
+    got = Counter()
+    for part in secrets._count([batch]):
+        for r in part.to_pylist():
+            got[r["item"], r["pair"]] += r["n"]
+    words = Counter(w for t in texts if t for w in re.findall("[a-z]+", t.lower()))
+    assert {k: n for (k, pair), n in got.items() if not pair} == {w: n for w, n in words.items() if len(w) > 2}
+    assert {k: n for (k, pair), n in got.items() if pair} == secrets._pairs(words)
+    assert "quokka" in secrets.fit_on(df).language.words
+
+
 def test_secret_frames(spark):
     ship_package(spark)
     key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
