@@ -1,6 +1,7 @@
 """I-Match fingerprints with randomised lexicons.
 
-Document frequencies are counted over the whole table. The lexicon keeps terms
+Document frequencies are counted over the different texts of the whole table, so
+that a group of copies counts as one. The lexicon keeps terms
 within a band of inverse document frequency: log(N / df) between ``IDF_LOW`` and
 ``IDF_HIGH``. Both ends are relative to N, so the lexicon holds at most (terms per
 document) * exp(IDF_HIGH) terms, however many documents there are.
@@ -9,7 +10,8 @@ From the lexicon several subsets are drawn by hash: one of all terms, the others
 with falling shares of the terms. For each subset the text's distinct terms in it
 are sorted and hashed. Subsets with many terms change with every edit, those with
 few survive large ones; the likeness of two fingerprints is the share of equal
-hashes among the subsets in which either text has a term.
+hashes among the subsets in which either text has a term. A text that has no term
+in the lexicon, but is not empty, is hashed by all its distinct terms instead.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from dugout.llm.common import Output, per_row, row_chunks, whole_text
+from dugout.llm.common import Output, per_row, row_chunks, stored, whole_text
 
 IDF_LOW = 1.6
 IDF_HIGH = 9.2
@@ -34,6 +36,8 @@ SHARES = ((0, 1), (2, 3), (4, 6), (5, 8), (6, 10), (7, 12), (8, 12), (9, 12))
 SUBSETS = sum(n for _, n in SHARES)
 #: Distinct terms counted in a task before the counts are passed on.
 PART_TERMS = 400_000
+#: Hashes of texts with copies up to which their table is broadcast: 1,000,000 rows of about 16 bytes.
+BROADCAST_ROWS = 1_000_000
 
 _MARKS = ".,;:!?\"'()[]{}<>|*#$%&+-=/\\_~^`«»“”‘’…–—"
 _HEX = 8  # hexadecimal digits of a subset's hash
@@ -66,9 +70,20 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch()
 
 
-def document_frequencies(df: DataFrame, text: str = "text") -> DataFrame:
-    """(term, df): hash of every term and the number of texts that hold it."""
-    counted = df.select(whole_text(text).alias("text")).mapInArrow(_count, "term bigint, df bigint")
+def different_texts(df: DataFrame, text: str = "text") -> tuple[DataFrame, int]:
+    """(text) once each, and how many. Only texts whose hash occurs again are shuffled."""
+    rows = df.select(whole_text(text).alias("text")).withColumn("h", F.xxhash64("text"))
+    hashes = stored(rows.groupBy("h").agg((F.count("*") > 1).alias("again")), "text-hashes")
+    again = hashes.filter("again").select("h")
+    if again.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        again = F.broadcast(again)
+    copies = rows.join(again, "h", "leftsemi").select("text").distinct()
+    return rows.join(again, "h", "leftanti").select("text").unionByName(copies), hashes.count()
+
+
+def document_frequencies(texts: DataFrame, text: str = "text") -> DataFrame:
+    """(term, df): hash of every term and the number of rows that hold it."""
+    counted = texts.select(whole_text(text).alias("text")).mapInArrow(_count, "term bigint, df bigint")
     return counted.groupBy("term").agg(F.sum("df").alias("df"))
 
 
@@ -77,8 +92,8 @@ def lexicon(df: DataFrame, text: str = "text", low: float = IDF_LOW, high: float
 
     Terms of a single text are left out: they tell nothing about a second one.
     """
-    documents = df.count()
-    frequencies = document_frequencies(df, text)
+    texts, documents = different_texts(df, text)
+    frequencies = document_frequencies(texts)
     idf = F.log(F.lit(float(max(1, documents))) / F.col("df"))
     kept = frequencies.filter(idf.between(low, high) & (F.col("df") > 1)).select("term").toPandas()["term"]
     return np.sort(kept.to_numpy(np.int64))
@@ -121,11 +136,19 @@ class Printer:
         return found
 
     def fingerprint(self, text: str) -> str:
-        """Hashes of the text's terms in every subset, as hexadecimal digits; dashes where it has none."""
-        own = np.array([p for p in map(self.place, terms(text)) if p >= 0], np.int64)
+        """Hashes of the text's terms in every subset, as hexadecimal digits; dashes where it has none.
+
+        Of a text without a term in the lexicon all distinct terms count, or its
+        words as they are if they hold nothing but punctuation.
+        """
+        found = terms(text)
+        own = np.array([p for p in map(self.place, found) if p >= 0], np.int64)
         own.sort()
-        values = self.hashes[own]
-        held = (self.bits[own] >> self.shifts & np.uint64(1)).astype(bool)
+        values, bits = self.hashes[own], self.bits[own]
+        if not len(own) and (found := found or set(text.split())):
+            values = np.sort(np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)).view(np.int64))
+            bits = _subset_bits(values)
+        held = (bits >> self.shifts & np.uint64(1)).astype(bool)
         out = []
         for row in held:
             kept = values[row].tobytes()

@@ -210,3 +210,23 @@ def test_likeness_of_equal_near_and_other_texts(spark):
     mean = lambda pairs: spark.createDataFrame(pairs, "a string, b string").select(F.avg(imatch.likeness(F.col("a"), F.col("b")))).first()[0]
     assert mean([(a, a) for a, _ in near]) == 1 and mean(near) > 0.5 > 0.15 > mean(other)
     assert imatch.Printer(kept).fingerprint("") == "-" * 8 * imatch.SUBSETS
+
+
+def test_likeness_with_the_production_band_and_a_group_of_copies(spark):
+    rng = random.Random(16)
+    texts = [" ".join(prose(rng, 60)) for _ in range(60)]
+    hot, alone = "the very same words of one page in many copies today", ["unheard phrases", "nothing seen before", "!!! ???", "..."]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts + alone + [hot] * 40 + ["", None])], "doc_id bigint, text string")
+    different, n = imatch.different_texts(df)
+    assert n == 66 and sorted(r[0] for r in different.collect()) == sorted({*texts, *alone, hot, ""})
+    kept = imatch.lexicon(df)
+    p = imatch.Printer(kept)
+    prints = [p.fingerprint(t) for t in (hot, *alone, *texts)]
+    dashes = "-" * 8 * imatch.SUBSETS
+    assert len(set(prints)) == len(prints) and dashes not in prints and p.fingerprint("") == p.fingerprint(" ") == dashes
+    got = imatch.compared_in_order(df, kept).select("doc_id", imatch.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near")).collect()
+    near = {r.doc_id: r.near for r in got}
+    assert all(near[i] == 1 for i in range(65, 104)) and near[64] < 0.2 and near[104] < 0.2 and max(near[i] for i in range(1, 64)) < 0.5
+    few = spark.createDataFrame([(1, "a page of words"), (2, "one other text")], "doc_id bigint, text string")
+    rows = imatch.compared_in_order(few, imatch.lexicon(few)).select(imatch.likeness(F.col("fingerprint"), F.col("next_fingerprint"))).collect()
+    assert [r[0] for r in rows] == [0.0, 0.0]
