@@ -176,6 +176,15 @@ def test_personal_data_on_held_out_spans(spark):
     assert "[PHONE]" in detector.redacted("please call +1 (017) 555-7713 now") and detector.redacted("") == ""
 
 
+def test_every_made_form_is_proposed():
+    for text in ("write jane at example (dot) com", "jane at example[dot]org", "jane at example.org", "jane(at)example dot org"):
+        assert "email" in [k for k, *_ in pii.candidates(text)]
+    texts = [" ".join(random.Random(i).sample("some plain words that say nothing of anybody here today".split(), 9)) for i in range(600)]
+    for kind, text, a, b, label in pii.labelled_spans(texts):
+        if label:
+            assert any(k == kind and x < b and a < y for k, x, y in pii.candidates(text)), text[a:b]
+
+
 def test_personal_data_frames(spark):
     ship_package(spark)
     df = spark.createDataFrame([(1, "mail a@b.org now"), (None, None), (2, ""), (1, "9" * 20000)], "doc_id bigint, text string").withColumn("spans", F.lit(1)).withColumn("key", F.lit(1))
