@@ -230,3 +230,25 @@ def test_likeness_with_the_production_band_and_a_group_of_copies(spark):
     few = spark.createDataFrame([(1, "a page of words"), (2, "one other text")], "doc_id bigint, text string")
     rows = imatch.compared_in_order(few, imatch.lexicon(few)).select(imatch.likeness(F.col("fingerprint"), F.col("next_fingerprint"))).collect()
     assert [r[0] for r in rows] == [0.0, 0.0]
+
+
+@pytest.mark.parametrize("bound", [0, 1_000_000])
+def test_excerpts_insertions_and_short_items(spark, monkeypatch, bound):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", bound)
+    item = [f"w{i}" for i in range(40)]
+    even = [f"v{i}" for i in range(36)]
+    short = {n: [f"s{n}x{i}" for i in range(n)] for n in (5, 7, 10)}
+    benchmark = [(1, item), (2, even), *((n, words) for n, words in short.items())]
+    around = [f"x{i}" for i in range(15)]
+    found = {
+        1: (1, item[10:29]), 2: (1, item[3:16]), 3: (2, [*even[:18], "new", *even[18:]]), 4: (2, [*even[:18], *even[19:]]),
+        5: (1, item[:12] + around + item[:12] + around + item[12:24] + around + item[24:36]),
+        **{100 * n + i: (n, [*words[:i], "other", *words[i + 1 :]]) for n, words in short.items() for i in range(n)},
+    }
+    rows = [(k, " ".join([*around, *words, *around])) for k, (_, words) in found.items()]
+    rows += [(9000, " ".join(around + item[5:11] + around)), (9001, " ".join(around + short[5][:3] + around + short[7][:5] + around))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(k, " ".join(words)) for k, words in benchmark], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r.matched_words for r in decontaminate.overlaps(df, bench).collect()}
+    assert set(got) == {(k, n) for k, (n, _) in found.items()}
+    assert got[3, 2] == 36 and got[4, 2] == 35 and got[1, 1] == 19 and got[5, 1] == 36 and got[503, 5] == 4
