@@ -46,19 +46,35 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDE = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_MAY_HIDE = re.compile(r"hidden|none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_HIDING_STYLE = re.compile(r"(?:\A|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?:!\s*important\s*)?(?:;|\Z)", re.I)
+#: Elements that may stand in a head; any other ends it, as text does.
+_IN_HEAD = frozenset("head html base basefont bgsound link meta title style script noscript template noframes".split())
 _HINT_WORD = re.compile(r"[a-z]+")
 #: Elements that an opening tag of the key ends.
 _ENDS = {name: frozenset({"p"}) for name in "p div ul ol dl table section article aside nav header footer form h1 h2 h3 h4 h5 h6 blockquote pre figure main hr address fieldset details menu".split()}
 _ENDS |= {"li": frozenset({"li", "p"}), "td": frozenset({"td", "th", "p"}), "th": frozenset({"td", "th", "p"}), "tr": frozenset({"tr", "td", "th", "p"}), "dt": frozenset({"dt", "dd", "p"}), "dd": frozenset({"dt", "dd", "p"})}
 
 
+def _hides(rest: str) -> bool:
+    """Whether a tag's attributes hide its element: hidden, aria-hidden=true, or a style that doesn't show it."""
+    if not _MAY_HIDE.search(rest):
+        return False
+    for m in _ATTRIBUTE.finditer(rest):
+        name, value = m[1].lower(), html.unescape(m[2] or m[3] or m[4] or "")
+        if name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true") or (name == "style" and _HIDING_STYLE.search(value)):
+            return True
+    return False
+
+
 def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
     """Leaf blocks in page order: ancestors' features from the outermost in, text, share of linked text."""
     found: list[tuple[tuple[str, ...], str, float]] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked = in_link = hidden = at = 0
+    in_head = False
 
     def flush() -> None:
         nonlocal linked
@@ -71,8 +87,10 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         linked = 0
 
     def take(text: str) -> None:
-        nonlocal linked
-        if text and not hidden:
+        nonlocal linked, in_head
+        if in_head and text.strip():
+            in_head = False
+        if text and not hidden and not in_head:
             parts.append(text)
             if in_link:
                 linked += len(text.strip())
@@ -84,6 +102,8 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         if name is None:
             continue  # a comment, a declaration, a hidden element with all it holds, or the stub of a tag
         name = name.lower()
+        if in_head and not m["end"] and name not in _IN_HEAD:
+            in_head = False
         if name in INLINE:
             if name == "a":
                 in_link = 0 if m["end"] else 1
@@ -93,9 +113,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         flush()
         in_link = 0
         if name == "head":
-            hidden = 0 if m["end"] else 1
-        elif name == "body":
-            hidden = 0
+            in_head = not m["end"]
         if m["end"]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
@@ -111,7 +129,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
             if rest:
                 words = {w for g in _MARKS.finditer(rest) for w in _HINT_WORD.findall((g[1] or g[2] or g[3] or "").lower())}
                 own += sorted(f".{w}" for w in words & HINTS)
-                if _HIDE.search(rest):
+                if _hides(rest):
                     own.append("hidden")
                     hidden += 1
             stack.append((name, tuple(own)))

@@ -213,6 +213,17 @@ def test_blocks_of_odd_markup():
     assert html_crf.blocks("") == [] and html_crf.Model({}, np.zeros((2, 2))).main_text(None) == ""
 
 
+def test_only_hiding_attributes_hide():
+    shown = ('style="overflow:hidden"', 'class="overflow-hidden"', 'class="hidden-xs"', 'aria-hidden="false"', 'data-title="the hidden city"', 'style="backface-visibility:hidden"')
+    for attribute in shown:
+        assert [t for _, t, _ in html_crf.blocks(f"<div {attribute}><p>seen</p></div>")] == ["seen"], attribute
+    for attribute in ("hidden", 'hidden=""', "aria-hidden=true", 'style="color:red; display: none"', "style='visibility:hidden !important'"):
+        assert [t for _, t, _ in html_crf.blocks(f"<div {attribute}><p>not seen</p></div><p>seen</p>")] == ["seen"], attribute
+    for start in ("<p>", "<article><p>", "<span>", ""):
+        page = f"<html><head><meta charset=utf-8><title>t</title><link href=x><style>p {{}}</style>\n{start}seen"
+        assert [t for _, t, _ in html_crf.blocks(page)] == ["seen"], start
+
+
 @tables
 def test_held_out_pages_in_other_surroundings(spark):
     pages = column("pages", "html")
