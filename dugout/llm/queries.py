@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.llm import bagminhash, bpe, decontaminate, html_crf, huffman, imatch, pii, quality, revisits, secrets
+from dugout.llm import bagminhash, bpe, decontaminate, html_crf, huffman, imatch, pii, quality, rankarray, revisits, secrets
 from dugout.llm.common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,14 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op13_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded by the merges of a tokenizer definition: id count, digests of ids and text."""
+    definition = public_tokenizers.path("byte_bpe_50k.json")
+    coded = rankarray.encode(table(spark, sf_dir, "documents"), definition)
+    return bpe.digests(rankarray.decode(coded, definition))
+
+
 @query
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the smallest id of its class of near copies."""
