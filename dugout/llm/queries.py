@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.llm import bagminhash, bpe, decontaminate, html_crf, huffman, imatch, pii, quality, rankarray, revisits, secrets
+from dugout.llm import bagminhash, bpe, decontaminate, divergence, html_crf, huffman, imatch, pii, quality, rankarray, revisits, secrets, spelling
 from dugout.llm.common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,18 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of all texts with their near words, their more frequent spelling and where that leads."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language are apart, and the terms that set them apart."""
+    return divergence.divergences(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded by the merges of a tokenizer definition: id count, digests of ids and text."""
@@ -167,3 +179,47 @@ select record_id, uri, moment, response_id, status,
        case when status = 'resolved' then old_size end as payload_size
 from both_sides
 """
+
+ORACLE["op12_source_divergence"] = r"""
+with docs as (
+    select row_number() over () as row_id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{80}-\x{10FFFF}]+') as terms
+    from documents
+), occurrences as (
+    select lang, source, row_id, unnest(terms) as term from docs
+), counted as (
+    select lang, source, term, count(*) as n, count(distinct row_id) as docs from occurrences group by all
+), kept as (
+    select lang, term from counted group by all having sum(docs) >= 10
+), sizes as (
+    select d.lang, (select count(*) from kept k where k.lang = d.lang) as v from (select distinct lang from docs) d
+), own as (
+    select c.* from counted c join kept k on c.lang = k.lang and c.term = k.term
+), groups as (
+    select distinct lang, source from docs
+), totals as (
+    select g.lang, g.source, coalesce(sum(o.n), 0)::hugeint as total from groups g left join own o on g.lang = o.lang and g.source = o.source group by all
+), shares as (
+    select t.lang, t.source, k.term, coalesce(o.n, 0)::hugeint as n, 1 + (1000000000::hugeint * (coalesce(o.n, 0) + 2)) // (t.total + 2 * s.v) as p
+    from totals t join sizes s on t.lang = s.lang join kept k on k.lang = t.lang
+    left join own o on o.lang = t.lang and o.source = t.source and o.term = k.term
+), lang_shares as (
+    select k.lang, k.term, 1 + (1000000000::hugeint * (coalesce(c.n, 0) + 2)) // (t.total + 2 * s.v) as q
+    from kept k join sizes s on k.lang = s.lang
+    join (select lang, sum(total)::hugeint as total from totals group by lang) t on t.lang = k.lang
+    join (select lang, term, sum(n)::hugeint as n from own group by all) c on c.lang = k.lang and c.term = k.term
+), pairs as (
+    select a.lang, a.source, b.source as item,
+           coalesce((select sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) from shares x join shares y on x.lang = y.lang and x.term = y.term
+                     where x.lang = a.lang and x.source = a.source and y.source = b.source), 0)::bigint as value
+    from groups a join groups b on a.lang = b.lang and a.source <> b.source
+), terms as (
+    select x.lang, x.source, x.term as item, (((x.p - l.q) * (x.p - l.q)) // (x.p + l.q))::bigint as value
+    from shares x join lang_shares l on x.lang = l.lang and x.term = l.term where x.n > 0 and x.p > l.q
+), listed as (
+    select lang, source, 'pair' as part, item, value from pairs union all select lang, source, 'term', item, value from terms
+), ranked as (
+    select *, (row_number() over (partition by lang, source, part order by value desc, item))::int as rank from listed
+)
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 10
+"""
