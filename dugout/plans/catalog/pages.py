@@ -136,12 +136,13 @@ def html_prospects(spark, folder):
 
 
 @query("""
-select s_suppkey, s_name || ', Jr' as "Name", case when s_suppkey % 2 = 0 then null else s_nationkey::varchar end as "HR" from supplier""")
+select s_suppkey, s_name || case when s_suppkey % 3 = 0 then ', Jr' else ', "Jr"' || chr(10) || 'of ' || s_nationkey end as "Name",
+       case when s_suppkey % 2 = 0 then null else s_nationkey::varchar end as "HR" from supplier""")
 def html_csv_block(spark, folder):
     key, name = F.col("s_suppkey"), F.concat("s_name", F.lit(", Jr"))
     homers = F.when(key % 2 == 0, "NULL").otherwise(F.col("s_nationkey").cast("string"))
     block = html('<table id="csv_x"><tr><th>Name</th><th>HR</th></tr><tr><td>', name, "</td><td>", homers, "</td></tr></table>")
-    plain = html('<div class="csv">Name,HR\n"', name, '",', homers, "</div>")
+    plain = html('<div class="csv">Name,HR\n"', F.col("s_name"), ', ""Jr""\nof ', F.col("s_nationkey"), '",', homers, "</div>")
     page = F.when(key % 3 == 0, block).otherwise(plain)
     return tables.wide(
         tables.csv_blocks(table(spark, folder, "supplier").select("s_suppkey", page.alias("html")), ["s_suppkey"]),
@@ -153,7 +154,7 @@ def html_csv_block(spark, folder):
 def _mixed_pages(spark, folder):
     """Landed bodies: CSV, embedded JSON, tables, and the raw pages in between."""
     key = F.col("page_id")
-    csv = html("name,value\na,", key, "\n\nb,\n")
+    csv = html('name,value\n"a, ""x""\r\nc",', key, "\n\nb,\n")
     script = html('<html><script>var data = [{"name": "a", "value": "', key, '"}];</script></html>')
     grid = html("<table><thead><tr><th>name</th><th>value</th></tr></thead><tbody><tr><td>a</td><td>", key, "</td></tr></tbody></table>")
     body = (
@@ -169,7 +170,7 @@ def probe_format(spark, folder):
 
 
 @query("""
-select page_id, 0 as row_index, 'a' as name, page_id::varchar as value, case page_id % 5 when 0 then 'csv' when 1 then 'embedded-json' else 'html-table' end as format
+select page_id, 0 as row_index, case when page_id % 5 = 0 then 'a, "x"' || chr(13) || chr(10) || 'c' else 'a' end as name, page_id::varchar as value, case page_id % 5 when 0 then 'csv' when 1 then 'embedded-json' else 'html-table' end as format
 from pages where page_id % 5 < 3
 union all select page_id, 2, 'b', null, 'csv' from pages where page_id % 5 = 0""")
 def read_by_format(spark, folder):
@@ -200,7 +201,7 @@ def page_leaders(spark, folder):
     )
     state = obj(props=obj(pageProps=obj(dehydratedState=obj(queries=F.array(other, wanted)))))
     page = html('<html><script id="__NEXT_DATA__" type="application/json">', F.to_json(state), "</script></html>")
-    rows = probe.leader_rows(table(spark, folder, "part").select("p_partkey", page.alias("html")), ["p_partkey"])
+    rows = probe.leader_rows(table(spark, folder, "part").select("p_partkey", page.alias("html")), ["p_partkey"], fail=False)
     return tables.wide(rows, ["Name", "HR"], ["p_partkey", "row_index"])
 
 
@@ -249,10 +250,11 @@ def payload_quarantine(spark, folder):
 @query("""
 select page_id, page_id % 4 = 0 as is_bad, case when page_id % 4 = 0 then 'too "large", sorry' end as reason from pages""")
 def rejected_payloads(spark, folder):
-    """A table with an ``errors`` column is good; one headed ``error`` is not."""
+    """A table with an ``errors`` column is good, also with a comma in a heading; one headed ``error`` is not."""
     key = F.col("page_id")
     good_body = F.concat(F.lit("player_name,fielding_errors,year\nError,"), key.cast("string"), F.lit(",2024\n"))
-    body = F.when(key % 4 == 0, 'Error,code\r\n"too ""large"", sorry",7\r\n').otherwise(good_body)
+    quoted = F.concat(F.lit('player,"hits,error",year\nx,'), key.cast("string"), F.lit(",2024\n"))
+    body = F.when(key % 4 == 0, 'Error,code\r\n"too ""large"", sorry",7\r\n').when(key % 4 == 1, quoted).otherwise(good_body)
     good, bad = split_rejected(table(spark, folder, "pages").select("page_id", body.alias("body")))
     kept = good.select("page_id", F.lit(False).alias("is_bad"), F.lit(None).cast("string").alias("reason"))
     return kept.unionByName(bad.select("page_id", F.lit(True).alias("is_bad"), "reason"))

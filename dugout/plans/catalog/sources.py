@@ -156,12 +156,15 @@ def park_code_file(spark, folder):
     return files.read_park_codes(spark, _land_csv(table(spark, folder, "nation"), "parks"))
 
 
-@query("select c_custkey as \"playerID\", c_name as name, c_acctbal as \"H\" from customer")
+@query("""
+select c_custkey as "playerID", case when c_custkey % 2 = 0 then c_name || ', "Jr"' || chr(10) || 'of ' || c_nationkey else c_name end as name,
+       c_acctbal as "H" from customer""")
 def archive_table(spark, folder):
     landed, compiled = scratch_path(spark, "landed"), scratch_path(spark, "compiled")
     types = {"playerID": "bigint", "name": "string", "H": "double"}
-    people = table(spark, folder, "customer").selectExpr("c_custkey as playerID", "c_name as name", "c_acctbal as H")
-    people.write.option("header", True).csv(f"{landed}/core/Batting.csv")
+    quoted = F.when(F.col("c_custkey") % 2 == 0, F.concat("c_name", F.lit(', "Jr"\nof '), F.col("c_nationkey").cast("string"))).otherwise(F.col("c_name"))
+    people = table(spark, folder, "customer").select(F.col("c_custkey").alias("playerID"), quoted.alias("name"), F.col("c_acctbal").alias("H"))
+    people.write.option("header", True).option("escape", '"').csv(f"{landed}/core/Batting.csv")
     archive.compile_table(spark, landed, compiled, "batting", schemas.struct(types))
     return archive.read_table(spark, compiled, "batting")
 

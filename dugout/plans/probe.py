@@ -45,6 +45,8 @@ class PageKind:
     accepts: Callable[[Column], Column]
     needs: tuple[str, ...]
     extract: Callable[[DataFrame, Sequence[str], str], DataFrame]
+    #: Whether an accepted page can be read; without it every accepted page is taken to be readable.
+    readable: Callable[[Column], Column] | None = None
 
 
 def csv_bodies(pages: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
@@ -52,9 +54,15 @@ def csv_bodies(pages: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
     return csv_rows(pages, keys, html, lambda c: F.nullif(clean.trim_text(c), F.lit("")))
 
 
+def embedded_list(html: Column) -> Column:
+    """Items of ``var data = [...];`` as JSON texts; null when there is no such list."""
+    return F.from_json(F.regexp_extract(html, DATA_PATTERN, 1), LIST)
+
+
 def embedded_json(pages: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
-    """Objects of ``var data = [...];`` as maps of text."""
-    items = F.from_json(F.regexp_extract(ref(html), DATA_PATTERN, 1), LIST)
+    """Objects of ``var data = [...];`` as maps of text. A page without a readable list fails the job."""
+    unreadable = F.raise_error(F.concat(F.lit("[embedded-json] cannot be read: "), F.left(ref(html), F.lit(200)))).cast(LIST)
+    items = F.coalesce(embedded_list(ref(html)), unreadable)
     rows = pages.select(*refs(keys), F.posexplode(items).alias("row_index", "_item")).where(is_object(F.col("_item")))
     return rows.select(*refs(keys), "row_index", F.from_json("_item", OBJECT).alias("cells"))
 
@@ -65,7 +73,13 @@ CSV = PageKind(
     (",",),
     csv_bodies,
 )
-EMBEDDED = PageKind("embedded-json", lambda text: F.contains(text, F.lit(DATA_VARIABLE)), (DATA_VARIABLE,), embedded_json)
+EMBEDDED = PageKind(
+    "embedded-json",
+    lambda text: F.contains(text, F.lit(DATA_VARIABLE)),
+    (DATA_VARIABLE,),
+    embedded_json,
+    lambda text: embedded_list(text).isNotNull(),
+)
 TABLE = PageKind("html-table", lambda text: F.contains(text, F.lit(TABLE_TAG)), (TABLE_TAG,), board_tables)
 BOARD_KINDS = (CSV, EMBEDDED, TABLE)
 
@@ -91,10 +105,20 @@ def probed(pages: DataFrame, kinds: Sequence[PageKind] = BOARD_KINDS, html: str
 
 
 def read_pages(
-    pages: DataFrame, keys: Sequence[str], kinds: Sequence[PageKind] = BOARD_KINDS, html: str = "html"
+    pages: DataFrame, keys: Sequence[str], kinds: Sequence[PageKind] = BOARD_KINDS, html: str = "html", fail: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows of all pages, each read by its kind, and the pages no kind accepts."""
+    """Rows of all pages, each read by its kind, and the pages no kind accepts.
+
+    A page that its kind accepts and then cannot read fails the job; with ``fail=False`` it is among
+    the pages that are given back, with the kind as its diagnostics. It does not fall through to
+    another kind.
+    """
     marked = probed(pages, kinds, html)
+    if not fail:
+        broken = [F.when((F.col("format") == k.name) & ~k.readable(ref(html)), F.lit(f"[{k.name}] cannot be read")) for k in kinds if k.readable]
+        told = F.coalesce(*broken, F.col("diagnostics"))
+        marked = once(marked, _told=told).withColumn("diagnostics", F.col("_told")).drop("_told")
+        marked = marked.withColumn("format", F.when(F.col("diagnostics").isNull(), F.col("format")))
     parts = [
         kind.extract(marked.where(F.col("format") == kind.name), keys, html)
         .select(*refs(keys), "row_index", "cells")
@@ -107,10 +131,11 @@ def read_pages(
     return whole, marked.where(F.col("format").isNull())
 
 
-def leader_rows(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
+def leader_rows(pages: DataFrame, keys: Sequence[str], html: str = "html", fail: bool = True) -> DataFrame:
     """Player objects of a leaders page, as maps with tags stripped from text.
 
-    They lie in the first query of the page state whose key names the leaders.
+    They lie in the first query of the page state whose key names the leaders. A page without
+    such a list fails the job; with ``fail=False`` it has no rows.
     """
     state = F.regexp_extract(ref(html), NEXT_DATA_PATTERN, 1)
     queries = pages.select(*refs(keys), parsed(state, {NEXT_DATA_QUERIES: LIST}).alias("_state"))
@@ -120,14 +145,17 @@ def leader_rows(pages: DataFrame, keys: Sequence[str], html: str = "html") -> Da
     )
     wanted = F.filter(read, lambda q: F.array_contains(q["queryKey"], LEADERS_KEY))
     first = queries.select(*refs(keys), F.try_element_at(wanted, F.lit(1)).alias("_query"))
-    players = first.select(*refs(keys), F.posexplode(F.col("_query.state.data.data")).alias("row_index", "_player"))
+    found = F.col("_query.state.data.data")
+    if fail:
+        found = F.coalesce(found, F.raise_error(F.lit(f"A page has no list of {LEADERS_KEY}.")).cast(LIST))
+    players = first.select(*refs(keys), F.posexplode(found).alias("row_index", "_player"))
     cells = F.transform_values(F.from_json("_player", OBJECT), lambda k, v: clean.strip_tags(v))
     return players.where(is_object(F.col("_player"))).select(*refs(keys), "row_index", cells.alias("cells"))
 
 
 def unreadable_leader_pages(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
     """Pages that yield no player, by an anti-join on their keys."""
-    return pages.join(leader_rows(pages, keys, html).select(*refs(keys)).distinct(), list(keys), "left_anti")
+    return pages.join(leader_rows(pages, keys, html, fail=False).select(*refs(keys)).distinct(), list(keys), "left_anti")
 
 
 def grade_pairs(text: Column) -> Column:

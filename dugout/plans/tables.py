@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dugout.functions import clean
+from dugout.operators import records
 from dugout.operators.align import pick_table
 from dugout.operators.names import ref, refs
 from dugout.operators.typed import coerce_stats, drop_named_like, with_singles
@@ -176,9 +177,10 @@ def player_info(pages: DataFrame, keys: Sequence[str], html: str = "html") -> Da
 
 
 def board_tables(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
-    """First table of a leaderboard page as text; ``td`` cells only."""
+    """First table of a leaderboard page as text; ``td`` cells only. A table without headers fails the job."""
     first = H.page_tables(pages, keys, html).where("origin = 'page' and table_index = 0")
-    head = H.last_header(F.col("rows"))["heads"]
+    titles = H.last_header(F.col("rows"))["heads"]
+    head = F.when(F.size(titles) > 0, titles).otherwise(F.raise_error(F.lit("A leaderboard table has no headers.")))
     return H.paired_rows(first, keys, head, H.body_rows(F.col("rows")), lambda r: r["datas"], lambda c: c)
 
 
@@ -224,16 +226,10 @@ def _csv_null(cell: Column) -> Column:
 
 
 def csv_rows(bodies: DataFrame, keys: Sequence[str], text: str, null_rule) -> DataFrame:
-    """Rows of CSV texts with a header line, as maps."""
-    lines = bodies.select(*refs(keys), F.split(clean.trim_text(ref(text)), r"\r?\n").alias("_lines"))
-    head = csv_fields(F.try_element_at("_lines", F.lit(1)))
-    blank = F.array().cast("array<string>")
-    fields = lambda line: F.when(F.trim(line) != "", csv_fields(line)).otherwise(blank)
-    return H.paired_rows(lines, keys, head, H.tail(F.col("_lines")), fields, null_rule)
-
-
-def csv_fields(line: Column) -> Column:
-    """Fields of a CSV line; commas inside quotes stay."""
-    fields = F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
-    bare = F.transform(fields, lambda f: F.regexp_replace(F.trim(f), r'^"|"$', ""))
-    return F.transform(bare, lambda f: F.replace(f, F.lit('""'), F.lit('"')))
+    """Rows of CSV texts with a header record, as maps; quoted cells may hold commas and line breaks."""
+    trimmed = bodies.select(*refs(keys), clean.trim_text(ref(text)).alias("_text"))
+    parts = records.with_records(trimmed, "_text")
+    head = F.transform(F.try_element_at("_records", F.lit(1)), records.bare)
+    blank = lambda r: (F.size(r) == 1) & (clean.trim_text(F.get(r, F.lit(0))) == "")
+    values = lambda r: F.when(blank(r), F.array().cast("array<string>")).otherwise(F.transform(r, records.bare))
+    return H.paired_rows(parts, keys, head, H.tail(F.col("_records")), values, null_rule)

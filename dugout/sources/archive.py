@@ -45,7 +45,7 @@ def compile_table(spark: SparkSession, landed: str, compiled: str, name: str, sc
     Without a schema, types are inferred here, in the compile step only.
     """
     member = table_file(name)
-    reader = spark.read.option("header", True).option("nullValue", "")
+    reader = spark.read.option("header", True).option("nullValue", "").option("multiLine", True).option("escape", '"')
     reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
     target = _compiled_path(compiled, member)
     reader.csv(f"{landed.rstrip('/')}/{member}").write.mode("overwrite").parquet(target)
@@ -74,12 +74,19 @@ def unzip_members(spark: SparkSession, archives: str, pattern: str) -> DataFrame
     return files.mapInPandas(extract, "path string, member string, content binary")
 
 
+def _named_cells(member: str, head: list[str], cells: list[str]) -> dict[str, str]:
+    if len(cells) > len(head):
+        raise ValueError(f"{member}: a row of {len(cells)} cells under {len(head)} headings: {cells[:5]}")
+    return dict(zip(head, cells, strict=False))
+
+
 def csv_from_archive(spark: SparkSession, archives: str, pattern: str, target: str) -> DataFrame:
     """The matching members as one table, landed as Parquet below ``target`` and typed from there.
 
     Every member has its own header line; cells in quotes may hold commas, doubled
     quotes and line breaks. Members are read record by record where their archive
-    lies, and land as (member, cells by name).
+    lies, and land as (member, cells by name). A shorter row ends in nulls, a row longer than its
+    header fails the job.
     """
     files = spark.read.format("binaryFile").load(archives).select("content")
 
@@ -91,7 +98,7 @@ def csv_from_archive(spark: SparkSession, archives: str, pattern: str, target: s
                         with archive.open(member) as raw:
                             lines = csv.reader(io.TextIOWrapper(raw, "utf-8-sig", newline=""))
                             head = [name.strip() for name in next(lines, [])]
-                            rows = (dict(zip(head, cells, strict=False)) for cells in lines if cells)
+                            rows = (_named_cells(member, head, cells) for cells in lines if cells)
                             yield pd.DataFrame({"member": [member], "head": [head], "cells": [{}]})  # a member without rows counts too
                             while chunk := list(itertools.islice(rows, RECORDS_AT_ONCE)):
                                 size = len(chunk)

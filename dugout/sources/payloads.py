@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from dugout.operators.names import ref
 from dugout.operators.ranks import latest
+from dugout.operators.records import first_cells
 from dugout.sources import schemas
 
 LANDING = {
@@ -24,8 +25,6 @@ KEY = "payload_key"
 # The heading of an error answer, and the key's schema version.
 ERROR_WORD = "error"
 KEY_VERSION = 1
-#: Columns of an error answer that are looked at for the reason.
-ERROR_CELLS = 16
 #: First and last bytes of a Parquet file.
 PARQUET_MARK = b"PAR1"
 
@@ -92,8 +91,7 @@ def looks_rejected(body: Column) -> Column:
 
 
 def _headings(body: Column) -> Column:
-    first = F.regexp_extract(body, r"\A\s*([^\r\n]*)", 1)
-    return F.transform(F.split(first, ","), lambda h: F.lower(F.trim(F.regexp_replace(h, '"', ""))))
+    return F.transform(first_cells(body), lambda h: F.lower(F.trim(h)))
 
 
 def split_rejected(payloads: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
@@ -103,10 +101,8 @@ def split_rejected(payloads: DataFrame, body: str = "body") -> tuple[DataFrame,
     the whole body is the reason. Null bodies are rejected.
     """
     bad = F.coalesce(looks_rejected(ref(body)), F.lit(True))
-    record = F.regexp_extract(ref(body), r"\A\s*[^\r\n]*\r?\n([\s\S]*)", 1)
-    cells = F.from_csv(record, ", ".join(f"c{i} string" for i in range(ERROR_CELLS)), {"multiLine": "true", "escape": '"'})
     position = F.array_position(_headings(ref(body)), ERROR_WORD)
-    listed = F.array(*[cells[f"c{i}"] for i in range(ERROR_CELLS)])
-    reason = F.when(position.between(1, ERROR_CELLS), F.nullif(F.regexp_extract(F.get(listed, position.cast("int") - 1), r"\A\s*([^\r\n]*)", 1), F.lit("")))
+    cell = F.get(first_cells(ref(body), skip=1), position.cast("int") - 1)
+    reason = F.nullif(F.regexp_extract(cell, r"\A\s*([^\r\n]*)", 1), F.lit(""))
     rejected = payloads.where(bad).withColumn("reason", F.coalesce(reason, ref(body)))
     return payloads.where(~bad), rejected

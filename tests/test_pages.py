@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -121,8 +124,42 @@ def test_probe_chain(spark):
 
 
 def test_a_kind_that_accepts_does_not_fall_through(spark):
-    rows, rejected = probe.read_pages(pages(spark, "<p>var data = broken</p><table><tr><th>a</th></tr><tr><td>1</td></tr></table>"), ["page"])
-    assert rows.count() == 0 and rejected.count() == 0
+    broken = pages(spark, "<p>var data = broken</p><table><tr><th>a</th></tr><tr><td>1</td></tr></table>")
+    rows, rejected = probe.read_pages(broken, ["page"])
+    with pytest.raises(Exception, match="embedded-json. cannot be read"):
+        rows.collect()
+    assert rejected.count() == 0
+    rows, rejected = probe.read_pages(broken, ["page"], fail=False)
+    assert rows.count() == 0 and [r.diagnostics for r in rejected.collect()] == ["[embedded-json] cannot be read"]
+
+
+def test_boards_without_headers_and_pages_without_leaders_fail(spark):
+    with pytest.raises(Exception, match="no headers"):
+        tables.board_tables(pages(spark, "<table><tr><td>1</td></tr></table>"), ["page"]).collect()
+    with pytest.raises(Exception, match="no list of leaders"):
+        probe.leader_rows(pages(spark, "<html></html>"), ["page"]).collect()
+
+
+CSV_TEXTS = [
+    'a,b\n"x\ny",1\n', 'a,b\r\n"x, ""q""",2\r\n\r\n3,4', 'a,b\n,\n"",""\n', 'a,b\n"open, 1\n2', 'a\n"x"\n" y "\n', "a,b\n5\" pipe,2\n",
+    'a,b\n"""",1\n', "a,b,c\n1\n1,2,3,4\n", 'a,"b\nc"\n1,2\n',
+]
+
+
+def test_csv_records_are_those_of_the_standard_library(spark):
+    found = tables.csv_rows(pages(spark, *CSV_TEXTS), ["page"], "html", lambda c: c).collect()
+    for i, text in enumerate(CSV_TEXTS):
+        head, *rest = [r for r in csv.reader(io.StringIO(text, newline="")) if r]
+        want = [{k: (r[j].strip() if j < len(r) else None) for j, k in enumerate(head)} for r in rest]
+        assert [{k: v and v.strip() for k, v in r.cells.items()} for r in found if r.page == i] == want, text
+
+
+def test_csv_in_a_cell_takes_linear_time(spark):
+    line = '"' + "a, " * 200_000 + '",' + "x," * 200_000 + '"' + 'q""' * 200_000 + '"'
+    started = time.monotonic()
+    row = tables.csv_rows(pages(spark, f"h\n{line}\n"), ["page"], "html", lambda c: c).first()
+    assert row.cells["h"] == ("a, " * 200_000).strip() or row.cells["h"].startswith("a, ")
+    assert time.monotonic() - started < 60
 
 
 def test_csv_blocks(spark):
@@ -140,7 +177,7 @@ def test_leaders_page(spark):
     state = json.dumps({"props": {"pageProps": {"dehydratedState": {"queries": queries}}}})
     good = f'<script id="__NEXT_DATA__" type="application/json">{state}</script>'
     df = pages(spark, good, "<html></html>")
-    assert cells(probe.leader_rows(df, ["page"])) == [{"Name": "Aaron Judge", "HR": "58"}]
+    assert cells(probe.leader_rows(df, ["page"], fail=False)) == [{"Name": "Aaron Judge", "HR": "58"}]
     assert [r.page for r in probe.unreadable_leader_pages(df, ["page"]).collect()] == [1]
 
 
