@@ -57,8 +57,8 @@ class Plan:
     defaults: dict[str, str] = field(default_factory=dict)
 
 
-def json_schema(leaves: dict[str, str]) -> str:
-    """Schema text for dotted paths: ``{"a.b": "string"}`` to ``a struct<b string>``."""
+def json_schema(leaves: dict[str, str], between: str = " ") -> str:
+    """Schema text for dotted paths: ``{"a.b": "string"}`` to ``a struct<b: string>``."""
     tree: dict = {}
     for path, kind in leaves.items():
         node = tree
@@ -77,7 +77,7 @@ def json_schema(leaves: dict[str, str]) -> str:
             for name, below in node.items()
         )
 
-    return text(tree, " ")
+    return text(tree, between)
 
 
 def parsed(text: Column, leaves: dict[str, str]) -> Column:
@@ -108,35 +108,147 @@ def walk(
 ) -> DataFrame:
     """Payload columns plus one column ``level:path`` per wanted value.
 
-    Levels form a chain. A level is parsed once, for its wanted values and for
-    the array the next level comes from.
+    Levels form a chain. As many of them as possible are parsed together, with one schema that
+    holds the wanted values of all; a level that is wanted as a whole starts from its own text.
     """
-    rows = payloads.select(*[ref(c) for c in payloads.columns if c != body], ref(body).alias("_text"))
-    for level, step in zip([ROOT, *[s.level for s in steps]], [*steps, None], strict=True):
-        if step is not None and step.parent != level:
+    levels = [ROOT, *[s.level for s in steps]]
+    for level, step in zip(levels, steps, strict=False):
+        if step.parent != level:
             raise InvalidParameter(f"Level {step.level!r} must follow {step.parent!r} directly.")
-        leaves = dict(wanted.get(level, {}))
-        if step is not None:
-            leaves[step.path] = OBJECT if step.keyed else LIST
-        carried = [c for c in rows.columns if c != "_text"]
-        whole = leaves.pop(WHOLE, None)
-        if leaves:
-            rows = once(rows, _doc=parsed(F.col("_text"), leaves))
-        values = [field_at("_doc", path).alias(f"{level}:{path}") for path in leaves]
-        if whole:
-            rows = once(rows, _whole=F.from_json("_text", whole))
-            values.append(F.col("_whole").alias(f"{level}:{WHOLE}"))
-        rows = rows.select(*refs(carried), *values)
-        if step is not None:
-            rows = _descend(rows, step)
+    chain = [_Level(level, dict(wanted.get(level, {})), step) for level, step in zip(levels, [*steps, None], strict=True)]
+    rows = payloads.select(*[ref(c) for c in payloads.columns if c != body], ref(body).alias("_text"))
+    while chain:
+        size = 1
+        while size < len(chain) and not chain[size - 1].from_text and not chain[size].from_text:
+            size += 1
+        rows = _from_text(rows, chain[0]) if chain[0].from_text else _together(rows, chain[:size])
+        chain = chain[size:]
     return rows.drop("_text")
 
 
-def _descend(rows: DataFrame, step: Step) -> DataFrame:
-    source = f"{step.parent}:{step.path}"
-    others = refs(c for c in rows.columns if c != source)
+@dataclass(frozen=True)
+class _Level:
+    name: str
+    leaves: dict[str, str]
+    step: Step | None
+
+    @property
+    def from_text(self) -> bool:
+        """Whether the level's text is needed: as a value, or because the next level is all of it."""
+        return WHOLE in self.leaves or (self.step is not None and self.step.path == WHOLE)
+
+
+def _from_text(rows: DataFrame, level: _Level) -> DataFrame:
+    """Read one level from its text and go down to the texts of the next."""
+    carried = [c for c in rows.columns if c != "_text"]
+    leaves, step = dict(level.leaves), level.step
+    if step is not None:
+        leaves[step.path] = _texts_below(step)
+    whole = leaves.pop(WHOLE, None)
+    if leaves:
+        rows = once(rows, _doc=parsed(F.col("_text"), leaves))
+    values = [field_at("_doc", path).alias(f"{level.name}:{path}") for path in leaves]
+    if whole:
+        rows = once(rows, _whole=F.from_json("_text", whole))
+        values.append(F.col("_whole").alias(f"{level.name}:{WHOLE}"))
+    rows = rows.select(*refs(carried), *values)
+    return rows if step is None else _descend(rows, step, ref(f"{step.parent}:{step.path}"), is_object)
+
+
+def _together(rows: DataFrame, chain: Sequence[_Level]) -> DataFrame:
+    """Read levels that follow each other with one schema; the last goes down to texts if there is a next.
+
+    Where a list holds something that is no object, Spark gives no list at all. Such payloads are told
+    by their report and read again, element by element.
+    """
+    carried = [c for c in rows.columns if c != "_text"]
+    schema = f"{json_schema(_schema_leaves(chain))}, {REPORT} string"
+    doc = F.from_json("_text", schema, {"columnNameOfCorruptRecord": REPORT})
+    rows = once(rows, _doc=doc)
+    at, here = "_doc", lambda path: field_at(at, path)
+    for k, level in enumerate(chain):
+        values = [here(path).alias(f"{level.name}:{path}") for path in level.leaves]
+        if level.step is None:
+            return rows.select(*refs(carried), *values)
+        below = here(level.step.path)
+        inner = k + 1 < len(chain)
+        if inner and k == 0:
+            gaps = F.col(f"{at}.{REPORT}").isNotNull() & _has_gap(below, chain[1:], level.step)
+            below = F.when(gaps, _one_by_one(F.col("_text"), chain)).otherwise(below)
+        rows = rows.select(*refs(carried), *values, below.alias("_below"))
+        carried += [f"{level.name}:{path}" for path in level.leaves]
+        carried += [f"{level.step.level}_key"] if level.step.keyed else []
+        rows = _descend(rows, level.step, F.col("_below"), Column.isNotNull if inner else is_object)
+        if inner:
+            rows = rows.withColumnRenamed("_text", "_doc")
+    return rows
+
+
+#: Where Spark reports what it could not read of a payload.
+REPORT = "_unreadable"
+
+
+def _texts_below(step: Step) -> str:
+    return OBJECT if step.keyed else LIST
+
+
+def _schema_leaves(chain: Sequence[_Level]) -> dict[str, str]:
+    """Leaves of the first level, with the next levels as the type of its list or object."""
+    level, *rest = chain
+    leaves = dict(level.leaves)
+    if level.step is not None:
+        inner = f"struct<{json_schema(_schema_leaves(rest), ': ')}>" if rest else "string"
+        leaves[level.step.path] = f"map<string,{inner}>" if level.step.keyed else f"array<{inner}>"
+    return leaves
+
+
+def _has_gap(below: Column, rest: Sequence[_Level], step: Step) -> Column:
+    """Whether a list is missing at this level or further down."""
+    level, *more = rest
+    if level.step is None or not more:
+        return below.isNull()
+    items = F.map_values(below) if step.keyed else below
+    inner = F.exists(items, lambda e: F.coalesce(_has_gap(_inside(e, level.step.path), more, level.step), F.lit(False)))
+    return below.isNull() | F.coalesce(inner, F.lit(False))
+
+
+def _inside(value: Column, path: str) -> Column:
+    for part in path.split("."):
+        value = value[part]
+    return value
+
+
+def _one_by_one(text: Column, chain: Sequence[_Level]) -> Column:
+    """What lies below the first level, each element parsed alone; those that are no objects are left out."""
+    level, *rest = chain
+    path, keyed = level.step.path, level.step.keyed
+    found = _inside(parsed(text, {path: _texts_below(level.step)}), path)
+
+    def element(item: Column) -> Column:
+        below = rest[0]
+        if below.step is None:
+            return parsed(item, below.leaves) if below.leaves else F.struct()
+        own = parsed(item, {**below.leaves, below.step.path: _texts_below(below.step)})
+        if len(rest) == 1:
+            return own
+        bound = F.transform(F.array(own), lambda d: d.withField(_quoted(below.step.path), _one_by_one(item, rest)))
+        return F.get(bound, F.lit(0))
+
+    if keyed:
+        return F.transform_values(F.map_filter(found, lambda k, v: is_object(v)), lambda k, v: element(v))
+    return F.transform(F.filter(found, is_object), element)
+
+
+def _quoted(path: str) -> str:
+    return ".".join(f"`{part}`" for part in path.split("."))
+
+
+def _descend(rows: DataFrame, step: Step, source: Column, real) -> DataFrame:
+    """One row per element of a list or value of an object; the element is called ``_text``."""
+    gone = {"_text", "_doc", "_below", f"{step.parent}:{step.path}"}
+    others = refs(c for c in rows.columns if c not in gone)
     names = [f"{step.level}_key", "_text"] if step.keyed else ["_text"]
-    below = rows.select(*others, F.explode(ref(source)).alias(*names)).where(is_object(F.col("_text")))
+    below = rows.select(*others, F.explode(source).alias(*names)).where(real(F.col("_text")))
     return below.where(ref(f"{step.level}_key").isin(*step.keys)) if step.keys else below
 
 

@@ -181,3 +181,23 @@ def test_a_fraction_makes_no_id(spark):
     assert [r["id"] for r in feeds.venues(df, fail=False).collect()] == [13]
     with pytest.raises(Exception, match="rejected"):
         feeds.venues(df).collect()
+
+
+ODD_SCHEDULE = (
+    '{"dates": [{"games": [{"gamePk": 1}, 7, null, {"gamePk": 2, "teams": {"away": {"team": 5, "score": 3}}}]}, "x", null, '
+    '{"games": "none"}, {"games": [[1], {"gamePk": 3, "teams": {"away": 9}}]}, {"games": {}}]}'
+)
+
+
+def test_odd_elements_at_any_level_do_not_take_their_neighbours_along(spark):
+    bodies = [ODD_SCHEDULE, '{"dates": 5}', '{"dates": [{"games": [{"gamePk": 4}]}]}', "[]", "nonsense", None, '{"dates": [{"games": [{"gamePk": 5}]}']
+    df = spark.createDataFrame([(b, {}) for b in bodies], "body string, params map<string,string>")
+    found = {r.gamePk: r.awayScore for r in feeds.schedule(df).collect()}
+    assert {k: v for k, v in found.items() if k != 5} == {1: None, 2: 3, 3: None, 4: None}
+
+
+def test_odd_values_of_keyed_levels(spark):
+    player = {"person": {"id": 1, "fullName": "A"}}
+    teams = {"away": {"team": {"id": 9}, "players": {"ID1": player, "ID2": 5, "ID3": None}}, "home": 7, "neutral": {"players": {"ID4": player}}}
+    found = feeds.boxscore(landed(spark, {"teams": teams}, gamePk=3)).collect()
+    assert [(r.gamePk, r.teamId, r.personId, r.fullName) for r in found] == [(3, 9, 1, "A")]
