@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dugout.errors import InvalidParameter, MissingPartition, SchemaMismatch
@@ -17,6 +17,7 @@ from dugout.session import folder
 from dugout.sources import schemas
 
 YEAR = schemas.SEASON_COLUMN
+UNDATED = "A row has no readable"
 
 
 def _season_list(seasons: int | Iterable[int] | None, first: int, last: int) -> list[int] | None:
@@ -36,16 +37,23 @@ def stored_seasons(spark: SparkSession, root: str) -> list[int]:
     return sorted(int(name) for name in names if name.isdigit())
 
 
-def season_rows(pitches: DataFrame, seasons: Iterable[int], day: str = "game_date") -> DataFrame:
+def season_rows(pitches: DataFrame, seasons: Iterable[int], day: str = "game_date", undated: str = "drop") -> DataFrame:
     """Rows of the calendar years, with the year as a column.
 
     The years' first and last day bound the column itself as well, so that the
-    filter reaches the scan.
+    filter reaches the scan. Rows without a readable date are left out, or fail the
+    job when ``undated`` is ``"fail"``.
     """
     wanted = sorted(seasons)
-    year = F.year(ref(day).try_cast("date"))
-    ranged = pitches.where(_year_range(types_of(pitches)[day], ref(day), wanted[0], wanted[-1])) if wanted else pitches
-    return ranged.withColumn(YEAR, year).where(ref(YEAR).isin(wanted))
+    read, inside = ref(day).try_cast("date"), None
+    if wanted:
+        inside = _year_range(types_of(pitches)[day], ref(day), wanted[0], wanted[-1])
+    if undated == "fail":
+        inside = None if inside is None else inside | read.isNull()
+        text = F.concat(F.lit(f"{UNDATED} {day}: "), F.coalesce(ref(day).cast("string"), F.lit("null")))
+        read = F.coalesce(read, F.raise_error(text).cast("date"))
+    ranged = pitches if inside is None else pitches.where(inside)
+    return ranged.withColumn(YEAR, F.year(read)).where(ref(YEAR).isin(wanted))
 
 
 def _year_range(kind: str, day: Column, first: int, last: int) -> Column:
@@ -91,27 +99,25 @@ def write_seasons(
     todo = [s for s in wanted if s not in kept]
     written: set[int] = set()
     if todo:
-        if undated == "fail" and (lost := season_rejects(pitches, day).select(ref(day)).first()) is not None:
-            raise SchemaMismatch(f"A row has no readable {day}: {lost[0]!r}.")
         types = schemas.PITCH if types is None else types
-        rows = canonical_table(season_rows(pitches, todo, day).withColumnRenamed(YEAR, "_y"), types)
+        # The landed table is read once: undated rows end the write, which then leaves all as it was, and
+        # the rows of each season are counted as they pass.
+        counted = Observation()
+        found = season_rows(pitches, todo, day, undated).observe(counted, *[F.count_if(ref(YEAR) == s).alias(str(s)) for s in todo])
+        rows = canonical_table(found.withColumnRenamed(YEAR, "_y"), types)
         spread = rows.withColumnRenamed("_y", YEAR).hint("rebalance", YEAR)
         order = [ref(c) for c in cluster if c in rows.columns]
-        (
-            spread.sortWithinPartitions(ref(YEAR), *order)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(YEAR)
-            .parquet(root)
-        )
-        # Which of them have rows, from the footers of what was just written.
-        there = set(todo) & set(stored_seasons(spark, root))
-        if there:
-            table = spark.read.schema(schemas.struct({**types, YEAR: "int"})).parquet(root).where(ref(YEAR).isin(todo))
-            new = season_rows(pitches, todo, day).select(ref(YEAR)).distinct()
-            written = {r[0] for r in table.select(ref(YEAR)).distinct().join(new, YEAR, "left_semi").collect()}
-            for gone in there - written:
-                folder(spark, f"{root.rstrip('/')}/{YEAR}={gone}").delete()
+        ordered = spread.sortWithinPartitions(ref(YEAR), *order)
+        try:
+            ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(YEAR).parquet(root)
+        except Exception as problem:
+            if UNDATED in str(problem):
+                start = str(problem).index(UNDATED)
+                raise SchemaMismatch(str(problem)[start:].splitlines()[0]) from problem
+            raise
+        written = {int(name) for name, n in counted.get.items() if n}
+        for gone in set(todo) & set(stored_seasons(spark, root)) - written:
+            folder(spark, f"{root.rstrip('/')}/{YEAR}={gone}").delete()
     report = [(s, f"{root.rstrip('/')}/{YEAR}={s}", s in written) for s in wanted]
     return spark.createDataFrame(report, "season int, path string, written boolean")
 

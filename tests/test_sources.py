@@ -226,3 +226,36 @@ def test_rows_without_a_date_are_not_lost_in_silence(spark, tmp_path):
     again = pitches.write_seasons(later, root, [2023, 2024], force=True)
     assert {r.season: r.written for r in again.collect()} == {2023: False, 2024: True}
     assert pitches.stored_seasons(spark, root) == [2024]
+
+
+def test_a_season_write_reads_the_landed_table_once(spark, tmp_path):
+    landed = str(tmp_path / "landed")
+    rows = [(f"{2019 + i % 3}-05-01", i) for i in range(30)]
+    spark.createDataFrame(rows, "game_date string, game_pk long").write.parquet(landed)
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def seen(x):
+        reads.add(1)
+        return x
+
+    watched = spark.read.parquet(landed).withColumn("game_pk", seen.asNondeterministic()("game_pk"))
+    root = str(tmp_path / "pitches")
+    kinds = {"game_date": "date", "game_pk": "bigint"}
+    report = pitches.write_seasons(watched, root, [2019, 2020, 2022], types=kinds, last=2024).collect()
+    assert [(r.season, r.written) for r in report] == [(2019, True), (2020, True), (2022, False)]
+    assert reads.value == 30
+    assert pitches.stored_seasons(spark, root) == [2019, 2020]
+
+
+def test_an_undated_row_leaves_the_stored_seasons_as_they_were(spark, tmp_path):
+    root = str(tmp_path / "pitches")
+    kinds = {"game_date": "date", "game_pk": "bigint"}
+    good = spark.createDataFrame([("2020-05-01", 1)], "game_date string, game_pk long")
+    pitches.write_seasons(good, root, [2020], types=kinds, last=2024)
+    bad = good.union(spark.createDataFrame([("soon", 2), ("2020-06-01", 3)], good.schema))
+    with pytest.raises(SchemaMismatch, match="no readable game_date: soon"):
+        pitches.write_seasons(bad, root, [2020], force=True, types=kinds, last=2024)
+    assert [r.game_pk for r in pitches.scan_seasons(spark, root, [2020], types=kinds, last=2024).collect()] == [1]
+    pitches.write_seasons(bad, root, [2020], force=True, types=kinds, last=2024, undated="drop")
+    assert sorted(r.game_pk for r in pitches.scan_seasons(spark, root, [2020], types=kinds, last=2024).collect()) == [1, 3]
