@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dugout.functions import clean, codes
+from dugout.functions import clean, codes, statcols
 from dugout.operators import boards, filters, ranks
 from dugout.operators.typed import prefixed, rename_present, with_singles
 from dugout.plans.catalog.base import query, table
@@ -96,6 +96,32 @@ def season_stats_team(spark, folder):
     return _season_stats(spark, folder, ["l_returnflag"], bounds={"price": (1000, 50000)})
 
 
+@query("""
+with s as (select l_suppkey::varchar as "Name", 'T' || l_suppkey % 5 as "Team", year(l_shipdate)::int as "Season", l_quantity::bigint as "H",
+                  l_linenumber::bigint as "HR", l_suppkey % 3 as c, case when l_returnflag = 'A' then 'al' else 'nl' end as lg, month(l_shipdate) as m,
+                  case when l_linestatus = 'O' then 'ss' else 'of' end as pos from lineitem)
+select "Name", "Team", "Season", sum("HR")::bigint as "HR", sum("H")::bigint as "H" from s
+where "Season" between 1994 and 1997 and c = 0 and lg = 'nl' and m = 6 and pos = 'of' group by all""")
+def season_stats_columns(spark, folder):
+    """Columns by name, alias and the word for the common ones, of a scope checked by its codes."""
+    key = F.col("l_suppkey")
+    category = F.when(key % 3 == 0, "bat").when(key % 3 == 1, "pit").otherwise("fld")
+    stats = table(spark, folder, "lineitem").select(
+        key.cast("string").alias("Name"),
+        F.concat(F.lit("T"), (key % 5).cast("string")).alias("Team"),
+        F.year("l_shipdate").alias("Season"),
+        F.col("l_quantity").cast("bigint").alias("H"),
+        F.col("l_linenumber").cast("bigint").alias("HR"),
+        category.alias("category"),
+        F.when(F.col("l_returnflag") == "A", "al").otherwise("nl").alias("league"),
+        F.month("l_shipdate").alias("month"),
+        F.when(F.col("l_linestatus") == "O", "ss").otherwise("of").alias("position"),
+    )
+    scope = boards.stat_scope("bat", "nl", "june", "of")
+    board = boards.season_stats(stats, (1994, 1997), ["H", "HR"], ["Name", "Team"], season="Season", wanted=scope)
+    return statcols.stat_columns("bat").project(board, ["home_runs", "name", "Hits"])
+
+
 _NAMED = """
 with n as (select c_custkey, case when c_custkey % 11 = 0 then null when c_custkey % 7 = 0 then '  ' else c_name end as player_name,
                   case when c_custkey % 13 = 0 then 999999 when c_custkey % 17 = 0 then null else c_custkey end as player_id

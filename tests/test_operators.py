@@ -238,3 +238,28 @@ def test_stat_scope_checks_its_codes():
     for wrong in ({"category": "x"}, {"league": "x"}, {"month": "x"}, {"position": "x"}):
         with pytest.raises(InvalidParameter):
             boards.stat_scope(**wrong)
+
+
+def test_stat_columns_are_resolved_by_name_alias_group_and_all():
+    bat = statcols.stat_columns("bat")
+    assert bat.resolve(["home_runs", " hr ", "Slash_line", ""]) == ["HR", "HR", "AVG", "OBP", "SLG"]
+    assert bat.resolve([]) == [] and bat.folded([]) == [] and bat.request_text("") == ""
+    assert bat.request_text(["name", "HR", "season", "common", "war"]) == "c,11,58"
+    assert bat.request_text("all").startswith("c,-1,3,4,5,6,7,8,9,10,11,") and ",2," not in bat.request_text("ALL")
+    assert statcols.stat_columns("fld").request_text(["POSITION", "uzr"]) == "c,39"
+    assert statcols.stat_columns("rel") is statcols.PITCHING
+    assert statcols.PITCHING.request_text(["ERA", "FIP", "NEGATIVE_WPA"]) == "c,6,45,64"
+    more = bat.extended(["XBH"], {"EXTRA_BASE_HITS": "XBH"}, {"POWER": ("hr", "extra_base_hits")})
+    assert more.resolve("power") == ["HR", "XBH"] and more.request_text("XBH") == f"c,{len(bat.names)}"
+    for wrong in (lambda: bat.resolve("ERA"), lambda: statcols.stat_columns("x")):
+        with pytest.raises(InvalidParameter):
+            wrong()
+
+
+def test_stat_columns_project_a_table(spark):
+    df = spark.createDataFrame([("a", "t", 2020, 5, 2, 9)], "Name string, Team string, Season int, h int, HR int, extra int")
+    bat = statcols.BATTING
+    assert bat.project(df, ["HITS", "name", "hits"]).columns == ["Name", "Team", "Season", "h"]
+    assert bat.project(df, [], keep=["extra"]).columns == ["extra", "Name", "Team", "Season", "h", "HR"]
+    with pytest.raises(InvalidParameter, match="no column AVG"):
+        bat.project(df, "AVG")
