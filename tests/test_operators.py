@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from dugout.errors import InvalidParameter, SchemaMismatch
+from dugout.functions import statcols
 from dugout.operators import align, boards, filters, joins, ranks, seasons, typed
 from dugout.operators.names import once, types_of
 from dugout.sources import schemas
