@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dugout.errors import SchemaMismatch
+from dugout.errors import InvalidParameter, PayloadRejected, SchemaMismatch
 from dugout.operators.names import ref, types_of
 from dugout.sources import schemas
 
@@ -87,9 +87,18 @@ def first_source(df: DataFrame, keys: list[str], priority: str) -> DataFrame:
     return df.alias("l").join(best.alias("r"), same, "left_semi")
 
 
+def require_rows(df: DataFrame, message: str) -> DataFrame:
+    """Fail when a table is empty; looks for one row only."""
+    if df.isEmpty():
+        raise PayloadRejected(message)
+    return df
+
+
 def pick_table(tables: DataFrame, player_type: str | None, index: str = "table_index") -> DataFrame:
-    """Rows of one extracted table: batters the first, pitchers the second, none all."""
+    """Rows of one extracted table: batters the first, pitchers the second, none all. A table that no page has is an error."""
     if player_type is None:
         return tables
-    position = {"batters": 0, "pitchers": 1}[player_type]
-    return tables.where(F.col(index) == position)
+    positions = {"batters": 0, "pitchers": 1}
+    if player_type not in positions:
+        raise InvalidParameter(f"player_type must be one of: {', '.join(positions)}.")
+    return require_rows(tables.where(F.col(index) == positions[player_type]), f"No page has a table of {player_type}.")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from dugout.errors import InvalidParameter
 from dugout.functions import clean, codes
-from dugout.operators.align import first_source
+from dugout.operators.align import first_source, require_rows
 from dugout.operators.filters import all_of, at_venues, named_players
 from dugout.operators.names import ref, refs
 from dugout.operators.ranks import percent_ranks_of, share_of_total, share_within
@@ -218,9 +218,10 @@ ACTIVE_SPIN_ORDER = ("spin-based", "observed")
 
 
 def active_spin(landed: DataFrame, keys: Sequence[str] = ("year",), variant: str = "spin_type") -> DataFrame:
-    """Per season, the rows of the best variant that has any."""
+    """Per season, the rows of the best variant that has any; no variant for any season is an error."""
     order = F.array_position(F.array(*[F.lit(v) for v in ACTIVE_SPIN_ORDER]), ref(variant))
-    ordered = landed.where(ref(variant).isin(*ACTIVE_SPIN_ORDER)).withColumn("_priority", order)
+    known = require_rows(landed.where(ref(variant).isin(*ACTIVE_SPIN_ORDER)), "There are no active spin rows of any variant.")
+    ordered = known.withColumn("_priority", order)
     return first_source(ordered, list(keys), "_priority").drop("_priority")
 
 

@@ -146,8 +146,15 @@ def positioned(df: DataFrame, position: str | int, column: str = "pos") -> DataF
     return df.where(codes.position_number_column(ref(column).cast("string")) == number)
 
 
-def year_list(years=None, first: int = 2015) -> list[int]:
-    """Years of an int, a list, or an inclusive (start, end) tuple; none is the current season."""
+def year_list(years=None, first: int = 2015, start: int | None = None, end: int | None = None) -> list[int]:
+    """Years of an int, a list, an inclusive (start, end) tuple or a start and an end; none is the current season.
+
+    A start and an end come together and go before ``years``.
+    """
+    if start is not None or end is not None:
+        if not isinstance(start, int) or not isinstance(end, int):
+            raise InvalidParameter("A start and an end year must be given together.")
+        years = (start, end)
     if years is None:
         found = [current_season()]
     elif isinstance(years, int):
@@ -181,12 +188,15 @@ def scheduled(
     return games.where(all_of(wanted))
 
 
-def moves(df: DataFrame, date: str | None = None, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Transactions of a day or of a range."""
+def moves(
+    df: DataFrame, date: str | None = None, start: str | None = None, end: str | None = None, sport: int | None = None
+) -> DataFrame:
+    """Transactions of a day or of a range, of one sport if asked."""
     ranged = start is not None or end is not None
     if ranged == (date is not None) or (ranged and None in (start, end)):
         raise InvalidParameter("Give either a date or a start and an end.")
-    return df.where(ref("date").between(start, end) if ranged else ref("date") == date)
+    found = df.where(ref("date").between(start, end) if ranged else ref("date") == date)
+    return found if sport is None else found.where(ref("sportId") == sport)
 
 
 def roster(df: DataFrame, team: int, season: int, roster_type: str = "active") -> DataFrame:

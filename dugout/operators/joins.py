@@ -68,6 +68,17 @@ def by_name_key(df: DataFrame, dimension: DataFrame, name: str, dimension_name:
     return keyed.join(other, F.col("_key") == F.col("_other_key"), how).drop("_key", "_other_key")
 
 
+def key_by_name(dimension: DataFrame, wanted: str, name: str, key: str) -> int:
+    """The key of the row whose name is the given one but for case, spaces and hyphens.
+
+    No such row, several keys, or a placeholder for a key is an error.
+    """
+    hits = dimension.where(clean.name_key(ref(name)) == clean.name_key(F.lit(wanted))).select(ref(key)).distinct().limit(2).collect()
+    if len(hits) != 1 or hits[0][0] is None or hits[0][0] == clean.MISSING_ID:
+        raise InvalidParameter(f"{wanted!r} is not the name of exactly one row with a {key}.")
+    return hits[0][0]
+
+
 def follow(
     df: DataFrame,
     entities: DataFrame,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from dugout.errors import SchemaMismatch
 from dugout.functions import clean
 from dugout.operators.filters import any_present
+from dugout.operators.align import require_rows
 from dugout.operators.names import ref, refs
 from dugout.operators.typed import add_missing
 from dugout.sources import schemas
@@ -25,9 +26,10 @@ PLAIN_FIRST = "name_first_plain"
 
 
 def normalize_register(people: DataFrame) -> DataFrame:
-    """The register: people known to any big-league system, absent IDs as -1."""
+    """The register: people known to any big-league system, absent IDs as -1. A table without columns or rows is an error."""
     if not people.columns:
         raise SchemaMismatch("The people table has no columns.")
+    require_rows(people, "The people table has no rows.")
     full = any_present(add_missing(people, schemas.REGISTER), schemas.REGISTER_MLB_COLUMNS)
     numbered = full.withColumns(
         {c: clean.id_or_sentinel(ref(c)) for c in ("key_mlbam", "key_fangraphs")},

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dugout.errors import InvalidParameter
 from dugout.operators.names import ref, refs
 
 RANK_BUCKETS = 256
@@ -49,6 +50,15 @@ def top(df: DataFrame, order: Sequence[Column], limit: int) -> DataFrame:
     return df.orderBy(*order).limit(limit)
 
 
+def sorted_by(df: DataFrame, columns: Sequence[str], descending: bool | Sequence[bool] = False, nulls_last: bool = False) -> DataFrame:
+    """Rows by several columns, each in its own direction or all in one; nulls come first unless asked otherwise."""
+    down = [descending] * len(columns) if isinstance(descending, bool) else list(descending)
+    if len(down) != len(columns):
+        raise InvalidParameter(f"{len(columns)} columns and {len(down)} directions.")
+    kinds = {(False, False): "asc_nulls_first", (False, True): "asc_nulls_last", (True, False): "desc_nulls_first", (True, True): "desc_nulls_last"}
+    return df.orderBy(*[getattr(ref(c), kinds[d, nulls_last])() for c, d in zip(columns, down, strict=True)])
+
+
 def percent_ranks(
     df: DataFrame, by: Sequence[str], metric: str, name: str = "percent_rank", scale: float = 1.0, buckets: int = RANK_BUCKETS
 ) -> DataFrame:

@@ -219,6 +219,16 @@ def transactions_query(spark, folder):
     return filters.moves(moves, start="1996-02-01", end="1996-03-15")
 
 
+@query("""
+select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as date, (o_custkey % 3)::int as "sportId" from orders
+where o_orderdate = date '1996-02-01' and o_custkey % 3 = 1""")
+def transactions_day(spark, folder):
+    moves = table(spark, folder, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), (F.col("o_custkey") % 3).cast("int").alias("sportId")
+    )
+    return filters.moves(moves, date="1996-02-01", sport=1)
+
+
 @query("""
 with r as (select c_custkey, c_nationkey::bigint as "teamId", 2020 + c_custkey % 3 as season,
                   ['active','full','40Man'][(1 + c_custkey % 2)::int] as "rosterType" from customer)
@@ -300,7 +310,7 @@ def home_flag(spark, folder):
 
 @query("select n_nationkey, n_name, n_regionkey from nation")
 def multi_sort(spark, folder):
-    return table(spark, folder, "nation").orderBy("n_regionkey", F.col("n_name").desc())
+    return ranks.sorted_by(table(spark, folder, "nation"), ["n_regionkey", "n_name"], [False, True])
 
 
 @query("""

@@ -116,6 +116,46 @@ def schedule_files(spark, folder):
     return read.select("date", "game_num", "date_of_makeup", F.lit(len(read.columns)).alias("n_columns"))
 
 
+@query("""
+select 'p' || c_custkey as player_id, c_name as last_name, case when c_custkey % 2 = 0 then 'R' end as bats, c_nationkey::varchar as team,
+       null::varchar as position, 7 as n_columns from customer""")
+def positional_files(spark, folder):
+    """Roster lines without a header; the last column is missing from all of them."""
+    landed = table(spark, folder, "customer").select(
+        F.concat(F.lit("p"), F.col("c_custkey").cast("string")), "c_name", F.lit("x").alias("f"),
+        F.when(F.col("c_custkey") % 2 == 0, "R").alias("b"), F.lit("L").alias("t"), F.col("c_nationkey").cast("string"),
+    )
+    read = files.read_positional(spark, _land_csv(landed, "rosters", header=False), schemas.ROSTER_FILE, cut=True)
+    return read.select("player_id", "last_name", "bats", "team", "position", F.lit(len(read.columns)).alias("n_columns"))
+
+
+def _board(spark, folder, name):
+    root = scratch_path(spark, "boards")
+    landed = table(spark, folder, "supplier").select(
+        F.concat_ws(", ", "s_name", F.lit("Jr")).alias("name"), F.col("s_suppkey").alias("player_id"), (F.col("s_nationkey") + 2000).alias("year")
+    )
+    landed.write.option("header", True).option("escape", '"').partitionBy("year").csv(f"{root}/{name}")
+    return files.read_leaderboard(spark, root, name).select("name", "player_id", "year", "board")
+
+
+_BOARD = "select s_name || ', Jr' as name, s_suppkey as player_id, (s_nationkey + 2000)::bigint as year, '{}' as board from supplier"
+
+
+@query(_BOARD.format("run_value"))
+def board_run_value(spark, folder):
+    return _board(spark, folder, "run_value")
+
+
+@query(_BOARD.format("catch_probability"))
+def board_catch_probability(spark, folder):
+    return _board(spark, folder, "catch_probability")
+
+
+@query(_BOARD.format("poptime"))
+def board_poptime(spark, folder):
+    return _board(spark, folder, "poptime")
+
+
 @query("""
 select o_orderkey::varchar as date, 'beyond' as first_beyond from orders where o_orderkey % 3 = 0""")
 def long_rows(spark, folder):

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.errors import InvalidParameter, MissingPartition, PayloadRejected
+from dugout.errors import InvalidParameter, MissingPartition
 from dugout.functions import clean
-from dugout.operators.align import diagonal_union
+from dugout.operators.align import diagonal_union, require_rows
 from dugout.operators.filters import named_players, team_seasons
 from dugout.operators.names import ref
 from dugout.operators.typed import known_columns, lenient_casts, strict_table, trim_table
@@ -112,8 +113,13 @@ def read_game_logs(spark: SparkSession, path: str | list[str], numbers: Sequence
 
 
 def read_rosters(spark: SparkSession, folder: str) -> DataFrame:
-    """All roster files of a season folder in one scan."""
-    return read_positional(spark, f"{folder.rstrip('/')}/*.ROS", schemas.ROSTER_FILE)
+    """All roster files of a season folder in one scan; a folder without any is an error."""
+    try:
+        return read_positional(spark, f"{folder.rstrip('/')}/*.ROS", schemas.ROSTER_FILE)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            raise MissingPartition(f"{folder} has no roster files.") from problem
+        raise
 
 
 def read_schedules(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -134,6 +140,7 @@ def read_event_files(spark: SparkSession, folder: str, season: int, game_type: s
     suffixes = schemas.EVENT_SUFFIXES[game_type]
     glob = "*{" + ",".join(suffixes) + "}"
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    require_rows(files.select("path"), f"{folder} has no {game_type} event files.")
     return files.select(
         F.lit(season).cast("bigint").alias("season"),
         F.lit(game_type).alias("event_type"),
@@ -142,20 +149,14 @@ def read_event_files(spark: SparkSession, folder: str, season: int, game_type: s
     )
 
 
-def require_rows(df: DataFrame, message: str) -> DataFrame:
-    """Fail when a table is empty; looks for one row only."""
-    if df.isEmpty():
-        raise PayloadRejected(message)
-    return df
-
-
-def listing(payloads: DataFrame, body: str = "body") -> DataFrame:
-    """File names of a season listing, a JSON array of objects with a name."""
+def listing(payloads: DataFrame, body: str = "body", required: bool = False) -> DataFrame:
+    """File names of a season listing, a JSON array of objects with a name; none at all is an error if they are ``required``."""
     variant = F.try_parse_json(ref(body))
     entries = F.try_variant_get(variant, "$", "array<variant>")
     names = payloads.select("*", F.explode(entries).alias("_entry"))
     name = F.try_variant_get("_entry", "$.name", "string")
-    return names.select(*[ref(c) for c in payloads.columns], name.alias("name")).where(F.col("name").isNotNull())
+    found = names.select(*[ref(c) for c in payloads.columns], name.alias("name")).where(F.col("name").isNotNull())
+    return require_rows(found, "The listing names no file.") if required else found
 
 
 def decoded(files: DataFrame, content: str = "content", name: str = "text") -> DataFrame:

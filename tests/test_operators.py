@@ -7,9 +7,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from dugout.errors import InvalidParameter, SchemaMismatch
+from dugout.errors import InvalidParameter, PayloadRejected, SchemaMismatch
 from dugout.functions import statcols
-from dugout.operators import align, boards, filters, joins, ranks, seasons, typed
+from dugout.operators import align, boards, filters, joins, lookup, ranks, seasons, typed
 from dugout.operators.names import once, types_of
 from dugout.sources import schemas
 
@@ -264,3 +264,40 @@ def test_stat_columns_project_a_table(spark):
     assert bat.project(df, [], keep=["extra"]).columns == ["extra", "Name", "Team", "Season", "h", "HR"]
     with pytest.raises(InvalidParameter, match="no column AVG"):
         bat.project(df, "AVG")
+
+
+def test_nothing_where_something_must_be_is_an_error(spark):
+    spins = spark.createDataFrame([(2020, "other")], "year int, spin_type string")
+    with pytest.raises(PayloadRejected, match="active spin"):
+        boards.active_spin(spins)
+    rows = spark.createDataFrame([(0,)], "table_index int")
+    assert align.pick_table(rows, "batters").count() == 1
+    with pytest.raises(PayloadRejected, match="pitchers"):
+        align.pick_table(rows, "pitchers")
+    with pytest.raises(InvalidParameter):
+        align.pick_table(rows, "catchers")
+    with pytest.raises(PayloadRejected, match="no rows"):
+        lookup.normalize_register(spark.createDataFrame([], "key_mlbam string"))
+
+
+def test_one_key_by_name(spark):
+    teams = spark.createDataFrame([(1, "Red Sox"), (-1, "Ghosts"), (2, "Twins"), (3, "twins")], "id int, name string")
+    assert joins.key_by_name(teams, "red-sox", "name", "id") == 1
+    for wrong in ("Ghosts", "Nobody", "Twins"):
+        with pytest.raises(InvalidParameter):
+            joins.key_by_name(teams, wrong, "name", "id")
+
+
+def test_years_from_a_start_and_an_end():
+    assert filters.year_list(start=2018, end=2020) == [2018, 2019, 2020]
+    for wrong in ({"start": 2018}, {"end": 2018}, {"start": 2020, "end": 2018}, {"start": "2018", "end": 2020}):
+        with pytest.raises(InvalidParameter):
+            filters.year_list(**wrong)
+
+
+def test_sort_by_several_columns(spark):
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (None, "c"), (2, None)], "x int, y string")
+    assert [tuple(r) for r in ranks.sorted_by(df, ["x", "y"], [False, True]).collect()] == [(None, "c"), (1, "b"), (1, "a"), (2, None)]
+    assert [r.x for r in ranks.sorted_by(df, ["x"], True, nulls_last=True).collect()] == [2, 1, 1, None]
+    with pytest.raises(InvalidParameter):
+        ranks.sorted_by(df, ["x", "y"], [True])

@@ -259,3 +259,15 @@ def test_an_undated_row_leaves_the_stored_seasons_as_they_were(spark, tmp_path):
     assert [r.game_pk for r in pitches.scan_seasons(spark, root, [2020], types=kinds, last=2024).collect()] == [1]
     pitches.write_seasons(bad, root, [2020], force=True, types=kinds, last=2024, undated="drop")
     assert sorted(r.game_pk for r in pitches.scan_seasons(spark, root, [2020], types=kinds, last=2024).collect()) == [1, 3]
+
+
+def test_folders_without_files_are_an_error(spark, tmp_path):
+    (tmp_path / "other.txt").write_text("x")
+    with pytest.raises(MissingPartition, match="no roster files"):
+        files.read_rosters(spark, str(tmp_path))
+    with pytest.raises(PayloadRejected, match="no regular event files"):
+        files.read_event_files(spark, str(tmp_path), 2020)
+    nothing = spark.createDataFrame([("[]",)], "body string")
+    assert files.listing(nothing).count() == 0
+    with pytest.raises(PayloadRejected, match="names no file"):
+        files.listing(nothing, required=True)
