@@ -210,6 +210,7 @@ _CODECS: dict[str, Codec] = {}
 def _codec(key: str, tokens: list[bytes], pattern: str, hashed: PerfectHash) -> Codec:
     """The worker's codec of a vocabulary, made once."""
     if key not in _CODECS:
+        _CODECS.clear()
         _CODECS[key] = Codec(tokens, pattern, hashed)
     return _CODECS[key]
 

@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 #: Rows and bytes after which a batch is handed back, whichever comes first.
 BATCH_ROWS = 1024
 BATCH_BYTES = 8 << 20
+#: Bytes of a batch that Spark hands to Python; by rows alone, a batch of long texts has no bound.
+INPUT_BYTES = 16 << 20
 
 
 def whole_text(name: str = "text") -> Column:
@@ -33,6 +36,7 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Give this package to the Python workers of the session, as ``--py-files`` would; once each."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(INPUT_BYTES))
     application = spark.sparkContext.applicationId
     if application not in _SHIPPED:
         root = Path(__file__).resolve().parents[2]
@@ -103,15 +107,93 @@ def per_row(make: Callable, schema: pa.Schema) -> Callable:
     return run
 
 
+def per_batch(encode: Callable, schema: pa.Schema) -> Callable:
+    """A function for ``mapInArrow``: ``encode(rows)`` takes (key, text) rows and yields (key, bytes) as soon as it likes."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Output(schema)
+        rows = (row for columns in row_chunks(batches) for row in zip(*columns, strict=True))
+        for key, ids in encode(rows):
+            if out.add((key, ids), len(ids)):
+                yield out.batch()
+        if out.columns[0]:
+            yield out.batch()
+
+    return run
+
+
+def by_different(pieces: list[str], encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of pieces in a row, and where each piece's end.
+
+    Every different piece is encoded once: ``encode`` gives all their ids in a row and how many each has.
+    """
+    coded = pa.array(pieces, pa.string()).dictionary_encode()
+    ids, counts = encode(coded.dictionary)
+    codes = coded.indices.to_numpy()
+    n = counts[codes]
+    ends = np.cumsum(n)
+    first = (np.cumsum(counts) - counts)[codes] - (ends - n)
+    return ids[np.repeat(first, n) + np.arange(int(ends[-1]) if len(ends) else 0)], ends
+
+
+def in_batches(
+    rows: Iterable[tuple], cut: Callable[[str], Iterator[bytes | list[str]]], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], held: int
+) -> Iterator[tuple]:
+    """For rows of a key and a text: the key and the text's ids.
+
+    ``cut`` gives a text as lists of pieces and as ids that are known; ``held`` pieces are encoded
+    together by ``encode``, which gives their ids in a row and where each piece's end.
+    """
+    waiting: list[tuple] = []
+    flat: list[str] = []
+
+    def flush() -> None:
+        found, ends = encode(flat)
+        ends = np.concatenate([[0], ends])
+        at = 0
+        for _, parts in waiting:
+            for k, part in enumerate(parts):
+                if isinstance(part, int):
+                    parts[k] = found[ends[at] : ends[at + part]].tobytes()
+                    at += part
+        flat.clear()
+
+    for key, text in rows:
+        parts: list[bytes | int] = []
+        waiting.append((key, parts))
+        for part in cut(text):
+            if isinstance(part, bytes):
+                parts.append(part)
+                continue
+            parts.append(len(part))
+            flat += part
+            if len(flat) >= held:
+                flush()
+                for own, ids in waiting[:-1]:
+                    yield own, b"".join(ids)
+                del waiting[:-1]
+    flush()
+    for own, ids in waiting:
+        yield own, b"".join(ids)
+
+
 def sample_texts(df: DataFrame, column: str, rows: int, chars: int) -> list[str]:
-    """At most ``rows`` different texts of 1 to ``chars`` characters, those with the smallest hashes, for a fit.
+    """At most ``rows`` different texts for a fit, those with the smallest hashes, each at most ``chars`` long.
 
-    Only hashes are ranked; the texts are fetched by the last hash that is in.
+    Of a longer text a window is taken, at a place that its hash decides, so that no length keeps a text
+    out of the sample. Only hashes are ranked; the windows are fetched by the last hash that is in. The
+    sample is empty only where all texts are null or empty.
     """
-    texts = df.select(F.col(column).cast("string").alias("text")).filter(F.length("text").between(1, chars))
+    start = F.pmod(F.xxhash64(F.lit(1), "text"), F.greatest(F.length("text") - chars + 1, F.lit(1))) + 1
+    return sampled(df, column, rows, F.substring("text", start.cast("int"), F.lit(chars)))
+
+
+def sampled(df: DataFrame, column: str, rows: int, shown: Column) -> list[str]:
+    """``shown``, an expression of ``text``, of at most ``rows`` different non-empty texts, those with the smallest hashes."""
+    texts = df.select(F.col(column).cast("string").alias("text")).filter("text != ''")
     hashed = texts.withColumn("h", F.xxhash64("text"))
     last = hashed.select("h").distinct().orderBy("h").limit(rows).agg(F.max("h")).first()[0]
     if last is None:
         return []
-    found = hashed.filter(F.col("h") <= last).groupBy("h").agg(F.min("text").alias("text"))
-    return [r["text"] for r in found.orderBy("h").collect()]
+    found = hashed.filter(F.col("h") <= last).select("h", shown.alias("shown"))
+    return [r["shown"] for r in found.groupBy("h").agg(F.min("shown").alias("shown")).orderBy("h").collect()]

@@ -18,105 +18,116 @@ side through one lookup table.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from dugout.llm.common import Output, per_row, row_chunks, shared_path, whole_text
+from dugout.llm import rankarray
+from dugout.llm.common import Output, by_different, in_batches, per_batch, row_chunks, shared_path, whole_text
 
 #: Longest code in bits, ids per block (a longer document is a block of its own), ids per checkpoint.
 MAX_BITS = 20
 BLOCK = 1 << 16
 CHECKPOINT = 128
 
-#: Words and pieces remembered per worker; a cache is emptied when it is full.
-CACHE_WORDS = 600_000
+#: Words that went through the library, remembered per worker; the cache is emptied when it is full.
+CACHE_WORDS = 100_000
+#: Words that are encoded together.
+HELD_WORDS = 300_000
 
 
 # --- ids -------------------------------------------------------------------------------------
 
 
-def _byte_letters() -> list[str]:
-    """The letter that byte-level models write for each byte: itself if printable, else the next one from U+0100 on."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = iter(range(256, 512))
-    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
-
-
-_BYTE_LETTERS = _byte_letters()
 #: Characters at which Python splits words, and the tokenizer doesn't.
 _SEPARATORS = re.compile("[\x1c-\x1f]").search
 
 
+#: Words of letters that need no normalization but lower case, perhaps with a mark at the end.
+_PLAIN = "^[A-Za-zÀ-ÖØ-öø-įı-ſ]+[.,]?$"
+
+
 class WordEncoder:
-    """Encodes with a tokenizer that drops white space, and remembers what words encode to.
+    """Encodes with a tokenizer that drops white space, each different word once.
 
-    Such a tokenizer treats the words between spaces one by one, so a text is the
-    words' ids in a row. Words of plain letters are looked up in lower case.
+    Such a tokenizer treats the words between spaces one by one, so a text is the words'
+    ids in a row. Words of plain letters are merged together, all different ones of a
+    batch at once; any other goes through the library. Strings of added tokens in a text
+    are these tokens, as the library has it.
     """
 
     def __init__(self, definition: str, width: int = 4) -> None:
         from tokenizers import Tokenizer
 
         self.kind = f"<u{width}"
-
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
         self.words: dict[str, bytes] = {}
-        self.by_model = self._pieces_suffice(definition)
-
-    @staticmethod
-    def _pieces_suffice(definition: str) -> bool:
-        """Whether the model may be asked for single lower-case letter runs."""
-        import json
-
         spec = json.loads(definition)
         kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
-        return kinds == ["NFC", "Replace", "Lowercase"] and spec["model"]["type"] == "BPE"
+        model = spec["model"]
+        self.by_word = kinds == ["NFC", "Replace", "Lowercase"] and model["type"] == "BPE" and not model.get("ignore_merges")
+        if self.by_word:
+            suffix = model.get("end_of_word_suffix") or ""
+            self.merger = rankarray.Merger(model["vocab"], model["merges"], suffix)
+            self.marks = {mark: model["vocab"][mark + suffix] for mark in (".", ",")}
 
     def _encode(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _letters(self, word: str) -> bytes:
-        """Ids of a run of Latin letters in lower case: one piece of the model, its bytes written as byte letters."""
-        piece = word if word.isascii() else "".join(map(_BYTE_LETTERS.__getitem__, word.encode()))
-        return np.array([t.id for t in self.tokenizer.model.tokenize(piece)], self.kind).tobytes()
-
-    def word_ids(self, word: str) -> bytes:
+    def _looked_up(self, word: str) -> bytes:
         ids = self.words.get(word)
-        if ids is not None:
-            return ids
-        latin = word.isascii() or max(word) < "\u0180"
-        if latin and (lower := word.lower()) != word and max(lower) < "\u0180":
-            return self.word_ids(lower)
-        stem, mark = word[:-1], word[-1:]
-        if mark in ".," and stem.isalpha() and "\u0130" not in stem and self.by_model:
-            return self.word_ids(stem) + self.word_ids(mark)
-        plain = self.by_model and latin and word.isalpha() and word.islower()
-        ids = self._letters(word) if plain else self._encode(word)
-        if len(self.words) >= CACHE_WORDS:
-            self.words.clear()
-        if len(word) <= 64:
-            self.words[word] = ids
+        if ids is None:
+            ids = self._encode(word)
+            if len(self.words) >= CACHE_WORDS:
+                self.words.clear()
+            if len(word) <= 64:
+                self.words[word] = ids
         return ids
 
-    def encode(self, text: str) -> bytes:
-        if not self.by_model or _SEPARATORS(text):
-            return self._encode(text)
+    def different_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different words in a row, and how many each has."""
+        plain = pc.match_substring_regex(words, _PLAIN)
+        own = words.filter(plain)
+        marks = np.where(pc.ends_with(own, ".").to_numpy(zero_copy_only=False), self.marks["."], 0)
+        marks = np.where(pc.ends_with(own, ",").to_numpy(zero_copy_only=False), self.marks[","], marks)
+        merged, sizes = self.merger.piece_ids(pc.utf8_lower(pc.utf8_rtrim(own, ".,")))
+        others = list(map(self._looked_up, words.filter(pc.invert(plain)).to_pylist()))
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        counts = np.zeros(len(words), np.int64)
+        counts[is_plain] = sizes + (marks > 0)
+        counts[~is_plain] = np.fromiter(map(len, others), np.int64, len(others)) // np.dtype(self.kind).itemsize
+        starts = np.cumsum(counts) - counts
+        out = np.zeros(int(counts.sum()), self.kind)
+        for which, found, n in ((is_plain, merged, sizes), (~is_plain, np.frombuffer(b"".join(others), self.kind), counts[~is_plain])):
+            out[np.repeat(starts[which] - (np.cumsum(n) - n), n) + np.arange(len(found))] = found
+        marked = marks > 0
+        out[(starts[is_plain] + sizes)[marked]] = marks[marked]
+        return out, counts
+
+    def cut(self, text: str) -> Iterator[bytes | list[str]]:
+        """The words of a text, or the ids of a text that must be encoded as a whole."""
+        if not self.by_word or _SEPARATORS(text):
+            yield self._encode(text)
+            return
         words = text.split()
-        found = list(map(self.words.get, words))
-        if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    found[i] = self.word_ids(words[i])
-        return b"".join(found)
+        for start in range(0, len(words), HELD_WORDS):
+            yield words[start : start + HELD_WORDS]
+
+    def encode_rows(self, rows: Iterable[tuple]) -> Iterator[tuple]:
+        """For rows of a key and a text: the key and the text's ids."""
+        return in_batches(rows, self.cut, lambda words: by_different(words, self.different_ids), HELD_WORDS)
+
+    def encode(self, text: str) -> bytes:
+        return next(self.encode_rows([(None, text)]))[1]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -125,6 +136,7 @@ _ENCODERS: dict[str, WordEncoder] = {}
 def _encoder(name: str, definition: str, width: int) -> WordEncoder:
     """The worker's encoder of a tokenizer, made once."""
     if (own := f"{name}{width}") not in _ENCODERS:
+        _ENCODERS.clear()
         _ENCODERS[own] = WordEncoder(definition, width)
     return _ENCODERS[own]
 
@@ -143,14 +155,13 @@ def token_ids(
     name = hashlib.sha256(definition.encode()).hexdigest()
     end = b"" if end_id is None else int(end_id).to_bytes(width, "little")
 
-    def make(k, body):
-        ids = _encoder(name, definition, width).encode(body) + end
-        return (k, ids), len(ids)
+    def encode(rows: Iterable[tuple]) -> Iterator[tuple]:
+        return ((k, ids + end) for k, ids in _encoder(name, definition, width).encode_rows(rows))
 
     schema = pa.schema([("key", to_arrow_type(df.schema[key].dataType)), ("ids", pa.binary())])
     source = df.select(F.col(key).alias("key"), whole_text(text).alias("body"))
     kind = df.schema[key].dataType.simpleString()
-    return source.mapInArrow(per_row(make, schema), f"key {kind}, ids binary").withColumnRenamed("key", key)
+    return source.mapInArrow(per_batch(encode, schema), f"key {kind}, ids binary").withColumnRenamed("key", key)
 
 
 # --- the code --------------------------------------------------------------------------------

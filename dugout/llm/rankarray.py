@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from dugout.llm.common import Output, row_chunks, whole_text
+from dugout.llm.common import Output, by_different, in_batches, per_batch, row_chunks, whole_text
 
 #: Fixed value: how byte-level tokenizers of the library cut a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -99,52 +99,26 @@ def _without(matrix: np.ndarray, column: np.ndarray) -> np.ndarray:
     return matrix[keep].reshape(len(matrix), -1)
 
 
-class Tokenizer:
-    """A byte-level tokenizer read from its definition (the text of the file).
+class Merger:
+    """Merges the bytes of pieces by a list of merges.
 
-    Definitions with a normalizer, a prefix space, unknown or sub-word marks, dropout or
-    added tokens that look at their surroundings are refused.
+    ``byte_ids`` has the part that each byte starts as; with ``suffix`` the last byte of a piece starts
+    as the part of that suffix.
     """
 
-    def __init__(self, definition: str) -> None:
-        spec = json.loads(definition)
-        model, cut = spec["model"], spec.get("pre_tokenizer") or {}
-        plain = (
-            model.get("type", "BPE") == "BPE"
-            and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
-            and spec.get("normalizer") is None
-            and cut.get("type") == "ByteLevel"
-            and not cut.get("add_prefix_space")
-            and cut.get("use_regex", True)
-            and (spec.get("decoder") or {}).get("type") == "ByteLevel"
-            and not any(t[k] for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized"))
-        )
-        if not plain:
-            raise ValueError("only plain byte-level BPE without normalizer is encoded here")
-        vocabulary, letters = model["vocab"], byte_letters()
-        if missing := [c for c in letters if c not in vocabulary]:
+    def __init__(self, vocabulary: dict[str, int], merges: list, suffix: str = "") -> None:
+        letters = byte_letters()
+        if missing := [c for c in letters if c not in vocabulary or c + suffix not in vocabulary]:
             raise ValueError(f"{len(missing)} bytes have no token")
         self.byte_ids = np.array([vocabulary[c] for c in letters], np.int32)
+        self.last_ids = np.array([vocabulary[c + suffix] for c in letters], np.int32) if suffix else None
         pairs, made = {}, []
-        for rank, merge in enumerate(model["merges"]):
+        for rank, merge in enumerate(merges):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             pairs[vocabulary[left], vocabulary[right]] = rank
             made.append(vocabulary[left + right])
         self.pairs, self.made = pairs, np.array(made, np.int32)
         self.table = PairTable(pairs)
-        self.added = {t["content"]: t["id"] for t in spec["added_tokens"] if t["content"]}
-        longest_first = sorted(self.added, key=len, reverse=True)
-        self.marks = re.compile("|".join(map(re.escape, longest_first))) if longest_first else None
-        # White space as Unicode has it, without the separators that Python adds.
-        self.pattern = regex.compile(PIECES.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
-        number = {c: b for b, c in enumerate(letters)}
-        size = 1 + max([*vocabulary.values(), *self.added.values()])
-        self.bytes: list[bytes | None] = [None] * size
-        for token, i in [*vocabulary.items(), *self.added.items()]:
-            known = all(c in number for c in token)
-            self.bytes[i] = bytes(number[c] for c in token) if known else token.encode()
-
-    # --- merging ---
 
     def piece_ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces in a row, and how many each piece has."""
@@ -158,7 +132,10 @@ class Tokenizer:
         while at < len(order):
             if sizes[order[at]] > SHORT:
                 for row in order[at:]:
-                    ids = self._long(self.byte_ids[raw[offsets[row] : offsets[row + 1]]])
+                    parts = self.byte_ids[raw[offsets[row] : offsets[row + 1]]]
+                    if self.last_ids is not None:
+                        parts[-1] = self.last_ids[raw[offsets[row + 1] - 1]]
+                    ids = self._long(parts)
                     counts[row] = len(ids)
                     done.append((np.array([row]), ids))
                 break
@@ -171,13 +148,15 @@ class Tokenizer:
             inside = cells < sizes[rows][:, None]
             places = np.minimum(offsets[rows][:, None] + cells, len(raw) - 1)
             parts = np.where(inside, self.byte_ids[raw[places]], np.int32(-1))
+            if self.last_ids is not None:
+                parts[np.arange(len(rows)), sizes[rows] - 1] = self.last_ids[raw[offsets[rows + 1] - 1]]
             for which, ids in self._merge_rows(parts):
                 own = rows[which]
                 counts[own] = (ids >= 0).sum(1)
                 done.append((own, ids[ids >= 0]))
             at = stop
         ends = np.cumsum(counts)
-        out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint32)
+        out = np.zeros(int(ends[-1]) if len(ends) else 0, "<u4")
         for own, ids in done:
             n = counts[own]
             inner = np.arange(len(ids)) - np.repeat(np.cumsum(n) - n, n)
@@ -241,15 +220,50 @@ class Tokenizer:
             i = after[i]
         return np.array(out, np.int32)
 
-    # --- texts ---
 
-    def _cut(self, text: str) -> Iterator[int | list[str]]:
-        """Added tokens as their ids, and what stands between them as lists of pieces."""
+class Tokenizer:
+    """A byte-level tokenizer read from its definition (the text of the file).
+
+    Definitions with a normalizer, a prefix space, unknown or sub-word marks, dropout or
+    added tokens that look at their surroundings are refused.
+    """
+
+    def __init__(self, definition: str) -> None:
+        spec = json.loads(definition)
+        model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+        plain = (
+            model.get("type", "BPE") == "BPE"
+            and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+            and spec.get("normalizer") is None
+            and cut.get("type") == "ByteLevel"
+            and not cut.get("add_prefix_space")
+            and cut.get("use_regex", True)
+            and (spec.get("decoder") or {}).get("type") == "ByteLevel"
+            and not any(t[k] for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized"))
+        )
+        if not plain:
+            raise ValueError("only plain byte-level BPE without normalizer is encoded here")
+        vocabulary, letters = model["vocab"], byte_letters()
+        self.merger = Merger(vocabulary, model["merges"])
+        self.added = {t["content"]: t["id"] for t in spec["added_tokens"] if t["content"]}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.marks = re.compile("|".join(map(re.escape, longest_first))) if longest_first else None
+        # White space as Unicode has it, without the separators that Python adds.
+        self.pattern = regex.compile(PIECES.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+        number = {c: b for b, c in enumerate(letters)}
+        size = 1 + max([*vocabulary.values(), *self.added.values()])
+        self.bytes: list[bytes | None] = [None] * size
+        for token, i in [*vocabulary.items(), *self.added.items()]:
+            known = all(c in number for c in token)
+            self.bytes[i] = bytes(number[c] for c in token) if known else token.encode()
+
+    def _cut(self, text: str) -> Iterator[bytes | list[str]]:
+        """Added tokens as their packed ids, and what stands between them as lists of pieces."""
         at = 0
         marks = self.marks.finditer(text) if self.marks is not None else ()
         for mark in marks:
             yield from self._pieces(text[at : mark.start()])
-            yield self.added[mark.group()]
+            yield self.added[mark.group()].to_bytes(4, "little")
             at = mark.end()
         yield from self._pieces(text[at:] if at else text)
 
@@ -263,43 +277,7 @@ class Tokenizer:
 
     def encode(self, rows: Iterable[tuple]) -> Iterator[tuple]:
         """For rows of a key and a text: the key and the ids, little-endian unsigned 32-bit integers."""
-        held: list[tuple] = []  # keys, each with its ids so far (bytes) or the number of pieces still to encode
-        flat: list[str] = []
-
-        def flush() -> None:
-            pieces = pa.array(flat, pa.string()).dictionary_encode()
-            ids, counts = self.piece_ids(pieces.dictionary)
-            codes = pieces.indices.to_numpy()
-            n = counts[codes]
-            ends = np.cumsum(n)
-            first = (np.cumsum(counts) - counts)[codes] - (ends - n)
-            found = ids[np.repeat(first, n) + np.arange(int(ends[-1]) if len(ends) else 0)].astype("<u4")
-            ends = np.concatenate([[0], ends])
-            at = 0
-            for _, parts in held:
-                for k, part in enumerate(parts):
-                    if isinstance(part, int):
-                        parts[k] = found[ends[at] : ends[at + part]].tobytes()
-                        at += part
-            flat.clear()
-
-        for key, text in rows:
-            parts: list[bytes | int] = []
-            held.append((key, parts))
-            for part in self._cut(text):
-                if isinstance(part, int):
-                    parts.append(part.to_bytes(4, "little"))
-                    continue
-                parts.append(len(part))
-                flat += part
-                if len(flat) >= HELD:
-                    flush()
-                    for own, ids in held[:-1]:
-                        yield own, b"".join(ids)
-                    del held[:-1]
-        flush()
-        for own, ids in held:
-            yield own, b"".join(ids)
+        return in_batches(rows, self._cut, lambda pieces: by_different(pieces, self.merger.piece_ids), HELD)
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
         """Texts of ids that stand in a row, each ending where ``ends`` says; unknown ids are left out."""
@@ -344,20 +322,15 @@ def encode(df: DataFrame, tokenizer_file: str, key: str = "doc_id", text: str =
     text has no ids. Repeated rows and null keys stay; an empty table gives no rows.
     """
     name, definition = _definition(tokenizer_file)
-    schema = pa.schema([("key", to_arrow_type(df.schema[key].dataType)), ("n_tokens", pa.int64()), ("ids", pa.binary())])
+    schema = pa.schema([("key", to_arrow_type(df.schema[key].dataType)), ("ids", pa.binary())])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, out = _tokenizer(name, definition), Output(schema)
-        rows = (row for columns in row_chunks(batches) for row in zip(*columns, strict=True))
-        for own, ids in tokenizer.encode(rows):
-            if out.add((own, len(ids) // 4, ids), len(ids)):
-                yield out.batch()
-        if out.columns[0]:
-            yield out.batch()
+    def run(rows: Iterable[tuple]) -> Iterator[tuple]:
+        return _tokenizer(name, definition).encode(rows)
 
     source = df.select(F.col(key).alias("key"), whole_text(text).alias("body"))
     kind = df.schema[key].dataType.simpleString()
-    return source.mapInArrow(run, f"key {kind}, n_tokens bigint, ids binary").withColumnRenamed("key", key)
+    coded = source.mapInArrow(per_batch(run, schema), f"key {kind}, ids binary").withColumnRenamed("key", key)
+    return coded.select(key, F.expr("cast(length(ids) div 4 as bigint)").alias("n_tokens"), "ids")
 
 
 def decode(df: DataFrame, tokenizer_file: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:

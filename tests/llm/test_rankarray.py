@@ -70,7 +70,7 @@ def test_pair_table_finds_all_pairs_and_no_others():
 
 
 def test_bytes_without_text_and_unknown_ids_decode_as_in_the_library(own, library):
-    for ids in ([own.byte_ids[0xE9]], [own.byte_ids[0xE6], own.byte_ids[0x97], 262], [10**6, 262, 60000], [50256, 50255]):
+    for ids in ([own.merger.byte_ids[0xE9]], [own.merger.byte_ids[0xE6], own.merger.byte_ids[0x97], 262], [10**6, 262, 60000], [50256, 50255]):
         assert own.decode(np.array(ids, np.int64), np.array([len(ids)])) == [library.decode(list(map(int, ids)), skip_special_tokens=False)]
 
 

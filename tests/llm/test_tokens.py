@@ -26,7 +26,7 @@ def odd_texts(n, seed=3):
     return ["".join(rng.choice(LETTERS) for _ in range(rng.randint(0, 25))) for _ in range(n)]
 
 
-TEXTS = ["", "the end", "the  end\n\n x ", "Nein, nein.\nUnd", "a" * 3000, "The the, THE. ththreing " * 2000, "<|endoftext|>", *odd_texts(400)]
+TEXTS = ["", "the end", "the  end\n\n x ", "Nein, nein.\nUnd", "a" * 3000, "The the, THE. ththreing " * 2000, "<|endoftext|>", "hello <|endoftext|> world", "a<|startoftext|>b, <|ENDOFTEXT|> X<|EndOfText|>", *odd_texts(400)]
 
 
 @pytest.fixture(scope="module")
@@ -106,16 +106,22 @@ def test_one_symbol_and_none():
 @pytest.mark.parametrize("width", [2, 4])
 def test_word_ids_are_those_of_the_library(width):
     library = Tokenizer.from_file(WORDS)
-    library.encode_special_tokens = True
     own = huffman.WordEncoder(open(WORDS, encoding="utf-8").read(), width)
     for text, want in zip(TEXTS, library.encode_batch(TEXTS, add_special_tokens=False), strict=True):
         assert np.frombuffer(own.encode(text), f"<u{width}").tolist() == want.ids
 
 
+def test_every_letter_of_the_plain_path_is_that_of_the_library():
+    library = Tokenizer.from_file(WORDS)
+    own = huffman.WordEncoder(open(WORDS, encoding="utf-8").read(), 2)
+    texts = [f"a{chr(c)} {chr(c)}b. X{chr(c)}{chr(c)}, {chr(c)}" for c in range(0x20, 0x2FFF)] + ["The Quick, brown. fox.. jumps,. 3x a.b", "ÀÉÎ œuvre. ŁÓDŹ, İzmir ıı ŉa ſs"]
+    for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(own.encode(text), "<u2").tolist() == want.ids, text
+
+
 def test_files_give_documents_back_in_order(spark, tmp_path, monkeypatch):
     ship_package(spark)
     library = Tokenizer.from_file(WORDS)
-    library.encode_special_tokens = True
     rows = [(i * 7 % 101, t) for i, t in enumerate(TEXTS[:90])] + [(5, "twice"), (5, "twice"), (None, "no id"), (200, None)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("start", F.lit("clash")).withColumn("ids", F.lit(0))
     path = huffman.store(df.repartition(3), WORDS, end_id=1, path=str(tmp_path / "files"))
