@@ -12,9 +12,10 @@ Slots are joined to bands. Texts that share a band are candidates; every link is
 then checked on the whole multisets. Equal texts are one node from the start.
 In a bucket every text is first compared with two of its members drawn by hash, so
 that a large group of copies becomes one class with as many checks as members.
-Members that are in different classes after that are paired only where their sizes
-and the shingles that others have too, counted by cells, leave a similarity of 0.8
-possible: the bound is exact, and shuts out the many copies with edits of their own.
+Members that are in different classes after that meet by prefixes: each orders its
+shingles by rarity, and two of similarity 0.8 share one among the first fifth of
+both. What lies behind the place where they meet bounds what they share. Both bounds
+are exact, and copies whose edits are their own meet nowhere near enough to the front.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dugout.llm.common import stored, whole_text
@@ -36,9 +37,6 @@ SLOTS = 128
 #: Slots per band: texts of similarity 0.8 share none of the 32 bands once in 20 million pairs.
 ROWS = 4
 
-#: Cells by which the amount two texts share is bounded.
-CELLS = 128
-
 #: Text bytes signed at once.
 CHUNK = 1 << 20
 
@@ -168,21 +166,33 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["node", "size", "shingle", "n"])
 
 
-def common_part(texts: DataFrame) -> DataFrame:
-    """``node``, ``size`` of its multiset and ``cells``: how much of it occurs in any other of the texts too, by cell.
+def prefixes(texts: DataFrame) -> DataFrame:
+    """``node``, ``size`` of its multiset, ``shingle`` and ``place``: the rarest shingles of each text.
+
+    Shingles are ordered by the number of texts that have them; a shingle that occurs c times
+    takes c places, and only its first one counts. Two texts of similarity ``THRESHOLD`` share a
+    shingle whose place is within both prefixes: with fewer shared, one of them would lack more
+    than it may. Shingles of one text alone take their places and are then left out.
+    """
+    rows = stored(texts.mapInArrow(_counted, "node binary, size bigint, shingle bigint, n bigint"), "shingles")
+    spread = rows.groupBy("shingle").agg(F.count("*").alias("texts"))
+    before = Window.partitionBy("node").orderBy("texts", "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.join(spread, "shingle").withColumn("place", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    length = F.col("size") - F.ceil(F.col("size") * THRESHOLD - 1e-6) + 1
+    return placed.filter((F.col("place") < length) & (F.col("texts") > 1)).select("node", "size", "shingle", "place")
+
+
+def meeting(prefix: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different labels, a before b, that may reach the threshold; ``prefix`` has a ``label`` too.
 
-    Shingles are dealt to cells by hash. Two texts share no more than the smaller
-    amount of each cell. Nodes that share too little with all others together to
-    reach the threshold are left out.
+    Where two texts meet first, they share no more than what lies from there on.
     """
-    rows = texts.mapInArrow(_counted, "node binary, size bigint, shingle bigint, n bigint")
-    rows = stored(rows, "shingles")
-    twice = rows.groupBy("shingle").count().filter("count > 1").select("shingle")
-    cell = F.pmod("shingle", F.lit(CELLS)).cast("int").alias("cell")
-    common = rows.join(twice, "shingle").groupBy("node", "size", cell).agg(F.sum("n").alias("n"))
-    whole = common.groupBy("node", "size").agg(F.sum("n").alias("common"), F.map_from_entries(F.collect_list(F.struct("cell", "n"))).alias("held"))
-    amounts = F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda i: F.coalesce(F.try_element_at("held", i), F.lit(0)))
-    return whole.filter(F.col("common") >= THRESHOLD * F.col("size")).select("node", "size", "common", amounts.alias("cells"))
+    left = prefix.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("node", "label", "size", "place")])
+    right = prefix.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "size", "place")])
+    most = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    enough = most >= (F.col("size_a") + F.col("size_b")) * (THRESHOLD / (1 + THRESHOLD)) - 1e-6
+    met = left.join(right, "shingle").filter((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & enough)
+    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -246,25 +256,12 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     links = stored(_verified(tested, texts), "links")
     labels = components(links)
 
-    # Members of a bucket that are still apart, pair by pair unless compared before.
+    # Members of a bucket that are still apart meet by their rarest shingles, unless compared before.
     marked = shared.select("band", "hash", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_buckets = marked.groupBy("band", "hash").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
-    apart = stored(marked.join(open_buckets.select("band", "hash"), ["band", "hash"]), "apart")
-    near = common_part(texts.join(apart.select("node").distinct(), "node", "leftsemi"))
-    # Each member knows its open buckets, at most one per band, so that a pair comes out of the first that it shares.
-    held = apart.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("band", "hash"))).alias("held"))
-    places = F.transform(F.sequence(F.lit(0), F.lit(SLOTS // ROWS - 1)), lambda i: F.try_element_at("held", i))
-    left = stored(apart.join(near, "node").join(held.select("node", places.alias("held")), "node"), "apart")
-    other = left.select("band", "hash", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "size", "common", "cells", "held")])
-    most = F.least("common", "common_b")
-    possible = most >= THRESHOLD * (F.col("size") + F.col("size_b") - most)
-    first = F.array_position(F.zip_with("held", "held_b", lambda x, y: x == y), True) - 1 == F.col("band")
-    apart_pair = (F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b"))
-    # Both bounds are exact; the finer one is asked where the coarser one and the band leave the pair.
-    shared_at_most = F.aggregate(F.zip_with("cells", "cells_b", lambda x, y: F.least(x, y)), F.lit(0).cast("bigint"), lambda x, y: x + y)
-    close = F.when(apart_pair & possible & first, shared_at_most >= THRESHOLD * (F.col("size") + F.col("size_b") - shared_at_most))
-    rest = left.join(other, ["band", "hash"]).filter(close)
-    rest = rest.select(F.col("node").alias("a"), F.col("node_b").alias("b"))
+    apart = stored(marked.join(open_buckets.select("band", "hash"), ["band", "hash"]).select("node", "label").distinct(), "apart")
+    prefix = prefixes(texts.join(apart.select("node"), "node", "leftsemi")).join(apart, "node")
+    rest = meeting(stored(prefix, "prefixes"))
     seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = stored(_verified(rest.join(seen, ["a", "b"], "leftanti"), texts), "links")
     if not more.isEmpty():

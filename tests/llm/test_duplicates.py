@@ -90,18 +90,27 @@ def test_bounds_lose_no_link(spark):
     base = prose(rng, 150)
     texts = [" ".join(edited(rng, base, i % 9)) for i in range(45)]
     df = spark.createDataFrame([(bytes([i]), t) for i, t in enumerate(texts)], "node binary, text string")
-    part = {r.node[0]: r for r in bagminhash.common_part(df).collect()}
+    met = bagminhash.meeting(bagminhash.prefixes(df).withColumn("label", F.col("node")))
+    pairs = {(r.a[0], r.b[0]) for r in met.collect()}
     bags = [bagminhash.shingles(t) for t in texts]
-    shut_out = 0
-    for i in range(45):
-        for j in range(i):
-            possible = False
-            if i in part and j in part:
-                shared = sum(map(min, part[i].cells, part[j].cells))
-                possible = shared >= 0.8 * (part[i]["size"] + part[j]["size"] - shared)
-            shut_out += not possible
-            assert possible or bagminhash.similarity(bags[i], bags[j]) < 0.8
-    assert shut_out > 300
+    similar = {(i, j) for j in range(45) for i in range(j) if bagminhash.similarity(bags[i], bags[j]) >= 0.8}
+    assert similar <= pairs and len(similar) > 20
+    assert len(pairs) < 500 and bagminhash.meeting(bagminhash.prefixes(df).withColumn("label", F.lit(0))).isEmpty()
+
+
+def test_copies_with_edits_of_their_own_do_not_meet(spark):
+    """Below the threshold a group of near copies gives no pairs, however large it is."""
+    rng = random.Random(12)
+    base = prose(rng, 200)
+    texts = []
+    for i in range(60):
+        words = list(base)
+        for at in range(5, 200, 25):
+            words[at] = f"own{i}x{at}"
+        texts.append(" ".join(words))
+    df = spark.createDataFrame([(bytes([i]), t) for i, t in enumerate(texts)], "node binary, text string")
+    assert bagminhash.similarity(*[bagminhash.shingles(t) for t in texts[:2]]) < 0.8
+    assert bagminhash.meeting(bagminhash.prefixes(df).withColumn("label", F.col("node"))).isEmpty()
 
 
 def test_rows_without_id_and_empty_tables(spark):
