@@ -10,25 +10,28 @@ is labelled by Viterbi's algorithm. Nothing of a page is cut off.
 from __future__ import annotations
 
 import html
+import json
 import re
 from collections.abc import Callable, Iterable
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from dugout.llm.common import per_row, sample_texts
+from dugout.llm.common import per_row, sampled
 
-#: Pages that the fit looks at, and the longest of them in characters.
+#: Pages that the fit looks at, and how much of each: its first blocks, and their text in characters.
 SAMPLE_PAGES = 300
+SAMPLE_BLOCKS = 400
 SAMPLE_CHARS = 20_000
 
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose text is never page text.
-HIDDEN = ("script", "style", "noscript", "template", "head", "title", "textarea", "iframe", "svg", "object", "select", "button")
+#: Elements whose text is never page text; those of raw text are skipped by the pattern below.
+HIDDEN = frozenset("noscript template svg object select button".split())
 #: Words of class, id and role that the model knows.
 HINTS = frozenset(
     "ad ads advert advertisement sponsor sponsored promo banner sidebar menu nav navigation navbar breadcrumb breadcrumbs footer header "
@@ -39,7 +42,7 @@ TAGS = frozenset("article main nav header footer aside form section div ul ol li
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|title|textarea|iframe|svg|object|select|button)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|title|textarea|iframe)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|<[a-zA-Z][^>]*(?:>|\Z)",
@@ -52,6 +55,16 @@ _HIDING_STYLE = re.compile(r"(?:\A|;)\s*(?:display\s*:\s*none|visibility\s*:\s*h
 #: Elements that may stand in a head; any other ends it, as text does.
 _IN_HEAD = frozenset("head html base basefont bgsound link meta title style script noscript template noframes".split())
 _HINT_WORD = re.compile(r"[a-z]+")
+#: Words long enough to be told at the start of a compound, as in commentlist.
+_COMPOUND = re.compile("|".join(sorted((w for w in HINTS if len(w) >= 7), key=len, reverse=True)))
+
+
+def _hints(value: str) -> set[str]:
+    """The known words of a class, id or role; of a compound, the one that it starts with."""
+    words = set(_HINT_WORD.findall(value.lower()))
+    return words & HINTS | {m[0] for w in words - HINTS if (m := _COMPOUND.match(w))}
+
+
 #: Elements that an opening tag of the key ends.
 _ENDS = {name: frozenset({"p"}) for name in "p div ul ol dl table section article aside nav header footer form h1 h2 h3 h4 h5 h6 blockquote pre figure main hr address fieldset details menu".split()}
 _ENDS |= {"li": frozenset({"li", "p"}), "td": frozenset({"td", "th", "p"}), "th": frozenset({"td", "th", "p"}), "tr": frozenset({"tr", "td", "th", "p"}), "dt": frozenset({"dt", "dd", "p"}), "dd": frozenset({"dt", "dd", "p"})}
@@ -110,8 +123,9 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
             elif name == "br":
                 take(" ")
             continue
-        flush()
-        in_link = 0
+        if not hidden and name not in HIDDEN:  # what is hidden does not part the text around it
+            flush()
+            in_link = 0
         if name == "head":
             in_head = not m["end"]
         if m["end"]:
@@ -127,11 +141,13 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
             rest = m["rest"]
             own = [f"<{name}>"] if name in TAGS else []
             if rest:
-                words = {w for g in _MARKS.finditer(rest) for w in _HINT_WORD.findall((g[1] or g[2] or g[3] or "").lower())}
-                own += sorted(f".{w}" for w in words & HINTS)
-                if _hides(rest):
-                    own.append("hidden")
-                    hidden += 1
+                words = {w for g in _MARKS.finditer(rest) for w in _hints(g[1] or g[2] or g[3] or "")}
+                own += sorted(f".{w}" for w in words)
+            if name in HIDDEN or (rest and _hides(rest)):
+                if name == "svg" and rest.endswith("/"):
+                    continue  # a foreign element may close itself
+                own.append("hidden")
+                hidden += 1
             stack.append((name, tuple(own)))
     take(page[at:])
     flush()
@@ -277,12 +293,11 @@ ASIDES = (
 )
 
 
-def variants(number: int, source: str) -> list[str]:
-    """The page itself, and its article in another container among other surroundings."""
-    page = blocks(source)
+def variants(number: int, page: list) -> list[list]:
+    """The blocks of the page itself, and of its article in another container among other surroundings."""
     main = [text for (_, text, _), keep in zip(page, marked_labels(page), strict=True) if keep]
     if not main:
-        return [source]
+        return [page]
     esc = html.escape
     lines = [f"<p>{esc(t)}</p>" for t in main[:12]]
     lines[0] = f"<h1>{esc(main[0])}</h1>"
@@ -290,18 +305,44 @@ def variants(number: int, source: str) -> list[str]:
     inside = ASIDES[(number * 5 + 1) % len(ASIDES)].format(esc(main[-1]))
     lines.insert(1 + number % len(lines), inside)
     body = CONTAINERS[number % len(CONTAINERS)].format("".join(lines))
-    return [source, f"<body>{around[0]}{around[1]}{body}{around[2]}</body>"]
+    return [page, blocks(f"<body>{around[0]}{around[1]}{body}{around[2]}</body>")]
+
+
+def first_blocks(page: str) -> list:
+    """The first blocks of a page, as many as the fit looks at; the last one's text may be cut."""
+    found, left = [], SAMPLE_CHARS
+    for marks, text, linked in blocks(page)[:SAMPLE_BLOCKS]:
+        if left <= 0:
+            break
+        found.append((marks, text[:left], linked))
+        left -= len(text)
+    return found
 
 
 def fit_on(df: DataFrame, column: str = "html", pages: int = SAMPLE_PAGES, label: Callable[[list], list[bool]] = marked_labels) -> Model:
     """A model fitted on a sample of the table.
 
-    The sample is bounded: at most ``pages`` pages of up to ``SAMPLE_CHARS``
-    characters, those whose hash is smallest. ``label`` labels their blocks.
+    The sample is bounded: at most ``pages`` pages, those whose hash is smallest, by their first
+    ``SAMPLE_BLOCKS`` blocks of up to ``SAMPLE_CHARS`` characters. ``label`` labels the blocks. Without
+    pages, or where no block is labelled as text, the fit goes over built-in pages instead.
     """
-    sample = sample_texts(df, column, pages, SAMPLE_CHARS)
-    texts = [v for i, source in enumerate(sample) for v in variants(i, source)]
-    return fit((page, label(page)) for page in map(blocks, texts))
+
+    @F.pandas_udf("string")
+    def shown(found: pd.Series) -> pd.Series:
+        return found.map(lambda page: json.dumps(first_blocks(page)))
+
+    sample = [[(tuple(marks), text, linked) for marks, text, linked in json.loads(p)] for p in sampled(df, column, pages, shown("text"))]
+    labelled = [(page, label(page)) for i, source in enumerate(sample) for page in variants(i, source)]
+    if not any(any(own) for _, own in labelled):
+        labelled += [(page, marked_labels(page)) for i in range(len(ASIDES)) for page in variants(i, blocks(BUILT_IN))]
+    return fit(labelled)
+
+
+#: A page for the case that the table tells nothing.
+BUILT_IN = (
+    "<article><h1>A plain heading</h1><p>A first paragraph that says something, at some length, about what follows.</p>"
+    "<p>A second one, which goes on; it has several clauses, and it ends.</p><ul><li>One point of a list</li></ul><p>The last words of it all.</p></article>"
+)
 
 
 def extract(df: DataFrame, model: Model, column: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

@@ -227,8 +227,8 @@ def test_only_hiding_attributes_hide():
 @tables
 def test_held_out_pages_in_other_surroundings(spark):
     pages = column("pages", "html")
-    label = lambda sources: [(p, html_crf.marked_labels(p)) for p in map(html_crf.blocks, sources)]
-    made = [html_crf.variants(i, source) for i, source in enumerate(pages)]
+    label = lambda found: [(p, html_crf.marked_labels(p)) for p in found]
+    made = [html_crf.variants(i, html_crf.blocks(source)) for i, source in enumerate(pages)]
     model = html_crf.fit(label([v for vs in made[::2] for v in vs]))
     right = [a == b for page, labels in label([vs[-1] for vs in made[1::2]]) for a, b in zip(model.labels(page), labels, strict=True)]
     assert np.mean(right) > 0.98
@@ -246,4 +246,56 @@ def test_page_frames(spark):
 
 def test_sample_is_bounded_and_different(spark):
     df = spark.createDataFrame([(t,) for t in ["a"] * 50 + ["bb", "ccc", None, "", "long" * 10]], "text string")
-    assert sorted(sample_texts(df, "text", 10, 5)) == ["a", "bb", "ccc"] and len(sample_texts(df, "text", 2, 5)) == 2
+    found = sample_texts(df, "text", 10, 5)
+    assert sorted(t for t in found if len(t) < 5) == ["a", "bb", "ccc"] and len(found) == 4
+    assert [t for t in found if len(t) == 5][0] in "long" * 10 and len(sample_texts(df, "text", 2, 5)) == 2
+    assert sample_texts(df.filter("text = ''"), "text", 10, 5) == []
+
+
+def test_svg_custom_elements_and_unclosed_buttons_hide_no_more_than_themselves():
+    texts = lambda page: [t for _, t, _ in html_crf.blocks(page)]
+    assert texts('<p>a <svg class="i"/> b</p><p>c</p>') == ["a b", "c"]
+    assert texts("<p>a <svg><title>x</title><g><path/><text>no</text></g></svg> b</p>") == ["a b"]
+    for name in ("button-bar", "object-view", "select-x", "template-y", "script-z", "svg-icon"):
+        assert texts(f"<{name}>a</{name}><p>b</p>") == ["a", "b"], name
+    assert texts("<div><p>a</p><button>menu</div><p>b</p>") == ["a", "b"]
+    assert texts("<div>a <select><option>1<option>2</select> b <object data='x'><p>no</p></object>c</div>") == ["a b c"]
+    assert texts("<noscript><p>no</p></noscript><template><li>no</template><p>yes</p>") == ["yes"]
+    assert texts('<script data-x="a>b">no</script><p>yes</p>') == ["yes"]
+
+
+def test_compound_class_words_are_taken_apart():
+    marks = lambda value: html_crf.blocks(f'<div class="{value}">x</div>')[0][0]
+    assert ".comment" in marks("commentlist") and ".sidebar" in marks("sidebarLeft") and ".content" in marks("contentWrapper")
+    assert not any(m.startswith(".") for m in marks("maintenance columns adhoc"))
+
+
+def long_prose(rng, chars):
+    words = ["".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    out = []
+    while sum(map(len, out)) < chars:
+        out.append(" ".join(rng.choice(words) for _ in range(12)).capitalize() + ".")
+    return " ".join(out)
+
+
+def test_fits_work_where_every_text_is_long(spark):
+    """No length of the texts leaves an operator without a model."""
+    ship_package(spark)
+    rng = random.Random(9)
+    bodies = [long_prose(rng, 30_000) for _ in range(10)]
+    token = "ghp_" + "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(36))
+    secret = spark.createDataFrame([(i, f'{b} password = "hunter2X!9q" and {token} {b[:50]}') for i, b in enumerate(bodies)], "doc_id long, text string")
+    assert all(r.n_secrets >= 1 for r in secrets.scan(secret, secrets.fit_on(secret)).collect())
+    private = spark.createDataFrame([(i, f"{b} write jane(at)example(dot)org soon") for i, b in enumerate(bodies)], "doc_id long, text string")
+    assert pii.fit_on(private).thresholds != dict.fromkeys(pii.KINDS, 2.0)
+    pages = [(i, "u", "<nav><a href='/'>Menu</a></nav><article>" + "".join(f"<p>{p}.</p>" for p in b.split(".") if p) + "</article>") for i, b in enumerate(bodies)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = html_crf.extract(df, html_crf.fit_on(df)).collect()
+    assert all(len(r.text) > 25_000 and "Menu" not in r.text for r in found)
+
+
+def test_pages_without_telling_markup_are_fitted_on_built_in_pages(spark):
+    ship_package(spark)
+    df = spark.createDataFrame([(1, "u", "<div><p>Nothing here says what is what, at any length.</p></div>")], "page_id long, url string, html string")
+    model = html_crf.fit_on(df)
+    assert model.main_text("<nav><a>Home</a></nav><article><p>Some words, and then some more of them.</p></article>") == "Some words, and then some more of them."
