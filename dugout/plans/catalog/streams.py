@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from dugout.plans.catalog.base import obj, payloads, query, table
 from dugout.plans.catalog.feeds import live_payload
 from dugout.plans.catalog.pitches import ANY_YEAR, ORDER_TYPES
+from dugout.plans.feeds import LINESCORE
 from dugout.session import scratch_path
 from dugout.sources import pitches
 from dugout.streaming import jobs
@@ -87,10 +88,24 @@ def stream_linescore(spark, folder):
         "body",
     ).write.parquet(bronze)
     jobs.current_linescores(jobs.landed_stream(spark, bronze), target, checkpoint).awaitTermination()
-    stored = spark.read.parquet(target)
+    stored = jobs.linescores(spark, target)
     return stored.select("gamePk", F.col("seen_at").cast("timestamp_ntz").alias("seen_at"), "inning")
 
 
+@query("""
+select c_custkey as "gamePk", 'inning is unreadable' as problem from customer where c_custkey % 4 = 0""")
+def stream_rejects(spark, folder):
+    """Innings without a readable number are left out of the scores and kept beside them."""
+    bronze = scratch_path(spark, "reject-bronze")
+    target, checkpoint = _paths(spark, "rejects")
+    number = F.when(F.col("c_custkey") % 4 == 0, "first").otherwise("1")
+    landed = payloads(table(spark, folder, "customer"), obj(innings=F.array(obj(num=number))), {"gamePk": F.col("c_custkey")})
+    at = F.lit("2024-04-01 19:00:00").cast("timestamp")
+    landed.select(F.lit("feed").alias("provider"), F.lit("score").alias("url"), "params", at.alias("fetched_at"), "body").write.parquet(bronze)
+    jobs.append_rejects(jobs.landed_stream(spark, bronze), LINESCORE, target, checkpoint).awaitTermination()
+    return spark.read.parquet(target).select("gamePk", F.explode("_problems").alias("problem"))
+
+
 @query("""
 select o_orderkey, o_totalprice, year(o_orderdate)::int as year from orders where year(o_orderdate) in (1996, 1999)""")
 def stream_season_refresh(spark, folder):

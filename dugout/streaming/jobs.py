@@ -6,6 +6,8 @@ batch: a batch that runs twice after a lost executor replaces what it wrote.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from dugout.operators.names import ref
 from dugout.operators.ranks import latest
 from dugout.plans.feeds import LINESCORE, LIVE_FEED
-from dugout.plans.flatten import Plan, flatten
+from dugout.plans.flatten import Plan, flatten, rejected
 from dugout.session import folder, scratch_path
 from dugout.sources import schemas
 from dugout.sources.payloads import LANDING
@@ -25,6 +27,7 @@ PITCH_KEY = ("gamePk", "atBatIndex", "pitchIndex")
 INNING_KEY = ("gamePk", "inning")
 SEEN_AT = "seen_at"
 PART = "part"
+VERSION = "version"
 
 
 def landed_stream(
@@ -111,9 +114,62 @@ def _staged(rows: DataFrame) -> tuple[DataFrame, str]:
     return rows.sparkSession.read.schema(rows.schema).parquet(path), path
 
 
+def log_latest(
+    stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], order: str, shape: Callable[[DataFrame], DataFrame] | None = None
+) -> StreamingQuery:
+    """Append the newest row per key of every batch to a log, which ``latest_rows`` reads.
+
+    A batch writes one folder of its own and touches no other, so its cost is that of its rows. The
+    folder is named by checkpoint and batch: a batch that runs twice replaces what it wrote.
+    """
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = shape(batch) if shape else batch
+        latest(rows, keys, [ref(order).desc()]).write.mode("overwrite").parquet(f"{target.rstrip('/')}/{VERSION}={run}-{batch_id:012d}")
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+def latest_rows(spark: SparkSession, target: str, keys: Sequence[str], order: str) -> DataFrame:
+    """The newest row per key of a log; of equally new ones that of the last folder by name."""
+    log = spark.read.parquet(target).withColumn(VERSION, ref(VERSION).cast("string"))
+    return latest(log, keys, [ref(order).desc(), ref(VERSION).desc()]).drop(VERSION)
+
+
+def compact_log(spark: SparkSession, target: str, keys: Sequence[str], order: str) -> None:
+    """Put the newest rows of a log into one folder and drop the folders that they came from.
+
+    The new folder is whole before the others go; whoever reads in between finds rows twice, of which
+    ``latest_rows`` takes one. Folders that are written meanwhile stay.
+    """
+    prefix = f"{VERSION}="
+    old = sorted(name for name in folder(spark, target).subfolders() if name.startswith(prefix))
+    if len(old) < 2:
+        return
+    root = target.rstrip("/")
+    log = spark.read.option("basePath", root).parquet(*[f"{root}/{name}" for name in old])
+    newest = latest(log.withColumn(VERSION, ref(VERSION).cast("string")), keys, [ref(order).desc(), ref(VERSION).desc()]).drop(VERSION)
+    # Named before all batches, as its rows are older than those of any batch still to come.
+    newest.write.parquet(f"{root}/{prefix}0-{uuid.uuid4().hex}")
+    for name in old:
+        folder(spark, f"{root}/{name}").delete()
+
+
 def current_linescores(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Log of the newest polls of every inning of every game; ``linescores`` reads it."""
+    return log_latest(stream, target, checkpoint, INNING_KEY, SEEN_AT, shape=timed_linescores)
+
+
+def linescores(spark: SparkSession, target: str) -> DataFrame:
     """Newest poll of every inning of every game."""
-    return upsert_latest(stream, target, checkpoint, INNING_KEY, SEEN_AT, shape=timed_linescores)
+    return latest_rows(spark, target, INNING_KEY, SEEN_AT)
+
+
+def append_rejects(payloads: DataFrame, plan: Plan, target: str, checkpoint: str) -> StreamingQuery:
+    """Append the rows that a stream of ``plan`` leaves out, with what is wrong with them."""
+    return append(rejected(payloads, _timed(plan)), target, checkpoint)
 
 
 def refresh_seasons(

@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import json
 from datetime import datetime
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from dugout.plans.feeds import LINESCORE
+from dugout.plans.flatten import PROBLEMS
 from dugout.sources.payloads import LANDING
 from dugout.sources.schemas import struct
 from dugout.streaming import jobs
@@ -35,7 +38,33 @@ def test_newest_poll_wins_across_runs(spark, tmp_path):
     jobs.current_linescores(jobs.landed_stream(spark, bronze), target, checkpoint).awaitTermination()
     _land(spark, bronze, (1, "2024-04-01T10:10:00", _score(3)), (2, "2024-04-01T09:00:00", _score(9)), (3, "2024-04-01T10:00:00", _score(5)))
     jobs.current_linescores(jobs.landed_stream(spark, bronze), target, checkpoint).awaitTermination()
-    assert {(r.gamePk, r.homeRuns) for r in spark.read.parquet(target).collect()} == {(1, 3), (2, 1), (3, 5)}
+    want = {(1, 3), (2, 1), (3, 5)}
+    assert {(r.gamePk, r.homeRuns) for r in jobs.linescores(spark, target).collect()} == want
+    jobs.compact_log(spark, target, jobs.INNING_KEY, jobs.SEEN_AT)
+    assert len(list(Path(target).glob("version=*"))) == 1
+    assert [(r.gamePk, r.homeRuns) for r in spark.read.parquet(target).orderBy("gamePk").collect()] == sorted(want)
+    _land(spark, bronze, (2, "2024-04-01T11:00:00", _score(7)))
+    jobs.current_linescores(jobs.landed_stream(spark, bronze), target, checkpoint).awaitTermination()
+    assert {(r.gamePk, r.homeRuns) for r in jobs.linescores(spark, target).collect()} == {(1, 3), (2, 7), (3, 5)}
+
+
+def test_a_batch_leaves_the_files_of_other_batches_alone(spark, tmp_path):
+    bronze, target, checkpoint = (str(tmp_path / n) for n in ("bronze", "scores", "cp"))
+    files = lambda: {p: p.stat().st_mtime_ns for p in Path(target).rglob("*.parquet")}
+    _land(spark, bronze, *[(g, "2024-04-01T10:00:00", _score(g)) for g in range(20)])
+    jobs.current_linescores(jobs.landed_stream(spark, bronze), target, checkpoint).awaitTermination()
+    before = files()
+    _land(spark, bronze, (1, "2024-04-01T10:10:00", _score(30)))
+    jobs.current_linescores(jobs.landed_stream(spark, bronze), target, checkpoint).awaitTermination()
+    after = files()
+    assert before.items() <= after.items() and len(after) == len(before) + 1
+
+
+def test_what_a_stream_leaves_out_is_kept_beside_it(spark, tmp_path):
+    bronze, target, checkpoint = (str(tmp_path / n) for n in ("bronze", "rejects", "cp"))
+    _land(spark, bronze, (1, "2024-04-01T10:00:00", {"innings": [{"num": 1}, {"num": "first"}]}))
+    jobs.append_rejects(jobs.landed_stream(spark, bronze), LINESCORE, target, checkpoint).awaitTermination()
+    assert [(r.gamePk, r[PROBLEMS]) for r in spark.read.parquet(target).collect()] == [(1, ["inning is unreadable"])]
 
 
 def test_repeated_polls_give_each_pitch_once(spark, tmp_path):
