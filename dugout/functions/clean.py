@@ -67,8 +67,9 @@ def lenient_double(col: Column) -> Column:
 
 
 def lenient_int(col: Column) -> Column:
-    """Like :func:`lenient_double`, then cut towards zero."""
-    return lenient_double(col).try_cast("bigint")
+    """Like :func:`lenient_double`, then cut towards zero; plain digits keep all their places."""
+    digits = F.regexp_extract(trim_text(col), r"^([+-]?[0-9]{1,19})(?:\.[0-9]*)?$", 1).try_cast("bigint")
+    return F.coalesce(digits, lenient_double(col).try_cast("bigint"))
 
 
 def strict_double(col: Column, null_values: tuple[str, ...] = ()) -> Column:

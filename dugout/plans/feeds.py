@@ -515,10 +515,11 @@ def standings(payloads: DataFrame, fail: bool = True) -> DataFrame:
     )
 
 
-def gamefeed_rows(payloads: DataFrame, *nodes: str, body: str = "body") -> DataFrame:
+def gamefeed_rows(payloads: DataFrame, *nodes: str, body: str = "body", fail: bool = True) -> DataFrame:
     """Objects below nodes that are lists, or objects of lists, with their key.
 
-    The body is parsed once for all nodes.
+    The body is parsed once for all nodes. A node of another kind, or an element that is no object,
+    fails the job; with ``fail`` off it is left out, and :func:`gamefeed_problems` has its payload.
     """
     found = walk(payloads, (), {ROOT: dict.fromkeys(nodes, "string")}, body)
     keep = refs(c for c in payloads.columns if c != body)
@@ -526,9 +527,18 @@ def gamefeed_rows(payloads: DataFrame, *nodes: str, body: str = "body") -> DataF
     listed = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.from_json("_node", LIST).alias("value")))
     mapped = F.map_entries(F.from_json("_node", "map<string,array<string>>"))
     entries = once(rows, _entries=F.when(is_object(F.col("_node")), mapped).otherwise(listed))
+    if fail:
+        read = F.col("_node").isNull() | F.coalesce(F.forall("_entries", lambda e: e["value"].isNotNull()), F.lit(False))
+        entries = entries.where(_or_fail(read, "A gamefeed node is neither a list nor an object of lists: ", "_node"))
     lists = entries.select(*keep, F.inline("_entries"))
     items = lists.select(*keep, F.col("key").alias("item_key"), F.explode("value").alias("item"))
-    return items.where(is_object(F.col("item")))
+    good = F.coalesce(is_object(F.col("item")), F.lit(False))
+    return items.where(_or_fail(good, "A gamefeed element is no object: ", "item") if fail else good)
+
+
+def _or_fail(good: Column, message: str, value: str) -> Column:
+    shown = F.coalesce(F.left(F.col(value), F.lit(100)), F.lit("null"))
+    return F.when(good, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit(message), shown)).cast("boolean"))
 
 
 def gamefeed_problems(payloads: DataFrame, node: str, body: str = "body") -> DataFrame:
@@ -547,11 +557,11 @@ def _request(name: str, rows: DataFrame):
     return source.try_cast("bigint")
 
 
-def exit_velocity(payloads: DataFrame) -> DataFrame:
+def exit_velocity(payloads: DataFrame, fail: bool = True) -> DataFrame:
     """Batted balls of any number of games."""
     parks = "contextMetrics.homeRunBallparks"
     leaves = dict.fromkeys((*EXIT_VELOCITY_TEXT, *EXIT_VELOCITY_NUMBERS, parks), "string")
-    rows = once(gamefeed_rows(payloads, "exit_velocity"), parsed_item=parsed(F.col("item"), leaves))
+    rows = once(gamefeed_rows(payloads, "exit_velocity", fail=fail), parsed_item=parsed(F.col("item"), leaves))
     return rows.select(
         _request("gamePk", rows).alias("game_pk"),
         *[clean.trim_text(field_at("parsed_item", c)).alias(c) for c in EXIT_VELOCITY_TEXT],
@@ -568,10 +578,10 @@ BREAK_X_KEY = "breakXInches"
 BREAK_Z_KEYS = ("breakZInducedInches", "inducedBreakZ")
 
 
-def pitch_data(payloads: DataFrame) -> DataFrame:
+def pitch_data(payloads: DataFrame, fail: bool = True) -> DataFrame:
     """Pitches of both sides; the pitcher is the map key, a flat ID or a nested one."""
     names = (*PITCH_DATA_TEXT, "start_speed", "spin_rate", BREAK_X_KEY, *BREAK_Z_KEYS, *PITCHER_KEYS, "player")
-    items = gamefeed_rows(payloads, *PITCHER_NODES)
+    items = gamefeed_rows(payloads, *PITCHER_NODES, fail=fail)
     flat = once(items, parsed_item=parsed(F.col("item"), dict.fromkeys(names, "string")))
     nested = [parsed(field_at("parsed_item", key), {"id": "string"})["id"] for key in NESTED_PITCHER_KEYS]
     rows = once(flat, nested_ids=F.array(*nested))

@@ -30,7 +30,6 @@ GAME_LOG_NAMES = {
     "Opp. Starter (GmeSc)": "OppStart",
     "Pitchers Used (Rest-GameScore-Dec)": "PitchersUsed",
 }
-SPLIT_CONTAINER = "table_container"
 LEVEL_SUFFIX = "Level"
 INNING_SPLIT = "By Inning"
 SPLIT_TEXT = ("Split", "Split Type")
@@ -136,7 +135,7 @@ def splits(pages: DataFrame, keys: Sequence[str], career: bool = False, html: st
     ``is_level`` marks tables whose caption ends in ``Level``. Career pages
     carry one more leading header, whose column is a ``th`` cell.
     """
-    commented = H.page_tables(pages, keys, html).where((F.col("origin") == "comment") & (F.col("container") == SPLIT_CONTAINER))
+    commented = H.page_tables(pages, keys, html).where((F.col("origin") == "comment") & (F.col("container") == H.TABLE_CONTAINER))
     captioned = commented.withColumn("split_type", clean.trim_text(F.coalesce("caption", F.lit(""))))
     head = H.tail(F.try_element_at("rows", F.lit(1))["heads"], int(career))
     first = lambda r: F.coalesce(F.try_element_at(r["heads"], F.lit(1)), F.lit(""))

@@ -29,6 +29,9 @@ ROW_FIELDS = (
 PAGES_AT_ONCE = 64
 LINK_PATTERN = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
 
+# Fixed value: the class of elements that hold a table with its caption.
+TABLE_CONTAINER = "table_container"
+
 _TOKEN = re.compile(
     r"<!--(?P<comment>.*?)-->|<(?P<skip>script|style)\b.*?</(?P=skip)\s*>"
     r"|<(?P<end>/?)(?P<tag>table|thead|tbody|tfoot|tr|td|th|caption|a|div)\b(?P<rest>[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>",
@@ -74,7 +77,7 @@ def _scan(html: str, origin: str = "page") -> list[dict]:
         if start > last and (stack or outside is not None):
             text = _plain(html[last:start])
             if outside is not None:
-                outside["caption"] += text
+                outside["text"] += text
             for state in stack:
                 state.add(text)
         last = token.end()
@@ -90,32 +93,38 @@ def _scan(html: str, origin: str = "page") -> list[dict]:
         elif tag == "div":
             divs.append({"class": _attributes(rest).get("class", ""), "caption": None})
         elif tag == "caption" and not stack:
-            if divs and divs[-1]["caption"] is None:
-                outside = divs[-1]
-                outside["caption"] = ""
+            outside = {"text": ""}
+            for div in divs:  # the first caption anywhere inside, at any depth
+                if div["caption"] is None:
+                    div["caption"] = outside
         elif tag == "table":
             table = {
                 "table_index": len(done),
                 "table_id": _attributes(rest).get("id"),
                 "origin": origin,
-                "container": divs[-1]["class"] if divs else None,
+                "container": (box := _container(divs)) and box["class"],
                 "caption": None,
                 "rows": [],
             }
             done.append(table)
             stack.append(_Open(table))
             outside = None
-            held.append((table, divs[-1] if divs else None))
+            held.append((table, box))
         elif stack:
             _open(tag, rest, stack[-1])
     for table, container in held:  # a caption that stands in the container, before or after the table
-        if table["caption"] is None and container is not None:
-            table["caption"] = container["caption"]
+        if table["caption"] is None and container is not None and container["caption"] is not None:
+            table["caption"] = container["caption"]["text"]
     for position, table in enumerate(commented):
         table["table_index"] = position
     return done + commented
 
 
+def _container(divs: list[dict]) -> dict | None:
+    """The element that a table belongs to: the nearest one made for tables, or else the nearest."""
+    return next((div for div in reversed(divs) if div["class"] == TABLE_CONTAINER), divs[-1] if divs else None)
+
+
 def _open(tag: str, rest: str, state: _Open) -> None:
     if tag in ("thead", "tbody", "tfoot"):
         state.part, state.row, state.cell = tag, None, None

@@ -128,6 +128,10 @@ def test_gamefeed(spark):
     assert {(r["pitcher_id"], r["spin_rate"], r["break_z_induced_inches"]) for r in pitches} == {(605483, 2300, 1.5), (7, None, 2.0)}
     wrong = landed(spark, {"exit_velocity": "x"}, {"exit_velocity": [1]}, {"exit_velocity": {"a": 1}}, {"exit_velocity": [ball]}, {})
     assert feeds.gamefeed_problems(wrong, "exit_velocity").count() == 3
+    assert feeds.exit_velocity(wrong, fail=False).count() == 1
+    for body in ({"exit_velocity": "x"}, {"exit_velocity": [1]}, {"exit_velocity": {"a": 1}}, {"exit_velocity": [None]}):
+        with pytest.raises(Exception, match="gamefeed (node|element)"):
+            feeds.exit_velocity(landed(spark, body, gamePk=9)).collect()
 
 
 def test_highlights(spark):

@@ -10,7 +10,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from dugout.errors import InvalidParameter
+from dugout.errors import InvalidParameter, PayloadRejected
 from dugout.plans import probe, tables
 from dugout.sources import html as H
 
@@ -99,7 +99,8 @@ def test_generic_tables(spark):
     ranked = tables.prospects(pages(spark, body), ["page"], ["Rk", "Player"])
     assert [r.Rk for r in ranked.collect()] == ["10", "2"]
     assert [r.Rk for r in tables.prospects(pages(spark, body), ["page"], ["Rk"], numeric_rank=True).collect()] == ["2", "10"]
-    assert tables.prospects(pages(spark, body), ["page"], ["Rk"], "pitchers").count() == 0
+    with pytest.raises(PayloadRejected, match="pitchers"):
+        tables.prospects(pages(spark, body), ["page"], ["Rk"], "pitchers")
 
 
 def test_nested_and_broken_tables():
@@ -109,6 +110,15 @@ def test_nested_and_broken_tables():
     assert texts[0] == ["1", "x < y"] and "in" in texts[1][0]
 
 
+def test_captions_at_any_depth_of_a_container():
+    table = "<table><tr><th>Split</th></tr></table>"
+    inside = '<div class="table_container"><div class="head"><h2><caption>By <b>Month</b></caption></h2></div><div class="wrap">' + table + "</div></div>"
+    after = '<div class="table_container">' + table + "<div><caption>Late</caption></div></div>"
+    own = '<div class="table_container"><div><caption>first</caption><caption>second</caption></div><table><caption>own</caption></table></div>'
+    found = H._scan(inside + after + own + "<div class='x'>" + table + "</div>")
+    assert [(t["container"], t["caption"]) for t in found] == [("table_container", "By Month"), ("table_container", "Late"), ("table_container", "own"), ("x", None)]
+
+
 def test_probe_chain(spark):
     data = '<script>var data = [{"name": "A", "hr": 3}];</script>'
     grid = "<table><thead><tr><th>name</th></tr></thead><tbody><tr><td>B</td></tr></tbody></table>"
