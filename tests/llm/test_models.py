@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import random
 import re
+import time
 from collections import Counter
 
 import duckdb
@@ -270,6 +271,15 @@ def test_compound_class_words_are_taken_apart():
     assert not any(m.startswith(".") for m in marks("maintenance columns adhoc"))
 
 
+def test_personal_data_in_long_runs_and_among_many_takes_linear_time():
+    started = time.monotonic()
+    assert pii.base_spans("a" * 1_000_000 + "@ " + "1" * 1_000_000 + " x@y.org") == [("email", 2_000_003, 2_000_010)]
+    text = " ".join(f"u{i}@x{i}.org" for i in range(50_000))
+    detector = pii.Detector(trees.Boosted(0.0, []), dict.fromkeys(pii.KINDS, 2.0))
+    assert len(detector.spans(text)) == 50_000
+    assert time.monotonic() - started < 30
+
+
 def long_prose(rng, chars):
     words = ["".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randint(2, 9))) for _ in range(400)]
     out = []
