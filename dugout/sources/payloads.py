@@ -43,14 +43,19 @@ def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
     """``path`` and ``length`` of landed files that give no rows: those no reader gets through.
 
     The folder's files are listed, without their contents; what a lenient scan of
-    the row positions reaches is taken away, and so are whole files without rows.
+    the row positions reaches is taken away. Only the files that are left, by an
+    explicit list of their paths, are opened: a whole one holds its footer between
+    two marks and has no rows.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
     whole = spark.read.option("ignoreCorruptFiles", "true").schema("fetched_at timestamp").parquet(path)
     reached = whole.select(F.col("_metadata.file_path").alias("path")).distinct()
     suspects = files.select("path", "length").join(reached, "path", "left_anti")
-    # Only files without a row are opened; a good one holds its footer between two marks.
-    content = files.select("path", "content").join(suspects.select("path"), "path", "left_semi")
+    found = suspects.collect()
+    suspects = spark.createDataFrame(found, suspects.schema)
+    if not found:
+        return suspects
+    content = spark.read.format("binaryFile").load([row["path"] for row in found]).select("path", "content")
     mark = F.lit(PARQUET_MARK)
     sound = (F.substring("content", 1, 4) == mark) & (F.substring("content", -4, 4) == mark)
     return suspects.join(content.where(sound).select("path"), "path", "left_anti")

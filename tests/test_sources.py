@@ -146,7 +146,9 @@ def test_unreadable_files_are_named(spark, tmp_path):
     row.coalesce(1).write.parquet(str(folder))
     row.limit(0).coalesce(1).write.mode("append").parquet(str(folder))
     (folder / "junk.parquet").write_bytes(b"no table at all, only some bytes")
-    assert [r.path.rsplit("/", 1)[1] for r in payloads.unreadable_files(spark, str(folder)).collect()] == ["junk.parquet"]
+    found = payloads.unreadable_files(spark, str(folder))
+    assert [r.path.rsplit("/", 1)[1] for r in found.collect()] == ["junk.parquet"]
+    assert len(found.inputFiles()) == 2 and len(list(folder.glob("*.parquet"))) == 3  # the one with a row is not opened
     assert payloads.read_landing(spark, str(folder), skip_unreadable=True).count() == 1
     with pytest.raises(Exception, match="junk|CANNOT_READ|FAILED_READ"):
         payloads.read_landing(spark, str(folder)).collect()
