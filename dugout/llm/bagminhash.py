@@ -175,11 +175,14 @@ def prefixes(texts: DataFrame) -> DataFrame:
     than it may. Shingles of one text alone take their places and are then left out.
     """
     rows = stored(texts.mapInArrow(_counted, "node binary, size bigint, shingle bigint, n bigint"), "shingles")
-    spread = rows.groupBy("shingle").agg(F.count("*").alias("texts"))
-    before = Window.partitionBy("node").orderBy("texts", "shingle").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.join(spread, "shingle").withColumn("place", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    spread = rows.groupBy("shingle").agg(F.count("*").alias("texts")).filter("texts > 1")
+    # Shingles of one text come first in it, so they need no order: they are what is not common.
+    own = Window.partitionBy("node")
+    upto = own.orderBy("texts", "shingle").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    common = rows.join(spread, "shingle").withColumns({"upto": F.sum("n").over(upto), "common": F.sum("n").over(own)})
+    placed = common.withColumn("place", F.col("size") - F.col("common") + F.col("upto") - F.col("n"))
     length = F.col("size") - F.ceil(F.col("size") * THRESHOLD - 1e-6) + 1
-    return placed.filter((F.col("place") < length) & (F.col("texts") > 1)).select("node", "size", "shingle", "place")
+    return placed.filter(F.col("place") < length).select("node", "size", "shingle", "place")
 
 
 def meeting(prefix: DataFrame) -> DataFrame:
