@@ -27,16 +27,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows over all cores: a table of few bytes a row is one row group, and so one task, whatever is built of its rows."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def payloads(df: DataFrame, body: Column, params: dict[str, Column] | None = None, *keep: str) -> DataFrame:
     """Rows of a table as raw payloads: JSON text and request parameters.
 
-    A small table is one row group, and so one task; its rows are dealt out first, as a landing table
-    has its payloads in many files.
+    The rows are dealt out first, as a landing table has its payloads in many files.
     """
     pairs = [part for name, value in (params or {}).items() for part in (F.lit(name), value.cast("string"))]
     mapped = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
-    dealt = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    return dealt.select(*keep, F.to_json(body).alias("body"), mapped.alias("params"))
+    return dealt(df).select(*keep, F.to_json(body).alias("body"), mapped.alias("params"))
 
 
 def obj(**fields) -> Column:

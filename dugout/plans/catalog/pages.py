@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dugout.functions import clean
 from dugout.plans import probe, tables
-from dugout.plans.catalog.base import obj, query, table
+from dugout.plans.catalog.base import dealt, obj, query, table
 from dugout.sources import html as H
 from dugout.sources.payloads import split_rejected
 
@@ -36,7 +36,7 @@ def _stat_pages(spark, folder):
         "<tr><td>2<td>No link<td>", F.col("p_size"), "<td>skip<td>a<b>b</b>&eacute;",
         "</tbody></table></div><table><tr><th>other</th></tr></table></body></html>",
     )
-    return table(spark, folder, "part").select(key, page.alias("html"))
+    return dealt(table(spark, folder, "part")).select(key, page.alias("html"))
 
 
 @query("""
@@ -68,7 +68,7 @@ def _log_page() -> Column:
 select c_custkey, c_custkey as "Game", c_custkey % 2 != 0 as "Home", c_nationkey::bigint as "Basic_AB", 0.5::double as "Basic_OPS" from customer
 union all select c_custkey, c_custkey + 1, true, null, null from customer""")
 def html_game_log(spark, folder):
-    pages = table(spark, folder, "customer").select("c_custkey", _log_page().alias("html"))
+    pages = dealt(table(spark, folder, "customer")).select("c_custkey", _log_page().alias("html"))
     rows = tables.game_logs(pages, ["c_custkey"])
     return tables.typed_game_logs(rows, ["Game", "Home", "Basic_AB", "Basic_OPS"], ["c_custkey"])
 
@@ -87,7 +87,7 @@ def html_splits(spark, folder):
         '</table></div><div class="table_container"><table><caption>By Inning</caption><tr><th>Split</th><th>H</th></tr>',
         "<tr><th>1st</th><td>4</td></tr></table></div> --></html>",
     )
-    pages = table(spark, folder, "customer").select("c_custkey", splits.alias("html"))
+    pages = dealt(table(spark, folder, "customer")).select("c_custkey", splits.alias("html"))
     rows = tables.splits(pages, ["c_custkey"])
     typed = tables.typed_splits(rows, ["Split", "H", "2B", "3B", "HR"], ["c_custkey", "is_level"])
     return typed.select("c_custkey", "Split", "Split Type", "H", "2B", "3B", "HR", "1B", "is_level")
@@ -118,7 +118,7 @@ def html_all_tables(spark, folder):
         "</td><td>beyond</td></tr><tr><td>2</td><td> </td></tr></table><table></table><table><thead><tr><th>Rk</th><th>Player</th></tr></thead><tbody><tr><td>10</td><td>",
         F.col("p_brand"), "</td></tr></tbody></table>",
     )
-    pages = table(spark, folder, "part").select("p_partkey", page.alias("html"))
+    pages = dealt(table(spark, folder, "part")).select("p_partkey", page.alias("html"))
     rows = tables.all_tables(pages, ["p_partkey"])
     wide = tables.wide(rows, ["Rk", "Player", "HR"], ["p_partkey", "table_index"])
     return wide.withColumn("table_index", F.when(F.col("table_index") > 0, 1).otherwise(0))
@@ -131,7 +131,7 @@ def html_prospects(spark, folder):
         "</td><td>x</td></tr><tr><td>1</td><td>", F.col("p_name"), "</td><td>y</td></tr></tbody></table>",
         "<table><tr><th>Rk</th></tr><tr><td>99</td></tr></table>",
     )
-    pages = table(spark, folder, "part").select("p_partkey", page.alias("html"))
+    pages = dealt(table(spark, folder, "part")).select("p_partkey", page.alias("html"))
     return tables.prospects(pages, ["p_partkey"], ["Rk", "Player", "Tm"], "batters")
 
 
@@ -145,7 +145,7 @@ def html_csv_block(spark, folder):
     plain = html('<div class="csv">Name,HR\n"', F.col("s_name"), ', ""Jr""\nof ', F.col("s_nationkey"), '",', homers, "</div>")
     page = F.when(key % 3 == 0, block).otherwise(plain)
     return tables.wide(
-        tables.csv_blocks(table(spark, folder, "supplier").select("s_suppkey", page.alias("html")), ["s_suppkey"]),
+        tables.csv_blocks(dealt(table(spark, folder, "supplier")).select("s_suppkey", page.alias("html")), ["s_suppkey"]),
         ["Name", "HR"],
         ["s_suppkey"],
     )
