@@ -201,10 +201,12 @@ def prospects(
     """Ranked prospects of a team page, team columns dropped, by rank.
 
     The rank is text, so 10 comes before 2 unless ``numeric_rank`` is asked for.
+    A sort reads its rows twice, once to find its ranges; the shuffle before it keeps the pages from
+    being parsed twice.
     """
     rows = pick_table(all_tables(pages, keys), player_type)
     table = drop_named_like(wide(rows, columns, keys), ("Tm", "Unnamed"))
-    return table.orderBy(ref("Rk").try_cast("bigint") if numeric_rank else ref("Rk"))
+    return table.hint("rebalance").orderBy(ref("Rk").try_cast("bigint") if numeric_rank else ref("Rk"))
 
 
 def csv_blocks(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
