@@ -23,6 +23,10 @@ GAMES_BACK_NULLS = ("--", "-", "Tied")
 GENERIC_EVENT_WORDS = ("hit", "out", "play")
 TAG_PATTERN = "<[^>]+>"
 WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+# How a text begins that can be read as a number at all, NaN aside, and a whole number with or without a fraction.
+NUMBER_START = rf"^[\x00-\x20{WHITESPACE}]*[+-]?[.0-9iI]"
+NUMBER_OR_NAN_START = r"^[\x00-\x20\x7f-\xa0]*[+-]?[.0-9iInN]"
+WHOLE_NUMBER = rf"^[{WHITESPACE}]*([+-]?[0-9]{{1,19}})(?:\.[0-9]*)?[{WHITESPACE}]*$"
 MISSING_ID = -1
 SPRAY_ORIGIN_X = 125.42
 SPRAY_ORIGIN_Y = 198.27
@@ -59,17 +63,24 @@ def thousands_int(col: Column) -> Column:
     return F.regexp_replace(col, ",", "").try_cast("bigint")
 
 
+def try_double(col: Column) -> Column:
+    """Number text to double, other text to null. A cast that fails makes an exception, so plain words are kept from it."""
+    return F.when(F.rlike(col, F.lit(NUMBER_OR_NAN_START)), col.try_cast("double"))
+
+
+def captured_int(col: Column, pattern: str) -> Column:
+    """The first group of a pattern as a whole number, null where it is not found."""
+    return F.when(F.rlike(col, F.lit(pattern)), F.regexp_extract(col, pattern, 1).try_cast("bigint"))
+
+
 def lenient_double(col: Column) -> Column:
     """Number text to double; blanks, null words, NaN and other text to null."""
-    value = trim_text(col).try_cast("double")
-    usable = ~F.lower(trim_text(col)).isin(*NUMERIC_NULL_WORDS)
-    return F.when(usable & ~F.isnan(value), value)
+    return F.when(F.rlike(col, F.lit(NUMBER_START)), trim_text(col).try_cast("double"))
 
 
 def lenient_int(col: Column) -> Column:
     """Like :func:`lenient_double`, then cut towards zero; plain digits keep all their places."""
-    digits = F.regexp_extract(trim_text(col), r"^([+-]?[0-9]{1,19})(?:\.[0-9]*)?$", 1).try_cast("bigint")
-    return F.coalesce(digits, lenient_double(col).try_cast("bigint"))
+    return F.coalesce(captured_int(col, WHOLE_NUMBER), lenient_double(col).try_cast("bigint"))
 
 
 def strict_double(col: Column, null_values: tuple[str, ...] = ()) -> Column:
@@ -121,16 +132,16 @@ def id_after(col: Column, marker: str) -> Column:
 
 def url_bitrate(url: Column) -> Column:
     """Kilobits named in a URL (``2500K``), 0 when there are none."""
-    return F.coalesce(F.regexp_extract(url, r"(\d+)[kK]", 1).try_cast("bigint"), F.lit(0))
+    return F.coalesce(captured_int(url, r"(\d+)[kK]"), F.lit(0))
 
 
 def label_bitrate(name: Column, url: Column) -> Column:
     """Bitrate from a label or else the URL; ``4K`` means 4000, ``8M`` 8000."""
     kilo = F.coalesce(
-        F.regexp_extract(name, r"(?i)(\d+)K", 1).try_cast("bigint"),
-        F.regexp_extract(url, r"(?i)(\d+)K", 1).try_cast("bigint"),
+        captured_int(name, r"(?i)(\d+)K"),
+        captured_int(url, r"(?i)(\d+)K"),
     )
-    mega = F.regexp_extract(name, r"(?i)(\d+)M", 1).try_cast("bigint")
+    mega = captured_int(name, r"(?i)(\d+)M")
     return F.coalesce(
         F.when(kilo == FOUR_K_LABEL, F.lit(FOUR_K_BITRATE)).otherwise(kilo),
         mega * KILOBITS_PER_MEGABIT,

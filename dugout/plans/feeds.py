@@ -591,15 +591,17 @@ def pitch_data(payloads: DataFrame, fail: bool = True) -> DataFrame:
         *[clean.lenient_int(at(key)) for key in PITCHER_KEYS],
         *[clean.lenient_int(F.get("nested_ids", F.lit(i))) for i in range(len(NESTED_PITCHER_KEYS))],
     )
-    return rows.select(
-        _request("gamePk", rows).alias("game_pk"),
-        pitcher.alias("pitcher_id"),
-        *[clean.trim_text(at(c)).alias(c) for c in PITCH_DATA_TEXT],
-        clean.lenient_double(at("start_speed")).alias("start_speed"),
-        clean.lenient_int(at("spin_rate")).alias("spin_rate"),
-        clean.lenient_double(at(BREAK_X_KEY)).alias("break_x_inches"),
-        clean.lenient_double(clean.first_present(*[at(key) for key in BREAK_Z_KEYS])).alias("break_z_induced_inches"),
-    )
+    columns = {
+        "game_pk": _request("gamePk", rows),
+        "pitcher_id": pitcher,
+        **{c: clean.trim_text(at(c)) for c in PITCH_DATA_TEXT},
+        "start_speed": clean.lenient_double(at("start_speed")),
+        "spin_rate": clean.lenient_int(at("spin_rate")),
+        "break_x_inches": clean.lenient_double(at(BREAK_X_KEY)),
+        "break_z_induced_inches": clean.lenient_double(clean.first_present(*[at(key) for key in BREAK_Z_KEYS])),
+    }
+    read = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return once(rows, _read=read).select("_read.*")
 
 
 def keyword(words: Column, kind: str) -> Column:
