@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dugout.errors import InvalidParameter
-from dugout.operators.filters import any_of
 from dugout.operators.names import once, ref, refs
 
 PROBLEMS = "_problems"
@@ -328,7 +327,8 @@ def flagged(payloads: DataFrame, plan: Plan, body: str = "body", only: Column |
     """
     faults = [F.when(fault, F.lit(message)) for fault, message in _faults(plan)]
     found = F.array_compact(F.array(*faults)) if faults else F.array().cast("array<string>")
-    return _read(payloads, plan, body, only).select(*_typed_columns(plan), found.alias(PROBLEMS))
+    rows = once(_read(payloads, plan, body, only), **{PROBLEMS: found})
+    return rows.select(*_typed_columns(plan), PROBLEMS)
 
 
 def rejected(payloads: DataFrame, plan: Plan, body: str = "body", only: Column | None = None) -> DataFrame:
@@ -346,10 +346,10 @@ def flatten(
     """
     rows, faults = _read(payloads, plan, body, only), _faults(plan)
     if faults:
-        fine = ~any_of([fault for fault, _ in faults])
+        rows = once(rows, _fault=F.coalesce(*[F.when(fault, F.lit(message)) for fault, message in faults]))
+        fine = F.col("_fault").isNull()
         if fail:
-            reasons = [F.when(fault, F.lit(message)) for fault, message in faults]
-            text = F.concat(F.lit("Payload row rejected: "), F.coalesce(*reasons))
+            text = F.concat(F.lit("Payload row rejected: "), F.col("_fault"))
             fine = F.when(fine, F.lit(True)).otherwise(F.raise_error(text).cast("boolean"))
         rows = rows.where(fine)
     return rows.select(*_typed_columns(plan))
