@@ -155,7 +155,7 @@ def clips(payloads: DataFrame, body: str = "body") -> DataFrame:
     )
     cleaned = once(read, fields=named, playbacks=playback_list(F.col("raw_playbacks")))
     shown_names = _values(PLAYER_ID_FIELDS, lambda f: F.nullif(_first_part(f["shown"]), F.lit("")))
-    number = lambda names, kind: _last(_values(names, lambda f: f["value"].try_cast("double").try_cast(kind)))
+    number = lambda names, kind: _last(_values(names, lambda f: clean.try_double(f["value"]).try_cast(kind)))
     listed = once(cleaned, listed=best_mp4(F.col("playbacks")), hls_url=first_hls(F.col("playbacks")))
     found = listed.select(
         "content_id",
