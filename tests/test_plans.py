@@ -10,7 +10,11 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 import dugout
+from dugout.functions import clean
 from dugout.operators import boards, filters, joins, ranks
+from dugout.operators.names import once
+from dugout.plans import feeds, tables
+from dugout.plans.catalog import QUERIES
 from dugout.plans.catalog.base import table
 from dugout.sources import pitches
 
@@ -94,3 +98,43 @@ def test_library_avoids_what_does_not_scale():
     for path, text in sources.items():
         for word in ("crossJoin", "localCheckpoint", "toPandas", "F.udf(", "collect_list", "broadcast("):
             assert word not in text, (path, word)
+
+
+def simple_plan(df) -> str:
+    out = io.StringIO()
+    with redirect_stdout(out):
+        df.explain()
+    return out.getvalue()
+
+
+def test_costly_columns_stay_out_of_generated_methods(spark):
+    texts = spark.range(3).select(F.col("id").cast("string").alias("v"))
+    made = once(texts, **{f"c{i}": F.col("v").try_cast("bigint") for i in range(30)})
+    assert [line for line in simple_plan(made).splitlines() if "Generate" in line and "*(" not in line]
+
+
+def test_row_faults_are_found_outside_the_filter(spark):
+    landed = spark.createDataFrame([('{"allPlays":[{"about":{"inning":1}}]}', {"gamePk": "1"})], "body string, params map<string,string>")
+    conditions = [line for line in simple_plan(feeds.play_by_play(landed)).splitlines() if "Filter" in line and "Payload row rejected" in line]
+    assert conditions and all("inning is unreadable" not in line for line in conditions)
+
+
+def test_words_never_reach_a_cast(spark):
+    texts = spark.createDataFrame([("true",), ("12.0",), (" 7 ",), ("-.5",), ("NaN",), ("Infinity",), (None,)], "v string")
+    read = texts.select(clean.lenient_double(F.col("v")).alias("d"), clean.lenient_int(F.col("v")).alias("i"))
+    assert "RLIKE" in simple_plan(read).upper()
+    assert [tuple(r) for r in read.collect()] == [(None, None), (12.0, 12), (7.0, 7), (-0.5, 0), (None, None), (float("inf"), None), (None, None)]
+
+
+def test_pages_of_a_small_table_are_read_by_all_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    for name in ("html_stat_table", "html_game_log", "html_splits", "html_all_tables"):
+        assert QUERIES[name](spark, FOLDER).rdd.getNumPartitions() == cores, name
+
+
+def test_sorted_prospects_parse_their_pages_once(spark):
+    body = "<table><tr><th>Rk</th><th>Player</th></tr><tr><td>1</td><td>A</td></tr></table>"
+    pages = spark.createDataFrame([(1, body)], "page int, html string")
+    steps = simple_plan(tables.prospects(pages, ["page"], ["Rk", "Player"])).splitlines()
+    at = [next(i for i, line in enumerate(steps) if word in line) for word in ("rangepartitioning", "REBALANCE", "MapInArrow")]
+    assert at == sorted(at)
