@@ -39,8 +39,9 @@ MAX_BITS = 20
 BLOCK = 1 << 16
 CHECKPOINT = 128
 
-#: Words that went through the library, remembered per worker; the cache is emptied when it is full.
-CACHE_WORDS = 100_000
+#: Different words and their bytes that a worker remembers with their ids; it starts anew when there are more.
+CACHE_WORDS = 400_000
+CACHE_BYTES = 8 << 20
 #: Words that are encoded together.
 HELD_WORDS = 300_000
 
@@ -52,8 +53,10 @@ HELD_WORDS = 300_000
 _SEPARATORS = re.compile("[\x1c-\x1f]").search
 
 
-#: Words of letters that need no normalization but lower case, perhaps with a mark at the end.
-_PLAIN = "^[A-Za-zÀ-ÖØ-öø-įı-ſ]+[.,]?$"
+#: Words of letters that need no normalization but lower case, and the marks behind them, if any: a piece of their own.
+_PLAIN = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-įı-ſ]+)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
+#: How the pattern of such a tokenizer must end for that.
+_PIECES = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class WordEncoder:
@@ -70,47 +73,67 @@ class WordEncoder:
 
         self.kind = f"<u{width}"
         self.tokenizer = Tokenizer.from_str(definition)
-        self.words: dict[str, bytes] = {}
+        self._forget()
         spec = json.loads(definition)
         kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
         model = spec["model"]
-        self.by_word = kinds == ["NFC", "Replace", "Lowercase"] and model["type"] == "BPE" and not model.get("ignore_merges")
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        pattern = (steps[0].get("pattern") or {}).get("Regex", "")
+        cut = steps[0].get("type") == "Split" and pattern.endswith(_PIECES)
+        self.by_word = cut and kinds == ["NFC", "Replace", "Lowercase"] and model["type"] == "BPE" and not model.get("ignore_merges")
         if self.by_word:
-            suffix = model.get("end_of_word_suffix") or ""
-            self.merger = rankarray.Merger(model["vocab"], model["merges"], suffix)
-            self.marks = {mark: model["vocab"][mark + suffix] for mark in (".", ",")}
+            self.merger = rankarray.Merger(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "")
 
     def _encode(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _looked_up(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            ids = self._encode(word)
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            if len(word) <= 64:
-                self.words[word] = ids
-        return ids
+    def _forget(self) -> None:
+        self.words = pa.array([], pa.string())
+        self.ids, self.counts, self.starts = np.zeros(0, self.kind), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def different_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different words in a row, and how many each has; words met before are looked up all at once."""
+        places = pc.index_in(words, value_set=self.words)
+        unknown = words.filter(pc.is_null(places))
+        found, counts = self._fresh_ids(unknown)
+        own = np.where(places.is_null().to_numpy(zero_copy_only=False), 0, places.fill_null(0).to_numpy())
+        own[places.is_null().to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(len(unknown))
+        starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
+        all_ids, all_counts = np.concatenate([self.ids, found]), np.concatenate([self.counts, counts])
+        known = pa.concat_arrays([self.words, unknown])
+        if len(known) <= CACHE_WORDS and known.nbytes <= CACHE_BYTES:
+            self.words, self.ids, self.counts, self.starts = known, all_ids, all_counts, starts
+        else:
+            self._forget()
+        n = all_counts[own]
+        return all_ids[np.repeat(starts[own] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], n
+
+    def _fresh_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of different words in a row, and how many each has."""
-        plain = pc.match_substring_regex(words, _PLAIN)
-        own = words.filter(plain)
-        marks = np.where(pc.ends_with(own, ".").to_numpy(zero_copy_only=False), self.marks["."], 0)
-        marks = np.where(pc.ends_with(own, ",").to_numpy(zero_copy_only=False), self.marks[","], marks)
-        merged, sizes = self.merger.piece_ids(pc.utf8_lower(pc.utf8_rtrim(own, ".,")))
-        others = list(map(self._looked_up, words.filter(pc.invert(plain)).to_pylist()))
+        split = pc.extract_regex(words, _PLAIN)
+        plain = split.is_valid()
+        split = split.filter(plain)
+        merged, sizes = self.merger.piece_ids(pc.utf8_lower(split.field("letters")))
+        marks = split.field("marks").dictionary_encode()
+        mark_ids, mark_sizes = self.merger.piece_ids(marks.dictionary)
+        which = marks.indices.to_numpy()
+        behind = mark_sizes[which]
+        first = np.repeat((np.cumsum(mark_sizes) - mark_sizes)[which], behind)
+        others = list(map(self._encode, words.filter(pc.invert(plain)).to_pylist()))
         is_plain = plain.to_numpy(zero_copy_only=False)
         counts = np.zeros(len(words), np.int64)
-        counts[is_plain] = sizes + (marks > 0)
+        counts[is_plain] = sizes + behind
         counts[~is_plain] = np.fromiter(map(len, others), np.int64, len(others)) // np.dtype(self.kind).itemsize
         starts = np.cumsum(counts) - counts
         out = np.zeros(int(counts.sum()), self.kind)
-        for which, found, n in ((is_plain, merged, sizes), (~is_plain, np.frombuffer(b"".join(others), self.kind), counts[~is_plain])):
-            out[np.repeat(starts[which] - (np.cumsum(n) - n), n) + np.arange(len(found))] = found
-        marked = marks > 0
-        out[(starts[is_plain] + sizes)[marked]] = marks[marked]
+
+        def put(at: np.ndarray, n: np.ndarray, ids: np.ndarray | None = None) -> None:
+            own = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            out[np.repeat(at, n) + own] = mark_ids[first + own] if ids is None else ids
+
+        put(starts[is_plain], sizes, merged)
+        put(starts[is_plain] + sizes, behind)
+        put(starts[~is_plain], counts[~is_plain], np.frombuffer(b"".join(others), self.kind))
         return out, counts
 
     def cut(self, text: str) -> Iterator[bytes | list[str]]:

@@ -119,6 +119,27 @@ def test_every_letter_of_the_plain_path_is_that_of_the_library():
         assert np.frombuffer(own.encode(text), "<u2").tolist() == want.ids, text
 
 
+@pytest.mark.parametrize("kept", [0, 60, 400_000])
+def test_words_with_marks_and_words_met_before(monkeypatch, kept):
+    """op10: marks behind letters don't lead to the library, and words of an earlier batch are not merged again."""
+    monkeypatch.setattr(huffman, "CACHE_WORDS", kept)
+    monkeypatch.setattr(huffman, "HELD_WORDS", 50)
+    library = Tokenizer.from_file(WORDS)
+    own = huffman.WordEncoder(open(WORDS, encoding="utf-8").read(), 2)
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    rng = random.Random(8)
+    ends = ["", *marks, "!!!", "'s", "'ll.", "'t***", "...", "&&&", "|~", "<|endoftext|>", "-<|", "s'", "\u0338", "=\u0338", "\u0301!"]
+    words = [w + e for w in ("Straße", "plain", "ÉTÉ", "l", "ÀÖ") for e in ends]
+    texts = [" ".join(rng.choices(words, k=40)) for _ in range(60)] + [" ".join(words), ""]
+    for text, ids in own.encode_rows([(t, t) for t in texts]):
+        assert np.frombuffer(ids, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+    asked, merged, plain = [], [], own.merger.piece_ids
+    monkeypatch.setattr(own, "_encode", lambda word: asked.append(word) or np.array(library.encode(word, add_special_tokens=False).ids, "<u2").tobytes())
+    monkeypatch.setattr(own.merger, "piece_ids", lambda pieces: merged.extend(pieces.to_pylist()) or plain(pieces))
+    assert [t for t, _ in own.encode_rows([(" ".join(["plain" + m for m in marks if m != "'"]),) * 2])] and not asked
+    assert not merged or kept < 400_000
+
+
 def test_files_give_documents_back_in_order(spark, tmp_path, monkeypatch):
     ship_package(spark)
     library = Tokenizer.from_file(WORDS)
