@@ -190,6 +190,15 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).when(a.isNull() | b.isNull(), F.lit(None)).otherwise(equal / F.greatest(either, F.lit(1)))
 
 
+def print_likeness(a: str, b: str) -> float:
+    """``likeness`` of two fingerprints, where the texts are at hand."""
+    if a == b:
+        return 1.0
+    x, y = (np.frombuffer(f.encode(), f"S{_HEX}") for f in (a, b))
+    held = x != _NONE.encode()
+    return int((held & (x == y)).sum()) / max(1, int((held | (y != _NONE.encode())).sum()))
+
+
 def in_order(df: DataFrame, key: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
     """``range``, ``guest``, ``key``, ``text``: rows by descending key, each range of keys in one sorted run.
 
@@ -225,17 +234,21 @@ def replace_end(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def compared_in_order(df: DataFrame, kept: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
+def compared_in_order(df: DataFrame, kept: np.ndarray, key: str = "doc_id", text: str = "text", near: bool = False) -> DataFrame:
     """Every row's fingerprint, that of its text with the end replaced by the next row's text, and the next row's.
 
     Returns ``key``, ``n_chars``, ``edited_sha256``, ``fingerprint``,
     ``edited_fingerprint`` and ``next_fingerprint``; the order is that of
-    ``in_order``, and a single row is its own successor.
+    ``in_order``, and a single row is its own successor. With ``near`` the likeness of
+    the first fingerprint to the others, ``near_edited`` and ``near_next``, takes the
+    place of ``next_fingerprint``.
     """
     name = hashlib.sha256(kept.tobytes()).hexdigest()
     kind = df.schema[key].dataType
-    columns = ("edited_sha256", "fingerprint", "edited_fingerprint", "next_fingerprint")
-    schema = pa.schema([("key", to_arrow_type(kind)), ("n_chars", pa.int64()), *((c, pa.string()) for c in columns)])
+    columns = dict.fromkeys(("edited_sha256", "fingerprint", "edited_fingerprint"), "string")
+    columns |= {"near_edited": "double", "near_next": "double"} if near else {"next_fingerprint": "string"}
+    types = {"string": pa.string(), "double": pa.float64()}
+    schema = pa.schema([("key", to_arrow_type(kind)), ("n_chars", pa.int64()), *((c, types[t]) for c, t in columns.items())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         printer, out = _printer(name, kept), Output(schema)
@@ -248,11 +261,13 @@ def compared_in_order(df: DataFrame, kept: np.ndarray, key: str = "doc_id", text
                 if last is not None and last[0] == part:
                     edited = replace_end(last[2], body)
                     digest = hashlib.sha256(edited.encode()).hexdigest()
-                    if out.add((last[1], len(last[2]), digest, last[3], printer.fingerprint(edited), own), 1600):
+                    new = printer.fingerprint(edited)
+                    rest = (print_likeness(last[3], new), print_likeness(last[3], own)) if near else (own,)
+                    if out.add((last[1], len(last[2]), digest, last[3], new, *rest), 1600):
                         yield out.batch()
                 last = None if guest else (part, k, body, own)
         if out.columns[0]:
             yield out.batch()
 
-    fields = f"key {kind.simpleString()}, n_chars bigint, " + ", ".join(f"{c} string" for c in columns)
+    fields = f"key {kind.simpleString()}, n_chars bigint, " + ", ".join(f"{c} {t}" for c, t in columns.items())
     return in_order(df, key, text).mapInArrow(run, fields).withColumnRenamed("key", key)

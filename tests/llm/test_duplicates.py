@@ -201,6 +201,24 @@ def test_fingerprints_in_order(spark):
     assert Counter(tuple(r) for r in got) == want
 
 
+def test_likeness_is_taken_where_the_prints_are_made(spark, tmp_path):
+    """op1: the likeness beside the fingerprints is that of the column expression, which the query no longer runs."""
+    from dugout.llm.queries import QUERIES
+
+    rng = random.Random(3)
+    texts = [" ".join(prose(rng, rng.randrange(1, 60))) for _ in range(30)]
+    rows = [(i, t) for i, t in enumerate(texts + texts[:5] + ["", None, "..."])] + [(None, "no id"), (7, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op1_imatch"](spark, str(tmp_path))
+    assert "substring" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.columns == ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    df = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    by_column = imatch.compared_in_order(df, imatch.lexicon(df))
+    near = [imatch.likeness(F.col("fingerprint"), F.col(c)).alias(f"near_{c}") for c in ("edited_fingerprint", "next_fingerprint")]
+    want = by_column.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", *near)
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+
+
 @pytest.mark.parametrize("rows", [[], [(5, "alone in the table")], [(None, None)]])
 def test_fingerprints_of_few_rows(spark, rows):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
