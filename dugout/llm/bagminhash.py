@@ -205,26 +205,51 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_checked, "a binary, b binary")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, label): the smallest node that a node is linked with, directly or not.
+def roots(edges: DataFrame) -> DataFrame:
+    """(node, label): every node hooked to the smallest node around it if that is smaller, and followed to where that leads.
 
-    Every node takes the smallest label around it and then its label's label, so
-    that chains shrink by more than half a round. Each round is written to the
-    shared folder.
+    Labels are replaced by their label's label until none changes, so that a chain of
+    hooks is halved each time. Each step is written to the shared folder.
     """
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
+    both = edges.select("a", "b").union(edges.select("b", "a"))
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("label")), "labels")
     while True:
-        around = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
-        lower = labels.join(around, labels["node"] == around["a"]).select("node", F.least("label", "near").alias("label"), F.col("label").alias("was"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        moved = lower.join(jump, "label").select("node", F.least("label", "next").alias("label"), "was")
-        after = stored(moved, "labels")
+        after = stored(labels.join(jump, "label").select("node", F.col("next").alias("label"), F.col("label").alias("was")), "labels")
         if after.filter("label != was").isEmpty():
             return after.select("node", "label")
         labels = after.select("node", "label")
 
 
+def relabelled(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """Edges (a, b) between the labels of their ends, once each, a before b; those inside a label are gone."""
+    of_a = edges.join(labels.select(F.col("node").alias("a"), F.col("label").alias("label_a")), "a")
+    both = of_a.join(labels.select(F.col("node").alias("b"), F.col("label").alias("label_b")), "b").filter("label_a != label_b")
+    return both.select(F.least("label_a", "label_b").alias("a"), F.greatest("label_a", "label_b").alias("b")).distinct()
+
+
+def renamed(labels: DataFrame, over: DataFrame) -> DataFrame:
+    """(node, label) with labels replaced by what ``over`` calls them, where it does."""
+    to = over.select(F.col("node").alias("label"), F.col("label").alias("to"))
+    return stored(labels.join(to, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, label): the smallest node that a node is linked with, directly or not.
+
+    A round hooks the nodes and leaves only edges between different roots, each once:
+    the links of a group are read once and not again in every round, and at most half
+    of the nodes that still have edges remain.
+    """
+    edges = stored(edges.select("a", "b").filter("a != b").distinct(), "edges")
+    labels = roots(edges)
+    found = labels
+    while not (edges := stored(relabelled(edges, labels), "edges")).isEmpty():
+        labels = roots(edges)
+        found = renamed(found, labels)
+    return found
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: ``key`` and ``class_id``, the smallest key of its class.
 
@@ -268,7 +293,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = stored(_verified(rest.join(seen, ["a", "b"], "leftanti"), texts), "links")
     if not more.isEmpty():
-        labels = components(links.union(more))
+        # Classes are merged, not found again: the links that made them are not read any more.
+        labels = renamed(labels.unionByName(apart).distinct(), components(relabelled(more, apart)))
 
     named = keys.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("key").alias("class_id"))

@@ -126,6 +126,24 @@ def test_components_of_a_long_chain(spark):
     assert all(labels[bytes([i])] == bytes([0]) for i in range(61)) and labels[bytes([100])] == bytes([99])
 
 
+def test_components_read_the_links_of_a_group_once(spark, monkeypatch):
+    """op8: what a group's members share many links with is contracted, not joined again in every round."""
+    rng = random.Random(5)
+    name = lambda i: bytes([i // 256, i % 256])
+    edges = {(name(rng.randrange(12)), name(12 + i)) for i in range(150) for _ in range(40)} | {(name(400 + i), name(401 + i)) for i in range(20)}
+    plain, written = bagminhash.stored, []
+
+    def counted(df, label):
+        rows = plain(df, label)
+        written.extend([rows.count()] if label == "edges" else [])
+        return rows
+
+    monkeypatch.setattr(bagminhash, "stored", counted)
+    labels = {bytes(r.node): bytes(r.label) for r in bagminhash.components(spark.createDataFrame(list(edges), "a binary, b binary")).collect()}
+    assert {labels[name(i)] for i in range(12, 162)} == {min(a for a, _ in edges)} and {labels[name(i)] for i in range(400, 421)} == {name(400)}
+    assert len(edges) > 1000 and sum(written) < 1.1 * len(edges)
+
+
 # --- benchmark passages ----------------------------------------------------------------------
 
 ITEM = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
