@@ -20,7 +20,6 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -363,9 +362,10 @@ def scan(df: DataFrame, scanner: Scanner, key: str = "doc_id", text: str = "text
 def redact(df: DataFrame, scanner: Scanner, text: str = "text") -> DataFrame:
     """All rows and columns, with secrets in the text replaced by a mark; null texts stay null."""
 
-    @F.pandas_udf("string")
-    def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            yield batch.map(lambda t: None if t is None else scanner.redacted(t))
+            found = (t.as_py() for t in batch)
+            yield pa.array([None if t is None else scanner.redacted(t) for t in found], pa.string())
 
     return df.withColumn(text, clean(F.col(text)))

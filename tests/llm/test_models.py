@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import random
 import re
+import subprocess
+import sys
 import time
 from collections import Counter
 
@@ -15,7 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dugout.llm import html_crf, pii, quality, secrets, trees
-from dugout.llm.common import sample_texts, ship_package
+from dugout.llm.common import INPUT_BYTES, sample_texts, ship_package
 from dugout.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
@@ -309,3 +311,23 @@ def test_pages_without_telling_markup_are_fitted_on_built_in_pages(spark):
     df = spark.createDataFrame([(1, "u", "<div><p>Nothing here says what is what, at any length.</p></div>")], "page_id long, url string, html string")
     model = html_crf.fit_on(df)
     assert model.main_text("<nav><a>Home</a></nav><article><p>Some words, and then some more of them.</p></article>") == "Some words, and then some more of them."
+
+
+def test_redaction_keeps_nulls_and_hands_python_small_batches(spark):
+    """Pipeline: no second table library in the workers, and no batch of more than a few MB."""
+    code = "import sys, dugout.llm.secrets; sys.exit('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], check=False).returncode == 0
+    ship_package(spark)
+    texts = [f"some words of text number {i} that say nothing at all" for i in range(30)]
+    scanner = secrets.fit(secrets.labelled_findings(texts), secrets.Language.of(texts))
+    key = "password = hunter2xQ!"
+    df = spark.createDataFrame([(1, None), (2, ""), (3, f"{texts[0]} {key}"), (3, texts[1])], "doc_id bigint, text string")
+    got = sorted((r.doc_id, r.text or "", r.text is None) for r in secrets.redact(df, scanner).collect())
+    assert got == sorted([(1, "", True), (2, "", False), (3, scanner.redacted(f"{texts[0]} {key}"), False), (3, texts[1], False)])
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    large = spark.range(0, 24, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    assert INPUT_BYTES <= 4 << 20 and max(r.n for r in large.mapInArrow(sizes, "n bigint").collect()) <= INPUT_BYTES + (2 << 20)
