@@ -8,6 +8,7 @@ is used as it is. Everything else here aggregates first.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from dugout.errors import InvalidParameter
 from dugout.operators.names import ref, refs
 
 RANK_BUCKETS = 256
+#: Values per metric whose ranks every task looks up beside its rows.
+FREQUENT = 512
 
 
 def share_of_total(counts: DataFrame, value: str, name: str, scale: float = 100.0, digits: int | None = None) -> DataFrame:
@@ -67,7 +70,7 @@ def percent_ranks(
 
 
 def percent_ranks_of(
-    df: DataFrame, by: Sequence[str], names: dict[str, str], scale: float = 1.0, buckets: int = RANK_BUCKETS
+    df: DataFrame, by: Sequence[str], names: dict[str, str], scale: float = 1.0, buckets: int = RANK_BUCKETS, frequent: int = FREQUENT
 ) -> DataFrame:
     """``percent_rank`` of several metrics; ``names`` maps a metric to its rank column.
 
@@ -76,8 +79,11 @@ def percent_ranks_of(
     frequent value is one row. Those rows are cut into ordered buckets at
     approximate quantiles of the metric; a window only ever sees one bucket of one
     group, and what lies in the buckets before it is added from their totals.
-    Where the cuts fall has no influence on the result. The ranks come back as one
-    map per row of the table that has distinct metric values.
+    Where the cuts fall has no influence on the result.
+
+    The most frequent values, ``frequent`` per metric on average and no more than that in all, are
+    looked up beside the rows. Only rows that hold another value go through a shuffle, and only with
+    those values.
     """
     steps = [i / buckets for i in range(1, buckets)]
     wide = names if len({df.schema[m].dataType for m in names}) == 1 else None
@@ -103,27 +109,45 @@ def percent_ranks_of(
     )
     share = F.when(F.col("_rows") == 1, F.lit(0.0)).otherwise((F.col("_before") + F.col("_inside")).cast("double") / (F.col("_rows") - 1))
     placed = _null_safe(local, offsets, [*keys, "_bucket"]).select(
-        *[F.col(f"l.`{c}`") for c in [*keys, "_v"]], (share if scale == 1.0 else share * scale).alias("_share")
+        *[F.col(f"l.`{c}`") for c in [*keys, "_v", "_n"]], (share if scale == 1.0 else share * scale).alias("_share")
     )
+    # Ordered to the last column, so that every evaluation takes the same values.
+    common = top(placed.where(F.col("_v").isNotNull()), [F.desc("_n"), *refs(keys), F.col("_v")], frequent * len(names))
+    at = lambda i: F.collect_set(F.when(F.col("_m") == i, F.struct("_v", "_share")))
+    looked_up = common.groupBy(*refs(by)).agg(*[F.map_from_entries(at(i)).alias(f"_k{i}") for i in range(len(names))])
+    beside = df.alias("l").join(looked_up.hint("broadcast").alias("r"), _same(by), "left")
+    # Nulls rank first, all of them with 0.
+    known = [
+        F.when(value.isNull(), F.lit(0.0)).otherwise(F.try_element_at(F.col(f"r._k{i}"), value))
+        for i, value in enumerate(F.col(f"l.`{m}`") if wide else F.col(f"l.`{m}`").cast("double") for m in names)
+    ]
+    found_all = reduce(Column.__and__, [share.isNotNull() for share in known])
+    done = beside.where(found_all).select("l.*", *[share.alias(name) for share, name in zip(known, names.values(), strict=True)])
+    rest = beside.where(~found_all).select("l.*", F.array(*known).alias("_known"))
     if len(names) == 1:
         ((metric, name),) = names.items()
-        joined = _null_safe(df, placed.withColumnRenamed("_v", metric), [*by, metric])
-        return joined.select("l.*", F.col("_share").alias(name))
-    # One join for all metrics: rows with their values side by side, each looked up in its own place.
-    row = F.struct(*[ref(c) for c in df.columns]).alias("_row")
-    spread = df.select(*refs(by), row, F.monotonically_increasing_id().alias("_id"), cells.alias("_cs"))
-    each = spread.select(*refs(by), "_id", "_row", F.explode("_cs").alias("_c")).select(*refs(by), "_id", "_row", "_c._m", "_c._v")
-    each = each.withColumn("_row", F.when(F.col("_m") == 0, F.col("_row")))
+        joined = _null_safe(rest.drop("_known"), placed.withColumnRenamed("_v", metric), [*by, metric])
+        return done.union(joined.select("l.*", F.col("_share").alias(name)))
+    # One join for all metrics: rows with their unknown values side by side, each looked up in its own place.
+    row = F.struct(*refs([*df.columns, "_known"])).alias("_row")
+    unknown = F.filter(cells, lambda c: F.get("_known", c["_m"]).isNull())
+    spread = rest.select(*refs(by), row, F.monotonically_increasing_id().alias("_id"), unknown.alias("_cs"))
+    each = spread.select(*refs(by), "_id", "_row", F.posexplode("_cs").alias("_at", "_c")).select(*refs(by), "_id", "_row", "_at", "_c._m", "_c._v")
+    each = each.withColumn("_row", F.when(F.col("_at") == 0, F.col("_row")))
     ranked = _null_safe(each, placed, [*keys, "_v"]).select("l._id", "l._row", F.col("l._m").alias("_m"), "_share")
     found = ranked.groupBy("_id").agg(
-        F.any_value("_row", True).alias("_row"), *[F.max(F.when(F.col("_m") == i, F.col("_share"))).alias(name) for i, name in enumerate(names.values())]
+        F.any_value("_row", True).alias("_row"), *[F.max(F.when(F.col("_m") == i, F.col("_share"))).alias(f"_s{i}") for i in range(len(names))]
     )
-    return found.select("_row.*", *[ref(name) for name in names.values()])
+    shares = [F.coalesce(F.get("_row._known", F.lit(i)), F.col(f"_s{i}")).alias(name) for i, name in enumerate(names.values())]
+    return done.union(found.select(*[F.col(f"_row.`{c}`") for c in df.columns], *shares))
+
+
+def _same(keys: Sequence[str]) -> list[Column]:
+    return [F.col(f"l.`{c}`").eqNullSafe(F.col(f"r.`{c}`")) for c in keys] or [F.lit(True)]
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    same = [F.col(f"l.`{c}`").eqNullSafe(F.col(f"r.`{c}`")) for c in keys]
-    return left.alias("l").join(right.alias("r"), same)
+    return left.alias("l").join(right.alias("r"), _same(keys))
 
 
 def without_last(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame:

@@ -165,6 +165,18 @@ def test_percent_ranks_equal_the_window(spark, rows, buckets):
     assert got == want
 
 
+def test_percent_ranks_of_frequent_and_rare_values_equal_the_window(spark):
+    from pyspark.sql import Window
+
+    rows = [(i, "ab"[i % 2], i % 3 or None, float(i % 7), i) for i in range(40)] * 2 + [(99, None, None, None, None)]
+    df = spark.createDataFrame(rows, "i int, g string, u int, v double, w int")
+    for by, metrics, frequent in ((["g"], "uvw", 2), ([], "uw", 1), (["g"], "uv", 0), (["g"], "uvw", 512), (["g"], "w", 1)):
+        asked = [F.percent_rank().over(Window.partitionBy(*by).orderBy(F.col(m).asc_nulls_first())).alias(f"r{m}") for m in metrics]
+        want = df.select("*", *asked).collect()
+        got = ranks.percent_ranks_of(df, by, {m: f"r{m}" for m in metrics}, frequent=frequent).collect()
+        assert sorted(map(str, got)) == sorted(map(str, want)), (by, metrics, frequent)
+
+
 def test_best_item_takes_the_first_of_equals(spark):
     df = spark.createDataFrame([(["a1", "b9", "c9", None],), ([None],), ([],)], "v array<string>")
     score = lambda c: F.substring(c, 2, 1).cast("int")

@@ -92,6 +92,13 @@ def test_percentile_plan_does_not_grow_with_the_metrics(spark):
     assert len(set(sizes)) == 1
 
 
+def test_rows_of_frequent_values_are_ranked_where_they_are(spark):
+    lines = spark.range(2000).selectExpr("id % 3 as g", *[f"id % {5 + i} as m{i}" for i in range(3)])
+    steps = simple_plan(ranks.percent_ranks_of(lines, ["g"], {f"m{i}": f"r{i}" for i in range(3)}))
+    beside = steps[steps.index("Union") : steps.index("BroadcastExchange")]
+    assert "BroadcastHashJoin" in beside and "Range" in beside and "hashpartitioning" not in beside
+
+
 def test_library_avoids_what_does_not_scale():
     root = Path(inspect.getfile(dugout)).parent
     sources = {p: p.read_text() for p in root.rglob("*.py") if p.relative_to(root).parts[0] != "llm"}
