@@ -207,11 +207,11 @@ def _has_gap(below: Column, rest: Sequence[_Level], step: Step) -> Column:
     if level.step is None or not more:
         return below.isNull()
     items = F.map_values(below) if step.keyed else below
-    inner = F.exists(items, lambda e: F.coalesce(_has_gap(_inside(e, level.step.path), more, level.step), F.lit(False)))
+    inner = F.exists(items, lambda e: F.coalesce(_has_gap(inside(e, level.step.path), more, level.step), F.lit(False)))
     return below.isNull() | F.coalesce(inner, F.lit(False))
 
 
-def _inside(value: Column, path: str) -> Column:
+def inside(value: Column, path: str) -> Column:
     for part in path.split("."):
         value = value[part]
     return value
@@ -221,7 +221,7 @@ def _one_by_one(text: Column, chain: Sequence[_Level]) -> Column:
     """What lies below the first level, each element parsed alone; those that are no objects are left out."""
     level, *rest = chain
     path, keyed = level.step.path, level.step.keyed
-    found = _inside(parsed(text, {path: _texts_below(level.step)}), path)
+    found = inside(parsed(text, {path: _texts_below(level.step)}), path)
 
     def element(item: Column) -> Column:
         below = rest[0]
@@ -285,7 +285,8 @@ def to_type(text: Column, kind: str) -> Column:
     if kind == "string":
         return text
     if kind == "bigint":
-        return F.regexp_replace(text, r"^([+-]?[0-9]+)\.0+$", "$1").try_cast("bigint")
+        cut = F.regexp_replace(text, r"^([+-]?[0-9]+)\.0+$", "$1")
+        return F.when(F.contains(text, F.lit(".")), cut).otherwise(text).try_cast("bigint")
     return text.try_cast(kind)
 
 
@@ -296,20 +297,26 @@ def _texts(plan: Plan, have: Sequence[str]) -> dict[str, Column]:
     }
 
 
-def _read(payloads: DataFrame, plan: Plan, body: str, only: Column | None) -> DataFrame:
-    """Texts of all columns beside their typed values, each cast once."""
+def _raw(payloads: DataFrame, plan: Plan, body: str, only: Column | None) -> DataFrame:
+    """Texts of all columns."""
     rows = walk(payloads, plan.steps, places_of(plan.columns), body)
     raw = rows.select(*[text.alias(name) for name, text in _texts(plan, payloads.columns).items()])
-    kept = raw if only is None else raw.where(only)
-    typed = [to_type(ref(name), kind).alias(name) for name, (kind, *_) in plan.columns.items()]
-    return once(kept, _typed=F.struct(*typed))
+    return raw if only is None else raw.where(only)
 
 
-def _faults(plan: Plan) -> list[tuple[Column, str]]:
+def _judged(raw: DataFrame, plan: Plan, name: str, judge) -> DataFrame:
+    """Typed values, each cast once, and beside them what ``judge`` makes of the faults; the texts end here."""
+    made = F.struct(*[to_type(ref(name), kind).alias(name) for name, (kind, *_) in plan.columns.items()])
+    typed = F.transform(F.array(F.lit(0)), lambda _: made)
+    both = F.transform(typed, lambda t: F.struct(t.alias("_typed"), judge(_faults(plan, t)).alias(name)))
+    return raw.select(F.inline(both))
+
+
+def _faults(plan: Plan, typed: Column) -> list[tuple[Column, str]]:
     """What can be wrong with a row, as conditions and messages."""
     missing = [(ref(name).isNull(), f"{name} is missing") for name in plan.required]
     unreadable = [
-        (ref(name).isNotNull() & field_at("_typed", name).isNull(), f"{name} is unreadable")
+        (ref(name).isNotNull() & typed[name].isNull(), f"{name} is unreadable")
         for name, (kind, *_) in plan.columns.items()
         if kind != "string"
     ]
@@ -325,12 +332,15 @@ def flagged(payloads: DataFrame, plan: Plan, body: str = "body", only: Column |
 
     One pass; good and bad rows are filters on it. ``only`` selects rows by their texts.
     """
-    faults = [F.when(fault, F.lit(message)) for fault, message in _faults(plan)]
-    found = F.array_compact(F.array(*faults)) if faults else F.array().cast("array<string>")
-    rows = once(_read(payloads, plan, body, only), **{PROBLEMS: found})
+    messages = lambda faults: F.array_compact(F.array(*_messages(faults))) if faults else F.array().cast("array<string>")
+    rows = _judged(_raw(payloads, plan, body, only), plan, PROBLEMS, messages)
     return rows.select(*_typed_columns(plan), PROBLEMS)
 
 
+def _messages(faults: list[tuple[Column, str]]) -> list[Column]:
+    return [F.when(fault, F.lit(message)) for fault, message in faults]
+
+
 def rejected(payloads: DataFrame, plan: Plan, body: str = "body", only: Column | None = None) -> DataFrame:
     """Rows that lack a required value or hold an unreadable one, and why."""
     return flagged(payloads, plan, body, only).where(F.size(PROBLEMS) > 0)
@@ -344,15 +354,13 @@ def flatten(
     A row that lacks a required value or holds an unreadable one fails the job.
     With ``fail`` off such rows are left out, and :func:`rejected` has them.
     """
-    rows, faults = _read(payloads, plan, body, only), _faults(plan)
-    if faults:
-        rows = once(rows, _fault=F.coalesce(*[F.when(fault, F.lit(message)) for fault, message in faults]))
-        fine = F.col("_fault").isNull()
-        if fail:
-            text = F.concat(F.lit("Payload row rejected: "), F.col("_fault"))
-            fine = F.when(fine, F.lit(True)).otherwise(F.raise_error(text).cast("boolean"))
-        rows = rows.where(fine)
-    return rows.select(*_typed_columns(plan))
+    first = lambda faults: F.coalesce(*_messages(faults), F.lit(None).cast("string"))
+    rows = _judged(_raw(payloads, plan, body, only), plan, "_fault", first)
+    fine = F.col("_fault").isNull()
+    if fail:
+        text = F.concat(F.lit("Payload row rejected: "), F.col("_fault"))
+        fine = F.when(fine, F.lit(True)).otherwise(F.raise_error(text).cast("boolean"))
+    return rows.where(fine).select(*_typed_columns(plan))
 
 
 def long_form(payloads: DataFrame, plan: Plan, groups: dict[str, str], body: str = "body") -> DataFrame:

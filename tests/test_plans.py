@@ -17,6 +17,7 @@ from dugout.plans import feeds, tables
 from dugout.plans.catalog import QUERIES
 from dugout.plans.catalog.base import table
 from dugout.sources import pitches
+from dugout.streaming import jobs
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -126,6 +127,18 @@ def test_row_faults_are_found_outside_the_filter(spark):
     assert conditions and all("inning is unreadable" not in line for line in conditions)
 
 
+def test_rows_are_typed_and_judged_at_once(spark):
+    landed = spark.createDataFrame([("{}", {"gamePk": "1"})], "body string, params map<string,string>")
+    steps = [line for line in simple_plan(feeds.live_feed(landed)).splitlines() if "Generate" in line]
+    assert len(steps) == 4  # the payload, its plays, their events, the typed row with its fault
+
+
+def test_events_that_are_no_pitch_are_told_before_they_are_read(spark, tmp_path):
+    steps = simple_plan(jobs.live_pitches(jobs.landed_stream(spark, str(tmp_path)))).splitlines()
+    told = next(i for i, line in enumerate(steps) if "Filter" in line and "isPitch" in line and "_typed" not in line and "StructField" not in line)
+    assert told > next(i for i, line in enumerate(steps) if "Generate" in line and "_typed" in line)
+
+
 def test_words_never_reach_a_cast(spark):
     texts = spark.createDataFrame([("true",), ("12.0",), (" 7 ",), ("-.5",), ("NaN",), ("Infinity",), (None,)], "v string")
     read = texts.select(clean.lenient_double(F.col("v")).alias("d"), clean.lenient_int(F.col("v")).alias("i"))
