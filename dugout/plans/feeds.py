@@ -6,6 +6,8 @@ Request keys that are not in the payload (game, team, person, season) come from
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,12 +17,15 @@ from dugout.operators.ranks import best_item
 from dugout.plans.flatten import (
     LIST,
     OBJECT,
+    REPORT,
     ROOT,
     Plan,
     Step,
     field_at,
     flatten,
+    inside,
     is_object,
+    json_schema,
     long_form,
     objects,
     parsed,
@@ -536,8 +541,63 @@ def gamefeed_rows(payloads: DataFrame, *nodes: str, body: str = "body", fail: bo
     return items.where(_or_fail(good, "A gamefeed element is no object: ", "item") if fail else good)
 
 
+def gamefeed_objects(
+    payloads: DataFrame, node: str, leaves: dict[str, str], body: str = "body", fail: bool = True
+) -> DataFrame:
+    """Like :func:`gamefeed_rows` of one node, each object parsed into ``parsed_item``.
+
+    A payload is parsed once, objects and all. Where that finds anything unusual (what Spark reports,
+    a gap, a text in quotes, as of a number that JSON has no word for), it is read again step by step.
+    """
+    item = f"struct<{json_schema(leaves, ': ')}>"
+
+    def whole(kind: str) -> Column:
+        return F.from_json(ref(body), f"`{node}` {kind}, {REPORT} string", {"columnNameOfCorruptRecord": REPORT})
+
+    # The words only choose what is tried first: a wrong guess is reported.
+    keyed = F.rlike(ref(body), F.lit(rf'"{node}"\s*:\s*\{{'))
+    as_map, as_list = whole(f"map<string,array<{item}>>"), whole(f"array<{item}>")
+    lists = F.when(keyed, _usual(as_map, lambda doc: F.map_values(doc[node]))).otherwise(
+        _usual(as_list, lambda doc: F.when(doc[node].isNotNull(), F.array(doc[node])))
+    )
+    odd = lambda o: o.isNull() | reduce(Column.__or__, [F.coalesce(F.startswith(inside(o, path), F.lit('"')), F.lit(False)) for path in leaves])
+    plain = F.forall("_lists", lambda values: values.isNotNull() & ~F.exists(values, odd))
+    keep = refs(c for c in payloads.columns if c != body)
+    rows = once(payloads, _lists=lists)
+    usual = F.coalesce(plain, F.lit(False))
+    step_by_step = F.transform(_gamefeed_texts(ref(body), node, fail), lambda text: parsed(text, leaves))
+    items = F.when(usual, F.flatten("_lists")).otherwise(step_by_step)
+    return once(rows, _items=items).select(*keep, F.explode("_items").alias("parsed_item"))
+
+
+def _usual(doc: Column, lists) -> Column:
+    """Lists of a parsed payload, none if Spark reports something; the payload is parsed once for both."""
+    return F.get(F.transform(F.array(doc), lambda d: F.when(d[REPORT].isNull(), lists(d))), F.lit(0))
+
+
+def _gamefeed_texts(text: Column, node: str, fail: bool) -> Column:
+    """Objects below a node of one payload as texts, read as :func:`gamefeed_rows` reads them."""
+
+    def below(value: Column) -> Column:
+        mapped = F.map_values(F.from_json(value, "map<string,array<string>>"))
+        lists = F.when(is_object(value), mapped).otherwise(F.array(F.from_json(value, LIST)))
+        if not fail:
+            return lists
+        read = value.isNull() | F.coalesce(F.forall(lists, Column.isNotNull), F.lit(False))
+        return F.when(_or_raise(read, "A gamefeed node is neither a list nor an object of lists: ", value), lists)
+
+    nodes = F.transform(F.array(parsed(text, {node: "string"})[node]), below)
+    texts = F.flatten(F.filter(F.get(nodes, F.lit(0)), Column.isNotNull))
+    good = lambda item: F.coalesce(is_object(item), F.lit(False))
+    return F.filter(texts, lambda item: _or_raise(good(item), "A gamefeed element is no object: ", item) if fail else good(item))
+
+
 def _or_fail(good: Column, message: str, value: str) -> Column:
-    shown = F.coalesce(F.left(F.col(value), F.lit(100)), F.lit("null"))
+    return _or_raise(good, message, F.col(value))
+
+
+def _or_raise(good: Column, message: str, value: Column) -> Column:
+    shown = F.coalesce(F.left(value, F.lit(100)), F.lit("null"))
     return F.when(good, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit(message), shown)).cast("boolean"))
 
 
@@ -561,7 +621,7 @@ def exit_velocity(payloads: DataFrame, fail: bool = True) -> DataFrame:
     """Batted balls of any number of games."""
     parks = "contextMetrics.homeRunBallparks"
     leaves = dict.fromkeys((*EXIT_VELOCITY_TEXT, *EXIT_VELOCITY_NUMBERS, parks), "string")
-    rows = once(gamefeed_rows(payloads, "exit_velocity", fail=fail), parsed_item=parsed(F.col("item"), leaves))
+    rows = gamefeed_objects(payloads, "exit_velocity", leaves, fail=fail)
     return rows.select(
         _request("gamePk", rows).alias("game_pk"),
         *[clean.trim_text(field_at("parsed_item", c)).alias(c) for c in EXIT_VELOCITY_TEXT],

@@ -6,6 +6,7 @@ import json
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from dugout.errors import InvalidParameter
 from dugout.operators.names import types_of
@@ -134,6 +135,20 @@ def test_gamefeed(spark):
             feeds.exit_velocity(landed(spark, body, gamePk=9)).collect()
 
 
+def test_gamefeed_objects_are_those_read_step_by_step(spark):
+    speeds = ['"2"', "1.10", "1e400", "NaN", "Infinity", '"Infinity"', '"\\\\"q"', "true", "null", "[1, 2]", "12345678901234567890123"]
+    balls = [f'{{"batter_name": " A ", "launch_speed": {v}, "contextMetrics": {{"homeRunBallparks": "3.0"}}}}' for v in speeds]
+    balls += ["{}", "null", "7", '"x"', '{"contextMetrics": "x", "launch_speed": 5}', '{"launch_speed": 1, "launch_speed": 2}']
+    nodes = [n for ball in balls for n in (f"[{ball}]", f'{{"k": [{balls[0]}, {ball}], "l": []}}')]
+    nodes += ["null", "{}", "[]", '"x"', "1", '{"a": null}', '{"a": {}}', '{"a": [null]}', '[{}], "exit_velocity": {"a": [{}]}', '{"a": [{}]}, "exit_velocity": null']
+    bodies = [f'{{"exit_velocity": {n}}}' for n in nodes] + ["", "x", "{}", '{"exit_velocity": [{"launch_speed": 1}', '{"x": "\\"exit_velocity\\": {", "exit_velocity": [{}]}']
+    df = spark.createDataFrame([(b, i) for i, b in enumerate(bodies)], "body string, i int")
+    leaves = dict.fromkeys(("batter_name", "launch_speed", "contextMetrics.homeRunBallparks"), "string")
+    want = feeds.gamefeed_rows(df, "exit_velocity", fail=False).select("i", flatten.parsed(F.col("item"), leaves).alias("parsed_item"))
+    got = feeds.gamefeed_objects(df, "exit_velocity", leaves, fail=False)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_highlights(spark):
     item = {
         "id": "", "mediaPlaybackId": "m1", "headline": "H",

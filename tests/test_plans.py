@@ -139,6 +139,12 @@ def test_events_that_are_no_pitch_are_told_before_they_are_read(spark, tmp_path)
     assert told > next(i for i, line in enumerate(steps) if "Generate" in line and "_typed" in line)
 
 
+def test_gamefeed_objects_are_parsed_with_their_payload(spark):
+    landed = spark.createDataFrame([("{}", {"gamePk": "1"})], "body string, params map<string,string>")
+    steps = [line for line in simple_plan(feeds.exit_velocity(landed)).splitlines() if "Generate" in line]
+    assert len(steps) == 3  # the payload, its objects, one row each
+
+
 def test_words_never_reach_a_cast(spark):
     texts = spark.createDataFrame([("true",), ("12.0",), (" 7 ",), ("-.5",), ("NaN",), ("Infinity",), (None,)], "v string")
     read = texts.select(clean.lenient_double(F.col("v")).alias("d"), clean.lenient_int(F.col("v")).alias("i"))
