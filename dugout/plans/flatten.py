@@ -10,14 +10,17 @@ number of payloads is flattened in one job, row by row, without a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dugout.errors import InvalidParameter
-from dugout.operators.names import once, ref, refs
+from dugout.operators.names import once, ref, refs, types_of
 
 PROBLEMS = "_problems"
 ROOT = "payload"
@@ -110,11 +113,7 @@ def walk(
     Levels form a chain. As many of them as possible are parsed together, with one schema that
     holds the wanted values of all; a level that is wanted as a whole starts from its own text.
     """
-    levels = [ROOT, *[s.level for s in steps]]
-    for level, step in zip(levels, steps, strict=False):
-        if step.parent != level:
-            raise InvalidParameter(f"Level {step.level!r} must follow {step.parent!r} directly.")
-    chain = [_Level(level, dict(wanted.get(level, {})), step) for level, step in zip(levels, [*steps, None], strict=True)]
+    chain = _chain(steps, wanted)
     rows = payloads.select(*[ref(c) for c in payloads.columns if c != body], ref(body).alias("_text"))
     while chain:
         size = 1
@@ -137,6 +136,14 @@ class _Level:
         return WHOLE in self.leaves or (self.step is not None and self.step.path == WHOLE)
 
 
+def _chain(steps: Sequence[Step], wanted: dict[str, dict[str, str]]) -> list[_Level]:
+    levels = [ROOT, *[s.level for s in steps]]
+    for level, step in zip(levels, steps, strict=False):
+        if step.parent != level:
+            raise InvalidParameter(f"Level {step.level!r} must follow {step.parent!r} directly.")
+    return [_Level(level, dict(wanted.get(level, {})), step) for level, step in zip(levels, [*steps, None], strict=True)]
+
+
 def _from_text(rows: DataFrame, level: _Level) -> DataFrame:
     """Read one level from its text and go down to the texts of the next."""
     carried = [c for c in rows.columns if c != "_text"]
@@ -161,9 +168,7 @@ def _together(rows: DataFrame, chain: Sequence[_Level]) -> DataFrame:
     by their report and read again, element by element.
     """
     carried = [c for c in rows.columns if c != "_text"]
-    schema = f"{json_schema(_schema_leaves(chain))}, {REPORT} string"
-    doc = F.from_json("_text", schema, {"columnNameOfCorruptRecord": REPORT})
-    rows = once(rows, _doc=doc)
+    rows = once(rows, _doc=_reported(F.col("_text"), chain))
     at, here = "_doc", lambda path: field_at(at, path)
     for k, level in enumerate(chain):
         values = [here(path).alias(f"{level.name}:{path}") for path in level.leaves]
@@ -187,6 +192,12 @@ def _together(rows: DataFrame, chain: Sequence[_Level]) -> DataFrame:
 REPORT = "_unreadable"
 
 
+def _reported(text: Column, chain: Sequence[_Level]) -> Column:
+    """All levels of a payload, and Spark's report."""
+    schema = f"{json_schema(_schema_leaves(chain))}, {REPORT} string"
+    return F.from_json(text, schema, {"columnNameOfCorruptRecord": REPORT})
+
+
 def _texts_below(step: Step) -> str:
     return OBJECT if step.keyed else LIST
 
@@ -230,18 +241,41 @@ def _one_by_one(text: Column, chain: Sequence[_Level]) -> Column:
         own = parsed(item, {**below.leaves, below.step.path: _texts_below(below.step)})
         if len(rest) == 1:
             return own
-        bound = F.transform(F.array(own), lambda d: d.withField(_quoted(below.step.path), _one_by_one(item, rest)))
-        return F.get(bound, F.lit(0))
+        return _bound(own, lambda d: d.withField(_quoted(below.step.path), _one_by_one(item, rest)))
 
     if keyed:
         return F.transform_values(F.map_filter(found, lambda k, v: is_object(v)), lambda k, v: element(v))
     return F.transform(F.filter(found, is_object), element)
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What ``use`` makes of a costly value, which is made once however often it is mentioned."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _quoted(path: str) -> str:
     return ".".join(f"`{part}`" for part in path.split("."))
 
 
+def _rows_below(items: Column, chain: Sequence[_Level], row, wanted, above: dict[str, Column]) -> Column:
+    """What ``row`` makes of the values of all levels, for every wanted element of the last, as one list."""
+    level, *rest = chain
+    here = lambda e: {**above, **{f"{level.name}:{path}": inside(e, path) for path in level.leaves}}
+    if level.step is None:
+        return F.transform(F.filter(items, lambda e: e.isNotNull() & wanted(here(e))), lambda e: row(here(e)))
+    below = lambda e: inside(e, level.step.path)
+    return F.flatten(F.transform(F.filter(items, lambda e: below(e).isNotNull()), lambda e: _rows_below(below(e), rest, row, wanted, here(e))))
+
+
+def _is_endless(node: Column, chain: Sequence[_Level]) -> Column:
+    """Whether a number here or further down is none or too large for its type."""
+    level, *rest = chain
+    found = [F.abs(inside(node, path)) > F.lit(sys.float_info.max) for path, kind in level.leaves.items() if kind == "double"]
+    if rest:
+        found.append(F.exists(inside(node, level.step.path), lambda e: _is_endless(e, rest)))
+    return reduce(or_, [F.coalesce(f, F.lit(False)) for f in found], F.lit(False))
+
+
 def _descend(rows: DataFrame, step: Step, source: Column, real) -> DataFrame:
     """One row per element of a list or value of an object; the element is called ``_text``."""
     gone = {"_text", "_doc", "_below", f"{step.parent}:{step.path}"}
@@ -304,21 +338,83 @@ def _raw(payloads: DataFrame, plan: Plan, body: str, only: Column | None) -> Dat
     return raw if only is None else raw.where(only)
 
 
+def _raw_plain(payloads: DataFrame, plan: Plan, body: str, only: str | None) -> DataFrame:
+    """Request columns, and those of the payload as ``_values`` of their types or as ``_words``, one of them null.
+
+    Numbers and flags that come as such are read with their types, instead of becoming texts that are
+    cast. Only payloads that Spark reports, or with endless numbers, are read again, as texts. All rows
+    of a payload come out of one generator.
+    """
+    asked = _asked(plan)
+    found = {name: column for name, column in plan.columns.items() if name not in asked}
+    kinds = {place: kind for kind, place in found.values()}
+    words = _chain(plan.steps, places_of(found))
+    typed = [_Level(lv.name, {path: kinds[f"{lv.name}:{path}"] for path in lv.leaves}, lv.step) for lv in words]
+    text, start = F.col("_text"), plan.steps[0].path
+    none = {
+        "_values": F.lit(None).cast(f"struct<{', '.join(f'`{name}`: {kind}' for name, (kind, _) in found.items())}>"),
+        "_words": F.lit(None).cast(f"struct<{', '.join(f'`{name}`: string' for name in found)}>"),
+    }
+
+    def rows(doc: Column, items: Column, chain: Sequence[_Level], filled: str) -> Column:
+        def row(have: dict[str, Column]) -> Column:
+            made = F.struct(*[have[place].alias(name) for name, (_, place) in found.items()])
+            return F.struct(*[value.alias(name) for name, value in {**none, filled: made}.items()])
+
+        flag = lambda have: have[found[only][1]] if only and filled == "_values" else F.lit(True)
+        return _rows_below(items, chain[1:], row, flag, {f"{ROOT}:{path}": inside(doc, path) for path in chain[0].leaves})
+
+    def in_words(doc: Column) -> Column:
+        gaps = doc[REPORT].isNotNull() & _has_gap(inside(doc, start), words[1:], plan.steps[0])
+        return rows(doc, F.when(gaps, _one_by_one(text, words)).otherwise(inside(doc, start)), words, "_words")
+
+    def read(doc: Column) -> Column:
+        sound = doc[REPORT].isNull() & ~_is_endless(doc, typed)
+        again = _bound(_reported(text, words), in_words)
+        return F.when(sound, rows(doc, inside(doc, start), typed, "_values")).otherwise(again)
+
+    have = types_of(payloads)
+    whole = lambda kind, place: ref(place[1:]) if have.get(place[1:]) == kind else read_place(place, list(have))
+    raw = payloads.select(*[whole(*column).alias(name) for name, column in asked.items()], ref(body).alias("_text"))
+    raw = raw.select(*refs(asked), F.inline(_bound(_reported(text, typed), read)))
+    return raw.where(F.coalesce(field_at("_values", only), to_type(field_at("_words", only), "boolean"))) if only else raw
+
+
+def _asked(plan: Plan) -> dict[str, tuple[str, ...]]:
+    """Columns that come from the request."""
+    return {name: column for name, column in plan.columns.items() if column[1].startswith("@")}
+
+
+def _judged_plain(raw: DataFrame, plan: Plan, name: str, judge) -> DataFrame:
+    """Like ``_judged``; only words come through the generator, as nothing can be wrong with values of their types."""
+    have = types_of(raw)
+    asked = {n: ref(n) for n in _asked(plan)}
+    words = {n: asked[n] if n in asked else field_at("_words", n) for n in plan.columns}
+    cast = {n: words[n] if have.get(n) == kind else to_type(words[n], kind) for n, (kind, *_) in plan.columns.items()}
+    values = {n: cast[n] if n in asked else F.coalesce(field_at("_values", n), field_at("_typed", n)) for n in plan.columns}
+    struct = lambda row: F.struct(*[value.alias(n) for n, value in row.items()])
+    both = lambda t: F.struct(t.alias("_typed"), judge(_faults(plan, t, words)).alias("_judgement"))
+    read = F.transform(F.array(F.lit(0)), lambda _: F.when(F.col("_words").isNotNull(), _bound(struct(cast), both)))
+    judgement = F.when(F.col("_words").isNull(), judge(_faults(plan, values, asked))).otherwise(F.col("_judgement"))
+    return raw.select("*", F.inline(read)).select(struct(values).alias("_typed"), judgement.alias(name))
+
+
 def _judged(raw: DataFrame, plan: Plan, name: str, judge) -> DataFrame:
     """Typed values, each cast once, and beside them what ``judge`` makes of the faults; the texts end here."""
+    texts = {name: ref(name) for name in plan.columns}
     made = F.struct(*[to_type(ref(name), kind).alias(name) for name, (kind, *_) in plan.columns.items()])
     typed = F.transform(F.array(F.lit(0)), lambda _: made)
-    both = F.transform(typed, lambda t: F.struct(t.alias("_typed"), judge(_faults(plan, t)).alias(name)))
+    both = F.transform(typed, lambda t: F.struct(t.alias("_typed"), judge(_faults(plan, t, texts)).alias(name)))
     return raw.select(F.inline(both))
 
 
-def _faults(plan: Plan, typed: Column) -> list[tuple[Column, str]]:
-    """What can be wrong with a row, as conditions and messages."""
-    missing = [(ref(name).isNull(), f"{name} is missing") for name in plan.required]
+def _faults(plan: Plan, typed: Column | dict[str, Column], texts: dict[str, Column]) -> list[tuple[Column, str]]:
+    """What can be wrong with a row, as conditions and messages; ``texts`` has what was cast."""
+    missing = [(texts.get(name, typed[name]).isNull(), f"{name} is missing") for name in plan.required]
     unreadable = [
-        (ref(name).isNotNull() & typed[name].isNull(), f"{name} is unreadable")
+        (texts[name].isNotNull() & typed[name].isNull(), f"{name} is unreadable")
         for name, (kind, *_) in plan.columns.items()
-        if kind != "string"
+        if kind != "string" and name in texts
     ]
     return missing + unreadable
 
@@ -347,15 +443,19 @@ def rejected(payloads: DataFrame, plan: Plan, body: str = "body", only: Column |
 
 
 def flatten(
-    payloads: DataFrame, plan: Plan, body: str = "body", fail: bool = True, only: Column | None = None
+    payloads: DataFrame, plan: Plan, body: str = "body", fail: bool = True, only: Column | str | None = None, plain: bool = False
 ) -> DataFrame:
     """Typed rows of all payloads; ``only`` selects rows by their texts.
 
     A row that lacks a required value or holds an unreadable one fails the job.
     With ``fail`` off such rows are left out, and :func:`rejected` has them.
+    ``plain`` gives the same rows, sooner where most payloads hold numbers and flags as such and not as
+    texts. Such a plan walks lists alone, has one place for every column, and no defaults; ``only`` is
+    the name of a flag.
     """
     first = lambda faults: F.coalesce(*_messages(faults), F.lit(None).cast("string"))
-    rows = _judged(_raw(payloads, plan, body, only), plan, "_fault", first)
+    raw, judged = (_raw_plain, _judged_plain) if plain else (_raw, _judged)
+    rows = judged(raw(payloads, plan, body, only), plan, "_fault", first)
     fine = F.col("_fault").isNull()
     if fail:
         text = F.concat(F.lit("Payload row rejected: "), F.col("_fault"))

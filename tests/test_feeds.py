@@ -220,3 +220,19 @@ def test_odd_values_of_keyed_levels(spark):
     teams = {"away": {"team": {"id": 9}, "players": {"ID1": player, "ID2": 5, "ID3": None}}, "home": 7, "neutral": {"players": {"ID4": player}}}
     found = feeds.boxscore(landed(spark, {"teams": teams}, gamePk=3)).collect()
     assert [(r.gamePk, r.teamId, r.personId, r.fullName) for r in found] == [(3, 9, 1, "A")]
+
+
+def test_plain_payloads_give_the_rows_of_their_texts(spark):
+    event = lambda **fields: {"isPitch": True, "index": 3, "pitchData": {"startSpeed": 95.1, "breaks": {"spinRate": 2300}}, **fields}
+    odd = [5, 5.0, 5.5, "5", "x", "", None, True, "true", [1], {"a": 1}, 10**20, "NaN"]
+    plays = [[{"about": {"atBatIndex": v, "playId": v}, "playEvents": [event(), event(index=v, isPitch=False)]}] for v in odd]
+    plays += [[{"playEvents": [event(**{k: v}), event(index=4)]}] for k in event() for v in odd]
+    plays += [[{"playEvents": [event(), v]}, v, {"playEvents": v}, {"playEvents": [event(index=4)]}] for v in odd]
+    bodies = [json.dumps({"liveData": {"plays": {"allPlays": p}}}) for p in plays]
+    bodies += [bodies[0].replace("95.1", number) for number in ("NaN", "1e400", "-Infinity", "95", "1E1")] + ["{", "[]", "", None, bodies[0][:-9]]
+    landed_ = spark.createDataFrame([(b, {"gamePk": "x" if i == 1 else str(i)}) for i, b in enumerate(bodies)], "body string, params map<string,string>")
+    found = lambda **how: sorted(map(repr, flatten.flatten(landed_, feeds.LIVE_FEED, fail=False, **how).collect()))
+    assert found(plain=True) == found() and len(found()) > 60
+    assert found(plain=True, only="isPitch") == found(only=F.col("isPitch").try_cast("boolean"))
+    with pytest.raises(Exception, match="gamePk is unreadable"):
+        flatten.flatten(landed_, feeds.LIVE_FEED, plain=True).collect()

@@ -164,3 +164,9 @@ def test_sorted_prospects_parse_their_pages_once(spark):
     steps = simple_plan(tables.prospects(pages, ["page"], ["Rk", "Player"])).splitlines()
     at = [next(i for i, line in enumerate(steps) if word in line) for word in ("rangepartitioning", "REBALANCE", "MapInArrow")]
     assert at == sorted(at)
+
+
+def test_numbers_of_polls_are_read_as_numbers(spark, tmp_path):
+    steps = [line for line in simple_plan(jobs.live_pitches(jobs.landed_stream(spark, str(tmp_path)))).splitlines() if "Generate" in line]
+    assert len(steps) == 2  # all rows of a payload, and what had to be cast
+    assert "StructField(index,LongType" in steps[1] and "StructField(startSpeed,DoubleType" in steps[1]

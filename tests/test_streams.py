@@ -85,3 +85,12 @@ def test_refresh_touches_only_the_seasons_of_a_batch(spark, tmp_path):
     jobs.refresh_seasons(stream, root, checkpoint, [2023, 2024], whole).awaitTermination()
     found = spark.read.parquet(root)
     assert found.select("year").distinct().count() == 1 and found.agg(F.sum("batter")).first()[0] == 3
+
+
+def test_seen_keys_are_kept_on_disk(spark, tmp_path):
+    bronze, target, checkpoint = (str(tmp_path / n) for n in ("bronze", "pitches", "cp"))
+    _land(spark, bronze, (1, "2024-04-01T10:00:00", {"liveData": {"plays": {"allPlays": [{"playEvents": [{"isPitch": True, "index": 1}]}]}}}))
+    started = jobs.append(jobs.live_pitches(jobs.landed_stream(spark, bronze)), target, checkpoint)
+    started.awaitTermination()
+    assert any(name.startswith("rocksdb") for name in started.recentProgress[0].stateOperators[0].customMetrics)
+    assert all(spark.conf.get(key, None) is None for key in jobs.STATE)
